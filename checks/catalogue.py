@@ -175,8 +175,7 @@ def write_documents(spark, sf_dir):
     path = work_path(spark, "documents")
     annual = d.filter_annual(a.filings(spark, sf_dir))
     d.write_documents(annual, path)
-    schema = "cik string, year string, accession string, company_name string, filename string"
-    return spark.read.schema(schema).parquet(path)
+    return d.scan_documents(spark, path, columns="company_name string, filename string")
 
 
 @query(

@@ -62,6 +62,7 @@ from .sources.tables import (
     list_parts,
     may_write,
     output_exists,
+    scan_documents,
     scan_table,
     write_documents,
     write_parts,

@@ -12,6 +12,7 @@ from html.entities import html5
 from pyspark.sql import functions as F
 
 from .fields import ANNUAL_FORMS
+from .once import with_once
 from .text import split_lines, strip
 
 # Elements whose text is not part of the page, the class of the
@@ -28,15 +29,16 @@ CP1252_CHARS = "".join(
 )
 
 # Possessive loops (`++`, `*+`) keep matching iterative: a long tag cannot overflow
-# the stack and an unbalanced quote cannot backtrack over the whole page.
+# the stack and an unbalanced quote cannot backtrack over the whole page. Patterns
+# start with a plain `<`, so that text between tags is passed over quickly.
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _HIDDEN = (
-    r"(?is)<!--.*?-->"
-    rf"|<(?:{DROPPED})(?:\s[^<>]*)?/>"
-    rf"|<({DROPPED})(?:\s{_ATTRS})?>.*?(?:</\1\s*>|\z)"
+    r"(?is)<(?:!--.*?-->"
+    rf"|(?:{DROPPED})(?:\s[^<>]*)?/>"
+    rf"|({DROPPED})(?:\s{_ATTRS})?>.*?(?:</\1\s*>|\z))"
 )
 _OUTSIDE_BODY = rf"(?is)\A.*?<body(?:\s{_ATTRS})?>|</body\s*>.*\z"
-_TAG = rf"(?s)</?[A-Za-z!]{_ATTRS}>|<\?[^>]*+>"
+_TAG = rf"(?s)<(?:/?[A-Za-z!]{_ATTRS}|\?[^>]*+)>"
 _REFERENCE = r"&(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][-.A-Za-z0-9]*);?"
 
 
@@ -88,20 +90,20 @@ def with_plain_text(df, html, out):
     df = df.withColumn(decoded, decode_references(F.col(bare), named_references()))
     stripped = F.transform(split_lines(F.col(decoded)), lambda line: strip(line))
     lines = F.filter(stripped, lambda line: line != "")
-    return df.withColumn(out, F.array_join(lines, "\n")).drop(bare, decoded)
+    return with_once(df, out, F.array_join(lines, "\n")).drop(bare, decoded)
 
 
 # --- links of an index page ---------------------------------------------------
 
-_UNSEEN = rf"(?is)<!--.*?-->|<(script|style)(?:\s{_ATTRS})?>.*?(?:</\1\s*>|\z)"
+_UNSEEN = rf"(?is)<(?:!--.*?-->|(script|style)(?:\s{_ATTRS})?>.*?(?:</\1\s*>|\z))"
 _HAS_CLASS = (
     rf"""(?:"(?:[^"]*\s)?{TABLE_CLASS}(?:\s[^"]*)?\""""
     rf"""|'(?:[^']*\s)?{TABLE_CLASS}(?:\s[^']*)?'"""
     rf"""|{TABLE_CLASS}(?=[\s>]))"""
 )
 _TABLE = (
-    rf"(?s)<(?i:table)\s(?:[^>]*?\s)?(?i:class)\s*=\s*{_HAS_CLASS}[^>]*>"
-    r"(.*?)(?:</(?i:table)\s*>|\z)"
+    rf"(?s)<(?i:table)\s(?:[^>]*?\s)?(?i:class)\s*=\s*{_HAS_CLASS}"
+    r"([^>]*>.*?)(?:</(?i:table)\s*>|\z)"
 )
 _ROW = r"(?i)<tr(?:\s[^>]*)?>"
 _CELL = r"(?is)<td(?:\s[^>]*)?>(.*?)(?=<td[\s>]|</t[dr]\s*>|\z)"
@@ -109,10 +111,12 @@ _HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
 def _hrefs(markup, names):
-    found = F.regexp_extract_all(markup, F.lit(_HREF), 1)
-    return F.transform(
-        found, lambda h: decode_references(F.regexp_replace(h, r"""^["']|["']$""", ""), names)
-    )
+    def value(written):
+        quoted = written.startswith('"') | written.startswith("'")
+        inner = F.substring(written, F.lit(2), F.length(written) - 2)
+        return decode_references(F.when(quoted, inner).otherwise(written), names)
+
+    return F.transform(F.regexp_extract_all(markup, F.lit(_HREF), 1), value)
 
 
 def _is_annual_page(href):
@@ -132,11 +136,11 @@ def with_primary_link(df, html, rule="A", href="href", has_table="has_table"):
     when there is none, `has_table` tells whether the document table exists.
     """
     names = named_references()
-    seen, table, links, rows = (f"__{href}_{n}" for n in ("seen", "table", "links", "rows"))
-    df = df.withColumn(seen, F.regexp_replace(F.col(html), _UNSEEN, ""))
-    df = df.withColumn(
-        table, F.when(F.col(seen).rlike(_TABLE), F.regexp_extract(F.col(seen), _TABLE, 1))
-    )
+    found, table, links, rows = (f"__{href}_{n}" for n in ("found", "table", "links", "rows"))
+    seen = F.regexp_replace(F.col(html), _UNSEEN, "")
+    # What is found starts with the end of the table's own tag, so it is never empty.
+    df = df.withColumn(found, F.regexp_extract(seen, _TABLE, 1))
+    df = df.withColumn(table, F.when(F.col(found) != "", F.col(found)))
     df = df.withColumn(links, _hrefs(F.col(table), names))
     if rule == "B":
         chosen = F.get(F.filter(F.col(links), _is_page), 0)
@@ -162,7 +166,7 @@ def with_primary_link(df, html, rule="A", href="href", has_table="has_table"):
             F.get(annual, 0)["href"], F.get(F.filter(F.col(links), _is_annual_page), 0)
         )
     return (
-        df.withColumn(href, chosen)
+        with_once(df, href, chosen)
         .withColumn(has_table, F.col(table).isNotNull())
-        .drop(seen, table, links, rows)
+        .drop(found, table, links, rows)
     )

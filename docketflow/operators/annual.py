@@ -11,6 +11,7 @@ from ..functions.fields import (
     normalize_form,
     parse_date,
 )
+from ..functions.once import with_once
 
 # Fixed value: the date text of a rule line taken for a filing.
 SENTINEL_DATE = "------------"
@@ -41,12 +42,14 @@ def keep_annual_forms(df, optional=False, canonical=False):
 
 def add_filing_year(df):
     """Replace `year` by the filing year and `date_filed` by ISO text; bad dates drop."""
+    columns = df.columns if "year" in df.columns else [*df.columns, "year"]
+    dated = with_once(
+        df, "__date", parse_date(F.col("date_filed")), keep=lambda day: day.isNotNull()
+    )
     return (
-        df.withColumn("__date", parse_date(F.col("date_filed")))
-        .filter(F.col("__date").isNotNull())
-        .withColumn("year", F.year("__date").cast("int"))
+        dated.withColumn("year", F.year("__date").cast("int"))
         .withColumn("date_filed", F.date_format("__date", "yyyy-MM-dd"))
-        .drop("__date")
+        .select(*columns)
     )
 
 
@@ -62,11 +65,13 @@ def drop_sentinel_dates(df):
 
 def add_month_year(df):
     """Filing date as a date, with month number, month label and year."""
+    columns = [c for c in df.columns if c not in ("month", "year", "month_name")]
+    dated = with_once(df, "date_filed", parse_date(F.col("date_filed")))
     return (
-        df.withColumn("date_filed", parse_date(F.col("date_filed")))
-        .withColumn("month", F.month("date_filed").cast("int"))
+        dated.withColumn("month", F.month("date_filed").cast("int"))
         .withColumn("year", F.year("date_filed").cast("int"))
         .withColumn("month_name", month_name(F.col("month")))
+        .select(*columns, "month", "year", "month_name")
     )
 
 

@@ -3,20 +3,28 @@
 from pyspark.sql import functions as F
 
 from ..functions.fields import period_quarter, period_year
-from ..functions.text import WHITESPACE_CLASS, strip
+from ..functions.once import with_once
+from ..functions.text import strip
 from ..schemas import FILING
 
 # The line pattern (name, form, company id, date, path), the column
 # bounds of the fixed layout with its header length, and the lines that hold no data.
-LINE_PATTERN = r"^(.+?)\s{2,}(\S+)\s+(\d+)\s+(\d{4}-\d{2}-\d{2})\s+(.+)$".replace(
-    r"\s", f"[{WHITESPACE_CLASS}]"
-).replace(r"\S", f"[^{WHITESPACE_CLASS}]")
+LINE_PATTERN = r"^(.+?)\s{2,}(\S+)\s+(\d+)\s+(\d{4}-\d{2}-\d{2})\s+(.+)$"
 FIXED_BOUNDS = ((0, 62), (62, 74), (74, 86), (86, 98), (98, None))
 HEADER_LINES = 9
 RULE_START = "-----"
 HEADING_START = "company name"
 
 FIELDS = ("company_name", "form_type", "cik", "date_filed", "filename")
+# The same language, written to fail fast. White space is spelled out for Latin-1
+# text, runs never give back what they took (the next field could not use it), and a
+# name is only ended where a run of white space starts.
+_S = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0]"
+_N = _S.replace("[", "[^")
+_FAST_PATTERN = (
+    rf"^(.+?)(?:(?<={_N})|(?<=^.)){_S}{{2,}}+({_N}++){_S}++(\d++){_S}++"
+    rf"(\d{{4}}-\d{{2}}-\d{{2}}){_S}+(.+)$"
+)
 # Cannot occur in Latin-1 text.
 _MARK = "\ue000"
 
@@ -44,14 +52,13 @@ def parse_index(lines, layout="pattern"):
     """
     if layout == "pattern":
         # One regular-expression pass marks the field bounds, a cheap split cuts there.
-        # Exploding the one cut line, or none, keeps later filters from being pushed
-        # below this point, where each of them would match the pattern again.
-        marked = F.regexp_replace("line", LINE_PATTERN, _MARK.join(f"${i}" for i in range(1, 6)))
-        matched = F.filter(
-            F.array(F.split(marked, _MARK, -1)), lambda parts: F.size(parts) == len(FIELDS)
-        )
-        rows = lines.filter(is_data_line(F.col("line"))).select(
-            *[c for c in lines.columns if c != "line"], F.explode(matched).alias("parts")
+        marked = F.regexp_replace("line", _FAST_PATTERN, _MARK.join(f"${i}" for i in range(1, 6)))
+        parts = F.split(marked, _MARK, -1)
+        rows = with_once(
+            lines.filter(is_data_line(F.col("line"))),
+            "parts",
+            parts,
+            keep=lambda p: F.size(p) == len(FIELDS),
         )
         fields = [F.get("parts", F.lit(i)) for i in range(len(FIELDS))]
     elif layout == "fixed":

@@ -19,7 +19,8 @@ _LEVELS = 2
 def running_total(df, value, order, out, group=None, restart=True, range_rows=RANGE_ROWS):
     """Add `out`: the sum of `value` over all rows before this one.
 
-    `order` names an integer column, unique within `group`. With `restart` the total
+    `order` names an integer column, unique within `group`; a row without a position
+    gets no number. With `restart` the total
     starts anew in each group, otherwise it runs on through the groups by name. Choose
     `range_rows` so that this many rows with their payload fit a task comfortably.
     """
@@ -46,7 +47,7 @@ def _before(df, order, out, restart, range_rows, levels):
     within = W.partitionBy("__group", bucket).orderBy(order).rowsBetween(*before)
     local = ranged.withColumn("__local", F.coalesce(F.sum("__value").over(within), F.lit(0)))
     return (
-        local.join(starts, ["__group", bucket])
+        local.join(starts, ["__group", bucket], "left")
         .withColumn(out, F.col(start) + F.col("__local"))
         .drop(bucket, start, "__local")
     )

@@ -81,7 +81,8 @@ def fetch_job(
 
 
 def documents_job(
-    spark, filings, responses, target, ciks=None, years=None, all=False, stored=None, retry_limit=5
+    spark, filings, responses, target, ciks=None, years=None, all=False, stored=None,
+    retry_limit=5, by=("year",)
 ):
     """Selected filings' main documents, stored by company and year.
 
@@ -97,7 +98,7 @@ def documents_job(
     seen = Observation()
     counted = found.observe(seen, F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail"))
     kept = counted.filter("ok").drop("ok", "status", "key_cik", "key_year", "key_accession")
-    write_documents(kept, target, "append", check=False)
+    write_documents(kept, target, by, "append", check=False)
     return {"written": True, **seen.get}
 
 

@@ -113,11 +113,16 @@ def document_keys(df):
     )
 
 
-def write_documents(df, path, if_exists="error", check=True):
-    """Store documents under cik=/year= folders, gzip-compressed, accession as a column.
+def write_documents(df, path, by=("year",), if_exists="error", check=True):
+    """Store documents gzip-compressed, addressed by cik, year and accession.
+
+    All three are columns of the store. `by` says which of them become folders: years
+    by default, with rows in order of company inside each file, so that a look-up of
+    one company skips row groups by their bounds. `("cik", "year")` gives every company
+    its own folders, which suits small stores: most would hold one or two documents.
 
     Rows are rebalanced by the folder keys: adaptive execution merges small folders'
-    partitions and splits those of a company that files far more than others.
+    partitions and splits those that hold far more than others.
     """
     keyed = document_keys(df).select(
         F.coalesce(F.nullif("key_cik", F.lit("")), F.lit("unknown")).alias("cik"),
@@ -128,15 +133,31 @@ def write_documents(df, path, if_exists="error", check=True):
     if check and not may_write(keyed, path, if_exists):
         return False
     (
-        keyed.hint("rebalance", "cik", "year")
+        keyed.hint("rebalance", *by)
+        .sortWithinPartitions(*by, *[c for c in ("cik", "accession") if c not in by])
         .write.mode(_MODES[if_exists])
-        .partitionBy("cik", "year")
+        .partitionBy(*by)
         .option("compression", "gzip")
         .parquet(path)
     )
     return True
 
 
+def scan_documents(spark, path, ciks=None, years=None, columns="body string"):
+    """The document store written by `write_documents`, keys as text.
+
+    `ciks` and `years` restrict it: folders are pruned, the rest is skipped by bounds.
+    `columns` declares the stored columns wanted beside the keys.
+    """
+    keys = "cik string, year string, accession string"
+    stored = spark.read.schema(f"{keys}, {columns}" if columns else keys).parquet(path)
+    if ciks:
+        stored = stored.filter(F.col("cik").isin([str(c) for c in ciks]))
+    if years:
+        stored = stored.filter(F.col("year").isin([str(y) for y in years]))
+    return stored
+
+
 def list_parts(spark, path):
     """Parquet files under `path`, any depth, by name: (path, bytes). Opens none."""
     return (
