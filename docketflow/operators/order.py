@@ -39,7 +39,8 @@ def _before(df, order, out, restart, range_rows, levels):
         return df.withColumn(out, F.coalesce(total, F.lit(0)))
     bucket = f"__range{levels}"
     ranged = df.withColumn(bucket, F.expr(f"`{order}` div {range_rows}"))
-    sums = ranged.groupBy("__group", bucket).agg(F.sum("__value").alias("__value"))
+    placed = ranged.filter(F.col(bucket).isNotNull())
+    sums = placed.groupBy("__group", bucket).agg(F.sum("__value").alias("__value"))
     start = f"__start{levels}"
     starts = _before(sums, bucket, start, restart, range_rows, levels - 1)
     starts = starts.select("__group", bucket, start)

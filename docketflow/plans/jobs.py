@@ -76,8 +76,9 @@ def fetch_job(
         F.max("part").alias("last_part"),
     )
     write_parts(records, target, if_exists=if_exists, check=False)
-    counts = dict(seen.get)
-    return {"written": True, **counts, "parts": counts.pop("last_part") + 1}
+    counts = seen.get
+    parts = counts["last_part"] + 1
+    return {"written": True, "seen": counts["seen"], "ok": counts["ok"], "parts": parts}
 
 
 def documents_job(

@@ -24,7 +24,7 @@ def _format_of(path):
 
 
 def scan_table(spark, path, fmt=None):
-    """A table by its extension, or by `fmt`. CSV columns are all text.
+    """A table by its extension, or by `fmt`. CSV columns are all text, empty is null.
 
     Both formats are splittable: Spark reads them in bounded pieces
     (`spark.sql.files.maxPartitionBytes`), pruning columns and pushing filters down.
@@ -72,7 +72,14 @@ def write_table(df, path, fmt=None, if_exists="error", check=True):
         return False
     writer = df.write.mode(_MODES[if_exists])
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        # The writer would otherwise strip the white space around values.
+        (
+            writer.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
     else:
         writer.option("compression", "snappy").parquet(path)
     return True
@@ -151,6 +158,8 @@ def scan_documents(spark, path, ciks=None, years=None, columns="body string"):
     """
     keys = "cik string, year string, accession string"
     stored = spark.read.schema(f"{keys}, {columns}" if columns else keys).parquet(path)
+    first = ["cik", "year", "accession"]
+    stored = stored.select(*first, *[c for c in stored.columns if c not in first])
     if ciks:
         stored = stored.filter(F.col("cik").isin([str(c) for c in ciks]))
     if years:

@@ -31,14 +31,13 @@ def _run(stream, target, checkpoint):
         .start()
     )
     query.awaitTermination()
-    progress = query.recentProgress
-    return {"batches": len(progress), "rows_in": sum(p["numInputRows"] for p in progress)}
+    return query
 
 
 def stream_filter(
     spark, source, target, checkpoint, schema=FILING, fmt="parquet", files_per_batch=None, glob=None
 ):
-    """New files of filings under `source` to annual filings; returns the run's counts.
+    """New files of filings under `source` to annual filings; returns the finished query.
 
     `files_per_batch` bounds how much one micro-batch takes.
     """
@@ -49,6 +48,9 @@ def stream_filter(
 def stream_clean(
     spark, source, target, checkpoint, schema, html="html", files_per_batch=None, glob=None
 ):
-    """New files of pages under `source` to pages with readable text."""
+    """New files of pages under `source` to pages with readable text.
+
+    Returns the finished query, whose progress tells what each micro-batch did.
+    """
     stream = _files(spark, source, schema, "parquet", files_per_batch, glob)
     return _run(clean_pages(stream, html), target, checkpoint)
