@@ -6,7 +6,7 @@ join by key). `FILINGS_SQL` is the same recasting for the SQL checks.
 
 from pyspark.sql import functions as F
 
-from docketflow.session import work_path
+from docketflow.session import spread, work_path
 
 FILINGS_SQL = """
 a1 as (
@@ -49,7 +49,7 @@ def _text(name):
 
 def order_filings(spark, sf_dir):
     """Orders as filings, with the unrendered columns kept beside them."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     key = F.col("o_orderkey")
     form = (
@@ -210,7 +210,11 @@ def index_pages(spark, sf_dir):
         ).otherwise(""),
         F.lit("</td><td>"), type2, F.lit("</td></tr></TABLE><a href=/after.htm>a</a></body></html>"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax",
+        "l_returnflag", "l_linestatus",
+    )
+    return spread(items).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", html.alias("html")
     )
 

@@ -7,7 +7,7 @@ does not repeat the parsing it checks.
 from pyspark.sql import functions as F
 
 import docketflow as d
-from docketflow.functions.fields import month_name
+from docketflow.functions import fields
 from docketflow.schemas import FILING
 from docketflow.session import work_path
 
@@ -371,9 +371,9 @@ select o_orderkey, case month(order_date) when 1 then 'Jan' when 2 then 'Feb' wh
 from a1
 """
 )
-def month_label(spark, sf_dir):
+def month_name(spark, sf_dir):
     return a.order_filings(spark, sf_dir).select(
-        "o_orderkey", month_name(F.month("order_date")).alias("label")
+        "o_orderkey", fields.month_name(F.month("order_date")).alias("label")
     )
 
 
@@ -527,7 +527,7 @@ from decoded
 
 @query(_CLEAN_SQL, ctes=None)
 def clean_pages(spark, sf_dir):
-    pages = a.table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = d.spread(a.table(spark, sf_dir, "pages").select("page_id", "html"))
     return d.clean_pages(pages).select("page_id", "cleaned_text")
 
 

@@ -30,15 +30,16 @@ CP1252_CHARS = "".join(
 
 # Possessive loops (`++`, `*+`) keep matching iterative: a long tag cannot overflow
 # the stack and an unbalanced quote cannot backtrack over the whole page. Patterns
-# start with a plain `<`, so that text between tags is passed over quickly.
+# start with a plain `<` and skip to the next one, so text is passed over quickly.
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_COMMENT = r"!--(?:[^-]++|-(?!->))*+-->"
 _HIDDEN = (
-    r"(?is)<(?:!--.*?-->"
+    rf"(?i)<(?:{_COMMENT}"
     rf"|(?:{DROPPED})(?:\s[^<>]*)?/>"
-    rf"|({DROPPED})(?:\s{_ATTRS})?>.*?(?:</\1\s*>|\z))"
+    rf"|({DROPPED})(?:\s{_ATTRS})?>(?:[^<]++|<(?!/\1\s*>))*+(?:</\1\s*>)?)"
 )
 _OUTSIDE_BODY = rf"(?is)\A.*?<body(?:\s{_ATTRS})?>|</body\s*>.*\z"
-_TAG = rf"(?s)<(?:/?[A-Za-z!]{_ATTRS}|\?[^>]*+)>"
+_TAG = rf"<(?:/?[A-Za-z!]{_ATTRS}|\?[^>]*+)>"
 _REFERENCE = r"&(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][-.A-Za-z0-9]*);?"
 
 
@@ -95,28 +96,48 @@ def with_plain_text(df, html, out):
 
 # --- links of an index page ---------------------------------------------------
 
-_UNSEEN = rf"(?is)<(?:!--.*?-->|(script|style)(?:\s{_ATTRS})?>.*?(?:</\1\s*>|\z))"
+_UNSEEN = (
+    rf"(?i)<(?:{_COMMENT}"
+    rf"|(script|style)(?:\s{_ATTRS})?>(?:[^<]++|<(?!/\1\s*>))*+(?:</\1\s*>)?)"
+)
 _HAS_CLASS = (
     rf"""(?:"(?:[^"]*\s)?{TABLE_CLASS}(?:\s[^"]*)?\""""
     rf"""|'(?:[^']*\s)?{TABLE_CLASS}(?:\s[^']*)?'"""
     rf"""|{TABLE_CLASS}(?=[\s>]))"""
 )
 _TABLE = (
-    rf"(?s)<(?i:table)\s(?:[^>]*?\s)?(?i:class)\s*=\s*{_HAS_CLASS}"
-    r"([^>]*>.*?)(?:</(?i:table)\s*>|\z)"
+    rf"<(?i:table)\s(?:[^>]*?\s)?(?i:class)\s*=\s*{_HAS_CLASS}"
+    r"([^>]*>(?:[^<]++|<(?!/(?i:table)\s*>))*+)"
 )
 _ROW = r"(?i)<tr(?:\s[^>]*)?>"
-_CELL = r"(?is)<td(?:\s[^>]*)?>(.*?)(?=<td[\s>]|</t[dr]\s*>|\z)"
-_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_CELL = r"(?i)<td(?:\s[^>]*)?>((?:[^<]++|<(?!td[\s>]|/t[dr]\s*>))*+)"
+_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+
+
+def _href(written, names):
+    quoted = written.startswith('"') | written.startswith("'")
+    inner = F.substring(written, F.lit(2), F.length(written) - 2)
+    return decode_references(F.when(quoted, inner).otherwise(written), names)
 
 
 def _hrefs(markup, names):
-    def value(written):
-        quoted = written.startswith('"') | written.startswith("'")
-        inner = F.substring(written, F.lit(2), F.length(written) - 2)
-        return decode_references(F.when(quoted, inner).otherwise(written), names)
+    found = F.regexp_extract_all(markup, F.lit(_HREF), 1)
+    return F.transform(found, lambda written: _href(written, names))
 
-    return F.transform(F.regexp_extract_all(markup, F.lit(_HREF), 1), value)
+
+def _first_href(markup, names):
+    # As the one element of an array, what was matched is used without matching again.
+    first = F.array(F.regexp_extract(markup, _HREF, 1))
+    return F.get(F.transform(first, lambda written: _href(written, names)), 0)
+
+
+def _row_type(row, names):
+    """Text of a row's fourth cell in upper case; null when it has fewer."""
+    cell = F.get(F.regexp_extract_all(row, F.lit(_CELL), 1), 3)
+    nodes = F.transform(
+        F.split(cell, _TAG, -1), lambda text: strip(decode_references(text, names))
+    )
+    return F.upper(F.array_join(nodes, ""))
 
 
 def _is_annual_page(href):
@@ -136,7 +157,7 @@ def with_primary_link(df, html, rule="A", href="href", has_table="has_table"):
     when there is none, `has_table` tells whether the document table exists.
     """
     names = named_references()
-    found, table, links, rows = (f"__{href}_{n}" for n in ("found", "table", "links", "rows"))
+    found, table, links = (f"__{href}_{n}" for n in ("found", "table", "links"))
     seen = F.regexp_replace(F.col(html), _UNSEEN, "")
     # What is found starts with the end of the table's own tag, so it is never empty.
     df = df.withColumn(found, F.regexp_extract(seen, _TABLE, 1))
@@ -145,22 +166,17 @@ def with_primary_link(df, html, rule="A", href="href", has_table="has_table"):
     if rule == "B":
         chosen = F.get(F.filter(F.col(links), _is_page), 0)
     else:
-
-        def entry(row):
-            type_cell = F.get(F.regexp_extract_all(row, F.lit(_CELL), 1), 3)
-            nodes = F.transform(
-                F.split(type_cell, _TAG, -1), lambda t: strip(decode_references(t, names))
-            )
-            return F.struct(
-                F.upper(F.array_join(nodes, "")).alias("type"),
-                F.get(_hrefs(row, names), 0).alias("href"),
-            )
-
-        # The text before the first row and the first row itself are passed over.
+        # The text before the first row and the first row itself are passed over. The
+        # type is read only of rows whose first link qualifies.
         listed = F.slice(F.split(F.col(table), _ROW, -1), 3, 1 << 30)
-        df = df.withColumn(rows, F.transform(listed, entry))
+        linked = F.transform(
+            listed,
+            lambda row: F.struct(row.alias("row"), _first_href(row, names).alias("href")),
+        )
         annual = F.filter(
-            F.col(rows), lambda r: r["type"].isin(*ANNUAL_FORMS) & _is_annual_page(r["href"])
+            linked,
+            lambda r: _is_annual_page(r["href"])
+            & _row_type(r["row"], names).isin(*ANNUAL_FORMS),
         )
         chosen = F.coalesce(
             F.get(annual, 0)["href"], F.get(F.filter(F.col(links), _is_annual_page), 0)
@@ -168,5 +184,5 @@ def with_primary_link(df, html, rule="A", href="href", has_table="has_table"):
     return (
         with_once(df, href, chosen)
         .withColumn(has_table, F.col(table).isNotNull())
-        .drop(found, table, links, rows)
+        .drop(found, table, links)
     )

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fields import period_quarter, period_year
 from ..functions.once import with_once
-from ..functions.text import strip
+from ..functions.text import WHITESPACE_CHARS, strip
 from ..schemas import FILING
 
 # The line pattern (name, form, company id, date, path), the column
@@ -32,7 +32,7 @@ _MARK = "\ue000"
 def is_data_line(col):
     """True unless the line is blank, a rule or the column heading."""
     return (
-        (strip(col) != "")
+        col.rlike(f"[^{WHITESPACE_CHARS}]")
         & ~col.startswith(RULE_START)
         & ~F.lower(col).startswith(HEADING_START)
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import FILING_ORDER
 
-RANGE_ROWS = 65_536
+RANGE_ROWS = 16_384
 _LEVELS = 2
 
 
@@ -33,7 +33,7 @@ def running_total(df, value, order, out, group=None, restart=True, range_rows=RA
 def _before(df, order, out, restart, range_rows, levels):
     before = (W.unboundedPreceding, -1)
     if levels == 0:
-        # One entry per range of ranges: a few thousand for a trillion rows.
+        # One entry per range of ranges: some thousands for a trillion rows.
         spec = W.partitionBy("__group") if restart else W.partitionBy()
         total = F.sum("__value").over(spec.orderBy("__group", order).rowsBetween(*before))
         return df.withColumn(out, F.coalesce(total, F.lit(0)))

@@ -42,3 +42,13 @@ def work_path(spark, label):
         root = tempfile.mkdtemp(prefix="docketflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/docketflow/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df):
+    """A scanned table over all cores, for costly work per row.
+
+    Only a scan with fewer partitions than cores, a small table in few files, is
+    shuffled; a large one is already split finely and passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -99,8 +99,13 @@ def test_long_tags_and_unbalanced_quotes_do_not_overflow(spark):
     long_tag = "<a " + "x=y " * 200_000 + ">t</a>"
     unbalanced = "<body>" + "<p title=\"" + "z" * 300_000 + "</body>"
     comment = "<body>" + "<!-- " + "q " * 300_000 + "-->end</body>"
-    got = clean(spark, [long_tag, unbalanced, comment])
+    quotes = "<p " + "a='1' " * 200_000 + ">q</p>"
+    script = "<body>s<script>" + "a<b; " * 200_000 + "</script>t<!--" + "-- > " * 200_000 + "-->u</body>"
+    got = clean(spark, [long_tag, unbalanced, comment, quotes, script])
     assert got[0] == "t" and got[2] == "end" and len(got[1]) > 300_000
+    assert got[3:] == ["q", "s\nt\nu"]
+    rows = "<tr>" + "<td>x<i></i></td>" * 50_000
+    assert pick(spark, [table(rows, row("/a.htm", "10-K"))], "A") == [(True, "/a.htm")]
 
 
 def pick(spark, pages, rule):
