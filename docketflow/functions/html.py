@@ -15,9 +15,10 @@ from .fields import ANNUAL_FORMS
 from .once import with_once
 from .text import split_lines, strip
 
-# Elements whose text is not part of the page, the class of the
-# document table, and the outcome texts of an index page.
-DROPPED = "script|style|header|footer|nav|noscript"
+# Elements whose text is not part of the page (the first two hold raw
+# text), the class of the document table, and the outcome texts of an index page.
+RAW_ELEMENTS = "script|style"
+DROPPED_ELEMENTS = "header|footer|nav|noscript"
 TABLE_CLASS = "tableFile"
 NO_TABLE = "⚠️ No document table found"
 NO_LINK = "⚠️ No primary .htm/.html link found"
@@ -31,15 +32,34 @@ CP1252_CHARS = "".join(
 # Possessive loops (`++`, `*+`) keep matching iterative: a long tag cannot overflow
 # the stack and an unbalanced quote cannot backtrack over the whole page. Patterns
 # start with a plain `<` and skip to the next one, so text is passed over quickly.
-_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# Each piece below is what follows that `<`.
+_ATTRS = r"""(?:[^>=]++|=++\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+"""
 _COMMENT = r"!--(?:[^-]++|-(?!->))*+-->"
-_HIDDEN = (
-    rf"(?i)<(?:{_COMMENT}"
-    rf"|(?:{DROPPED})(?:\s[^<>]*)?/>"
-    rf"|({DROPPED})(?:\s{_ATTRS})?>(?:[^<]++|<(?!/\1\s*>))*+(?:</\1\s*>)?)"
+_ANY_TAG = rf"(?:[a-z]{_ATTRS}|[!/?][^>]*+)>"
+
+
+def _raw_element(group):
+    """A script or style element, whose content knows no tags but its own end."""
+    return (
+        rf"({RAW_ELEMENTS})(?:[\s/]{_ATTRS})?>"
+        rf"(?:[^<]++|<(?!/\{group}[\s/>]))*+(?:</\{group}[^>]*+>)?"
+    )
+
+
+# Everything that is not text, in one pass over the page, token by token: what looks
+# like a tag inside a comment or an attribute value is not one. Body tags stay.
+_MARKUP = (
+    rf"(?i)<(?!/?body[\s/>]|/html\s*>)(?:{_COMMENT}"
+    rf"|(?:{RAW_ELEMENTS}|{DROPPED_ELEMENTS})(?:\s[^<>]*)?/>"
+    rf"|{_raw_element(1)}"
+    rf"|({DROPPED_ELEMENTS})(?:[\s/]{_ATTRS})?>"
+    rf"(?:[^<]++|<(?!/\2[\s>])(?:{_COMMENT}|{_raw_element(3)}|{_ANY_TAG})?+)*+(?:</\2[^>]*+>)?"
+    rf"|{_ANY_TAG})"
 )
-_OUTSIDE_BODY = rf"(?is)\A.*?<body(?:\s{_ATTRS})?>|</body\s*>.*\z"
-_TAG = rf"<(?:/?[A-Za-z!]{_ATTRS}|\?[^>]*+)>"
+# A page with a body is cut down to the first one; a page without is left whole.
+_BODY = rf"(?is)\A.*?<body(?:[\s/]{_ATTRS})?>((?:[^<]++|<(?!/(?:body|html)\s*>))*+).*\z"
+_BODY_TAG = rf"(?i)<(?:/?body(?:[\s/]{_ATTRS})?|/html\s*)>"
+_LITERAL = r"<!\[CDATA\[((?:[^\]]++|\](?!\]>))*+)\]\]>"
 _REFERENCE = r"&(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][-.A-Za-z0-9]*);?"
 
 
@@ -85,9 +105,12 @@ def decode_references(col, names):
 def with_plain_text(df, html, out):
     """Add `out`, the readable text of the page in column `html`."""
     bare, decoded = f"__{out}_bare", f"__{out}_decoded"
-    visible = F.regexp_replace(F.col(html), _HIDDEN, "\n")
-    body = F.regexp_replace(visible, _OUTSIDE_BODY, "")
-    df = df.withColumn(bare, F.regexp_replace(body, _TAG, "\n"))
+    page = F.when(
+        F.col(html).contains("<![CDATA["), F.regexp_replace(F.col(html), _LITERAL, "\n$1\n")
+    ).otherwise(F.col(html))
+    visible = F.regexp_replace(page, _MARKUP, "\n")
+    body = F.regexp_replace(visible, _BODY, "$1")
+    df = df.withColumn(bare, F.regexp_replace(body, _BODY_TAG, "\n"))
     df = df.withColumn(decoded, decode_references(F.col(bare), named_references()))
     stripped = F.transform(split_lines(F.col(decoded)), lambda line: strip(line))
     lines = F.filter(stripped, lambda line: line != "")
@@ -96,10 +119,7 @@ def with_plain_text(df, html, out):
 
 # --- links of an index page ---------------------------------------------------
 
-_UNSEEN = (
-    rf"(?i)<(?:{_COMMENT}"
-    rf"|(script|style)(?:\s{_ATTRS})?>(?:[^<]++|<(?!/\1\s*>))*+(?:</\1\s*>)?)"
-)
+_UNSEEN = rf"(?i)<(?:{_COMMENT}|{_raw_element(1)})"
 _HAS_CLASS = (
     rf"""(?:"(?:[^"]*\s)?{TABLE_CLASS}(?:\s[^"]*)?\""""
     rf"""|'(?:[^']*\s)?{TABLE_CLASS}(?:\s[^']*)?'"""
@@ -135,7 +155,7 @@ def _row_type(row, names):
     """Text of a row's fourth cell in upper case; null when it has fewer."""
     cell = F.get(F.regexp_extract_all(row, F.lit(_CELL), 1), 3)
     nodes = F.transform(
-        F.split(cell, _TAG, -1), lambda text: strip(decode_references(text, names))
+        F.split(cell, f"(?i)<{_ANY_TAG}", -1), lambda text: strip(decode_references(text, names))
     )
     return F.upper(F.array_join(nodes, ""))
 

@@ -1,3 +1,4 @@
+import random
 from html.parser import HTMLParser
 
 import pytest
@@ -29,12 +30,21 @@ class Walker(HTMLParser):
         self.in_body.append("\n")
         if tag == self.hidden:
             self.hidden = None
-        elif tag == "body":
-            self.done = True
+        elif tag in ("body", "html") and self.hidden is None:
+            self.done = self.body
 
     def handle_comment(self, data):
         self.handle_data("\n")
 
+    def handle_pi(self, data):
+        self.handle_data("\n")
+
+    def handle_decl(self, decl):
+        self.handle_data("\n")
+
+    def unknown_decl(self, data):
+        self.handle_data("\n" + data.removeprefix("CDATA[") + "\n")
+
     def handle_data(self, data):
         if self.hidden is None:
             self.everything.append(data)
@@ -75,6 +85,15 @@ CASES = {
     "<title>T</title><BODY class=x>u<NAV>v</NAV>w</BODY>after": "u\nw",
     "<body><nav/>kept<navy>too</navy></body>": "kept\ntoo",
     "<body>open <style>p{}": "open",
+    "<title>T</title>a</body>b": "T\na\nb",
+    "<html><body>a</html>b": "a",
+    "<body></body>x": "",
+    "a<img alt=\"<nav>\">b<i title='</i>'>c": "a\nb\nc",
+    "a<i data-x=it's>b<p<!-- c -->d": "a\nb\nd",
+    "a<nav title='>'>n<!-- </nav> --><b x='</nav>'><script>'</nav>'</script>m</nav >z": "a\nz",
+    "<body>a<![CDATA[ lit &amp; ]]>b<!-- <body> --><script>'<body>'</script>": "a\nlit &\nb",
+    "a<!DOCTYPE x \"y>z": "a\nz",
+    "a</ p>b</>c</p x='>'>d": "a\nb\nc\n'>d",
     "": "",
 }
 
@@ -83,6 +102,25 @@ def test_hand_written_pages(spark):
     assert clean(spark, list(CASES)) == list(CASES.values())
 
 
+PIECES = [
+    "a", "b ", "  ", "\n", "x y", "&amp;", "&lt;", "&nbsp;", "&#65;", "&", "<b>", "</b>", "<br/>",
+    "<p class='x>y'>", "<a href=\"q>r\">", "</a>", "<!-- c -->", "<!-- <b> -->", "<!DOCTYPE html>",
+    "<?xml v?>", "<script>var a='<b>';</script>", "<style>p{}</style >", "<NAV x=1>n</NAV>",
+    "<header>h</header>", "<meta charset=u>", "<body>", "</body>", "<BODY a='b'>", "<html>",
+    "</html>", "< 3", "<3", "a<b", "</", "<>", "</ p>", "\x0b", "\x85", "\u2028", "<title>t</title>",
+    "<footer\n>f</footer>", "<noscript>n<b>m</b></noscript>", "<script src=x></script>",
+    "<div data-x=a'b>", "<img alt=\"<nav>\">", "<!>", "<textarea><b>z</b></textarea>",
+]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_markup_equals_independent_walk(spark, seed):
+    rng = random.Random(seed)
+    pages = ["".join(rng.choices(PIECES, k=rng.randint(1, 9))) for _ in range(4000)]
+    wrong = [(p, t) for p, t in zip(pages, clean(spark, pages)) if t != walk(p)]
+    assert wrong == []
+
+
 def test_null_page(spark):
     df = spark.createDataFrame([(None,)], "html string")
     assert d.clean_pages(df).collect()[0].cleaned_text is None
