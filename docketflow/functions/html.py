@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .fields import ANNUAL_FORMS
 from .once import with_once
-from .text import split_lines, strip
+from .text import strip, stripped_lines
 
 # Elements whose text is not part of the page (the first two hold raw
 # text), the class of the document table, and the outcome texts of an index page.
@@ -112,8 +112,7 @@ def with_plain_text(df, html, out):
     body = F.regexp_replace(visible, _BODY, "$1")
     df = df.withColumn(bare, F.regexp_replace(body, _BODY_TAG, "\n"))
     df = df.withColumn(decoded, decode_references(F.col(bare), named_references()))
-    stripped = F.transform(split_lines(F.col(decoded)), lambda line: strip(line))
-    lines = F.filter(stripped, lambda line: line != "")
+    lines = F.filter(stripped_lines(F.col(decoded)), lambda line: line != "")
     return with_once(df, out, F.array_join(lines, "\n")).drop(bare, decoded)
 
 

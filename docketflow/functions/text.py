@@ -9,8 +9,8 @@ WHITESPACE_CHARS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# Fixed value: what ends a line of text.
-LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
+# Fixed value: the characters that end a line of text.
+LINE_BREAK = r"[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def strip(col):
@@ -20,7 +20,13 @@ def strip(col):
 
 def split_lines(col):
     """Split text at every line break, not only at CR and LF."""
-    return F.split(col, LINE_BREAK, -1)
+    return F.split(col, rf"\r\n|{LINE_BREAK}", -1)
+
+
+def stripped_lines(col):
+    """The lines of a text, stripped. Runs of line breaks count as one."""
+    lines = F.split(col, f"{LINE_BREAK}+", -1)
+    return F.transform(lines, lambda line: strip(line))
 
 
 def remove_spaces(col):

@@ -12,6 +12,7 @@ from ..functions.fields import (
     parse_date,
 )
 from ..functions.once import with_once
+from .skew import filtering_join
 
 # Fixed value: the date text of a rule line taken for a filing.
 SENTINEL_DATE = "------------"
@@ -108,14 +109,14 @@ def select_filings(df, ciks=None, years=None, all=False):
     if all:
         return chosen
     if isinstance(ciks, DataFrame):
-        wanted = ciks.select(normalize_cik(F.col("cik").cast("string")).alias("cik")).distinct()
-        chosen = chosen.join(wanted, "cik", "left_semi").select(*chosen.columns)
+        wanted = ciks.select(normalize_cik(F.col("cik").cast("string")).alias("cik"))
+        chosen = filtering_join(chosen, wanted, ["cik"], "left_semi")
     elif ciks:
         listed = [ciks] if isinstance(ciks, (int, str)) else ciks
         chosen = chosen.filter(F.col("cik").isin(_digits(listed)))
     if isinstance(years, DataFrame):
-        wanted = years.select(coerce_year(F.col("year")).alias("year")).distinct()
-        chosen = chosen.join(wanted, "year", "left_semi").select(*chosen.columns)
+        wanted = years.select(coerce_year(F.col("year")).alias("year"))
+        chosen = filtering_join(chosen, wanted, ["year"], "left_semi")
     elif years:
         listed = [years] if isinstance(years, (int, str)) else years
         chosen = chosen.filter(F.col("year").isin(sorted({int(y) for y in listed})))

@@ -75,7 +75,8 @@ def first_batches(df, n, batch="sourcefile"):
     if not n:
         return df
     names = df.select(batch).distinct().orderBy(batch).limit(n)
-    return df.join(names, batch, "left_semi").select(*df.columns)
+    # At most n names, so they go to the rows rather than the rows to them.
+    return df.join(F.broadcast(names), batch, "left_semi").select(*df.columns)
 
 
 def ordered(df, order=FILING_ORDER):

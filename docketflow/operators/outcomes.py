@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.html import NO_LINK, NO_TABLE, with_plain_text, with_primary_link
 from ..functions.text import snake_name
 from ..functions.urls import absolute_url, accession_parts, fetch_target
+from .skew import copy, deal, hot_keys
 
 # Outcome texts.
 SUCCESS = "✅ Success"
@@ -60,23 +61,39 @@ def clean_pages(df, html="html", out="cleaned_text"):
     return with_plain_text(df, html, out)
 
 
-def _lookup(filings, pages, url):
-    """Each filing with the page at its `url` column: status_code, body, __found.
+def _at_address(filings, address, landed, found):
+    """Filings joined to what was landed at their `address`; `found` tells whether.
 
-    Filings without an address get a join key of their own that matches nothing: a
-    shared null key would send them all to one task. Pages are unique per url, so the
-    filing side of a much-used address can be split by adaptive skew handling.
+    `landed` makes the table (__url, __piece, ...) when given the hot addresses, whose
+    filings are dealt over pieces. Filings without an address get a key of their own
+    that matches nothing: a shared null key would send them all to one task.
     """
-    landed = pages.select(
-        F.col("url").alias("__url"), "status_code", "body", F.lit(True).alias("__found")
-    )
-    plain = [F.col(c) for c, dtype in filings.dtypes if not dtype.startswith("map")]
+    hot = hot_keys(filings.select(F.col(address).alias("__url")), ["__url"])
+    plain = [F.col(c) for c, dtype in filings.dtypes if "map<" not in dtype]
     no_address = F.concat(F.lit("\0"), F.xxhash64(*plain).cast("string"))
-    asked = filings.withColumn("__key", F.coalesce(F.col(url), no_address))
+    asked = filings.withColumn("__url", F.coalesce(F.col(address), no_address))
     return (
-        asked.join(landed, F.col("__key") == F.col("__url"), "left")
-        .withColumn("__found", F.coalesce("__found", F.lit(False)))
-        .drop("__key", "__url")
+        deal(asked, hot, ["__url"])
+        .join(landed(hot).withColumn(found, F.lit(True)), ["__url", "__piece"], "left")
+        .withColumn(found, F.coalesce(found, F.lit(False)))
+        .drop("__url", "__piece")
+    )
+
+
+def _index_links(responses, rule, retry_limit, wins):
+    """One row per landed index page: (__url, __index_code, __has_table, __link).
+
+    Links are read once per page, before any filing is joined, and pages end here.
+    """
+    # Index addresses all end alike, which keeps document bodies out.
+    ending = "/index.html" if rule == "B" else "-index.htm"
+    pages = resolve_attempts(
+        responses.filter(F.col("__url").endswith(ending)), ("__url",), retry_limit, wins
+    )
+    linked = with_primary_link(pages, "body", rule, "__href", "__has_table")
+    link = F.when(F.col("status_code") == 200, absolute_url(F.col("__href"), rule))
+    return linked.select(
+        "__url", F.col("status_code").alias("__index_code"), "__has_table", link.alias("__link")
     )
 
 
@@ -87,12 +104,7 @@ def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="fil
     index page. Rule A: always by way of the filing's own index page.
     """
     wins = "body" if rule == "B" else "status"
-    pages = resolve_attempts(responses, ("url",), retry_limit, wins)
-    # Index addresses all end alike, which keeps document bodies out of the first join.
-    ending = "/index.html" if rule == "B" else "-index.htm"
-    index_pages = resolve_attempts(
-        responses.filter(F.col("url").endswith(ending)), ("url",), retry_limit, wins
-    )
+    responses = responses.select(F.col("url").alias("__url"), "attempt", "status_code", "body")
     if rule == "B":
         target = filings.withColumn("__target", fetch_target(F.col(filename)))
         direct = F.when(F.col("__target.kind") == "direct", F.col("__target.url"))
@@ -102,32 +114,26 @@ def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="fil
         direct, index = F.lit(None).cast("string"), F.col("__target.index_url")
     target = target.withColumn("__direct", direct).withColumn("__index", index)
 
-    # First look-up: index pages only; the page is dropped once its link is known.
-    looked = _lookup(target, index_pages, "__index").withColumnsRenamed(
-        {"status_code": "__index_code", "__found": "__index_found"}
-    )
-    linked = with_primary_link(looked, "body", rule, href="__href", has_table="__has_table").drop(
-        "body"
-    )
-    linked = linked.withColumn(
-        "__doc",
-        F.coalesce(
-            "__direct",
-            F.when(F.col("__index_code") == 200, absolute_url(F.col("__href"), rule)),
-        ),
-    )
+    def links(hot):
+        return copy(_index_links(responses, rule, retry_limit, wins), hot, ["__url"])
+
+    def documents(hot):
+        # Copied before they are resolved, which leaves them laid out for the join.
+        copied = copy(responses, hot, ["__url"])
+        return resolve_attempts(copied, ("__url", "__piece"), retry_limit, wins).select(
+            "__url", "__piece", "status_code", "body"
+        )
+
+    linked = _at_address(target, "__index", links, "__index_found")
+    linked = linked.withColumn("__doc", F.coalesce("__direct", "__link"))
+    found = _at_address(linked, "__doc", documents, "__found")
 
-    # Second look-up: the documents themselves.
-    found = _lookup(linked, pages, "__doc")
-    status = _status(rule)
     ok = F.coalesce((F.col("status_code") == 200) & (F.col("body") != ""), F.lit(False))
-    result = found.withColumn("status", status).withColumn("ok", ok)
-    hidden = [c for c in result.columns if c.startswith("__")]
     address = F.coalesce("__doc", "__index") if rule == "B" else F.col("__doc")
-    return (
-        result.withColumn("filing_url", address)
-        .withColumn("body", F.when(F.col("ok"), F.col("body")))
-        .drop("status_code", *hidden)
+    result = found.withColumns({"status": _status(rule), "ok": ok, "filing_url": address})
+    hidden = [c for c in result.columns if c.startswith("__")]
+    return result.withColumn("body", F.when(F.col("ok"), F.col("body"))).drop(
+        "status_code", *hidden
     )
 
 
@@ -138,7 +144,7 @@ def _status(rule):
         F.when(F.col("__direct").isNull() & F.col("__index").isNull(), bad_path)
         .when(F.col("__index").isNotNull() & ~F.col("__index_found"), F.lit(NOT_LANDED))
         .when(F.col("__index_code") != 200, F.concat(F.lit(INDEX_FAILED), index_code))
-        .when(F.col("__index").isNotNull() & ~F.col("__has_table"), F.lit(NO_TABLE))
+        .when(F.col("__index").isNotNull() & ~F.coalesce("__has_table", F.lit(False)), F.lit(NO_TABLE))
         .when(F.col("__doc").isNull(), F.lit(NO_LINK))
         .when(~F.col("__found"), F.lit(NOT_LANDED))
         .when(F.col("status_code") != 200, F.concat(F.lit(FETCH_FAILED), code))

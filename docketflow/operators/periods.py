@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from .skew import filtering_join
+
 # Quarters and the address of a period's listing.
 QUARTERS = ("QTR1", "QTR2", "QTR3", "QTR4")
 LISTING_BASE = "https://www.sec.gov/Archives/edgar/full-index/"
@@ -57,15 +59,13 @@ def plan_periods(years, quarters=None, landed=None):
             ),
         }
     )
-    return plan if landed is None else pending(plan, landed, ["filename"])
+    if landed is None:
+        return plan
+    return plan.join(landed.select("filename").distinct(), "filename", "left_anti").select(
+        *plan.columns
+    )
 
 
 def pending(items, done, keys):
-    """Items whose keys are not among `done`.
-
-    `done` is reduced to distinct keys first, which combines repeats before the
-    shuffle and leaves it partitioned as the join needs it.
-    """
-    return items.join(done.select(*keys).distinct(), list(keys), "left_anti").select(
-        *items.columns
-    )
+    """Items whose keys are not among `done`; items with a missing key are pending."""
+    return filtering_join(items, done, keys, "left_anti")

@@ -1,0 +1,57 @@
+"""Joins whose left side may hold very many rows of one key.
+
+Adaptive execution splits skewed partitions only where both sides of a join come
+straight from a shuffle. Here the right side is an aggregate (distinct keys, one page
+per address) that is already laid out for the join, and shuffling it again to satisfy
+the rule would move every page twice. So hot keys are found by counting, which combines
+on the map side; their left rows are dealt over pieces and their right row is copied to
+each piece. All other keys are one piece.
+"""
+
+from pyspark.sql import functions as F
+
+# Left rows of one key that a task should not exceed, and how many keys can be hot: of
+# N rows no key beyond the first 10,000 holds more than N / 10,000.
+HOT_ROWS = 10_000
+HOT_KEYS = 10_000
+
+
+def hot_keys(df, keys, hot_rows=HOT_ROWS):
+    """Keys with more than `hot_rows` rows: (keys, __pieces). At most `HOT_KEYS` rows."""
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), *keys).limit(HOT_KEYS)
+    pieces = F.ceil(F.col("n") / F.lit(hot_rows)).cast("int")
+    return hot.select(*keys, pieces.alias("__pieces"))
+
+
+def _with_pieces(df, hot, keys):
+    # The table of hot keys is bounded by its limit, so it can always be broadcast.
+    return df.join(F.broadcast(hot), list(keys), "left")
+
+
+def deal(df, hot, keys):
+    """Left rows with `__piece`; rows of a hot key are dealt by a hash of their columns."""
+    columns = [F.col(f"`{c}`") for c, dtype in df.dtypes if "map<" not in dtype]
+    piece = F.pmod(F.xxhash64(*columns), F.coalesce("__pieces", F.lit(1)))
+    dealt = _with_pieces(df, hot, keys).withColumn("__piece", piece.cast("int"))
+    return dealt.select(*df.columns, "__piece")
+
+
+def copy(df, hot, keys):
+    """Right rows with `__piece`, one copy for each piece of their key."""
+    last = F.coalesce("__pieces", F.lit(1)) - 1
+    copied = _with_pieces(df, hot, keys).withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0), last))
+    )
+    return copied.select(*df.columns, "__piece")
+
+
+def filtering_join(left, right, keys, how, hot_rows=HOT_ROWS):
+    """Left rows with (`left_semi`) or without (`left_anti`) a match in `right`.
+
+    Repeats in `right` are combined before they are shuffled.
+    """
+    hot = hot_keys(left, keys, hot_rows)
+    wanted = copy(right.select(*keys).distinct(), hot, keys)
+    joined = deal(left, hot, keys).join(wanted, [*keys, "__piece"], how)
+    return joined.select(*left.columns)

@@ -15,8 +15,15 @@ from ..operators.periods import pending
 from ..schemas import FILING, check_schema
 from ..session import work_path
 from ..sources.index_files import scan_index
-from ..sources.tables import document_keys, may_write, scan_table, write_documents
-from ..sources.tables import write_parts, write_table
+from ..sources.tables import (
+    document_keys,
+    list_parts,
+    may_write,
+    scan_table,
+    write_documents,
+    write_parts,
+    write_table,
+)
 
 
 def _rows(name):
@@ -25,14 +32,19 @@ def _rows(name):
 
 def index_job(spark, source, target, fmt=None, recursive=False, layout="pattern", if_exists="error"):
     """Listings under `source` to one table of filings; returns the counts."""
-    filings = parse_index(scan_index(spark, source, recursive), layout)
-    filings = filings.withColumn("cik", clean_cik(F.col("cik")))
-    if not may_write(filings, target, if_exists):
+
+    def filings(numbered):
+        return parse_index(scan_index(spark, source, recursive, numbered), layout)
+
+    # Looking for a first filing needs no line numbers, hence no shuffle.
+    if not may_write(filings(numbered=layout == "fixed"), target, if_exists):
         return {"written": False}
     seen = Observation()
-    # The estimate needs one buffer; an exact distinct count would need a second pass.
-    counted = filings.observe(
-        seen, _rows("rows"), F.approx_count_distinct("sourcefile", 0.01).alias("sources")
+    # An estimate needs one small buffer; an exact distinct count, a pass of its own.
+    counted = (
+        filings(numbered=True)
+        .withColumn("cik", clean_cik(F.col("cik")))
+        .observe(seen, _rows("rows"), F.approx_count_distinct("sourcefile", 0.01).alias("sources"))
     )
     write_table(counted, target, fmt, if_exists, check=False)
     return {"written": True, **seen.get}
@@ -41,7 +53,7 @@ def index_job(spark, source, target, fmt=None, recursive=False, layout="pattern"
 def annual_job(
     spark, source, target, fmt=None, max_batches=0, rows_per_part=None, if_exists="error"
 ):
-    """Filings to annual filings in numbered parts; returns rows in and rows out."""
+    """Filings to annual filings in parts; returns rows in, rows out and parts."""
     filings = first_batches(scan_table(spark, source, fmt), max_batches)
     if not may_write(filter_annual(filings), target, if_exists):
         return {"written": False}
@@ -49,7 +61,8 @@ def annual_job(
     annual = filter_annual(filings.observe(before, _rows("rows_in")))
     annual = annual.observe(after, _rows("rows_out"))
     write_parts(annual, target, rows_per_part, if_exists=if_exists, check=False)
-    return {"written": True, **before.get, **after.get}
+    parts = list_parts(spark, target).count()
+    return {"written": True, **before.get, **after.get, "parts": parts}
 
 
 def fetch_job(
@@ -67,7 +80,9 @@ def fetch_job(
     matched = spark.read.parquet(staged)
     if not may_write(matched, target, if_exists):
         return {"written": False}
-    numbered = assign_part(matched, "line_no", F.col("ok"), per_part, group="sourcefile", range_rows=4096)
+    numbered = assign_part(
+        matched, "line_no", F.col("ok"), per_part, group="sourcefile", range_rows=4096
+    )
     seen = Observation()
     records = outcome_records(numbered).observe(
         seen,
@@ -84,23 +99,26 @@ def fetch_job(
 def documents_job(
     spark, filings, responses, target, ciks=None, years=None, all=False, stored=None,
     retry_limit=5, by=("year",)
-):
-    """Selected filings' main documents, stored by company and year.
+):
+    """Selected filings' main documents, added to the store at `target`.
 
     Filings found in `stored` (key_cik, key_year, key_accession) are skipped. Returns
-    how many were stored and how many failed.
+    how many were stored, skipped and failed; nothing is done for an empty selection.
     """
-    wanted = document_keys(select_filings(filings, ciks, years, all))
-    if stored is not None:
-        wanted = pending(wanted, stored, ["key_cik", "key_year", "key_accession"])
-    found = resolve_documents(wanted, responses, "A", retry_limit)
-    if not may_write(found.filter("ok"), target, "append"):
+    selected = document_keys(select_filings(filings, ciks, years, all))
+    if selected.isEmpty():
         return {"written": False}
-    seen = Observation()
-    counted = found.observe(seen, F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail"))
-    kept = counted.filter("ok").drop("ok", "status", "key_cik", "key_year", "key_accession")
+    wanted, seen = selected, Observation()
+    if stored is not None:
+        wanted = pending(selected, stored, ["key_cik", "key_year", "key_accession"])
+    found = resolve_documents(wanted, responses, "A", retry_limit).observe(
+        seen, F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail")
+    )
+    kept = found.filter("ok").drop("ok", "status", "key_cik", "key_year", "key_accession")
     write_documents(kept, target, by, "append", check=False)
-    return {"written": True, **seen.get}
+    counts = seen.get
+    skipped = selected.count() - counts["ok"] - counts["fail"]
+    return {"written": True, "ok": counts["ok"], "skipped": skipped, "fail": counts["fail"]}
 
 
 def clean_job(spark, pages, target, html="html", if_exists="error"):

@@ -103,6 +103,14 @@ def test_missing_folder_is_an_error(spark, tmp_path):
         d.scan_index(spark, str(tmp_path / "none"))
 
 
+def test_a_file_lost_after_listing_is_skipped(spark, tmp_path):
+    for n in (1, 2):
+        write_listing(tmp_path, f"2020_QTR{n}_company.idx", ["a", "b"])
+    scanned = d.scan_index(spark, str(tmp_path))
+    (tmp_path / "2020_QTR1_company.idx").unlink()
+    assert {r.sourcefile for r in scanned.collect()} == {"2020_QTR2_company.idx"}
+
+
 def test_line_numbers_across_splits_and_breaks(spark, tmp_path):
     lines = [f"row {i}" + ("\x85half" if i % 7 == 0 else "") for i in range(3000)]
     write_listing(tmp_path, "big.idx", lines, newline="\r\n")

@@ -35,6 +35,7 @@ def tables(spark, listings, tmp_path_factory):
 def test_index_and_annual_jobs(spark, listings, tables):
     first, second, filings, annual = tables
     assert first == {"written": True, "rows": 16, "sources": 2}
+    assert second.pop("parts") >= 1
     assert second == {"written": True, "rows_in": 16, "rows_out": 8}
     assert d.check_schema(d.scan_table(spark, filings), d.FILING).count() == 16
     assert d.index_job(spark, listings, filings, if_exists="skip") == {"written": False}
@@ -44,7 +45,7 @@ def test_annual_job_on_csv_and_first_batch(spark, tables, tmp_path):
     source = str(tmp_path / "f.csv")
     d.write_table(d.scan_table(spark, tables[2]), source)
     counts = d.annual_job(spark, source, str(tmp_path / "out"), max_batches=1)
-    assert counts == {"written": True, "rows_in": 8, "rows_out": 4}
+    assert counts == {"written": True, "rows_in": 8, "rows_out": 4, "parts": 1}
     none = d.scan_table(spark, tables[2]).filter("form_type = '8-K'")
     d.write_table(none, str(tmp_path / "none.parquet"))
     target = str(tmp_path / "nothing")
@@ -82,10 +83,11 @@ def test_documents_job(spark, tables, tmp_path):
     responses = spark.createDataFrame(landed, d.RESPONSE)
     store = str(tmp_path / "store")
     counts = d.documents_job(spark, filings, responses, store, ciks=["1", "7"])
-    assert counts == {"written": True, "ok": 2, "fail": 2}
+    assert counts == {"written": True, "ok": 2, "skipped": 0, "fail": 2}
     done = d.scan_documents(spark, store, columns=None).toDF("key_cik", "key_year", "key_accession")
     counts = d.documents_job(spark, filings, responses, store, all=True, stored=done)
-    assert counts == {"written": True, "ok": 4, "fail": 2}
+    assert counts == {"written": True, "ok": 4, "skipped": 2, "fail": 2}
+    assert d.documents_job(spark, filings, responses, store, ciks=["99"]) == {"written": False}
     bodies = {r.accession: r.body for r in d.scan_documents(spark, store).collect()}
     assert bodies == {f"{q}-{i}": f"<p>{q}-{i}</p>" for q in (1, 2) for i in (1, 3, 5)}
 

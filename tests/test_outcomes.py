@@ -1,6 +1,10 @@
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 
 import docketflow as d
+from docketflow.operators.skew import filtering_join, hot_keys
 
 from .plans import physical
 
@@ -128,3 +132,48 @@ def test_pending(spark):
     done = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string")
     left = d.pending(items, done, ["k", "v"]).collect()
     assert sorted((r.k, r.v or "") for r in left) == [(1, "b"), (2, "")]
+
+
+def test_a_hot_address_is_dealt_over_tasks(spark, responses, tmp_path):
+    """A third of all filings share one index page, a third have no usable path."""
+    name = (
+        "case id % 3 when 0 then 'edgar/data/2/i1' when 1 then 'a/b' "
+        "else concat('edgar/data/3/n', id, '.txt') end as filename"
+    )
+    filings = spark.range(0, 90_000, 1, 12).selectExpr(name, "id as line_no")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        found = d.resolve_documents(filings, responses).withColumn("task", F.spark_partition_id())
+        rows = found.groupBy("task", "status").count().collect()
+    finally:
+        for key in ("autoBroadcastJoinThreshold", "adaptive.coalescePartitions.enabled"):
+            spark.conf.unset("spark.sql." + key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    totals, per_task = Counter(), Counter()
+    for r in rows:
+        totals[r.status] += r["count"]
+        per_task[r.task] += r["count"]
+    assert totals == {
+        "✅ Success (index)": 30_000, "⚠️ Invalid path: a/b": 30_000,
+        "⚠️ Exception: no response landed": 30_000,
+    }
+    assert max(per_task.values()) < 30_000
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3, 10_000])
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_filtering_join_with_hot_keys(spark, hot_rows, how):
+    rows = [("hot", i) for i in range(50)] + [("cold", 0), ("b", 1), (None, 2), (None, 3)]
+    left = spark.createDataFrame(rows, "k string, n int")
+    right = spark.createDataFrame([("hot",)] * 20 + [("b",), (None,), ("zz",)], "k string")
+    got = filtering_join(left, right, ["k"], how, hot_rows)
+    kept = [r for r in rows if (r[0] in ("hot", "b")) == (how == "left_semi")]
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, kept))
+    assert got.columns == left.columns
+
+
+def test_hot_keys(spark):
+    df = spark.createDataFrame([("a",)] * 25 + [("b",)] * 10 + [(None,)] * 99, "k string")
+    assert [tuple(r) for r in hot_keys(df, ["k"], 10).collect()] == [("a", 3)]
