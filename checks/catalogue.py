@@ -654,13 +654,14 @@ def resolve_documents(spark, sf_dir):
 
 @query(
     f"""
-select company_name, form_type, cik, date_filed, filename, year, quarter, sourcefile, line_no,
-  case when ok then '✅ Success' else status end as status, filing_url, body as filing_text,
+select company_name, upper(form_type) as form_type, cik, date_filed, filename, year, quarter,
+  sourcefile, line_no, case when ok then '✅ Success' else status end as status, filing_url, body as filing_text,
   case when ok then concat('Order', chr(10), o_orderkey) end as cleaned_text
 from (select * from ({_RESOLVED_SQL}) join
   (select company_name, form_type, cik, date_filed, year, quarter, sourcefile, line_no,
     case when o_orderstatus = 'P' then concat('a/', o_orderkey) else filename end as filename,
     o_orderkey as k from a1) on k = o_orderkey)
+where {ANNUAL}
 """
 )
 def fetch_run(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions.fields import clean_cik
-from ..operators.annual import filter_annual, select_filings
+from ..operators.annual import filter_annual, keep_annual_forms, select_filings
 from ..operators.index import parse_index
 from ..operators.order import assign_part, first_batches
 from ..operators.outcomes import clean_pages, outcome_records, resolve_documents
@@ -19,6 +19,7 @@ from ..sources.tables import (
     document_keys,
     list_parts,
     may_write,
+    output_exists,
     scan_table,
     write_documents,
     write_parts,
@@ -68,15 +69,18 @@ def annual_job(
 def fetch_job(
     spark, filings, responses, target, retry_limit=2, per_part=200, if_exists="error"
 ):
-    """Filings with landed responses to outcome records in parts of `per_part` successes.
+    """Annual filings with landed responses to outcome records, `per_part` successes a part.
 
     The matched records are written once to the shared working folder: numbering the
     parts reads them twice, and a lost executor then costs a re-read, not the joins.
     Text is cleaned last, so that only the raw page travels through the shuffle.
     """
     check_schema(filings, FILING)
+    if if_exists == "skip" and output_exists(spark, target):
+        return {"written": False}
     staged = work_path(spark, "outcomes")
-    resolve_documents(filings, responses, "B", retry_limit).write.parquet(staged)
+    annual = keep_annual_forms(filings)
+    resolve_documents(annual, responses, "B", retry_limit).write.parquet(staged)
     matched = spark.read.parquet(staged)
     if not may_write(matched, target, if_exists):
         return {"written": False}

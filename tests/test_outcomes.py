@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -177,3 +178,28 @@ def test_filtering_join_with_hot_keys(spark, hot_rows, how):
 def test_hot_keys(spark):
     df = spark.createDataFrame([("a",)] * 25 + [("b",)] * 10 + [(None,)] * 99, "k string")
     assert [tuple(r) for r in hot_keys(df, ["k"], 10).collect()] == [("a", 3)]
+
+
+def test_bodies_are_shuffled_once(spark, responses, tmp_path):
+    path = str(tmp_path / "responses")
+    responses.write.parquet(path)
+    filings = spark.createDataFrame([("a/b",)], "filename string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(d.resolve_documents(filings, spark.read.parquet(path)).select("body"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [n for n in plan.splitlines() if re.match(r"[ :+-]*[A-Z][A-Za-z]+(\(| )", n)]
+    pages = [i for i, line in enumerate(lines) if "SortAggregate" in line and "partial_min" in line]
+    # From the documents' partial aggregate up to the join there is one exchange.
+    last = pages[-1]
+    depth = lines[last].index("SortAggregate")
+    above = []
+    for line in reversed(lines[:last]):
+        at = next(i for i, ch in enumerate(line) if ch.isalpha())
+        if at < depth:
+            above.append(line.strip(" :+-"))
+            depth = at
+        if "SortMergeJoin" in line:
+            break
+    assert sum("Exchange" in line for line in above) == 1
