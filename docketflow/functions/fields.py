@@ -2,24 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..fixed import CLOCK_YEARS, DATE_LAYOUTS, MONTH_NAMES, NAMED_MONTH, PERIOD_NAME
 from .text import strip
 
-# Listing file names, annual forms, month labels.
-PERIOD_NAME = r"(?i)(\d{4})_(QTR[1-4])_company\.idx$"
-ANNUAL_FORMS = ("10-K", "10-K/A")
-MONTH_NAMES = (
-    "Jan", "Feb", "Mar", "Apr", "May", "Jun",
-    "Jul", "Aug", "Sept", "Oct", "Nov", "Dec",
-)
-# The whole years a 64-bit nanosecond clock can hold, 1678 to 2261, and
-# the accepted date layouts with what each becomes.
-CLOCK_YEARS = r"(?:167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
-DATE_LAYOUTS = (
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{4}-\d{2}-\d{2})[T ](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?$", "$1"),
-)
-NAMED_MONTH = r"^[A-Za-z]{3} \d{1,2}, " + CLOCK_YEARS + "$"
 
 
 def period_year(name):

@@ -11,22 +11,19 @@ from html.entities import html5
 
 from pyspark.sql import functions as F
 
-from .fields import ANNUAL_FORMS
+from ..fixed import ANNUAL_FORMS, DROPPED_ELEMENTS, TABLE_CLASS
 from .once import with_once
 from .text import strip, stripped_lines
 
-# Elements whose text is not part of the page (the first two hold raw
-# text), the class of the document table, and the outcome texts of an index page.
-RAW_ELEMENTS = "script|style"
-DROPPED_ELEMENTS = "header|footer|nav|noscript"
-TABLE_CLASS = "tableFile"
-NO_TABLE = "⚠️ No document table found"
-NO_LINK = "⚠️ No primary .htm/.html link found"
-# The windows-1252 readings of numeric references 128 to 159.
-CP1252_CODES = "".join(map(chr, range(0x80, 0xA0)))
+# The first two hold raw text; `meta` has no content, so dropping its tag is enough.
+_RAW = "|".join(DROPPED_ELEMENTS[:2])
+_DROPPED = "|".join(DROPPED_ELEMENTS[2:-1])
+# Numeric references 128 to 159 are read as windows-1252, where it defines them.
+_CODES = range(0x80, 0xA0)
+_UNDEFINED = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+CP1252_CODES = "".join(map(chr, _CODES))
 CP1252_CHARS = "".join(
-    bytes([c]).decode("cp1252") if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(c)
-    for c in range(0x80, 0xA0)
+    chr(c) if c in _UNDEFINED else bytes([c]).decode("cp1252") for c in _CODES
 )
 
 # Possessive loops (`++`, `*+`) keep matching iterative: a long tag cannot overflow
@@ -41,7 +38,7 @@ _ANY_TAG = rf"(?:[a-z]{_ATTRS}|[!/?][^>]*+)>"
 def _raw_element(group):
     """A script or style element, whose content knows no tags but its own end."""
     return (
-        rf"({RAW_ELEMENTS})(?:[\s/]{_ATTRS})?>"
+        rf"({_RAW})(?:[\s/]{_ATTRS})?>"
         rf"(?:[^<]++|<(?!/\{group}[\s/>]))*+(?:</\{group}[^>]*+>)?"
     )
 
@@ -50,9 +47,9 @@ def _raw_element(group):
 # like a tag inside a comment or an attribute value is not one. Body tags stay.
 _MARKUP = (
     rf"(?i)<(?!/?body[\s/>]|/html\s*>)(?:{_COMMENT}"
-    rf"|(?:{RAW_ELEMENTS}|{DROPPED_ELEMENTS})(?:\s[^<>]*)?/>"
+    rf"|(?:{_RAW}|{_DROPPED})(?:\s[^<>]*)?/>"
     rf"|{_raw_element(1)}"
-    rf"|({DROPPED_ELEMENTS})(?:[\s/]{_ATTRS})?>"
+    rf"|({_DROPPED})(?:[\s/]{_ATTRS})?>"
     rf"(?:[^<]++|<(?!/\2[\s>])(?:{_COMMENT}|{_raw_element(3)}|{_ANY_TAG})?+)*+(?:</\2[^>]*+>)?"
     rf"|{_ANY_TAG})"
 )

@@ -2,15 +2,8 @@
 
 from pyspark.sql import functions as F
 
-# The characters Unicode text stripping removes; Spark's trim only
-# removes the ASCII space.
-WHITESPACE_CHARS = (
-    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
-)
-# Fixed value: the characters that end a line of text.
-LINE_BREAK = r"[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]"
+from ..fixed import LINE_BREAK, WHITESPACE_CHARS
+
 
 
 def strip(col):

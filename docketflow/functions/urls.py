@@ -2,14 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..fixed import DOCUMENT_SUFFIX, INVALID_PATH, NO_FILENAME, SITE, VIEWER
 from .text import remove_spaces, strip
 
-# Site, viewer prefix, and the outcome texts of a bad path.
-SITE = "https://www.sec.gov"
-VIEWER = "https://www.sec.gov/ix?doc="
-NO_FILENAME = "❌ Missing or invalid Filename"
-INVALID_PATH = "⚠️ Invalid path: "
-DOCUMENT_SUFFIX = r"(?i)\.(txt|htm|html)\z"
 
 
 def _path_text(col):

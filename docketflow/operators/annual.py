@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import ANNUAL_FORMS, SENTINEL_DATE
 from ..functions.fields import (
-    ANNUAL_FORMS,
     coerce_year,
     month_name,
     normalize_cik,
@@ -14,8 +14,6 @@ from ..functions.fields import (
 from ..functions.once import with_once
 from .skew import filtering_join
 
-# Fixed value: the date text of a rule line taken for a filing.
-SENTINEL_DATE = "------------"
 # Columns a selection of filings relies on.
 SELECTION_COLUMNS = ("filename", "form_type", "cik", "year")
 

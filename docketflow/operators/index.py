@@ -2,21 +2,20 @@
 
 from pyspark.sql import functions as F
 
+from ..fixed import (
+    FIXED_BOUNDS,
+    HEADER_LINES,
+    HEADING_START,
+    RULE_START,
+    WHITESPACE_CHARS,
+)
 from ..functions.fields import period_quarter, period_year
 from ..functions.once import with_once
-from ..functions.text import WHITESPACE_CHARS, strip
+from ..functions.text import strip
 from ..schemas import FILING
 
-# The line pattern (name, form, company id, date, path), the column
-# bounds of the fixed layout with its header length, and the lines that hold no data.
-LINE_PATTERN = r"^(.+?)\s{2,}(\S+)\s+(\d+)\s+(\d{4}-\d{2}-\d{2})\s+(.+)$"
-FIXED_BOUNDS = ((0, 62), (62, 74), (74, 86), (86, 98), (98, None))
-HEADER_LINES = 9
-RULE_START = "-----"
-HEADING_START = "company name"
-
 FIELDS = ("company_name", "form_type", "cik", "date_filed", "filename")
-# The same language, written to fail fast. White space is spelled out for Latin-1
+# The line pattern, written to fail fast. White space is spelled out for Latin-1
 # text, runs never give back what they took (the next field could not use it), and a
 # name is only ended where a run of white space starts.
 _S = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0]"

@@ -2,18 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.html import NO_LINK, NO_TABLE, with_plain_text, with_primary_link
+from ..fixed import (
+    EXCEPTION,
+    FETCH_FAILED,
+    INDEX_FAILED,
+    NO_LINK,
+    NO_TABLE,
+    SUCCESS,
+    SUCCESS_DIRECT,
+    SUCCESS_INDEX,
+)
+from ..functions.html import with_plain_text, with_primary_link
 from ..functions.text import snake_name
 from ..functions.urls import absolute_url, accession_parts, fetch_target
 from .skew import copy, deal, hot_keys
 
-# Outcome texts.
-SUCCESS = "✅ Success"
-SUCCESS_DIRECT = "✅ Success (direct)"
-SUCCESS_INDEX = "✅ Success (index)"
-FETCH_FAILED = "❌ Filing fetch failed: "
-INDEX_FAILED = "❌ Index fetch failed: "
-EXCEPTION = "⚠️ Exception: "
 # Our own wording for a page nobody has landed.
 NOT_LANDED = EXCEPTION + "no response landed"
 

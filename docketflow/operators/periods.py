@@ -2,12 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..fixed import LISTING_BASE, QUARTERS
 from .skew import filtering_join
 
-# Quarters and the address of a period's listing.
-QUARTERS = ("QTR1", "QTR2", "QTR3", "QTR4")
-LISTING_BASE = "https://www.sec.gov/Archives/edgar/full-index/"
-
 
 def quarter_list(quarters=None):
     """Quarters in the order asked for, without repeats; nothing or `all` means four."""

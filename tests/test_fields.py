@@ -1,9 +1,11 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import docketflow as d
+from docketflow.fixed import LINE_BREAK, WHITESPACE_CHARS
 from docketflow.functions.fields import month_name
 
 
@@ -13,6 +15,13 @@ def apply(spark, fn, values, dtype="string"):
     return [r.out for r in df.select("i", fn(F.col("v")).alias("out")).orderBy("i").collect()]
 
 
+def test_fixed_characters_are_those_of_python():
+    every = [chr(i) for i in range(0x110000)]
+    assert set(WHITESPACE_CHARS) == {c for c in every if c.isspace()}
+    breaks = {c for c in every if len(f"a{c}b".splitlines()) == 2}
+    assert breaks == {c for c in every if re.match(LINE_BREAK, c)}
+
+
 def test_strip_matches_python(spark):
     values = [" a b　", "\x1fx\x1c", "\t\r\n", " mid dle ", "", "\x85q\x0b"]
     assert apply(spark, d.strip, values) == [v.strip() for v in values]

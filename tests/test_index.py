@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import docketflow as d
-from docketflow.operators.index import LINE_PATTERN
+from docketflow.fixed import LINE_PATTERN
 
 
 def line(name, form, cik, date, path):
