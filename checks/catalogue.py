@@ -115,7 +115,8 @@ def sink_ignore_existing(spark, sf_dir):
 @query("select distinct concat('sourcefile=', sourcefile) as folder, true as has_bytes from a1")
 def list_parts(spark, sf_dir):
     path = work_path(spark, "parts")
-    a.filings(spark, sf_dir).repartition("sourcefile").write.partitionBy("sourcefile").parquet(path)
+    spread = a.filings(spark, sf_dir).hint("rebalance", "sourcefile")
+    spread.write.partitionBy("sourcefile").parquet(path)
     folder = F.element_at(F.split("path", "/"), -2)
     return (
         d.list_parts(spark, path)

@@ -34,18 +34,22 @@ def build_session(app_name="docketflow", master=None, initial_partitions=None, *
     return builder.getOrCreate()
 
 
+_local_root = None
+
+
 def work_path(spark, label):
     """A new, unique folder for intermediate tables.
 
     It lies under the shared folder the cluster names in `spark.checkpoint.dir`.
     Only where that is unset, as in local tests, is a temporary folder made.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="docketflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = _local_root or tempfile.mkdtemp(prefix="docketflow-")
+        root = _local_root
     return f"{root.rstrip('/')}/docketflow/{label}-{uuid.uuid4().hex}"
 
 

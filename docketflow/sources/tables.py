@@ -40,7 +40,7 @@ def scan_table(spark, path, fmt=None):
 def output_exists(spark, path):
     """True when there is something at `path`."""
     try:
-        spark.read.format("binaryFile").load(path)
+        spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").load(path)
     except AnalysisException:
         return False
     return True
