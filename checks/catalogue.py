@@ -653,8 +653,7 @@ def resolve_documents(spark, sf_dir):
     return found.select("o_orderkey", "status", "filing_url", "ok", "body")
 
 
-@query(
-    f"""
+_FETCHED_SQL = f"""
 select company_name, upper(form_type) as form_type, cik, date_filed, filename, year, quarter,
   sourcefile, line_no, case when ok then '✅ Success' else status end as status, filing_url, body as filing_text,
   case when ok then concat('Order', chr(10), o_orderkey) end as cleaned_text
@@ -664,7 +663,9 @@ from (select * from ({_RESOLVED_SQL}) join
     o_orderkey as k from a1) on k = o_orderkey)
 where {ANNUAL}
 """
-)
+
+
+@query(_FETCHED_SQL)
 def fetch_run(spark, sf_dir):
     path = work_path(spark, "fetched")
     asked = a.asked_filings(spark, sf_dir).drop(*a.EXTRA)
@@ -672,6 +673,16 @@ def fetch_run(spark, sf_dir):
     return spark.read.parquet(path).drop("part")
 
 
+@query(_FETCHED_SQL)
+def fetch_resume(spark, sf_dir):
+    """A run over some listings, then one over all that leaves out what is there."""
+    path, responses = work_path(spark, "fetched"), a.landed_responses(spark, sf_dir)
+    asked = a.asked_filings(spark, sf_dir).drop(*a.EXTRA)
+    for filings in (d.first_batches(asked, 9), asked, asked):
+        d.fetch_job(spark, filings, responses, path, if_exists="append")
+    return spark.read.parquet(path).drop("part")
+
+
 # --- aggregations -----------------------------------------------------------------
 
 _MONTHLY_SQL = f"""

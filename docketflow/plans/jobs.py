@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from ..functions.fields import clean_cik
 from ..operators.annual import filter_annual, keep_annual_forms, select_filings
 from ..operators.index import parse_index
-from ..operators.order import assign_part, first_batches
+from ..operators.order import assign_part, first_batches, first_n
 from ..operators.outcomes import clean_pages, outcome_records, resolve_documents
 from ..operators.periods import pending
-from ..schemas import FILING, check_schema
+from ..schemas import FILING, FILING_ORDER, check_schema
 from ..session import work_path
 from ..sources.index_files import scan_index
 from ..sources.tables import (
@@ -67,26 +67,35 @@ def annual_job(
 
 
 def fetch_job(
-    spark, filings, responses, target, retry_limit=2, per_part=200, if_exists="error"
+    spark, filings, responses, target, retry_limit=2, per_part=200, max_filings=0, if_exists="error"
 ):
     """Annual filings with landed responses to outcome records, `per_part` successes a part.
 
+    With `if_exists="append"` the run goes on where earlier ones stopped: filings that
+    have a record at `target` are left out and new parts are numbered after the last.
+    `max_filings` stops after that many filings in order.
+
     The matched records are written once to the shared working folder: numbering the
     parts reads them twice, and a lost executor then costs a re-read, not the joins.
     Text is cleaned last, so that only the raw page travels through the shuffle.
     """
     check_schema(filings, FILING)
-    if if_exists == "skip" and output_exists(spark, target):
+    exists = output_exists(spark, target)
+    if if_exists == "skip" and exists:
         return {"written": False}
+    annual, first_part = keep_annual_forms(filings), 0
+    if if_exists == "append" and exists:
+        earlier = spark.read.parquet(target)
+        annual = pending(annual, earlier, list(FILING_ORDER))
+        first_part = earlier.agg(F.max("part").cast("bigint")).first()[0] + 1
     staged = work_path(spark, "outcomes")
-    annual = keep_annual_forms(filings)
-    resolve_documents(annual, responses, "B", retry_limit).write.parquet(staged)
+    resolve_documents(first_n(annual, max_filings), responses, "B", retry_limit).write.parquet(staged)
     matched = spark.read.parquet(staged)
-    if not may_write(matched, target, if_exists):
+    if matched.isEmpty():
         return {"written": False}
     numbered = assign_part(
         matched, "line_no", F.col("ok"), per_part, group="sourcefile", range_rows=4096
-    )
+    ).withColumn("part", F.col("part") + first_part)
     seen = Observation()
     records = outcome_records(numbered).observe(
         seen,
@@ -96,7 +105,7 @@ def fetch_job(
     )
     write_parts(records, target, if_exists=if_exists, check=False)
     counts = seen.get
-    parts = counts["last_part"] + 1
+    parts = counts["last_part"] - first_part + 1
     return {"written": True, "seen": counts["seen"], "ok": counts["ok"], "parts": parts}
 
 

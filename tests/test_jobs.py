@@ -70,6 +70,24 @@ def test_fetch_job(spark, tables, tmp_path):
     assert d.fetch_job(spark, annual, responses, target, if_exists="skip") == {"written": False}
 
 
+def test_fetch_job_goes_on_where_it_stopped(spark, tables, tmp_path):
+    annual = d.scan_table(spark, tables[3])
+    landed = [(SITE + r.filename, 1, 200, "<p>x</p>") for r in annual.collect()]
+    responses = spark.createDataFrame(landed, d.RESPONSE)
+    target = str(tmp_path / "fetched")
+
+    def run(**options):
+        return d.fetch_job(
+            spark, annual, responses, target, per_part=2, if_exists="append", **options
+        )
+
+    assert run(max_filings=3) == {"written": True, "seen": 3, "ok": 3, "parts": 2}
+    assert run() == {"written": True, "seen": 5, "ok": 5, "parts": 3}
+    assert run() == {"written": False}
+    out = spark.read.parquet(target).orderBy("sourcefile", "line_no").collect()
+    assert [r.part for r in out] == [0, 0, 1, 2, 2, 3, 3, 4]
+
+
 def test_documents_job(spark, tables, tmp_path):
     filings = d.scan_table(spark, tables[2])
     index = '<table class="tableFile"><tr></tr><tr><td><td><td><a href="/{}.htm"><td>10-K</tr></table>'
