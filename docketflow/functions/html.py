@@ -116,18 +116,29 @@ def with_plain_text(df, html, out):
 # --- links of an index page ---------------------------------------------------
 
 _UNSEEN = rf"(?i)<(?:{_COMMENT}|{_raw_element(1)})"
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+
+
+def _attribute(name):
+    """From the name of a tag to the value of one attribute, passing over others."""
+    return (
+        rf"(?:[\s/]++(?!(?i:{name})[\s=])[^\s=>]++(?:\s*+=\s*+{_VALUE})?+)*+"
+        rf"[\s/]++(?i:{name})\s*+=\s*+"
+    )
+
+
 _HAS_CLASS = (
     rf"""(?:"(?:[^"]*\s)?{TABLE_CLASS}(?:\s[^"]*)?\""""
     rf"""|'(?:[^']*\s)?{TABLE_CLASS}(?:\s[^']*)?'"""
     rf"""|{TABLE_CLASS}(?=[\s>]))"""
 )
 _TABLE = (
-    rf"<(?i:table)\s(?:[^>]*?\s)?(?i:class)\s*=\s*{_HAS_CLASS}"
-    r"([^>]*>(?:[^<]++|<(?!/(?i:table)\s*>))*+)"
+    rf"<(?i:table){_attribute('class')}{_HAS_CLASS}"
+    rf"({_ATTRS}>(?:[^<]++|<(?!/(?i:table)\s*>))*+)"
 )
-_ROW = r"(?i)<tr(?:\s[^>]*)?>"
-_CELL = r"(?i)<td(?:\s[^>]*)?>((?:[^<]++|<(?!td[\s>]|/t[dr]\s*>))*+)"
-_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_ROW = rf"(?i)<tr(?:[\s/]{_ATTRS})?>"
+_CELL = rf"(?i)<td(?:[\s/]{_ATTRS})?>((?:[^<]++|<(?!td[\s>]|/t[dr]\s*>))*+)"
+_HREF = rf"<[aA]{_attribute('href')}({_VALUE})"
 
 
 def _href(written, names):

@@ -182,6 +182,98 @@ def test_primary_links(spark):
     assert pick(spark, pages, "B") == [(True, b) for _, _, b in LINK_PAGES]
 
 
+class TableWalker(HTMLParser):
+    """An independent reading of the document table: rows of cells, and links."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.state, self.rows, self.links, self.cell = "before", [], [], None
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        if tag == "table" and self.state == "before":
+            if "tableFile" in (attrs.get("class") or "").split():
+                self.state = "in"
+        elif self.state == "in":
+            self.cell = None if tag in ("tr", "td", "th") else self.cell
+            if tag == "tr":
+                self.rows.append(([], []))
+            elif tag == "td":
+                self.cell = [""]
+                self.rows[-1][0].append(self.cell)
+            elif self.cell:
+                self.cell.append("")
+            if tag == "a" and "href" in attrs:
+                self.links.append(attrs["href"] or "")
+                self.rows[-1][1].append(attrs["href"] or "")
+
+    def handle_endtag(self, tag):
+        if self.state == "in":
+            if tag == "table":
+                self.state = "after"
+            elif tag in ("td", "tr"):
+                self.cell = None
+            elif self.cell:
+                self.cell.append("")
+
+    def handle_data(self, data):
+        if self.state == "in" and self.cell:
+            self.cell[-1] += data
+
+    def pick(self, rule):
+        def page(h):
+            return h.lower().endswith(".htm") and not h.lower().endswith("-index.htm")
+
+        if rule == "B":
+            found = [h for h in self.links if h.endswith((".htm", ".html")) and "index" not in h.lower()]
+            return found[0] if found else None
+        for cells, links in self.rows[1:]:
+            if len(cells) >= 4 and links and page(links[0]):
+                if "".join(t.strip() for t in cells[3]).upper() in ("10-K", "10-K/A"):
+                    return links[0]
+        return next((h for h in self.links if page(h)), None)
+
+
+def random_index_page(rng):
+    def link():
+        ext = rng.choice([".htm", ".HTM", ".html", "-index.htm", ".pdf", ".htm?x=1&amp;y=2", "&#46;htm", ""])
+        href = f"/d{rng.randint(0, 9)}{rng.choice(['', '', '/index/', 'é'])}{ext}"
+        attr = rng.choice([f'href="{href}"', f"HREF='{href}'", f"href = {href}" if ext else "href='x'",
+                           f'title="a > b" href="{href}"', f'data-href="/no.htm" href="{href}"', "name=x"])
+        return f"<{rng.choice('aA')} {attr}>{rng.choice(['f', '<b>f</b>'])}</a>"
+
+    def cell(text):
+        return f"<td{rng.choice(['', ' scope=row', ' class=x nowrap'])}>{text}</td>"
+
+    def table_row():
+        kind = rng.choice(["10-K", " 10-k/a ", "10-K405", "&nbsp;10-K", "<b>10</b>-K<br>", "EX-1", "10 -K", ""])
+        cells = [cell("1"), cell("d"), cell("".join(link() for _ in range(rng.choice([0, 1, 1, 2])))), cell(kind)]
+        cells = cells[: rng.choice([4, 4, 4, 3])] + [cell("size")] * rng.choice([0, 1])
+        return f"<{rng.choice(['tr', 'TR class=even'])}>{rng.choice(['', chr(10)]).join(cells)}</tr>"
+
+    opening = rng.choice(['<table class="tableFile">', "<TABLE summary='x' class='a tableFile b' >",
+                          "<table class=tableFile>", "<table class='tableFiles'>", "<table id=tableFile>"])
+    rows = "".join(table_row() for _ in range(rng.randint(0, 4)))
+    hidden = rng.choice(["", "<!-- <table class='tableFile'><tr></tr></table> -->",
+                         "<script>'<table class=\"tableFile\">'</script>"])
+    return f"<html>{hidden}{link()}{opening}\n{rows}</table>{link()}</html>"
+
+
+@pytest.mark.parametrize("rule", ["A", "B"])
+def test_random_index_pages_equal_independent_walk(spark, rule):
+    rng = random.Random(rule)
+    pages = [random_index_page(rng) for _ in range(3000)]
+    expected = []
+    for text in pages:
+        walker = TableWalker()
+        walker.feed(text)
+        walker.close()
+        expected.append((walker.state != "before", walker.pick(rule)))
+    got = pick(spark, pages, rule)
+    assert [(p, g, e) for p, g, e in zip(pages, got, expected) if g != e][:3] == []
+    assert sum(e[1] is not None for e in expected) > 500
+
+
 def test_pages_without_document_table(spark):
     pages = [table(row("/a.htm", "10-K"), cls="tableFiles"), "<p>moved</p>", "", None]
     for rule in "AB":
