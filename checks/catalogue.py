@@ -665,19 +665,25 @@ where {ANNUAL}
 """
 
 
+def _landed(spark, sf_dir):
+    """Filings and responses as tables at rest, which is how a fetch run meets them."""
+    asked = a.asked_filings(spark, sf_dir).drop(*a.EXTRA)
+    tables = ((asked, "asked"), (a.landed_responses(spark, sf_dir), "responses"))
+    return [spark.read.parquet(_staged(spark, df, label)) for df, label in tables]
+
+
 @query(_FETCHED_SQL)
 def fetch_run(spark, sf_dir):
     path = work_path(spark, "fetched")
-    asked = a.asked_filings(spark, sf_dir).drop(*a.EXTRA)
-    d.fetch_job(spark, asked, a.landed_responses(spark, sf_dir), path)
+    d.fetch_job(spark, *_landed(spark, sf_dir), path)
     return spark.read.parquet(path).drop("part")
 
 
 @query(_FETCHED_SQL)
 def fetch_resume(spark, sf_dir):
     """A run over some listings, then one over all that leaves out what is there."""
-    path, responses = work_path(spark, "fetched"), a.landed_responses(spark, sf_dir)
-    asked = a.asked_filings(spark, sf_dir).drop(*a.EXTRA)
+    path = work_path(spark, "fetched")
+    asked, responses = _landed(spark, sf_dir)
     for filings in (d.first_batches(asked, 9), asked, asked):
         d.fetch_job(spark, filings, responses, path, if_exists="append")
     return spark.read.parquet(path).drop("part")

@@ -83,6 +83,8 @@ def fetch_job(
     exists = output_exists(spark, target)
     if if_exists == "skip" and exists:
         return {"written": False}
+    if if_exists == "error" and exists:
+        raise ValueError(f"output exists: {target}")
     annual, first_part = keep_annual_forms(filings), 0
     if if_exists == "append" and exists:
         earlier = spark.read.parquet(target)

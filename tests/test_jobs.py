@@ -68,6 +68,8 @@ def test_fetch_job(spark, tables, tmp_path):
     stored = spark.read.parquet(target).drop("part")
     assert d.check_schema(stored, d.FETCHED)
     assert d.fetch_job(spark, annual, responses, target, if_exists="skip") == {"written": False}
+    with pytest.raises(ValueError, match="output exists"):
+        d.fetch_job(spark, annual, responses, target)
 
 
 def test_fetch_job_goes_on_where_it_stopped(spark, tables, tmp_path):
