@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docketflow.llm import bpe
 from docketflow.session import work_path
@@ -15,7 +16,8 @@ ORACLE_SQL = None
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents with their token ids and the text those decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    coded = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN)
+    return coded.withColumn("decoded", F.decode("decoded", "utf-8"))
 
 
 STAGES = [

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,12 +32,14 @@ from pyspark.sql import types as T
 from . import kernel, pretokens
 
 #: Text whose distinct pre-tokens are merged by one query.
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 12 << 20
 #: From this many bytes, a word's equal pairs are contracted in the same round where that
 #: gives the same as one by one; rounds then follow the merges, not the length.
 LONG_WORD = 48
 #: Words merged by one query.
-QUERY_WORDS = 50_000
+QUERY_WORDS = 30_000
+#: Ids decoded by one query.
+QUERY_IDS = 500_000
 
 _PAIRS = """
     select w, pos, tok, m.id, min(m.id) over (partition by w) as best
@@ -133,7 +136,7 @@ class Vocabulary:
                     left.append(a)
                     right.append(b)
                     made.append(rank)
-        self.base = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "temp_directory": ""})
+        self.base = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "250MB", "temp_directory": ""})
         self.base.execute("set enable_progress_bar = false")
         self._table("merges", l=np.array(left, np.int32), r=np.array(right, np.int32), id=np.array(made, np.int32))
         self._table("vocabulary", id=np.array(list(ids), np.int32), hex=[t.hex() for t in self.ranks])
@@ -259,53 +262,66 @@ def _groups(column: pa.Array) -> Iterator[tuple[int, int]]:
     yield from kernel.chunks(size, GROUP_BYTES)
 
 
+def _encoding(batches: Iterator[pa.RecordBatch], path: str, pattern: str, text: str, into: str) -> Iterator[pa.RecordBatch]:
+    vocab = vocabulary(path)
+    for batch in batches:
+        keep = [c for c in batch.schema.names if c != into]
+        column = batch.column(text)
+        for a, b in _groups(column):
+            ids, bounds = encode_texts(column.slice(a, b - a), vocab, pattern)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+            rest = batch.select(keep).slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([*rest.columns, lists], names=[*keep, into])
+
+
+def _decoding(batches: Iterator[pa.RecordBatch], path: str, ids: str, into: str) -> Iterator[pa.RecordBatch]:
+    vocab = vocabulary(path)
+    for batch in batches:
+        keep = [c for c in batch.schema.names if c != into]
+        lists = batch.column(ids)
+        null = lists.is_null().to_numpy(zero_copy_only=False)
+        size = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(size.astype(np.int64))])
+        for a, b in kernel.chunks(bounds, QUERY_IDS):
+            flat = pa.compute.fill_null(lists.slice(a, b - a).flatten(), -1).to_numpy(zero_copy_only=False)
+            found = vocab.decode(flat, bounds[a : b + 1] - bounds[a])
+            found = [None if n else x for n, x in zip(null[a:b], found)]
+            rest = batch.select(keep).slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(found, pa.binary())], names=[*keep, into])
+
+
+def _with(df: DataFrame, **added: T.DataType) -> T.StructType:
+    return T.StructType([f for f in df.schema if f.name not in added] + [T.StructField(n, t) for n, t in added.items()])
+
+
+_IDS = T.ArrayType(T.IntegerType(), False)
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
     """Adds `into`, the ids of `text` as array<int>, by the ranks of the file `path`.
 
     A column that has this name already is replaced.
     """
-    keep = [c for c in df.columns if c != into]
-    schema = T.StructType([f for f in df.schema if f.name in keep]).add(into, T.ArrayType(T.IntegerType(), False), False)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text))
-            for a, b in _groups(column):
-                ids, bounds = encode_texts(column.slice(a, b - a), vocab, pattern)
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                rest = batch.select(keep).slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*rest.columns, lists], names=[*keep, into])
-
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda rows: _encoding(rows, path, pattern, text, into), _with(df, **{into: _IDS}))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Adds `into`, the bytes that `ids` stand for; null ids or an unknown id give null."""
-    keep = [c for c in df.columns if c != into]
-    schema = T.StructType([f for f in df.schema if f.name in keep]).add(into, T.BinaryType())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            null = lists.is_null().to_numpy(zero_copy_only=False)
-            size = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            bounds = np.concatenate([[0], np.cumsum(size.astype(np.int64))])
-            for a, b in kernel.chunks(bounds, GROUP_BYTES // 32):
-                flat = pa.compute.fill_null(lists.slice(a, b - a).flatten(), -1).to_numpy(zero_copy_only=False)
-                found = vocab.decode(flat, bounds[a : b + 1] - bounds[a])
-                found = [None if n else x for n, x in zip(null[a:b], found)]
-                rest = batch.select(keep).slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(found, pa.binary())], names=[*keep, into])
-
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda rows: _decoding(rows, path, ids, into), _with(df, **{into: T.BinaryType()}))
+
+
+def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """`encode`, then `decode` of its ids, in the same Python worker."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoding(_encoding(rows, path, pattern, text, ids), path, ids, decoded)
+
+    return df.mapInArrow(run, _with(df, **{ids: _IDS, decoded: T.BinaryType()}))
 
 
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, and hashes of the ids and of what they decode to."""
-    coded = decode(encode(documents.select("doc_id", "text"), path, pattern).drop("text"), path)
-    return coded.select(
+    return encode_and_decode(documents.select("doc_id", "text"), path, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is worked on alone and whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

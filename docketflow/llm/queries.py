@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, ppm, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,8 +19,21 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_partial_matching(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log probability by partial matching, learned outside one fold."""
+    return ppm.score(_table(spark, folder, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's count of tokens, from counts of its distinct pre-tokens."""
+    counts = token_counts.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_partial_matching": op7_partial_matching,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
