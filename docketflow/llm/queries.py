@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ppm, token_counts
+from . import bpe, main_text, ppm, token_counts, top_k
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 best other vectors of every query vector, by whole-number inner product."""
+    return top_k.top_k(_table(spark, folder, "embeddings"), 5, F.col("vec_id") % 50 == 0)
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again: count of ids and hashes of both ways."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,10 +35,37 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's main text and its length."""
+    return main_text.main_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {
+    "op3_top_k": op3_top_k,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_partial_matching": op7_partial_matching,
     "op9_token_counts": op9_token_counts,
+    "op10_main_text": op10_main_text,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_top_k": """
+        with v as (
+          select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as value
+          from embeddings
+          where embedding is not null and len(embedding) > 0
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+          select q.vec_id as query_id, v.vec_id,
+            cast(list_sum(list_transform(list_zip(q.value, v.value), lambda x: x[1] * x[2])) as bigint) as score
+          from v q join v on q.vec_id <> v.vec_id and len(q.value) = len(v.value)
+          where q.vec_id % 50 = 0
+        ),
+        ranked as (
+          select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+          from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+}
