@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, main_text, ppm, token_counts, top_k
+from . import bpe, main_text, ppm, token_counts, top_k, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,13 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_toxic_severity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's expected severity of toxic language."""
+    documents = _table(spark, folder, "documents")
+    model = toxicity.train(documents, _table(spark, folder, "labels"), toxicity.toxic_grade())
+    return toxicity.severity(documents.select("doc_id", "text"), model).drop("text")
+
+
 def op7_partial_matching(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's log probability by partial matching, learned outside one fold."""
     return ppm.score(_table(spark, folder, "documents"))
@@ -43,6 +50,7 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_top_k": op3_top_k,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_toxic_severity": op6_toxic_severity,
     "op7_partial_matching": op7_partial_matching,
     "op9_token_counts": op9_token_counts,
     "op10_main_text": op10_main_text,
