@@ -13,6 +13,7 @@ one block and bucket, `start` the place of the first among the block's entries.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from ..session import work_path
 
 #: Text of one block; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Blocks whose entries one task adds up, and to which one task gives answers.
+FAN_IN, FAN_OUT = 64, 512
 
 SCHEMA = "block long, bucket int, start int, payload binary"
 _ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("start", pa.int32()), ("payload", pa.binary())])
@@ -70,6 +73,15 @@ def rows(block: int, home: bytes, entries: list[tuple[int, int, bytes]]) -> pa.R
     )
 
 
+def in_buckets(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(start, places) of each bucket's entries, among all entries in order of bucket."""
+    order = np.argsort(bucket, kind="stable")
+    own = bucket[order]
+    begin = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+    for a, b in zip(begin, np.append(begin[1:], len(order))):
+        yield int(a), order[a:b]
+
+
 def numbered() -> Iterator[int]:
     """Block numbers that no other task gives."""
     return itertools.count(TaskContext.get().partitionId() << 32)
@@ -113,23 +125,82 @@ def answer(df: DataFrame, reply: Callable[[], Callable[[int, dict[str, pa.Array]
         answering = reply()
         for row in found:
             payload = answering(row["bucket"], unpack(row["payload"]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"]], pa.int64()), pa.array([row["bucket"]], pa.int32()),
-                 pa.array([row["start"]], pa.int32()), pa.array([payload], pa.binary())],
-                schema=_ARROW,
-            )
+            yield _row(row["block"], row["bucket"], row["start"], payload)
 
     return by_group(df, ["bucket"], ["block"], run, SCHEMA)
 
 
+def _row(block: int, bucket: int, start: int, payload: bytes) -> pa.RecordBatch:
+    columns = [[block], [bucket], [start], [payload]]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+
+
+def _salted(df: DataFrame, groups: int) -> DataFrame:
+    return df.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(groups)))
+
+
+def totals(found: DataFrame, n_blocks: int, add: Callable[[list[dict[str, pa.Array]]], bytes]) -> DataFrame:
+    """What each bucket's entries of all blocks come to, in one row each, by a tree of tasks.
+
+    `add` puts parts of the same bucket together; a task adds those of `FAN_IN` blocks.
+    """
+
+    def run(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        for (bucket, block), group in itertools.groupby(rows, key=lambda row: (row["bucket"], row["salt"])):
+            parts: list[dict[str, pa.Array]] = []
+            size = 0
+            for row in group:
+                parts.append(unpack(row["payload"]))
+                size += len(next(iter(parts[-1].values())))
+                if len(parts) > 8 and size > 4 * len(next(iter(parts[0].values()))):
+                    parts = [unpack(add(parts))]
+                    size = len(next(iter(parts[0].values())))
+            yield _row(block, bucket, 0, add(parts))
+
+    groups = max(n_blocks, 1)
+    while True:
+        groups = math.ceil(groups / FAN_IN)
+        found = by_group(_salted(found, groups), ["bucket", "salt"], ["block"], run, SCHEMA)
+        if groups == 1:
+            return found
+
+
+def replies(
+    found: DataFrame,
+    total: DataFrame,
+    n_blocks: int,
+    reply: Callable[[int, dict[str, pa.Array] | None], Callable[[dict[str, pa.Array]], bytes]],
+) -> DataFrame:
+    """Answers every entry from its bucket's total.
+
+    `reply(bucket, total)` makes the answering function; a task answers for `FAN_OUT` blocks.
+    """
+
+    def run(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        for bucket, group in itertools.groupby(rows, key=lambda row: row["bucket"]):
+            answering = None
+            for row in group:
+                part = unpack(row["payload"])
+                if row["block"] < 0:
+                    answering = reply(bucket, part)
+                    continue
+                answering = answering or reply(bucket, None)
+                yield _row(row["block"], bucket, row["start"], answering(part))
+
+    groups = math.ceil(max(n_blocks, 1) / FAN_OUT)
+    copies = total.withColumns({"block": F.lit(-1).cast("long"), "salt": F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))})
+    asked = _salted(found, groups).unionByName(copies.withColumn("salt", F.col("salt").cast("long")))
+    return by_group(asked, ["bucket", "salt"], ["block"], run, SCHEMA)
+
+
 def bring_home(
-    home: DataFrame, answers: DataFrame, finish: Callable[[dict[str, pa.Array], list[tuple[int, dict[str, pa.Array]]]], pa.RecordBatch], schema: str
+    home: DataFrame, answers: DataFrame, finish: Callable[[int, dict[str, pa.Array], list[tuple[int, dict[str, pa.Array]]]], pa.RecordBatch], schema: str
 ) -> DataFrame:
     """Each block's documents with the answers to its entries, as `finish` makes rows of them."""
 
     def run(found: Iterator[dict]) -> Iterator[pa.RecordBatch]:
-        for _, group in itertools.groupby(found, key=lambda row: row["block"]):
+        for block, group in itertools.groupby(found, key=lambda row: row["block"]):
             own = unpack(next(group)["payload"])
-            yield finish(own, [(row["start"], unpack(row["payload"])) for row in group])
+            yield finish(block, own, [(row["start"], unpack(row["payload"])) for row in group])
 
     return by_group(home.unionByName(answers), ["block"], ["bucket"], run, schema)

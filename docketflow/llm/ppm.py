@@ -25,7 +25,6 @@ Where nothing is learned from, every symbol has an even chance.
 
 from __future__ import annotations
 
-import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -47,8 +46,6 @@ END = 256
 SYMBOLS = 257
 #: Buckets of contexts; as many more hold words.
 BUCKETS = 256
-#: Blocks whose counts one task adds up, and to which one task gives answers.
-FAN_IN, FAN_OUT = 64, 512
 
 
 def _mask(order: int) -> np.uint64:
@@ -143,18 +140,6 @@ class Trie:
         return out
 
 
-def _ordered(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in order of bucket, and where each bucket begins among them."""
-    order = np.argsort(bucket, kind="stable")
-    own = bucket[order]
-    return order, np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
-
-
-def _cut(order: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    for a, b in zip(begin, np.append(begin[1:], len(order))):
-        yield int(a), order[a:b]
-
-
 class _Block:
     """A block's distinct events and words, each in order of bucket."""
 
@@ -164,17 +149,16 @@ class _Block:
         text, at = canonical(data, self.starts, self.ends, self.first)
         keys, self.event_first = events(text, at)
         self.event, self.keys = pd.factorize(keys)
-        self.event_order, self.event_begin = _ordered(bucket_of(self.keys))
+        self.events = [(start, at[np.argsort(self.keys[at])]) for start, at in blocks.in_buckets(bucket_of(self.keys))]
         hashes = kernel.span_hashes(data, self.starts, self.ends)
         self.word, self.hashes = pd.factorize(hashes)
-        self.word_order, self.word_begin = _ordered((self.hashes % np.uint64(BUCKETS)).astype(np.int64))
+        self.words = list(blocks.in_buckets((self.hashes % np.uint64(BUCKETS)).astype(np.int64)))
 
     def entries(self, learned: np.ndarray) -> list[tuple[int, int, bytes]]:
         """What travels; `learned` tells which texts are learned from."""
         out = []
         counts = np.bincount(self.event[np.repeat(learned, np.diff(self.event_first))], minlength=len(self.keys))
-        for start, at in _cut(self.event_order, self.event_begin):
-            at = at[np.argsort(self.keys[at])]
+        for start, at in self.events:
             keys = self.keys[at]
             step = np.diff(keys, prepend=np.uint64(0))
             payload = blocks.pack(step=blocks.narrow(step), n=blocks.narrow(counts[at]))
@@ -183,7 +167,7 @@ class _Block:
         place = np.zeros(len(self.hashes), np.int64)
         place[self.word[::-1]] = np.arange(len(self.word))[::-1]
         raw = self.data.tobytes()
-        for start, at in _cut(self.word_order, self.word_begin):
+        for start, at in self.words:
             words = [raw[a:b] for a, b in zip(self.starts[place[at]], self.ends[place[at]])]
             payload = blocks.pack(word=pa.array(words, pa.binary()), n=blocks.narrow(counts[at]))
             out.append((BUCKETS + int(self.hashes[at[0]] % np.uint64(BUCKETS)), start, payload))
@@ -212,35 +196,6 @@ def _add(parts: list[dict[str, pa.Array]]) -> bytes:
     return blocks.pack(word=words.dictionary, n=blocks.narrow(total))
 
 
-def _sum(found: Iterator[dict]) -> Iterator[pa.RecordBatch]:
-    for (bucket, block), group in itertools.groupby(found, key=lambda row: (row["bucket"], row["salt"])):
-        parts: list[dict[str, pa.Array]] = []
-        size = 0
-        for row in group:
-            parts.append(unpacked := blocks.unpack(row["payload"]))
-            size += len(unpacked["n"])
-            if len(parts) > 8 and size > 4 * len(parts[0]["n"]):
-                parts = [blocks.unpack(_add(parts))]
-                size = len(parts[0]["n"])
-        yield from [pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64()), pa.array([bucket], pa.int32()), pa.array([0], pa.int32()),
-             pa.array([_add(parts)], pa.binary())], names=["block", "bucket", "start", "payload"])]
-
-
-def _salted(df: DataFrame, groups: int) -> DataFrame:
-    return df.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(groups)))
-
-
-def learn(entries: DataFrame, n_blocks: int) -> DataFrame:
-    """The counts of every bucket over all blocks, in one row each, by a tree of sums."""
-    groups = max(n_blocks, 1)
-    while True:
-        groups = math.ceil(groups / FAN_IN)
-        entries = blocks.by_group(_salted(entries, groups), ["bucket", "salt"], ["block"], _sum, blocks.SCHEMA)
-        if groups == 1:
-            return entries
-
-
 def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a bucket: last byte and symbol, with the two-byte contexts that hold it; word totals."""
     for batch in batches:
@@ -280,7 +235,7 @@ def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
     staged = blocks.stage(df.select(doc_id, text).mapInArrow(cut, blocks.SCHEMA), "ppm-blocks")
     home, entries = blocks.homes(staged), blocks.entries(staged)
     n_blocks = home.count()
-    model = blocks.stage(learn(entries, n_blocks), "ppm-counts").drop("home")
+    model = blocks.stage(blocks.totals(entries, n_blocks, _add), "ppm-counts").drop("home")
 
     fold = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds != held, F.lit(True))
     n_learned = df.where(fold).count()
@@ -294,38 +249,21 @@ def score(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
         else:
             distinct += row.n
 
-    def answers(found: Iterator[dict]) -> Iterator[pa.RecordBatch]:
-        for bucket, group in itertools.groupby(found, key=lambda row: row["bucket"]):
-            trie, known = None, {}
-            for row in group:
-                part = blocks.unpack(row["payload"])
-                if row["block"] < 0:
-                    if bucket < BUCKETS:
-                        trie = Trie(_keys(part), _count(part), short)
-                    else:
-                        known = dict(zip(part["word"].to_pylist(), _count(part).tolist()))
-                    continue
-                if bucket < BUCKETS:
-                    trie = trie or Trie(np.zeros(0, np.uint64), np.zeros(0, np.int64), short)
-                    payload = blocks.pack(log10=trie.log10(_keys(part)).astype(np.float32))
-                else:
-                    payload = blocks.pack(n=blocks.narrow(np.array([known.get(w, 0) for w in part["word"].to_pylist()], np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]], pa.int64()), pa.array([bucket], pa.int32()),
-                     pa.array([row["start"]], pa.int32()), pa.array([payload], pa.binary())],
-                    names=["block", "bucket", "start", "payload"])
-
-    groups = math.ceil(max(n_blocks, 1) / FAN_OUT)
-    copies = model.withColumn("block", F.lit(-1).cast("long")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = _salted(entries, groups).unionByName(copies.withColumn("salt", F.col("salt").cast("long")))
-    replies = blocks.by_group(asked, ["bucket", "salt"], ["block"], answers, blocks.SCHEMA)
-
-    def finish(own: dict[str, pa.Array], found: list[tuple[int, dict[str, pa.Array]]]) -> pa.RecordBatch:
+    def reply(bucket: int, total: dict[str, pa.Array] | None):
+        if bucket < BUCKETS:
+            nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            trie = Trie(*((_keys(total), _count(total)) if total else nothing), short)
+            return lambda part: blocks.pack(log10=trie.log10(_keys(part)).astype(np.float32))
+        known = dict(zip(total["word"].to_pylist(), _count(total).tolist())) if total else {}
+        return lambda part: blocks.pack(n=blocks.narrow(np.array([known.get(w, 0) for w in part["word"].to_pylist()], np.int64)))
+
+    replies = blocks.replies(entries, model, n_blocks, reply)
+
+    def finish(block_number: int, own: dict[str, pa.Array], found: list[tuple[int, dict[str, pa.Array]]]) -> pa.RecordBatch:
         offsets = np.concatenate([[0], np.cumsum(blocks.numbers(own["size"]).astype(np.int64))])
         block = _Block(blocks.numbers(own["data"]), offsets)
         logs, counts = np.zeros(len(block.keys)), np.zeros(len(block.hashes), np.int64)
-        by_key = {start: at[np.argsort(block.keys[at])] for start, at in _cut(block.event_order, block.event_begin)}
-        by_word = dict(_cut(block.word_order, block.word_begin))
+        by_key, by_word = dict(block.events), dict(block.words)
         for start, got in found:
             if "log10" in got:
                 logs[by_key[start]] = blocks.numbers(got["log10"])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, main_text, ppm, token_counts, top_k, toxicity
+from . import bpe, main_text, passages, ppm, token_counts, top_k, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op7_partial_matching(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.score(_table(spark, folder, "documents"))
 
 
+def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages of 50 words that an earlier one holds."""
+    return passages.remove_repeats(_table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's count of tokens, from counts of its distinct pre-tokens."""
     counts = token_counts.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -52,6 +57,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxic_severity": op6_toxic_severity,
     "op7_partial_matching": op7_partial_matching,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_token_counts": op9_token_counts,
     "op10_main_text": op10_main_text,
 }

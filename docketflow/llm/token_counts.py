@@ -106,7 +106,7 @@ def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
 
         return answering
 
-    def finish(own: dict[str, pa.Array], answers: list[tuple[int, dict[str, pa.Array]]]) -> pa.RecordBatch:
+    def finish(block_number: int, own: dict[str, pa.Array], answers: list[tuple[int, dict[str, pa.Array]]]) -> pa.RecordBatch:
         n = np.zeros(int(blocks.numbers(own["n_items"])[0]), np.int64)
         for start, got in answers:
             n[start : start + len(got["n"])] = blocks.numbers(got["n"])
