@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, main_text, passages, ppm, token_counts, top_k, toxicity
+from . import bpe, jaccard, main_text, passages, ppm, token_counts, top_k, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's component of links by shingles of three words."""
+    return jaccard.link(_table(spark, folder, "documents"))
+
+
 def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 best other vectors of every query vector, by whole-number inner product."""
     return top_k.top_k(_table(spark, folder, "embeddings"), 5, F.col("vec_id") % 50 == 0)
@@ -53,6 +58,7 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op3_top_k": op3_top_k,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxic_severity": op6_toxic_severity,
