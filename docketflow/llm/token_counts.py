@@ -51,6 +51,16 @@ def _splitter(path: str):
     return exact
 
 
+def _gaps(pairs: np.ndarray) -> dict[str, np.ndarray]:
+    """Ascending numbers as their gaps, the bytes that are nearly always 0 apart."""
+    gap = np.diff(pairs, prepend=0)
+    return {"gap": (gap & 0xFFFF).astype(np.uint16), "far": blocks.narrow(gap >> 16)}
+
+
+def _pairs(own: dict[str, pa.Array]) -> np.ndarray:
+    return np.cumsum(blocks.numbers(own["gap"]).astype(np.int64) | blocks.numbers(own["far"]).astype(np.int64) << 16)
+
+
 def _block(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, path: str, buckets: int):
     starts, ends, first = pretokens.split(data, offsets, _splitter(path), _special(path))
     hashes, place, number = pretokens.distinct(data, starts, ends)
@@ -63,8 +73,7 @@ def _block(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, path: str, buck
     size = np.bincount(pairs // max(len(hashes), 1), minlength=len(offsets) - 1)
     home = blocks.pack(
         doc_id=ids, n_bytes=blocks.narrow(np.diff(offsets)), n_distinct=blocks.narrow(size),
-        item=blocks.narrow(pairs % max(len(hashes), 1)), times=blocks.narrow(times),
-        n_items=np.array([len(hashes)]),
+        **_gaps(pairs), times=blocks.narrow(times), n_items=np.array([len(hashes)]),
     )
     raw, place, bucket = data.tobytes(), place[order], bucket[order]
     found = [raw[a:b].decode() for a, b in zip(starts[place], ends[place])]
@@ -75,7 +84,7 @@ def _block(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, path: str, buck
     return home, entries
 
 
-def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", buckets: int = 512) -> DataFrame:
+def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", buckets: int = 128) -> DataFrame:
     """Rows (doc_id, n_bytes, n_tokens) for a byte-level BPE tokenizer's .json file.
 
     `buckets` deals the distinct pre-tokens; take about one per million of them, so that a
@@ -110,7 +119,7 @@ def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
         n = np.zeros(int(blocks.numbers(own["n_items"])[0]), np.int64)
         for start, got in answers:
             n[start : start + len(got["n"])] = blocks.numbers(got["n"])
-        sums = np.concatenate([[0], np.cumsum(n[blocks.numbers(own["item"])] * blocks.numbers(own["times"]).astype(np.int64))])
+        sums = np.concatenate([[0], np.cumsum(n[_pairs(own) % max(len(n), 1)] * blocks.numbers(own["times"]).astype(np.int64))])
         bounds = np.concatenate([[0], np.cumsum(blocks.numbers(own["n_distinct"]).astype(np.int64))])
         total = sums[bounds[1:]] - sums[bounds[:-1]]
         size = pa.array(blocks.numbers(own["n_bytes"]).astype(np.int64))
