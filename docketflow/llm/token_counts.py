@@ -51,6 +51,15 @@ def _splitter(path: str):
     return exact
 
 
+def _beginnings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the first eight bytes: neighbours in it compress well."""
+    out = np.zeros(len(starts), np.uint64)
+    for i in range(8):
+        at = starts + i
+        out |= np.where(at < ends, data[np.minimum(at, len(data) - 1)], 0).astype(np.uint64) << np.uint64(56 - 8 * i)
+    return out
+
+
 def _gaps(pairs: np.ndarray) -> dict[str, np.ndarray]:
     """Ascending numbers as their gaps, the bytes that are nearly always 0 apart."""
     gap = np.diff(pairs, prepend=0)
@@ -65,7 +74,7 @@ def _block(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, path: str, buck
     starts, ends, first = pretokens.split(data, offsets, _splitter(path), _special(path))
     hashes, place, number = pretokens.distinct(data, starts, ends)
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((_beginnings(data, starts[place], ends[place]), bucket))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
@@ -76,11 +85,13 @@ def _block(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, path: str, buck
         **_gaps(pairs), times=blocks.narrow(times), n_items=np.array([len(hashes)]),
     )
     raw, place, bucket = data.tobytes(), place[order], bucket[order]
-    found = [raw[a:b].decode() for a, b in zip(starts[place], ends[place])]
+    found = [raw[a:b] for a, b in zip(starts[place], ends[place])]
+    size = (ends - starts)[place]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else [0]
-    entries = [
-        (int(bucket[a]), int(a), blocks.pack(item=pa.array(found[a:b], pa.string()))) for a, b in zip(cuts[:-1], cuts[1:])
-    ]
+    entries = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        letters = np.frombuffer(b"".join(found[a:b]), np.uint8)
+        entries.append((int(bucket[a]), int(a), blocks.pack(size=blocks.narrow(size[a:b]), letters=letters)))
     return home, entries
 
 
@@ -107,7 +118,9 @@ def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
             if of[0] != bucket:
                 of[0] = bucket
                 known.clear()
-            items = asked["item"].to_pylist()
+            ends = np.cumsum(blocks.numbers(asked["size"]).astype(np.int64)).tolist()
+            letters = blocks.numbers(asked["letters"]).tobytes()
+            items = [letters[a:b].decode() for a, b in zip([0, *ends], ends)]
             new = [x for x in items if x not in known]
             if new:
                 known.update(zip(new, map(len, tokenizer.encode_batch(new, add_special_tokens=False))))
