@@ -6,7 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, main_text, passages, ppm, token_counts, top_k, toxicity
+from . import bpe, jaccard, main_text, passages, pii, ppm, token_counts, top_k, toxicity
+
+
+#: Key of surrogates here; a user keeps one secret.
+SURROGATE_KEY = "documents"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +27,11 @@ def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.top_k(_table(spark, folder, "embeddings"), 5, F.col("vec_id") % 50 == 0)
 
 
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with personal data and secrets replaced by surrogates."""
+    return pii.replace(_table(spark, folder, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_replaced")
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again: count of ids and hashes of both ways."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -60,6 +69,7 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op3_top_k": op3_top_k,
+    "op4_surrogates": op4_surrogates,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxic_severity": op6_toxic_severity,
     "op7_partial_matching": op7_partial_matching,
