@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, main_text, passages, pii, ppm, token_counts, top_k, toxicity
+from . import bpe, decontam, jaccard, main_text, passages, pii, ppm, token_counts, top_k, toxicity
 
 
 #: Key of surrogates here; a user keeps one secret.
@@ -22,6 +22,12 @@ def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link(_table(spark, folder, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document, with the benchmark items that it leaks."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return decontam.contamination(documents, _table(spark, folder, "benchmark")).drop("text")
+
+
 def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 best other vectors of every query vector, by whole-number inner product."""
     return top_k.top_k(_table(spark, folder, "embeddings"), 5, F.col("vec_id") % 50 == 0)
@@ -68,6 +74,7 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_decontamination": op2_decontamination,
     "op3_top_k": op3_top_k,
     "op4_surrogates": op4_surrogates,
     "op5_byte_bpe": op5_byte_bpe,
@@ -79,6 +86,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_decontamination": op2_decontamination,
     "op3_top_k": """
         with v as (
           select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as value
