@@ -18,7 +18,8 @@ the hashes. A token found in one set only counts for the prefix and needs no sig
 
 Sets with a signature in common are candidates. So that a signature held by very many does
 not make every pair of them, each is first verified against one set of its signature;
-links so far give components, and then only pairs of different components are verified.
+links so far give components, and then only pairs of different components are verified,
+if the tokens that any other of these sets has could be enough for a link.
 That gives the components of all links, as no pair within one could change them.
 
 Hashes of shingles and sets have 64 bits, of shingles in verification 48.
@@ -329,6 +330,29 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "low_a", "high_a", "low_b", "high_b").mapInArrow(run, "a long, b long")
 
 
+def _mixed(own: DataFrame) -> DataFrame:
+    """Rows of signatures that several components hold, with the smallest size of each."""
+    held = own.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("size").alias("smallest"))
+    held = stored(held.where("low <> high").select("sig", "smallest"), "jaccard-mixed")
+    return stored(own.join(held, "sig"), "jaccard-own")
+
+
+def _alone(tokens: DataFrame) -> DataFrame:
+    """Rows (set, alone): how many tokens of a set none of the other sets has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                low = np.frombuffer(row["low"], "<u4").astype(np.int64)
+                token = low | np.frombuffer(row["high"], "<u2").astype(np.int64) << 32
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.full(len(token), row["set"]))], names=["token", "set"])
+
+    each = tokens.select("set", "low", "high").mapInArrow(run, "token long, set long")
+    once = each.groupBy("token").agg(F.min("set").alias("set"), F.count("*").alias("n")).where("n = 1")
+    return once.groupBy("set").agg(F.count("*").alias("alone"))
+
+
 def link(df: DataFrame, words: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one for each document."""
     signed = stored(_signed(df, doc_id, text, words, percent), "jaccard-signed")
@@ -352,13 +376,21 @@ def link(df: DataFrame, words: int = 3, percent: int = 90, doc_id: str = "doc_id
 
     own = several.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     own = stored(own, "jaccard-own")
-    mixed = own.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
-    own = stored(own.join(mixed, "sig", "left_semi"), "jaccard-mixed")
+    own = _mixed(own)
+    alone = stored(_alone(tokens.join(own.select("set").distinct(), "set", "left_semi")), "jaccard-alone")
+    own = own.drop("alone").join(alone, "set", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    # No more than the tokens that another of these sets has can be shared, and a linked
+    # set has a size to be met: what falls short of it even with the smallest has no link.
+    share = (100 + percent) * (F.col("size") - F.col("alone"))
+    least = F.greatest("smallest", F.ceil(F.col("size") * percent / 100))
+    own = _mixed(stored(own.where(share >= percent * (F.col("size") + least)).drop("smallest"), "jaccard-able"))
     most = own.groupBy("sig", "root").count().groupBy("sig").agg(F.max(F.struct("count", "root")).alias("m"))
     most = stored(most.select("sig", F.col("m.root").alias("major")), "jaccard-major")
     minor = own.join(most, "sig").where("root <> major")
-    left = minor.select("sig", F.col("set").alias("a"), F.col("size").alias("size_a"), F.col("root").alias("root_a"))
-    rest = left.join(own, "sig").where((F.col("root_a") != F.col("root")) & both).select("a", F.col("set").alias("b"))
+    left = minor.select("sig", F.col("set").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("size", "root", "alone")])
+    share_a = (100 + percent) * (F.col("size_a") - F.col("alone_a"))
+    enough = F.least(share, share_a) >= percent * (F.col("size") + F.col("size_a"))
+    rest = left.join(own, "sig").where((F.col("root_a") != F.col("root")) & both & enough).select("a", F.col("set").alias("b"))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti")
     more = stored(_verified(rest, tokens, percent), "jaccard-links")
