@@ -6,7 +6,7 @@ join by key). `FILINGS_SQL` is the same recasting for the SQL checks.
 
 from pyspark.sql import functions as F
 
-from docketflow.session import spread, work_path
+from docketflow.session import work_path
 
 FILINGS_SQL = """
 a1 as (
@@ -39,6 +39,10 @@ EXTRA = ("dated", "order_date", "o_orderstatus", "o_orderpriority", "o_totalpric
 EXTRA += ("o_custkey", "o_orderkey")
 
 
+#: Partitions for the small test tables, which lie in one file each.
+PIECES = 8
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,7 +53,7 @@ def _text(name):
 
 def order_filings(spark, sf_dir):
     """Orders as filings, with the unrendered columns kept beside them."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders").repartition(PIECES)
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     key = F.col("o_orderkey")
     form = (
@@ -128,11 +132,11 @@ def landed_listings(spark, sf_dir, extension="idx"):
 
 
 def attempts(spark, sf_dir):
-    """Events as attempts: three per filing key, some failed, some empty."""
+    """Events as attempts: three per filing key, some failed with a page of their own, some empty."""
     kind = F.col("event_type")
-    body = F.when(~kind.isin("error", "click"), F.when(F.col("value") < 5, "").otherwise(
+    body = F.when(kind.isin("error", "click"), "<p>busy</p>").when(F.col("value") < 5, "").otherwise(
         F.concat(F.lit("<p>"), F.col("props"), F.lit("</p>"))
-    ))
+    )
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.expr("event_id div 3").alias("filing_key"),
@@ -147,7 +151,7 @@ a2 as (
   select event_id, event_id // 3 as filing_key, cast(event_id % 3 + 1 as integer) as attempt,
     cast(case when event_type = 'error' then 503 when event_type = 'click' then 404
       else 200 end as integer) as status_code,
-    case when event_type in ('error', 'click') then null
+    case when event_type in ('error', 'click') then '<p>busy</p>'
          when value < 5 then '' else concat('<p>', props, '</p>') end as body
   from events
 )
@@ -214,7 +218,7 @@ def index_pages(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax",
         "l_returnflag", "l_linestatus",
     )
-    return spread(items).select(
+    return items.repartition(PIECES).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", html.alias("html")
     )
 
@@ -251,8 +255,9 @@ def asked_filings(spark, sf_dir):
 def landed_responses(spark, sf_dir):
     """Responses to the addresses of all filings: up to two attempts per address.
 
-    The price decides what happens: below 50,000 the first address answers 503 then
-    404; below 100,000 it answers on the second attempt; above 480,000 nothing was
+    Errors come with a page of their own. The price decides what happens: below 50,000 the first address answers 503 then
+    404; below 100,000 it answers on the
+    second attempt, below 150,000 an index page has its table only then; above 480,000 nothing was
     landed; above 400,000 a linked document answers 500 twice.
     """
     base = order_filings(spark, sf_dir)
@@ -276,14 +281,17 @@ def landed_responses(spark, sf_dir):
             url.alias("url"),
             F.lit(attempt).alias("attempt"),
             code.cast("int").alias("status_code"),
-            F.when(code == 200, body).alias("body"),
+            F.when(code == 200, body).otherwise("<p>error</p>").alias("body"),
         )
 
+    # Some index pages come without their table at first.
+    early = F.when(price < 150000, "<p>come back</p>").otherwise(listing)
     first_body = F.when(direct, document).otherwise(listing)
     doc_url = F.concat(F.lit("https://www.sec.gov"), link)
     doc_code = F.when(price > 400000, 500).otherwise(200)
     first = [
-        response(first_url, 1, F.when(price < 100000, 503).otherwise(200), first_body),
+        response(first_url, 1, F.when(price < 100000, 503).otherwise(200),
+                 F.when(direct, document).otherwise(early)),
         response(first_url, 2, F.when(price < 50000, 404).otherwise(200), first_body),
     ]
     second = [response(doc_url, n, doc_code, document) for n in (1, 2)]

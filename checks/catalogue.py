@@ -150,7 +150,7 @@ def write_parts(spark, sf_dir):
     ok = F.col("event_type") != "error"
     numbered = d.assign_part(a.table(spark, sf_dir, "events"), "event_id", ok, 200)
     path = work_path(spark, "parts")
-    d.write_parts(numbered, path)
+    d.write_parts(numbered, path, folders=True)
     written = spark.read.schema(_with_text_part(numbered)).parquet(path)
     return written.groupBy("part").agg(
         F.count(F.lit(1)).alias("records"),
@@ -196,7 +196,7 @@ def plan_periods(spark, sf_dir):
         F.col("l_orderkey").alias("pos"), F.year("l_shipdate").alias("year")
     )
     landed = a.filings(spark, sf_dir).select(F.col("sourcefile").alias("filename"))
-    return d.plan_periods(shipped, "all", landed)
+    return d.plan_periods(shipped, None, landed)
 
 
 @query(
@@ -528,7 +528,7 @@ from decoded
 
 @query(_CLEAN_SQL, ctes=None)
 def clean_pages(spark, sf_dir):
-    pages = d.spread(a.table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = a.table(spark, sf_dir, "pages").select("page_id", "html").repartition(a.PIECES)
     return d.clean_pages(pages).select("page_id", "cleaned_text")
 
 
@@ -759,10 +759,11 @@ def run_summary(spark, sf_dir):
 
 _ATTEMPT_SQL = """
 , picked as (
-  select filing_key, coalesce(min(attempt) filter (where body <> ''), max(attempt)) as attempt
+  select filing_key, coalesce(min(attempt) filter (where status_code = 200 and body <> ''), max(attempt)) as attempt
   from a2 where attempt <= 2 group by filing_key),
 resolved as (
-  select a2.filing_key, a2.attempt, a2.status_code, a2.body, coalesce(a2.body <> '', false) as ok
+  select a2.filing_key, a2.attempt, a2.status_code, case when a2.status_code = 200 then a2.body end as body,
+    a2.status_code = 200 and a2.body <> '' as ok
   from a2 join picked on a2.filing_key = picked.filing_key and a2.attempt = picked.attempt)
 """
 

@@ -54,8 +54,8 @@ from .operators.summary import (
 )
 from .plans.jobs import annual_job, clean_job, documents_job, fetch_job, index_job
 from .schemas import FETCHED, FILING, FILING_ORDER, RESPONSE, check_schema
-from .session import build_session, spread, work_path
-from .sources.index_files import scan_index
+from .session import build_session, staged, work_path
+from .sources.index_files import scan_index, unreadable_files
 from .sources.tables import (
     compact,
     document_keys,

@@ -8,10 +8,9 @@ MONTH_NAMES = (
 )
 QUARTERS = ("QTR1", "QTR2", "QTR3", "QTR4")
 
-# Listings: file names, the shape of a line (name, form, company id, date, path), column
-# bounds of the fixed layout, header length, lines without data, the date of a rule line.
+# Listings: file names, column bounds of the fixed layout, header length, lines without
+# data, the date of a rule line.
 PERIOD_NAME = r"(?i)(\d{4})_(QTR[1-4])_company\.idx$"
-LINE_PATTERN = r"^(.+?)\s{2,}(\S+)\s+(\d+)\s+(\d{4}-\d{2}-\d{2})\s+(.+)$"
 FIXED_BOUNDS = ((0, 62), (62, 74), (74, 86), (86, 98), (98, None))
 HEADER_LINES = 9
 RULE_START = "-----"
@@ -24,8 +23,9 @@ VIEWER = "https://www.sec.gov/ix?doc="
 LISTING_BASE = "https://www.sec.gov/Archives/edgar/full-index/"
 DOCUMENT_SUFFIX = r"(?i)\.(txt|htm|html)\z"
 
-# Pages: elements whose text does not count, class of the table that lists documents.
-DROPPED_ELEMENTS = ("script", "style", "header", "footer", "nav", "noscript", "meta")
+# Pages: elements whose text does not count, the first of raw text, class of the table that lists documents.
+RAW_ELEMENTS = ("script", "style")
+DROPPED_ELEMENTS = ("header", "footer", "nav", "noscript")
 TABLE_CLASS = "tableFile"
 
 # Outcomes.
@@ -51,9 +51,26 @@ LINE_BREAK = r"[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]"
 # Dates: the whole years a 64-bit nanosecond clock can hold, 1678 to 2261; the accepted
 # layouts with what each becomes; month names.
 CLOCK_YEARS = r"(?:167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
+MONTH_WORD = (
+    "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?"
+    "|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+)
 DATE_LAYOUTS = (
     (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "19$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "20$3-$1-$2"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{4}-\d{2}-\d{2})[T ](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?$", "$1"),
+    (r"^(\d{4})-(\d{1,2})$", "$1-$2-1"),
+    (
+        r"^(\d{4}-\d{2}-\d{2})[T ](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
+        r"(?: ?Z|[+-]\d{2}:?\d{2})?$",
+        "$1",
+    ),
+    (rf"(?i)^({MONTH_WORD}) (\d{{1,2}}),? (\d{{4}})$", "$3-$1-$2"),
+    (rf"(?i)^(\d{{1,2}})[ -]({MONTH_WORD})[ -](\d{{4}})$", "$3-$2-$1"),
 )
-NAMED_MONTH = r"^[A-Za-z]{3} \d{1,2}, " + CLOCK_YEARS + "$"
+NAMED_MONTH = rf"(?i)^{CLOCK_YEARS}-{MONTH_WORD}-\d{{1,2}}$"
+
+# Years: what counts as a number.
+PLAIN_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..fixed import CLOCK_YEARS, DATE_LAYOUTS, MONTH_NAMES, NAMED_MONTH, PERIOD_NAME
+from ..fixed import CLOCK_YEARS, DATE_LAYOUTS, MONTH_NAMES, NAMED_MONTH, PERIOD_NAME, PLAIN_NUMBER
 from .text import strip
 
 
@@ -42,9 +42,10 @@ def parse_date(col):
     iso = text
     for layout, replacement in DATE_LAYOUTS:
         iso = F.regexp_replace(iso, layout, replacement)
+    # A month's name stands where its number would; three letters of it are enough.
+    named = F.initcap(F.regexp_replace(F.regexp_extract(iso, NAMED_MONTH, 0), r"(?<=-[A-Za-z]{3})[A-Za-z]+", ""))
     iso = F.regexp_extract(iso, rf"^{CLOCK_YEARS}(?:-\d{{1,2}}-\d{{1,2}})?$", 0)
-    named = F.initcap(F.regexp_extract(text, NAMED_MONTH, 0))
-    return F.coalesce(iso.try_cast("date"), F.try_to_date(named, "MMM d, yyyy"))
+    return F.coalesce(iso.try_cast("date"), F.try_to_date(named, "yyyy-MMM-d"))
 
 
 def month_name(month):
@@ -54,5 +55,7 @@ def month_name(month):
 
 def coerce_year(col):
     """Year text as a whole number; `2020.0` counts, anything else is null."""
-    number = strip(col.cast("string")).try_cast("double")
+    text = strip(col.cast("string"))
+    # A cast alone would also take suffixes of type and hexadecimal numbers.
+    number = F.when(text.rlike(PLAIN_NUMBER), text).try_cast("double")
     return F.when(number == F.floor(number), number.try_cast("bigint"))

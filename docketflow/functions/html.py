@@ -11,13 +11,14 @@ from html.entities import html5
 
 from pyspark.sql import functions as F
 
-from ..fixed import ANNUAL_FORMS, DROPPED_ELEMENTS, TABLE_CLASS
+from ..fixed import ANNUAL_FORMS, DROPPED_ELEMENTS, RAW_ELEMENTS, TABLE_CLASS
 from .once import with_once
 from .text import strip, stripped_lines
 
-# The first two hold raw text; `meta` has no content, so dropping its tag is enough.
-_RAW = "|".join(DROPPED_ELEMENTS[:2])
-_DROPPED = "|".join(DROPPED_ELEMENTS[2:-1])
+_RAW = "|".join(RAW_ELEMENTS)
+_DROPPED = "|".join(DROPPED_ELEMENTS)
+# Elements of one name inside each other are matched to this depth.
+_DEPTH = 4
 # Numeric references 128 to 159 are read as windows-1252, where it defines them.
 _CODES = range(0x80, 0xA0)
 _UNDEFINED = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
@@ -35,11 +36,20 @@ _COMMENT = r"!--(?:[^-]++|-(?!->))*+-->"
 _ANY_TAG = rf"(?:[a-z]{_ATTRS}|[!/?][^>]*+)>"
 
 
-def _raw_element(group):
+def _raw_element(name):
     """A script or style element, whose content knows no tags but its own end."""
+    return rf"{name}(?:[\s/]{_ATTRS})?>(?:[^<]++|<(?!/{name}[\s/>]))*+(?:</{name}[^>]*+>)?"
+
+
+_ANY_RAW = "(?:" + "|".join(map(_raw_element, RAW_ELEMENTS)) + ")"
+
+
+def _element(name, depth=_DEPTH):
+    """An element with all it holds, others of its name included."""
+    inner = rf"{_element(name, depth - 1)}|" if depth else ""
     return (
-        rf"({_RAW})(?:[\s/]{_ATTRS})?>"
-        rf"(?:[^<]++|<(?!/\{group}[\s/>]))*+(?:</\{group}[^>]*+>)?"
+        rf"{name}(?:[\s/]{_ATTRS})?>"
+        rf"(?:[^<]++|<(?!/{name}[\s>])(?:{inner}{_COMMENT}|{_ANY_RAW}|{_ANY_TAG})?+)*+(?:</{name}[^>]*+>)?"
     )
 
 
@@ -48,10 +58,9 @@ def _raw_element(group):
 _MARKUP = (
     rf"(?i)<(?!/?body[\s/>]|/html\s*>)(?:{_COMMENT}"
     rf"|(?:{_RAW}|{_DROPPED})(?:\s[^<>]*)?/>"
-    rf"|{_raw_element(1)}"
-    rf"|({_DROPPED})(?:[\s/]{_ATTRS})?>"
-    rf"(?:[^<]++|<(?!/\2[\s>])(?:{_COMMENT}|{_raw_element(3)}|{_ANY_TAG})?+)*+(?:</\2[^>]*+>)?"
-    rf"|{_ANY_TAG})"
+    rf"|{_ANY_RAW}|"
+    + "|".join(map(_element, DROPPED_ELEMENTS))
+    + rf"|{_ANY_TAG})"
 )
 # A page with a body is cut down to the first one; a page without is left whole.
 _BODY = rf"(?is)\A.*?<body(?:[\s/]{_ATTRS})?>((?:[^<]++|<(?!/(?:body|html)\s*>))*+).*\z"
@@ -115,7 +124,7 @@ def with_plain_text(df, html, out):
 
 # --- links of an index page ---------------------------------------------------
 
-_UNSEEN = rf"(?i)<(?:{_COMMENT}|{_raw_element(1)})"
+_UNSEEN = rf"(?i)<(?:{_COMMENT}|{_ANY_RAW})"
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 
 
@@ -132,10 +141,16 @@ _HAS_CLASS = (
     rf"""|'(?:[^']*\s)?{TABLE_CLASS}(?:\s[^']*)?'"""
     rf"""|{TABLE_CLASS}(?=[\s>]))"""
 )
-_TABLE = (
-    rf"<(?i:table){_attribute('class')}{_HAS_CLASS}"
-    rf"({_ATTRS}>(?:[^<]++|<(?!/(?i:table)\s*>))*+)"
-)
+
+
+def _table_content(depth=_DEPTH):
+    """Up to the end of a table, with tables inside it."""
+    inner = rf"|<(?i:table)(?:[\s/]{_ATTRS})?>{_table_content(depth - 1)}(?:</(?i:table)\s*>)?" if depth else ""
+    opening = r"(?!(?i:table)[\s/>])" if depth else ""
+    return rf"(?:[^<]++|<(?!/(?i:table)\s*>){opening}{inner})*+"
+
+
+_TABLE = rf"<(?i:table){_attribute('class')}{_HAS_CLASS}({_ATTRS}>{_table_content()})"
 _ROW = rf"(?i)<tr(?:[\s/]{_ATTRS})?>"
 _CELL = rf"(?i)<td(?:[\s/]{_ATTRS})?>((?:[^<]++|<(?!td[\s>]|/t[dr]\s*>))*+)"
 _HREF = rf"<[aA]{_attribute('href')}({_VALUE})"

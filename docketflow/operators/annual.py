@@ -12,7 +12,7 @@ from ..functions.fields import (
     parse_date,
 )
 from ..functions.once import with_once
-from .skew import filtering_join
+from .joins import filtering_join
 
 # Columns a selection of filings relies on.
 SELECTION_COLUMNS = ("filename", "form_type", "cik", "year")

@@ -15,7 +15,7 @@ from ..fixed import (
 from ..functions.html import with_plain_text, with_primary_link
 from ..functions.text import snake_name
 from ..functions.urls import absolute_url, accession_parts, fetch_target
-from .skew import copy, deal, hot_keys
+from ..session import staged
 
 # Our own wording for a page nobody has landed.
 NOT_LANDED = EXCEPTION + "no response landed"
@@ -23,24 +23,32 @@ NOT_LANDED = EXCEPTION + "no response landed"
 _LAST = 1 << 40
 
 
+def _rank(won):
+    """Orders attempts: those that won first, by number, then the others, the last first."""
+    attempt = F.col("attempt").cast("bigint")
+    return F.when(won, attempt).otherwise(F.lit(_LAST) - attempt).alias("rank")
+
+
 def resolve_attempts(responses, keys=("url",), retry_limit=2, wins="body"):
     """One outcome per key: (keys, attempt, status_code, body, ok).
 
-    Of the first `retry_limit` attempts the first with a body wins (`wins="status"`:
-    the first answered 200, whatever its body); failing all, the last one counts. A
-    key without an attempt in the limit keeps null outcome columns.
+    Of the first `retry_limit` attempts the first answered 200 with a body wins
+    (`wins="status"`: the first answered 200, whatever its body); failing all, the last
+    one counts. Only an answer of 200 has a body: the pages that come with errors are
+    dropped before anything is shuffled. A key without an attempt in the limit keeps
+    null outcome columns.
 
     This is an aggregate, not a window: attempts combine on the map side, so a key
     that holds a large share of all rows reaches its reducer as one row per task.
     """
-    has_body = F.coalesce(F.col("body") != "", F.lit(False))
-    won = has_body if wins == "body" else F.coalesce(F.col("status_code") == 200, F.lit(False))
-    attempt = F.col("attempt").cast("bigint")
+    answered = F.coalesce(F.col("status_code") == 200, F.lit(False))
+    body = F.when(answered, F.col("body"))
+    has_body = F.coalesce(body != "", F.lit(False))
     outcome = F.struct(
-        F.when(won, attempt).otherwise(F.lit(_LAST) - attempt).alias("rank"),
+        _rank(has_body if wins == "body" else answered),
         F.col("attempt"),
         F.col("status_code"),
-        F.col("body"),
+        body.alias("body"),
         has_body.alias("ok"),
     )
     counted = F.col("attempt").between(1, retry_limit)
@@ -64,40 +72,41 @@ def clean_pages(df, html="html", out="cleaned_text"):
     return with_plain_text(df, html, out)
 
 
-def _at_address(filings, address, landed, found):
-    """Filings joined to what was landed at their `address`; `found` tells whether.
+def _index_links(responses, rule, retry_limit):
+    """One row per landed index page: (url, index_code, has_table, link).
 
-    `landed` makes the table (__url, __piece, ...) when given the hot addresses, whose
-    filings are dealt over pieces. Filings without an address get a key of their own
-    that matches nothing: a shared null key would send them all to one task.
-    """
-    hot = hot_keys(filings.select(F.col(address).alias("__url")), ["__url"])
-    plain = [F.col(c) for c, dtype in filings.dtypes if "map<" not in dtype]
-    no_address = F.concat(F.lit("\0"), F.xxhash64(*plain).cast("string"))
-    asked = filings.withColumn("__url", F.coalesce(F.col(address), no_address))
-    return (
-        deal(asked, hot, ["__url"])
-        .join(landed(hot).withColumn(found, F.lit(True)), ["__url", "__piece"], "left")
-        .withColumn(found, F.coalesce(found, F.lit(False)))
-        .drop("__url", "__piece")
-    )
-
-
-def _index_links(responses, rule, retry_limit, wins):
-    """One row per landed index page: (__url, __index_code, __has_table, __link).
-
-    Links are read once per page, before any filing is joined, and pages end here.
+    Links are read from every attempt that counts, and the pages end here: only links
+    are shuffled. Under rule B an attempt wins that gives a link, under rule A the first
+    answered 200.
     """
     # Index addresses all end alike, which keeps document bodies out.
     ending = "/index.html" if rule == "B" else "-index.htm"
-    pages = resolve_attempts(
-        responses.filter(F.col("__url").endswith(ending)), ("__url",), retry_limit, wins
+    answered = F.coalesce(F.col("status_code") == 200, F.lit(False))
+    counted = F.col("attempt").between(1, retry_limit)
+    pages = responses.filter(F.col("url").endswith(ending)).withColumn(
+        "body", F.when(answered & counted, F.col("body"))
     )
     linked = with_primary_link(pages, "body", rule, "__href", "__has_table")
-    link = F.when(F.col("status_code") == 200, absolute_url(F.col("__href"), rule))
-    return linked.select(
-        "__url", F.col("status_code").alias("__index_code"), "__has_table", link.alias("__link")
+    linked = linked.withColumn("link", F.when(answered, absolute_url(F.col("__href"), rule)))
+    outcome = F.struct(
+        _rank(F.col("link").isNotNull() if rule == "B" else answered),
+        F.col("status_code").alias("index_code"),
+        F.col("__has_table").alias("has_table"),
+        "link",
     )
+    best = linked.groupBy("url").agg(F.min(F.when(counted, outcome)).alias("best"))
+    return best.select("url", "best.index_code", "best.has_table", "best.link")
+
+
+def _landed_at(filings, address, landed, found):
+    """Filings joined to what was landed at their `address`; `found` tells whether.
+
+    `landed` is read from a written table and filings from their own shuffle, so that
+    Spark splits an address that very many filings share, or that they all lack.
+    """
+    right = landed.withColumn(found, F.lit(True)).withColumnRenamed("url", "__url")
+    joined = filings.join(right, F.col(address) == F.col("__url"), "left")
+    return joined.withColumn(found, F.coalesce(found, F.lit(False))).drop("__url")
 
 
 def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="filename"):
@@ -105,9 +114,10 @@ def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="fil
 
     Rule B: a path naming a document is looked up directly, a folder by way of its
     index page. Rule A: always by way of the filing's own index page.
+
+    Links and documents are resolved first and written to the shared working folder.
     """
-    wins = "body" if rule == "B" else "status"
-    responses = responses.select(F.col("url").alias("__url"), "attempt", "status_code", "body")
+    responses = responses.select("url", "attempt", "status_code", "body")
     if rule == "B":
         target = filings.withColumn("__target", fetch_target(F.col(filename)))
         direct = F.when(F.col("__target.kind") == "direct", F.col("__target.url"))
@@ -117,31 +127,28 @@ def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="fil
         direct, index = F.lit(None).cast("string"), F.col("__target.index_url")
     target = target.withColumn("__direct", direct).withColumn("__index", index)
 
-    def links(hot):
-        return copy(_index_links(responses, rule, retry_limit, wins), hot, ["__url"])
-
-    def documents(hot):
-        # Copied before they are resolved, which leaves them laid out for the join.
-        copied = copy(responses, hot, ["__url"])
-        return resolve_attempts(copied, ("__url", "__piece"), retry_limit, wins).select(
-            "__url", "__piece", "status_code", "body"
-        )
-
-    linked = _at_address(target, "__index", links, "__index_found")
+    links = staged(_index_links(responses, rule, retry_limit), "links").toDF(
+        "url", "__index_code", "__has_table", "__link"
+    )
+    wins = "body" if rule == "B" else "status"
+    documents = resolve_attempts(responses, ("url",), retry_limit, wins)
+    documents = staged(documents.select("url", "status_code", "body"), "documents").toDF(
+        "url", "__code", "__body"
+    )
+    linked = _landed_at(target, "__index", links, "__index_found")
     linked = linked.withColumn("__doc", F.coalesce("__direct", "__link"))
-    found = _at_address(linked, "__doc", documents, "__found")
+    found = _landed_at(linked, "__doc", documents, "__found")
 
-    ok = F.coalesce((F.col("status_code") == 200) & (F.col("body") != ""), F.lit(False))
+    ok = F.coalesce((F.col("__code") == 200) & (F.col("__body") != ""), F.lit(False))
     address = F.coalesce("__doc", "__index") if rule == "B" else F.col("__doc")
     result = found.withColumns({"status": _status(rule), "ok": ok, "filing_url": address})
-    hidden = [c for c in result.columns if c.startswith("__")]
-    return result.withColumn("body", F.when(F.col("ok"), F.col("body"))).drop(
-        "status_code", *hidden
+    return result.select(
+        *filings.columns, "filing_url", F.when(F.col("ok"), F.col("__body")).alias("body"), "ok", "status"
     )
 
 
 def _status(rule):
-    code, index_code = F.col("status_code").cast("string"), F.col("__index_code").cast("string")
+    code, index_code = F.col("__code").cast("string"), F.col("__index_code").cast("string")
     bad_path = F.col("__target.status") if rule == "B" else F.lit(None).cast("string")
     return (
         F.when(F.col("__direct").isNull() & F.col("__index").isNull(), bad_path)
@@ -150,7 +157,7 @@ def _status(rule):
         .when(F.col("__index").isNotNull() & ~F.coalesce("__has_table", F.lit(False)), F.lit(NO_TABLE))
         .when(F.col("__doc").isNull(), F.lit(NO_LINK))
         .when(~F.col("__found"), F.lit(NOT_LANDED))
-        .when(F.col("status_code") != 200, F.concat(F.lit(FETCH_FAILED), code))
+        .when(F.col("__code") != 200, F.concat(F.lit(FETCH_FAILED), code))
         .when(F.col("__direct").isNotNull(), F.lit(SUCCESS_DIRECT))
         .otherwise(F.lit(SUCCESS_INDEX))
     )

@@ -3,33 +3,25 @@
 from pyspark.sql import functions as F
 
 from ..fixed import LISTING_BASE, QUARTERS
-from .skew import filtering_join
+from .joins import filtering_join
 
 
 def quarter_list(quarters=None):
-    """Quarters in the order asked for, without repeats; nothing or `all` means four."""
-    if quarters is None or (
-        isinstance(quarters, str) and quarters.strip().lower() in ("", "all", "*")
-    ):
-        return list(QUARTERS)
-    items = quarters.replace(",", " ").split() if isinstance(quarters, str) else quarters
-    asked = [q.strip().upper() for q in items]
+    """Quarters in the order asked for, without repeats; none given means all four."""
+    asked = [q.upper() for q in quarters or QUARTERS]
     unknown = [q for q in asked if q not in QUARTERS]
     if unknown:
-        raise ValueError(f"invalid quarters {unknown}: use {', '.join(QUARTERS)} or all")
+        raise ValueError(f"invalid quarters {unknown}: use {', '.join(QUARTERS)}")
     return list(dict.fromkeys(asked))
 
 
 def year_list(years=None, start_year=None, end_year=None):
-    """Years in the order asked for, without repeats, or an inclusive range."""
-    if years:
-        items = years.replace(",", " ").split() if isinstance(years, str) else years
-        return list(dict.fromkeys(int(y) for y in items))
-    if start_year is None or end_year is None:
-        raise ValueError("give years, or both start_year and end_year")
-    if start_year > end_year:
-        raise ValueError("start_year must not be after end_year")
-    return list(range(start_year, end_year + 1))
+    """Years in the order asked for, without repeats, or those of an inclusive range."""
+    if not years:
+        if start_year is None or end_year is None or start_year > end_year:
+            raise ValueError("give years, or a start_year that is not after end_year")
+        years = range(start_year, end_year + 1)
+    return list(dict.fromkeys(years))
 
 
 def years_table(spark, years):

@@ -12,6 +12,7 @@ from ..operators.index import parse_index
 from ..operators.order import assign_part, first_batches, first_n
 from ..operators.outcomes import clean_pages, outcome_records, resolve_documents
 from ..operators.periods import pending
+from ..operators.summary import year_preview
 from ..schemas import FILING, FILING_ORDER, check_schema
 from ..session import work_path
 from ..sources.index_files import scan_index
@@ -41,14 +42,15 @@ def index_job(spark, source, target, fmt=None, recursive=False, layout="pattern"
     if not may_write(filings(numbered=layout == "fixed"), target, if_exists):
         return {"written": False}
     seen = Observation()
-    # An estimate needs one small buffer; an exact distinct count, a pass of its own.
     counted = (
         filings(numbered=True)
         .withColumn("cik", clean_cik(F.col("cik")))
-        .observe(seen, _rows("rows"), F.approx_count_distinct("sourcefile", 0.01).alias("sources"))
+        .observe(seen, _rows("rows"))
     )
     write_table(counted, target, fmt, if_exists, check=False)
-    return {"written": True, **seen.get}
+    # Counted exactly, over one column of what was written.
+    sources = scan_table(spark, target, fmt).select("sourcefile").distinct().count()
+    return {"written": True, **seen.get, "sources": sources}
 
 
 def annual_job(
@@ -67,13 +69,15 @@ def annual_job(
 
 
 def fetch_job(
-    spark, filings, responses, target, retry_limit=2, per_part=200, max_filings=0, if_exists="error"
-):
+    spark, filings, responses, target, retry_limit=2, per_part=200, max_filings=0, if_exists="error",
+    max_batches=0
+):
     """Annual filings with landed responses to outcome records, `per_part` successes a part.
 
     With `if_exists="append"` the run goes on where earlier ones stopped: filings that
     have a record at `target` are left out and new parts are numbered after the last.
-    `max_filings` stops after that many filings in order.
+    `max_batches` takes the first listings by name only, `max_filings` stops after that
+    many filings in order.
 
     The matched records are written once to the shared working folder: numbering the
     parts reads them twice, and a lost executor then costs a re-read, not the joins.
@@ -85,7 +89,7 @@ def fetch_job(
         return {"written": False}
     if if_exists == "error" and exists:
         raise ValueError(f"output exists: {target}")
-    annual, first_part = keep_annual_forms(filings), 0
+    annual, first_part = keep_annual_forms(first_batches(filings, max_batches)), 0
     if if_exists == "append" and exists:
         earlier = spark.read.parquet(target)
         annual = pending(annual, earlier, list(FILING_ORDER))
@@ -95,9 +99,11 @@ def fetch_job(
     matched = spark.read.parquet(staged)
     if matched.isEmpty():
         return {"written": False}
-    numbered = assign_part(
-        matched, "line_no", F.col("ok"), per_part, group="sourcefile", range_rows=4096
-    ).withColumn("part", F.col("part") + first_part)
+    # Only keys are numbered; the text is joined to its part afterwards.
+    keys = matched.select("sourcefile", "line_no", "ok")
+    parts = assign_part(keys, "line_no", F.col("ok"), per_part, group="sourcefile")
+    parts = parts.select("sourcefile", "line_no", (F.col("part") + first_part).alias("part"))
+    numbered = matched.join(parts, ["sourcefile", "line_no"], "left")
     seen = Observation()
     records = outcome_records(numbered).observe(
         seen,
@@ -113,16 +119,20 @@ def fetch_job(
 
 def documents_job(
     spark, filings, responses, target, ciks=None, years=None, all=False, stored=None,
-    retry_limit=5, by=("year",)
+    retry_limit=5, by=("year",), max_filings=0
 ):
     """Selected filings' main documents, added to the store at `target`.
 
-    Filings found in `stored` (key_cik, key_year, key_accession) are skipped. Returns
-    how many were stored, skipped and failed; nothing is done for an empty selection.
+    Filings found in `stored` (key_cik, key_year, key_accession) are skipped;
+    `max_filings` stops after that many of the selection in order. Returns how many were
+    selected, of how many companies, stored, skipped and failed, and the first years of
+    the selection; nothing is done for an empty one.
     """
-    selected = document_keys(select_filings(filings, ciks, years, all))
+    selected = document_keys(first_n(select_filings(filings, ciks, years, all), max_filings))
     if selected.isEmpty():
         return {"written": False}
+    summary = selected.agg(_rows("selected"), F.count_distinct("cik").alias("companies")).first()
+    preview = [r.year for r in year_preview(selected).orderBy("year").collect()]
     wanted, seen = selected, Observation()
     if stored is not None:
         wanted = pending(selected, stored, ["key_cik", "key_year", "key_accession"])
@@ -132,8 +142,11 @@ def documents_job(
     kept = found.filter("ok").drop("ok", "status", "key_cik", "key_year", "key_accession")
     write_documents(kept, target, by, "append", check=False)
     counts = seen.get
-    skipped = selected.count() - counts["ok"] - counts["fail"]
-    return {"written": True, "ok": counts["ok"], "skipped": skipped, "fail": counts["fail"]}
+    skipped = summary["selected"] - counts["ok"] - counts["fail"]
+    return {
+        "written": True, "ok": counts["ok"], "skipped": skipped, "fail": counts["fail"],
+        "selected": summary["selected"], "companies": summary["companies"], "years": preview,
+    }
 
 
 def clean_job(spark, pages, target, html="html", if_exists="error"):

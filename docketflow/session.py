@@ -53,11 +53,12 @@ def work_path(spark, label):
     return f"{root.rstrip('/')}/docketflow/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df):
-    """A scanned table over all cores, for costly work per row.
+def staged(df, label):
+    """`df` written once to the shared working folder and read again.
 
-    Only a scan with fewer partitions than cores, a small table in few files, is
-    shuffled; a large one is already split finely and passes unchanged.
+    What is computed from it reads files instead of computing again, also after an
+    executor is lost, and a join sees a plain scan, whose skew Spark can split.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

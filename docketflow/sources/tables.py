@@ -1,6 +1,6 @@
 """Reading and writing tables of filings, documents and parts."""
 
-from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions.urls import storage_key
@@ -23,27 +23,25 @@ def _format_of(path):
     raise ValueError(f"cannot tell the format of {path!r}: name it .csv or .parquet")
 
 
-def scan_table(spark, path, fmt=None):
+def scan_table(spark, path, fmt=None, multiline=True):
     """A table by its extension, or by `fmt`. CSV columns are all text, empty is null.
 
-    Both formats are splittable: Spark reads them in bounded pieces
-    (`spark.sql.files.maxPartitionBytes`), pruning columns and pushing filters down.
+    A CSV value may hold line breaks between quotes, so each CSV file is read by one
+    task. `multiline=False` says that none does: files are then read in bounded pieces
+    (`spark.sql.files.maxPartitionBytes`), as Parquet always is.
     """
     fmt = fmt or _format_of(path)
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "csv":
-        return spark.read.option("header", True).option("escape", '"').csv(path)
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
     raise ValueError(f"unknown format {fmt!r}: use 'csv' or 'parquet'")
 
 
 def output_exists(spark, path):
-    """True when there is something at `path`."""
-    try:
-        spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").load(path)
-    except AnalysisException:
-        return False
-    return True
+    """True when there is something at `path`; its file system is asked."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def may_write(df, path, if_exists="error"):
@@ -86,18 +84,19 @@ def write_table(df, path, fmt=None, if_exists="error", check=True):
 
 
 def write_parts(
-    df, path, rows_per_part=None, compression="snappy", if_exists="error", check=True
+    df, path, rows_per_part=None, compression="snappy", if_exists="error", check=True, folders=False
 ):
     """Write numbered parts; returns whether anything was written.
 
-    With a `part` column (see `assign_part`) each part becomes a folder
-    `part=000000` holding exactly its rows. Otherwise Spark numbers the files and
-    `rows_per_part` bounds their size. Neither moves rows: a part's rows already lie
-    together, and a part larger than one task is written by several.
+    Spark numbers the files and `rows_per_part` bounds their size; a `part` column (see
+    `assign_part`) is written like any other. With `folders=True` each part becomes a
+    folder `part=000000` that holds exactly its rows, which suits runs of some thousand
+    parts. Neither moves rows: a part's rows already lie together, and a part larger
+    than one task is written by several.
     """
     if check and not may_write(df, path, if_exists):
         return False
-    numbered = "part" in df.columns
+    numbered = folders and "part" in df.columns
     if numbered:
         df = df.withColumn("part", F.format_string("%06d", F.col("part")))
     writer = df.write.mode(_MODES[if_exists]).option("compression", compression)
@@ -185,7 +184,8 @@ def compact(spark, source, target, compression="snappy", if_exists="error"):
     Parts must agree in schema: it is merged over all parts, and types that do not fit
     together fail before anything is written. File sizes follow
     `spark.sql.adaptive.advisoryPartitionSizeInBytes`; no single task writes it all.
-    Returns False, writing nothing, when there are no rows.
+    Returns the number of rows; with none, or an output to be left alone, nothing is
+    written.
     """
     parts = (
         spark.read.option("recursiveFileLookup", True)
@@ -194,8 +194,9 @@ def compact(spark, source, target, compression="snappy", if_exists="error"):
         .parquet(source)
     )
     if not may_write(parts, target, if_exists):
-        return False
-    parts.hint("rebalance").write.mode(_MODES[if_exists]).option(
+        return 0
+    seen = Observation()
+    parts.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n")).write.mode(_MODES[if_exists]).option(
         "compression", compression
     ).parquet(target)
-    return True
+    return seen.get["n"]

@@ -6,7 +6,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import docketflow as d
-from docketflow.fixed import LINE_PATTERN
 
 
 def line(name, form, cik, date, path):
@@ -103,12 +102,36 @@ def test_missing_folder_is_an_error(spark, tmp_path):
         d.scan_index(spark, str(tmp_path / "none"))
 
 
-def test_a_file_lost_after_listing_is_skipped(spark, tmp_path):
+def test_a_file_lost_after_listing(spark, tmp_path):
     for n in (1, 2):
         write_listing(tmp_path, f"2020_QTR{n}_company.idx", ["a", "b"])
     scanned = d.scan_index(spark, str(tmp_path))
+    passing = d.scan_index(spark, str(tmp_path), skip_unreadable=True)
     (tmp_path / "2020_QTR1_company.idx").unlink()
-    assert {r.sourcefile for r in scanned.collect()} == {"2020_QTR2_company.idx"}
+    assert {r.sourcefile for r in passing.collect()} == {"2020_QTR2_company.idx"}
+    with pytest.raises(Exception, match="does not exist"):
+        scanned.collect()
+
+
+def test_a_file_cut_by_a_fault_is_left_out_whole(spark, tmp_path):
+    lines = [f"row {i}" for i in range(2000)]
+    write_listing(tmp_path, "plain.idx", lines)
+    write_listing(tmp_path, "2020_QTR1_company.idx", ["a", "b"])
+    # The file system keeps checksums of what it copies, and so notices the fault.
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(str(tmp_path)).getFileSystem(spark._jsc.hadoopConfiguration())
+    bad = tmp_path / "bad.idx"
+    files.copyFromLocalFile(path(str(tmp_path / "plain.idx")), path(str(bad)))
+    data = bytearray(bad.read_bytes())
+    data[-700] ^= 1
+    bad.write_bytes(bytes(data))
+    found = d.unreadable_files(spark, str(tmp_path)).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in found] == ["bad.idx"]
+    assert found[0].bytes == len(data) > found[0].bytes_read
+    kept = d.scan_index(spark, str(tmp_path), skip_unreadable=True).groupBy("sourcefile").count()
+    assert {r.sourcefile: r["count"] for r in kept.collect()} == {"plain.idx": 2000, "2020_QTR1_company.idx": 2}
+    with pytest.raises(Exception, match="[Cc]hecksum"):
+        d.scan_index(spark, str(tmp_path)).collect()
 
 
 def test_line_numbers_across_splits_and_breaks(spark, tmp_path):
@@ -155,6 +178,10 @@ LINES = st.lists(
 )
 
 
+# What a listing line looks like: name, form, company id, date, path.
+LINE_PATTERN = r"^(.+?)\s{2,}(\S+)\s+(\d+)\s+(\d{4}-\d{2}-\d{2})\s+(.+)$"
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(LINES)
 def test_fast_pattern_equals_plain_pattern(spark, lines):

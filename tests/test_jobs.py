@@ -103,10 +103,15 @@ def test_documents_job(spark, tables, tmp_path):
     responses = spark.createDataFrame(landed, d.RESPONSE)
     store = str(tmp_path / "store")
     counts = d.documents_job(spark, filings, responses, store, ciks=["1", "7"])
-    assert counts == {"written": True, "ok": 2, "skipped": 0, "fail": 2}
+    assert {k: counts[k] for k in ("written", "ok", "skipped", "fail", "selected", "companies")} == {
+        "written": True, "ok": 2, "skipped": 0, "fail": 2, "selected": 4, "companies": 2,
+    }
+    assert counts["years"] == sorted(set(counts["years"])) != []
     done = d.scan_documents(spark, store, columns=None).toDF("key_cik", "key_year", "key_accession")
     counts = d.documents_job(spark, filings, responses, store, all=True, stored=done)
-    assert counts == {"written": True, "ok": 4, "skipped": 2, "fail": 2}
+    assert (counts["ok"], counts["skipped"], counts["fail"], counts["selected"]) == (4, 2, 2, 8)
+    counts = d.documents_job(spark, filings, responses, str(tmp_path / "few"), all=True, max_filings=3)
+    assert counts["selected"] == 3
     assert d.documents_job(spark, filings, responses, store, ciks=["99"]) == {"written": False}
     bodies = {r.accession: r.body for r in d.scan_documents(spark, store).collect()}
     assert bodies == {f"{q}-{i}": f"<p>{q}-{i}</p>" for q in (1, 2) for i in (1, 3, 5)}

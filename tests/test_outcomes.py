@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import docketflow as d
-from docketflow.operators.skew import filtering_join, hot_keys
+from docketflow.operators.joins import filtering_join
 
 from .plans import physical
 
@@ -27,6 +27,10 @@ def test_attempts(spark):
     assert resolved(spark, tries, retry_limit=0) == (None, None, None, False)
     assert resolved(spark, [(1, 200, ""), (2, 404, None)]) == (2, 404, None, False)
     assert resolved(spark, [(1, 200, ""), (2, 200, "z")]) == (2, 200, "z", True)
+    # Error pages have bodies too: they neither win nor count as text.
+    busy = [(1, 503, "<p>busy</p>"), (2, 200, "<p>real</p>")]
+    assert resolved(spark, busy) == (2, 200, "<p>real</p>", True)
+    assert resolved(spark, [(1, 404, "<p>no</p>")]) == (1, 404, None, False)
     early = resolved(spark, [(1, 200, ""), (2, 200, "z")], wins="status")
     assert early == (1, 200, "", False)
     assert resolved(spark, [(1, 200, "b"), (1, 200, "a")]) == (1, 200, "a", True)
@@ -63,13 +67,14 @@ LANDED = [
     ("Archives/edgar/data/1/d1.txt", 2, 200, "<p>one</p>"),
     ("Archives/edgar/data/1/d2.txt", 1, 404, None),
     ("Archives/edgar/data/1/d3.txt", 1, 200, ""),
-    ("Archives/edgar/data/2/i1/index.html", 1, 200, INDEX.format('<a href="/Archives/x.htm">')),
+    ("Archives/edgar/data/2/i1/index.html", 1, 200, "<p>come back</p>"),
+    ("Archives/edgar/data/2/i1/index.html", 2, 200, INDEX.format('<a href="/Archives/x.htm">')),
     ("Archives/x.htm", 1, 200, "<p>two</p>"),
-    ("Archives/edgar/data/2/i2/index.html", 1, 500, None),
+    ("Archives/edgar/data/2/i2/index.html", 1, 500, "<p>error</p>"),
     ("Archives/edgar/data/2/i3/index.html", 1, 200, "<p>moved</p>"),
     ("Archives/edgar/data/2/i4/index.html", 1, 200, INDEX.format('<a href="/Archives/x.pdf">')),
     ("Archives/edgar/data/2/i5/index.html", 1, 200, INDEX.format('<a href="/Archives/y.htm">')),
-    ("Archives/y.htm", 1, 403, None),
+    ("Archives/y.htm", 1, 403, "<p>no</p>"),
 ]
 
 
@@ -135,25 +140,32 @@ def test_pending(spark):
     assert sorted((r.k, r.v or "") for r in left) == [(1, "b"), (2, "")]
 
 
-def test_a_hot_address_is_dealt_over_tasks(spark, responses, tmp_path):
+@pytest.fixture
+def splitting(spark):
+    """Adaptive execution that splits already small partitions, without broadcasts."""
+    settings = {
+        "autoBroadcastJoinThreshold": "-1", "adaptive.coalescePartitions.enabled": "false",
+        "shuffle.partitions": "16", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "adaptive.advisoryPartitionSizeInBytes": "16k", "adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set("spark.sql." + key, value)
+    yield
+    for key in settings:
+        spark.conf.unset("spark.sql." + key)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_hot_address_is_split_over_tasks(spark, responses, splitting):
     """A third of all filings share one index page, a third have no usable path."""
     name = (
         "case id % 3 when 0 then 'edgar/data/2/i1' when 1 then 'a/b' "
         "else concat('edgar/data/3/n', id, '.txt') end as filename"
     )
     filings = spark.range(0, 90_000, 1, 12).selectExpr(name, "id as line_no")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
-    try:
-        found = d.resolve_documents(filings, responses).withColumn("task", F.spark_partition_id())
-        rows = found.groupBy("task", "status").count().collect()
-    finally:
-        for key in ("autoBroadcastJoinThreshold", "adaptive.coalescePartitions.enabled"):
-            spark.conf.unset("spark.sql." + key)
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    found = d.resolve_documents(filings, responses).withColumn("task", F.spark_partition_id())
     totals, per_task = Counter(), Counter()
-    for r in rows:
+    for r in found.groupBy("task", "status").count().collect():
         totals[r.status] += r["count"]
         per_task[r.task] += r["count"]
     assert totals == {
@@ -163,44 +175,28 @@ def test_a_hot_address_is_dealt_over_tasks(spark, responses, tmp_path):
     assert max(per_task.values()) < 30_000
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 10_000])
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
-def test_filtering_join_with_hot_keys(spark, hot_rows, how):
+def test_filtering_join(spark, how):
     rows = [("hot", i) for i in range(50)] + [("cold", 0), ("b", 1), (None, 2), (None, 3)]
     left = spark.createDataFrame(rows, "k string, n int")
     right = spark.createDataFrame([("hot",)] * 20 + [("b",), (None,), ("zz",)], "k string")
-    got = filtering_join(left, right, ["k"], how, hot_rows)
+    got = filtering_join(left, right, ["k"], how)
     kept = [r for r in rows if (r[0] in ("hot", "b")) == (how == "left_semi")]
     assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, kept))
     assert got.columns == left.columns
 
 
-def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 25 + [("b",)] * 10 + [(None,)] * 99, "k string")
-    assert [tuple(r) for r in hot_keys(df, ["k"], 10).collect()] == [("a", 3)]
-
-
-def test_bodies_are_shuffled_once(spark, responses, tmp_path):
-    path = str(tmp_path / "responses")
-    responses.write.parquet(path)
-    filings = spark.createDataFrame([("a/b",)], "filename string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = physical(d.resolve_documents(filings, spark.read.parquet(path)).select("body"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    lines = [n for n in plan.splitlines() if re.match(r"[ :+-]*[A-Z][A-Za-z]+(\(| )", n)]
-    pages = [i for i, n in enumerate(lines) if "partial_min" in n and "__piece" in n.split("]")[0]]
-    assert len(pages) == 1
-    # From the documents' partial aggregate up to the join there is one exchange.
-    last = pages[-1]
-    depth = lines[last].index("SortAggregate")
-    above = []
-    for line in reversed(lines[:last]):
-        at = next(i for i, ch in enumerate(line) if ch.isalpha())
-        if at < depth:
-            above.append(line.strip(" :+-"))
-            depth = at
-        if "SortMergeJoin" in line:
-            break
-    assert sum("Exchange" in line for line in above) == 1
+def test_equal_rows_of_one_key_are_split_over_tasks(spark, splitting):
+    left = spark.range(0, 100_000, 1, 20).selectExpr("'same' as k", "7 as n")
+    right = spark.range(0, 3000, 1, 4).selectExpr("cast(id as string) as k")
+    kept = filtering_join(left, right, ["k"], "left_anti").withColumn("task", F.spark_partition_id())
+    per_task = [r["count"] for r in kept.groupBy("task").count().collect()]
+    assert sum(per_task) == 100_000 and len(per_task) > 3
+
+
+def test_filtering_join_shuffles_its_left_side_once(spark, splitting, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("cast(id as string) as k", "id as n").write.parquet(path)
+    right = spark.range(5).selectExpr("cast(id as string) as k", "id as other")
+    plan = physical(filtering_join(spark.read.parquet(path), right, ["k"], "left_semi"))
+    assert plan.count("Exchange hashpartitioning") == 2 and "other" not in plan

@@ -67,18 +67,28 @@ def test_parts_by_size(spark, tmp_path):
 def test_numbered_parts(spark, tmp_path):
     path = str(tmp_path / "parts")
     numbered = spark.range(10).withColumn("part", F.expr("id div 4"))
-    d.write_parts(numbered, path)
+    d.write_parts(numbered, path, folders=True)
     assert {p.name for p in (tmp_path / "parts").iterdir() if p.is_dir()} == {
         "part=000000", "part=000001", "part=000002",
     }
     assert spark.read.parquet(path + "/part=000001").count() == 4
 
 
+def test_csv_keeps_line_breaks_and_kinds(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    rows = [("a\nb", 1), ('say "x",\r\ny', 2), (" p ", 3)]
+    d.write_table(spark.createDataFrame(rows, "s string, n int"), path)
+    got = sorted((r.s, r.n) for r in d.scan_table(spark, path).collect())
+    assert [n for _, n in got] != [] and {s.replace("\r\n", "\n") for s, _ in got} == {
+        s.replace("\r\n", "\n") for s, _ in rows
+    }
+
+
 def test_compact(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     d.write_parts(spark.range(0, 1000, 1, 20).withColumn("part", F.expr("id div 100")), source)
     assert d.list_parts(spark, source).count() == 20
-    assert d.compact(spark, source, target, compression="gzip")
+    assert d.compact(spark, source, target, compression="gzip") == 1000
     assert d.list_parts(spark, target).count() < 20
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == list(range(1000))
 
