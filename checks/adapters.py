@@ -6,6 +6,7 @@ join by key). `FILINGS_SQL` is the same recasting for the SQL checks.
 
 from pyspark.sql import functions as F
 
+from docketflow.functions.urls import accession_parts
 from docketflow.session import work_path
 
 FILINGS_SQL = """
@@ -252,7 +253,7 @@ def asked_filings(spark, sf_dir):
     )
 
 
-def landed_responses(spark, sf_dir):
+def landed_responses(spark, sf_dir, rule="B"):
     """Responses to the addresses of all filings: up to two attempts per address.
 
     Errors come with a page of their own. The price decides what happens: below 50,000 the first address answers 503 then
@@ -261,20 +262,23 @@ def landed_responses(spark, sf_dir):
     landed; above 400,000 a linked document answers 500 twice.
     """
     base = order_filings(spark, sf_dir)
+    by_index = F.lit(rule == "A")
     price, key = F.col("o_totalprice"), _text("o_orderkey")
-    direct = F.col("filename").endswith(".txt")
+    direct = F.col("filename").endswith(".txt") & ~by_index
     site = "https://www.sec.gov/Archives/"
     link = F.concat(F.lit("/Archives/edgar/data/"), F.col("cik"), F.lit("/"), key, F.lit(".htm"))
     document = F.concat(F.lit("<body>Order <b>"), key, F.lit("</b></body>"))
     listing = F.when(F.col("o_orderpriority") == "5-LOW", "<p>moved</p>").otherwise(
         F.concat(
-            F.lit('<table class="tableFile"><tr><td><a href="/index.htm">i</a></td></tr>'),
+            F.lit('<table class="tableFile"><tr><td><a href="/x-index.htm">i</a></td></tr>'),
             F.lit('<tr><td><a href="'), link, F.lit('">d</a></td></tr></table>'),
         )
     )
     first_url = F.concat(
         F.lit(site), F.col("filename"), F.when(direct, "").otherwise("/index.html")
     )
+    if rule == "A":
+        first_url = accession_parts(F.col("filename"))["index_url"]
 
     def response(url, attempt, code, body):
         return F.struct(
@@ -285,7 +289,8 @@ def landed_responses(spark, sf_dir):
         )
 
     # Some index pages come without their table at first.
-    early = F.when(price < 150000, "<p>come back</p>").otherwise(listing)
+    # Rule A takes the first page answered.
+    early = F.when((price < 150000) & ~by_index, "<p>come back</p>").otherwise(listing)
     first_body = F.when(direct, document).otherwise(listing)
     doc_url = F.concat(F.lit("https://www.sec.gov"), link)
     doc_code = F.when(price > 400000, 500).otherwise(200)

@@ -87,14 +87,18 @@ def scan_parquet(spark, sf_dir):
 
 @query(
     """
-select cast(event_id as varchar) as event_id, event_type, props from events
+select cast(event_id as varchar) as event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, user_id::varchar as user_id,
+  event_type, printf('%.6e', value) as value, props from events
 """,
     ctes=None,
 )
 def sink_roundtrip_csv(spark, sf_dir):
     path = work_path(spark, "events")
-    d.write_table(a.table(spark, sf_dir, "events").select("event_id", "event_type", "props"), path, "csv")
-    return d.scan_table(spark, path, "csv")
+    d.write_table(a.table(spark, sf_dir, "events"), path, "csv")
+    # Numbers and times are compared in one notation; the text read back holds their value.
+    value = F.format_string("%.6e", F.col("value").cast("double"))
+    ts = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return d.scan_table(spark, path, "csv").withColumns({"value": value, "ts": ts})
 
 
 @query("select doc_id, text, lang, source, n_chars from documents", ctes=None)
@@ -184,7 +188,8 @@ def write_documents(spark, sf_dir):
 select y.pos, y.year, q.quarter, concat(y.year, '_', q.quarter, '_company.idx') as filename,
   concat('https://www.sec.gov/Archives/edgar/full-index/', y.year, '/', q.quarter,
     '/company.idx') as url
-from (select cast(year(l_shipdate) as integer) as year, min(l_orderkey) as pos
+from (select case when l_partkey % 3 = 0 then cast(year(l_shipdate) as integer)
+        else cast(1000 + l_partkey % 900 as integer) end as year, min(l_orderkey) as pos
       from lineitem group by 1) y,
   (values ('QTR1'), ('QTR2'), ('QTR3'), ('QTR4')) q(quarter)
 where not exists (
@@ -193,7 +198,9 @@ where not exists (
 )
 def plan_periods(spark, sf_dir):
     shipped = a.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("pos"), F.year("l_shipdate").alias("year")
+        F.col("l_orderkey").alias("pos"),
+        F.when(F.col("l_partkey") % 3 == 0, F.year("l_shipdate"))
+        .otherwise(F.col("l_partkey") % 900 + 1000).alias("year"),
     )
     landed = a.filings(spark, sf_dir).select(F.col("sourcefile").alias("filename"))
     return d.plan_periods(shipped, None, landed)
@@ -489,15 +496,10 @@ def document_keys(spark, sf_dir):
     return d.document_keys(filed).select("o_orderkey", "key_cik", "key_year", "key_accession")
 
 
-@query("select company_name, form_type, date_filed from a1")
+@query(f"select {FILING_COLUMNS} from a1")
 def snake_columns(spark, sf_dir):
-    return d.snake_columns(
-        a.filings(spark, sf_dir).select(
-            F.col("company_name").alias("Company Name"),
-            F.col("form_type").alias("Form Type"),
-            F.col("date_filed").alias("Date Filed"),
-        )
-    )
+    spoken = a.filings(spark, sf_dir)
+    return d.snake_columns(spoken.toDF(*[c.replace("_", " ").title() for c in spoken.columns]))
 
 
 # Element by element, as this engine's patterns have no back-references.
@@ -653,6 +655,48 @@ def resolve_documents(spark, sf_dir):
     return found.select("o_orderkey", "status", "filing_url", "ok", "body")
 
 
+_RESOLVED_A_SQL = """
+select o_orderkey,
+  case when o_orderstatus = 'P' then null when o_totalprice > 480000 then '⚠️ Exception: no response landed'
+    when o_totalprice < 50000 then '❌ Index fetch failed: 404'
+    when o_orderpriority = '5-LOW' then '⚠️ No document table found'
+    when o_totalprice > 400000 then '❌ Filing fetch failed: 500' else '✅ Success (index)' end as status,
+  case when o_orderstatus <> 'P' and o_totalprice between 50000 and 480000 and o_orderpriority <> '5-LOW'
+    then concat('https://www.sec.gov/Archives/edgar/data/', cik, '/', o_orderkey, '.htm') end as filing_url,
+  o_orderstatus <> 'P' and o_totalprice between 50000 and 400000 and o_orderpriority <> '5-LOW' as ok,
+  case when o_orderstatus <> 'P' and o_totalprice between 50000 and 400000 and o_orderpriority <> '5-LOW'
+    then concat('<body>Order <b>', o_orderkey, '</b></body>') end as body
+from a1
+"""
+
+
+@query(_RESOLVED_A_SQL)
+def resolve_documents_a(spark, sf_dir):
+    found = d.resolve_documents(
+        a.asked_filings(spark, sf_dir), a.landed_responses(spark, sf_dir, rule="A"), rule="A", retry_limit=5
+    )
+    return found.select("o_orderkey", "status", "filing_url", "ok", "body")
+
+
+@query(
+    f"""
+select count(*) as selected, count(distinct cik) as companies, count(*) filter (where ok) as ok,
+  count(*) filter (where not ok) as fail, cast(0 as bigint) as skipped,
+  array_to_string((select list(year order by year) from (select distinct cast(year as varchar) as year from a1 where {ANNUAL}
+    order by year limit 10)), ' ') as years
+from a1 join ({_RESOLVED_A_SQL}) using (o_orderkey) where {ANNUAL}
+"""
+)
+def documents_run(spark, sf_dir):
+    counts = d.documents_job(
+        spark, a.asked_filings(spark, sf_dir), a.landed_responses(spark, sf_dir, rule="A"),
+        work_path(spark, "store"), all=True,
+    )
+    row = {**counts, "years": " ".join(str(y) for y in counts["years"])}
+    kinds = "selected bigint, companies bigint, ok bigint, fail bigint, skipped bigint, years string"
+    return spark.createDataFrame([tuple(row[k.split()[0]] for k in kinds.split(", "))], kinds)
+
+
 _FETCHED_SQL = f"""
 select company_name, upper(form_type) as form_type, cik, date_filed, filename, year, quarter,
   sourcefile, line_no, case when ok then '✅ Success' else status end as status, filing_url, body as filing_text,
@@ -748,13 +792,15 @@ def year_preview(spark, sf_dir):
 
 @query(
     f"""
-select count(*) as rows_in, count(*) filter (where {ANNUAL} and dated) as rows_out, true as written from a1
+select count(*) as rows_in, count(*) filter (where {ANNUAL} and dated) as rows_out, true as written,
+  cast(ceil(count(*) filter (where {ANNUAL} and dated) / 500.0) as bigint) as parts from a1
 """
 )
 def run_summary(spark, sf_dir):
-    source = _staged(spark, a.filings(spark, sf_dir), "filings")
-    counts = d.annual_job(spark, source, work_path(spark, "annual"), fmt="parquet")
-    return spark.createDataFrame([counts], "rows_in bigint, rows_out bigint, written boolean")
+    # One file in, so that the parts follow from the rows alone.
+    source = _staged(spark, a.filings(spark, sf_dir).repartition(1), "filings")
+    counts = d.annual_job(spark, source, work_path(spark, "annual"), fmt="parquet", rows_per_part=500)
+    return spark.createDataFrame([counts], "rows_in bigint, rows_out bigint, written boolean, parts bigint")
 
 
 _ATTEMPT_SQL = """
@@ -848,6 +894,20 @@ def assign_part_by_file(spark, sf_dir):
     return numbered.select("sourcefile", "line_no", "part")
 
 
+@query(
+    """
+select event_id * 922337203685 - 4611686018427387000 as position,
+  row_number() over (partition by event_type order by event_id) - 1 as row_index
+from events
+""",
+    ctes=None,
+)
+def row_index_sparse(spark, sf_dir):
+    position = F.col("event_id") * 922337203685 - 4611686018427387000
+    events = a.table(spark, sf_dir, "events").select("event_type", position.alias("position"))
+    return d.row_index(events, "event_type", "position").select("position", "row_index")
+
+
 @query(
     "select filing_key, attempt, status_code, body, ok from resolved",
     ctes=ATTEMPTS_SQL + _ATTEMPT_SQL,

@@ -4,7 +4,7 @@ Spark has no row order and a window without partitions moves every row into one
 task; a window per source file moves a large file's rows into one task. Running
 totals here are hierarchical: rows fall into fixed-size ranges of their order
 column, each range is summed on its own, and only the range sums (themselves summed
-in ranges) are carried forward. No task holds more than one range, whatever the skew.
+in ranges, and so on) are carried forward. No task holds more than one range, whatever the skew.
 """
 
 from pyspark.sql import Window as W
@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ..schemas import FILING_ORDER
 
 RANGE_ROWS = 16_384
-_LEVELS = 2
+# So many levels leave some hundred entries per group on top for any 64-bit positions,
+# however sparse; fewer do for 32 bits.
+_LEVELS = {"int": 2, "bigint": 4}
 
 
 def running_total(df, value, order, out, group=None, restart=True, range_rows=RANGE_ROWS):
@@ -26,20 +28,24 @@ def running_total(df, value, order, out, group=None, restart=True, range_rows=RA
     """
     df = df.withColumn("__value", value.cast("bigint"))
     key = F.coalesce(F.col(group).cast("string"), F.lit("\0")) if group else F.lit("")
-    summed = _before(df.withColumn("__group", key), order, out, restart, range_rows, _LEVELS)
+    levels = _LEVELS.get(df.schema[order].dataType.simpleString(), 4)
+    summed = _before(df.withColumn("__group", key), order, out, restart, range_rows, levels)
     return summed.drop("__value", "__group")
 
 
 def _before(df, order, out, restart, range_rows, levels):
     before = (W.unboundedPreceding, -1)
     if levels == 0:
-        # One entry per range of ranges: some thousands for a trillion rows.
+        # One entry per group and topmost range.
         spec = W.partitionBy("__group") if restart else W.partitionBy()
         total = F.sum("__value").over(spec.orderBy("__group", order).rowsBetween(*before))
         return df.withColumn(out, F.coalesce(total, F.lit(0)))
     bucket = f"__range{levels}"
     ranged = df.withColumn(bucket, F.expr(f"`{order}` div {range_rows}"))
     placed = ranged.filter(F.col(bucket).isNotNull())
+    # Rows without a position get no number; they stay with the task that has read them.
+    apart = F.lit(-(1 << 63)) + F.spark_partition_id()
+    ranged = ranged.withColumn(bucket, F.coalesce(bucket, apart))
     sums = placed.groupBy("__group", bucket).agg(F.sum("__value").alias("__value"))
     start = f"__start{levels}"
     starts = _before(sums, bucket, start, restart, range_rows, levels - 1)

@@ -14,7 +14,7 @@ from ..operators.outcomes import clean_pages, outcome_records, resolve_documents
 from ..operators.periods import pending
 from ..operators.summary import year_preview
 from ..schemas import FILING, FILING_ORDER, check_schema
-from ..session import work_path
+from ..session import staged
 from ..sources.index_files import scan_index
 from ..sources.tables import (
     document_keys,
@@ -94,9 +94,9 @@ def fetch_job(
         earlier = spark.read.parquet(target)
         annual = pending(annual, earlier, list(FILING_ORDER))
         first_part = earlier.agg(F.max("part").cast("bigint")).first()[0] + 1
-    staged = work_path(spark, "outcomes")
-    resolve_documents(first_n(annual, max_filings), responses, "B", retry_limit).write.parquet(staged)
-    matched = spark.read.parquet(staged)
+    matched = staged(
+        resolve_documents(first_n(annual, max_filings), responses, "B", retry_limit), "outcomes"
+    )
     if matched.isEmpty():
         return {"written": False}
     # Only keys are numbered; the text is joined to its part afterwards.
@@ -133,15 +133,14 @@ def documents_job(
         return {"written": False}
     summary = selected.agg(_rows("selected"), F.count_distinct("cik").alias("companies")).first()
     preview = [r.year for r in year_preview(selected).orderBy("year").collect()]
-    wanted, seen = selected, Observation()
+    wanted = selected
     if stored is not None:
         wanted = pending(selected, stored, ["key_cik", "key_year", "key_accession"])
-    found = resolve_documents(wanted, responses, "A", retry_limit).observe(
-        seen, F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail")
-    )
+    # Written once, to be counted over one column and stored.
+    found = staged(resolve_documents(wanted, responses, "A", retry_limit), "matched")
+    counts = found.agg(F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail")).first()
     kept = found.filter("ok").drop("ok", "status", "key_cik", "key_year", "key_accession")
     write_documents(kept, target, by, "append", check=False)
-    counts = seen.get
     skipped = summary["selected"] - counts["ok"] - counts["fail"]
     return {
         "written": True, "ok": counts["ok"], "skipped": skipped, "fail": counts["fail"],

@@ -70,10 +70,13 @@ def write_table(df, path, fmt=None, if_exists="error", check=True):
         return False
     writer = df.write.mode(_MODES[if_exists])
     if fmt == "csv":
-        # The writer would otherwise strip the white space around values.
+        # The writer would otherwise strip the white space around values, and times of
+        # what is below a millisecond.
         (
             writer.option("header", True)
             .option("escape", '"')
+            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
             .csv(path)
