@@ -176,7 +176,8 @@ def attempt_outcomes(attempts_resolved):
 def index_pages(spark, sf_dir):
     """Line items as index pages, one page each, with the columns they came from.
 
-    A page has a decoy table in a comment, a link outside the table, a heading row and
+    A page has a decoy table in a comment, a link outside the table, a heading row with a
+    table inside and
     two document rows; the second may hold two links. Tax-free items have no table.
     """
     part, supp, line = _text("l_partkey"), _text("l_suppkey"), _text("l_linenumber")
@@ -201,7 +202,7 @@ def index_pages(spark, sf_dir):
         F.lit('<html><body><!-- <table class="tableFile"><tr><td><a href="/no.htm"></a> -->'),
         F.lit("<a href='/z.htm'>out</a><TABLE summary=\"Files\" CLASS="),
         F.when(F.col("l_tax") == 0, '"blueRibbon">').otherwise('"wide tableFile">'),
-        F.lit("<tr><th>Seq</th><th>Text</th><th>Document</th><th>Type</th></tr>\n<tr><td>1</td>"),
+        F.lit("<tr><th>Seq</th><th>Text</th><th>Document</th><th>Type<table><tr><td>n</td></tr></table></th></tr>\n<tr><td>1</td>"),
         F.lit('<td>main</td><td><a class="d" href="'), folder, part, F.lit("-"), line, ext1,
         F.lit('">doc</a></td>'),
         F.when(F.col("l_linenumber") == 7, "").otherwise(

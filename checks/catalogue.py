@@ -531,7 +531,9 @@ from decoded
 @query(_CLEAN_SQL, ctes=None)
 def clean_pages(spark, sf_dir):
     pages = a.table(spark, sf_dir, "pages").select("page_id", "html").repartition(a.PIECES)
-    return d.clean_pages(pages).select("page_id", "cleaned_text")
+    # What is inside a menu does not count, another menu included.
+    nested = F.replace("html", F.lit("<nav>"), F.lit("<nav>a<nav class='b'>b</nav>c<header>d</header>"))
+    return d.clean_pages(pages.withColumn("html", nested)).select("page_id", "cleaned_text")
 
 
 # --- filters ----------------------------------------------------------------------

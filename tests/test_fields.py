@@ -131,3 +131,17 @@ def test_plan_periods(spark):
     plan = d.plan_periods(years, ["QTR2", "QTR1"], landed).orderBy("pos", "quarter").collect()
     assert [(r.year, r.quarter) for r in plan] == [(2021, "QTR1"), (2020, "QTR1"), (2020, "QTR2")]
     assert plan[0].url == "https://www.sec.gov/Archives/edgar/full-index/2021/QTR1/company.idx"
+
+
+def test_layouts_of_dates(spark):
+    given = [
+        "2020/02/03", "February 3, 2020", "3 Feb 2020", "03-Feb-2020", "2020-02-03T10:00:00Z", "2020-02-03 10:00:00+05:30",
+        "2/3/20", "2/3/98", "2020-02", "Febuary 3, 2020", "13/13/20", "3 Foo 2020",
+    ]
+    got = [str(v) if v else None for v in apply(spark, d.parse_date, given)]
+    assert got == ["2020-02-03"] * 7 + ["1998-02-03", "2020-02-01", None, None, None]
+
+
+def test_only_plain_numbers_are_years(spark):
+    given = ["2020", " 2020.0 ", "2.02e3", "2020d", "2020f", "0x1p3", "NaN", "Infinity", "", None]
+    assert apply(spark, d.coerce_year, given) == [2020, 2020, 2020] + [None] * 7

@@ -292,3 +292,24 @@ def test_filters_do_not_repeat_the_cleaning(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     kept = d.clean_pages(pages).filter(F.length("cleaned_text") > 3).select("page_id")
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("array_join(filter") == 1
+
+
+def test_elements_inside_others_of_their_name(spark):
+    pages = [
+        "<body>a<nav>x<nav>y</nav>z</nav>b</body>", "<body><header><header><header>1</header>2</header>3</header>c</body>",
+        "<body>a<nav>x<script>'</nav>'</script><nav>y</nav>z", "<body>p<nav>q<b>r</b></nav>s",
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    got = [r.cleaned_text for r in d.clean_pages(df).orderBy("i").collect()]
+    assert got == ["a\nb", "c", "a", "p\ns"]
+
+
+def test_tables_inside_the_document_table(spark):
+    html = (
+        '<table class="tableFile"><tr><th>h<table><tr><td>n</td></tr></table></th></tr>'
+        "<tr><td>1</td><td>t</td><td><a href='/d.htm'>d</a></td><td>10-K</td></tr></table><a href=/late.htm>l</a>"
+    )
+    df = spark.createDataFrame([(html,)], "html string")
+    for rule in "AB":
+        r = d.pick_document(df, rule=rule).first()
+        assert (r.href, r.has_table) == ("/d.htm", True)
