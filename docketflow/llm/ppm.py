@@ -44,8 +44,9 @@ ORDER = 5
 ESCAPE = 0.3
 END = 256
 SYMBOLS = 257
-#: Buckets of contexts; as many more hold words.
-BUCKETS = 256
+#: Buckets of contexts; as many more hold words. A bucket's counts must fit in a task:
+#: take more where a corpus has more than some hundred million different contexts.
+BUCKETS = 64
 
 
 def _mask(order: int) -> np.uint64:
@@ -69,16 +70,19 @@ def events(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     The context fills the upper bytes, its last byte lowest; before a text there are zeros.
     """
     n = len(offsets) - 1
-    symbol = np.empty(len(text) + n, np.uint64)
+    symbol = np.empty(len(text) + n, np.uint16)
     ends = offsets[1:] + np.arange(n)
     symbol[np.arange(len(text)) + np.repeat(np.arange(n), np.diff(offsets))] = text
     symbol[ends] = END
     first = np.append(offsets[:-1] + np.arange(n), len(symbol))
-    place = np.arange(len(symbol)) - np.repeat(first[:-1], np.diff(first))
-    key = symbol.copy()
+    key = symbol.astype(np.uint64)
     for k in range(1, ORDER + 1):
-        before = symbol[:-k] << np.uint64(9 + 8 * (k - 1))
-        before[place[k:] < k] = 0
+        before = symbol[:-k].astype(np.uint64)
+        before <<= np.uint64(9 + 8 * (k - 1))
+        # The first k symbols of a text have nothing of it that far before them.
+        for j in range(k):
+            at = first[:-1] + j - k
+            before[at[(at >= 0) & (at + k < first[1:])]] = 0
         key[k:] |= before
     return key, first
 
@@ -149,6 +153,7 @@ class _Block:
         text, at = canonical(data, self.starts, self.ends, self.first)
         keys, self.event_first = events(text, at)
         self.event, self.keys = pd.factorize(keys)
+        self.event = self.event.astype(np.int32)
         self.events = [(start, at[np.argsort(self.keys[at])]) for start, at in blocks.in_buckets(bucket_of(self.keys))]
         hashes = kernel.span_hashes(data, self.starts, self.ends)
         self.word, self.hashes = pd.factorize(hashes)
