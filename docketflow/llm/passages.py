@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 
 from . import blocks, kernel
 
-BUCKETS = 256
+#: Buckets of hashes; a bucket's distinct ones must fit in a task.
+BUCKETS = 64
 _LAST = np.iinfo(np.int64).max
 
 
