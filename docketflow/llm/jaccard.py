@@ -309,16 +309,12 @@ def _tokens(df: DataFrame, candidates: DataFrame, text: str, words: int) -> Data
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of sets that link."""
 
-    def read(row: dict, side: str) -> np.ndarray:
-        low = np.frombuffer(row[f"low_{side}"], "<u4").astype(np.uint64)
-        return low | np.frombuffer(row[f"high_{side}"], "<u2").astype(np.uint64) << np.uint64(32)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                x, y = read(row, "a"), read(row, "b")
+                x, y = _read(row, "_a"), _read(row, "_b")
                 place = np.searchsorted(x, y)
                 shared = int((x[np.minimum(place, len(x) - 1)] == y).sum())
                 if 100 * shared >= percent * (len(x) + len(y) - shared):
@@ -326,8 +322,7 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
                     b.append(row["b"])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    sides = [tokens.select(F.col("set").alias(s), F.col("low").alias(f"low_{s}"), F.col("high").alias(f"high_{s}")) for s in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "low_a", "high_a", "low_b", "high_b").mapInArrow(run, "a long, b long")
+    return _beside(pairs, tokens).mapInArrow(run, "a long, b long")
 
 
 def _mixed(own: DataFrame) -> DataFrame:
@@ -337,6 +332,40 @@ def _mixed(own: DataFrame) -> DataFrame:
     return stored(own.join(held, "sig"), "jaccard-own")
 
 
+def _read(row: dict, side: str = "") -> np.ndarray:
+    """The 48 bits of a set's tokens, in order."""
+    low = np.frombuffer(row[f"low{side}"], "<u4").astype(np.int64)
+    return low | np.frombuffer(row[f"high{side}"], "<u2").astype(np.int64) << 32
+
+
+def _against(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Rows (a, set, lacks, more): the set's tokens held against those of the set a.
+
+    `lacks` has a bit of 64 for each token of a that the set has not, by its hash; `more`
+    is how many tokens of the set a has not.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                x, y = _read(row, "_a"), _read(row, "_b")
+                missing = np.setdiff1d(x, y, assume_unique=True)
+                bits = np.bitwise_or.reduce(np.uint64(1) << (kernel.mix(missing) & np.uint64(63)), initial=np.uint64(0))
+                rows.append((row["a"], row["b"], int(bits.view(np.int64)), len(y) - (len(x) - len(missing))))
+            columns = zip(*rows) if rows else [[]] * 4
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["a", "set", "lacks", "more"])
+
+    return _beside(pairs.withColumnRenamed("set", "b"), tokens).mapInArrow(run, "a long, set long, lacks long, more int")
+
+
+def _beside(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    sides = [tokens.select(F.col("set").alias(s), F.col("low").alias(f"low_{s}"), F.col("high").alias(f"high_{s}")) for s in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "low_a", "high_a", "low_b", "high_b")
+
+
 def _alone(tokens: DataFrame) -> DataFrame:
     """Rows (set, alone): how many tokens of a set none of the other sets has."""
 
@@ -344,8 +373,7 @@ def _alone(tokens: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                low = np.frombuffer(row["low"], "<u4").astype(np.int64)
-                token = low | np.frombuffer(row["high"], "<u2").astype(np.int64) << 32
+                token = _read(row)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.full(len(token), row["set"]))], names=["token", "set"])
 
     each = tokens.select("set", "low", "high").mapInArrow(run, "token long, set long")
@@ -383,13 +411,36 @@ def link(df: DataFrame, words: int = 3, percent: int = 90, doc_id: str = "doc_id
     # set has a size to be met: what falls short of it even with the smallest has no link.
     share = (100 + percent) * (F.col("size") - F.col("alone"))
     least = F.greatest("smallest", F.ceil(F.col("size") * percent / 100))
-    own = _mixed(stored(own.where(share >= percent * (F.col("size") + least)).drop("smallest"), "jaccard-able"))
+    own = _mixed(stored(own.where(share >= percent * (F.col("size") + least)).drop("smallest"), "jaccard-able")).drop("smallest")
+
+    # Once more against one set each, now the one with fewest tokens of its own: what is
+    # nearest to the others joins most of them.
+    pivots = own.groupBy("sig").agg(F.min(F.struct("alone", "set", "size", "root")).alias("p"))
+    pivots = stored(pivots.select("sig", F.col("p.set").alias("a"), F.col("p.size").alias("size_a"), F.col("p.root").alias("root_a")), "jaccard-pivots")
+    near = own.join(pivots, "sig").where((F.col("root") != F.col("root_a")) & both)
+    near = near.select(F.least("a", "set").alias("a"), F.greatest("a", "set").alias("b")).distinct()
+    near = stored(near.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+    pairs = pairs.unionByName(near)
+    links = stored(links.unionByName(_verified(near, tokens, percent)), "jaccard-links")
+    roots = components(links)
+    own = own.drop("root").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    own = _mixed(stored(own, "jaccard-able")).drop("smallest")
+
+    # Sets of one signature are held against its pivot c, of size n. Two of them share at
+    # most what neither lacks of c, and of the rest what is not one's own: that tells most
+    # pairs apart that do not link, without looking at their tokens together.
+    centres = pivots.select("sig", F.col("a").alias("c"), F.col("size_a").alias("n"))
+    own = stored(own.join(centres, "sig"), "jaccard-centred")
+    held = stored(_against(own.select(F.col("c").alias("a"), "set").distinct(), tokens).withColumnRenamed("a", "c"), "jaccard-against")
+    own = stored(own.join(held, ["c", "set"]).withColumn("more", F.col("more") - F.when(F.col("c") == F.col("set"), 0).otherwise(F.col("alone"))), "jaccard-placed")
     most = own.groupBy("sig", "root").count().groupBy("sig").agg(F.max(F.struct("count", "root")).alias("m"))
     most = stored(most.select("sig", F.col("m.root").alias("major")), "jaccard-major")
     minor = own.join(most, "sig").where("root <> major")
-    left = minor.select("sig", F.col("set").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("size", "root", "alone")])
+    left = minor.select("sig", F.col("set").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("size", "root", "alone", "lacks", "more")])
     share_a = (100 + percent) * (F.col("size_a") - F.col("alone_a"))
-    enough = F.least(share, share_a) >= percent * (F.col("size") + F.col("size_a"))
+    shared = F.col("n") - F.bit_count(F.col("lacks").bitwiseOR(F.col("lacks_a"))) + F.least("more", "more_a")
+    most_shared = F.least(share, share_a, (100 + percent) * shared)
+    enough = most_shared >= percent * (F.col("size") + F.col("size_a"))
     rest = left.join(own, "sig").where((F.col("root_a") != F.col("root")) & both & enough).select("a", F.col("set").alias("b"))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti")
