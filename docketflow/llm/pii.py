@@ -40,6 +40,8 @@ TITLES = {
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.?"
 _NAME = r"\p{Lu}\p{L}{1,40}(?:-\p{Lu}\p{L}{1,40})?"
 
+# A label in any case, maybe quoted as in JSON, up to the sign behind it.
+_LABEL = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\\?["']?\s{0,8}(?::=|=>|[=:])"""
 # The patterns of mentions, in the order in which a mention's kind is told.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
@@ -50,13 +52,14 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w+.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "key": r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)",
-    "hash": r"(?<!\w)(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?!\w)",
-    "secret": r"""(?<=(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}["']?)[A-Za-z0-9_+/.~-]{8,200}(?=["'\s,;<&%$#*)!]|$)""",
+    "hash": r"(?<!\w)(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{32})(?!\w)",
+    # The one character before is looked at first, as labels are costly to look for.
+    "secret": rf"""(?<=[=:>\s"'])(?<={_LABEL}\s{{0,8}}\\?["']?)(?=[_+/.~-]*+[A-Za-z0-9])[A-Za-z0-9_+/.~-]++(?:={{1,2}}(?![\w=]))?+(?=["'\s,;<&%$#*)!\\\]}}]|$)""",
     "person": rf"(?<![\p{{L}}]){_TITLE}\s{_NAME}(?:\s{_NAME})?",
 }
 ANY = "(?:" + "|".join(PATTERNS.values()) + ")"
 #: Signs without which there is no mention; much cheaper to look for.
-SIGNS = rf"[0-9@]|(?<![\p{{L}}]){_TITLE}\s|(?:password|passwd|pwd|secret|token|api[_-]?key)\s?\s?[=:]"
+SIGNS = rf"[0-9@]|(?<![\p{{L}}]){_TITLE}\s|{_LABEL}"
 
 # Syllables of surrogate names, and their endings by gender.
 SYLLABLES = {
@@ -110,6 +113,7 @@ def _like(c: str, at: str) -> str:
     return (
         f"case when {c} between '0' and '9' then {pick('0123456789')} "
         f"when {c} between 'a' and 'f' and hexadecimal then {pick('abcdef')} "
+        f"when {c} between 'A' and 'F' and hexadecimal then {pick('ABCDEF')} "
         f"when {c} between 'a' and 'z' then {pick('abcdefghijklmnopqrstuvwxyz')} "
         f"when {c} between 'A' and 'Z' then {pick('ABCDEFGHIJKLMNOPQRSTUVWXYZ')} else {c} end"
     )
@@ -155,7 +159,8 @@ def _entities(distinct: DataFrame, key: str) -> DataFrame:
 
     Who shares a surrogate, or has one that is an entity, draws again.
     """
-    columns = {"secret_key": F.lit(key), "hexadecimal": F.expr("norm rlike '^[0-9a-f]+$'"), "draw": F.lit(0)}
+    hexadecimal = F.expr("norm rlike '^[0-9a-f]+$' or kind = 'secret' and norm rlike '^[0-9A-F]+$'")
+    columns = {"secret_key": F.lit(key), "hexadecimal": hexadecimal, "draw": F.lit(0)}
     drawn = stored(distinct.withColumns(columns).withColumn("surrogate", F.expr(_surrogate())), "pii-drawn")
     originals = drawn.select("kind", F.col("norm").alias("surrogate")).distinct()
     for _ in range(_DRAWS):
@@ -214,7 +219,7 @@ def _mentions(texts: DataFrame) -> DataFrame:
         "country": F.expr(f"case when kind = 'phone' then {country} else 0 end"),
         "norm": F.expr(
             "case when kind in ('card', 'phone', 'ssn', 'iban') then regexp_replace(mention, '[^A-Za-z0-9]', '') "
-            "when kind = 'mail' or kind like 'name%' then lower(mention) else mention end"
+            "when kind in ('mail', 'hash') or kind like 'name%' then lower(mention) else mention end"
         ),
     })
 

@@ -424,3 +424,20 @@ def test_surrogates_stay_distinct(spark):
     out = [r.text for r in pii.replace(spark.createDataFrame(rows, SCHEMA), "k").collect()]
     codes = [regex.findall(r"\d{3}-\d\d-\d{4}", t)[0] for t in out]
     assert len(set(codes)) == 400 and not set(codes) & {f"000-00-{i:04d}" for i in range(400)}
+
+
+def test_secrets_of_any_case_and_length(spark):
+    token, code = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "eyJhbGciOi.JIUzI1-NiJ9_" * 40
+    rows = [
+        (0, f'TOKEN = "{token}"!!'), (1, "Password: hunterTwo"), (2, "API_KEY=AB12CD34EF"), (3, '{"password": "qwertyuiop", "n": null}'),
+        (4, f"token={code} end"), (5, f"token = {token.lower()}"), (6, "pwd: abc"), (7, "a token of thanks"), (8, "secret=QWxhZGRpbg== x"),
+    ]
+    out = {r.doc_id: (r.text, r.n_replaced) for r in pii.replace(spark.createDataFrame(rows, SCHEMA), "k").collect()}
+    assert [out[i][1] for i in range(9)] == [1, 1, 1, 1, 1, 1, 1, 0, 1]
+    assert regex.fullmatch(r'TOKEN = "[0-9A-F]{40}"!!', out[0][0]) and token not in out[0][0]
+    assert out[5][0] == "token = " + out[0][0][9:49].lower()
+    assert regex.fullmatch(r"Password: [a-z]{6}[A-Z][a-z]{2}", out[1][0]) and "hunterTwo" not in out[1][0]
+    assert regex.fullmatch(r"API_KEY=[A-F]{2}\d\d[A-F]{2}\d\d[A-F]{2}", out[2][0]) and "AB12CD34EF" not in out[2][0]
+    assert regex.fullmatch(r'\{"password": "[a-z]{10}", "n": null\}', out[3][0]) and "qwertyuiop" not in out[3][0]
+    assert len(out[4][0]) == len(rows[4][1]) and out[4][0].endswith(" end") and code[:40] not in out[4][0]
+    assert regex.fullmatch(r"pwd: [a-z]{3}", out[6][0]) and regex.fullmatch(r"secret=[A-Za-z]{10}== x", out[8][0])
