@@ -7,9 +7,11 @@ passages' Gram matrix by random columns, summed by a tree of tasks; from that pr
 alone comes a randomised singular value decomposition of the TF-IDF matrix (Nystrom's
 method), small enough for the driver. A second pass slides windows over each document,
 takes them and the benchmark items to the latent space, scaled to unit variance, and keeps
-pairs of high cosine. For each such document and item the longest common subsequence of
-words is taken around the window: most of the item in it is a leak, and so is a good part
-of it if its answer, the words it ends with, is there as well.
+pairs of high cosine. An item longer than a window is cut into passages of about the size
+of one, and each is sought by itself. For each such document and item the longest common
+subsequence of words is taken where the whole item would lie around the window: most of the
+item in it is a leak, and so is a good part of it if its answer, the words it ends with, is
+there as well.
 
 Both passes read documents where they lie; no text is shuffled. A benchmark of more than
 `PART_ITEMS` items is searched in parts.
@@ -22,6 +24,7 @@ Other columns pass through, those named like a result are replaced.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,8 +45,11 @@ PLACES, FEATURES = 1 << 20, 1 << 16
 RANK = 64
 #: Words of a passage when counting.
 PASSAGE = 48
-#: Sizes of windows; an item is sought in the smallest that holds most of it.
-WINDOWS = (20, 44)
+#: Sizes of windows; an item is sought in the smallest that holds most of it, and one of
+#: which none does in passages of at most the largest.
+WINDOWS = (8, 20, 44)
+#: Numbers of a product of windows and passages.
+PRODUCT = 1 << 26
 #: Steps of a window to its size.
 STEPS = 4
 COSINE = 0.62
@@ -220,26 +226,37 @@ class Search:
         self.items = items
         # The last row is that of a word that does not count.
         self.vectors = np.vstack([space.vectors, np.zeros((1, space.vectors.shape[1]), np.float32)])
-        latent = np.zeros((len(items.words), space.vectors.shape[1]), np.float32)
-        for i, words in enumerate(items.words):
-            place = items.table[(words % np.uint64(PLACES)).astype(np.int64)]
+        size = np.array([len(w) for w in items.words])
+        limit = np.array(WINDOWS) * 1.5
+        cuts = np.where(size > limit[-1], -(-size // WINDOWS[-1]), 1)
+        # Of each passage: its item, and the word of the item it starts at.
+        self.of_passage = np.repeat(np.arange(len(size)), cuts)
+        k = np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+        self.offset = k * size[self.of_passage] // cuts[self.of_passage]
+        ends = (k + 1) * size[self.of_passage] // cuts[self.of_passage]
+        latent = np.zeros((len(k), space.vectors.shape[1]), np.float32)
+        for i, (item, start, end) in enumerate(zip(self.of_passage, self.offset, ends)):
+            place = items.table[(items.words[item][start:end] % np.uint64(PLACES)).astype(np.int64)]
             latent[i] = space.vectors[place[place >= 0]].sum(axis=0)
         self.unit = latent / np.maximum(np.linalg.norm(latent, axis=1), 1e-12)[:, None]
         self.masks = [(masks(w), len(w), masks(w[-ANSWER_WORDS:]), len(w[-ANSWER_WORDS:])) for w in items.words]
-        size = np.array([len(w) for w in items.words])
-        at = np.searchsorted(np.array(WINDOWS) * 1.5, size)
-        self.window = np.array(WINDOWS)[np.minimum(at, len(WINDOWS) - 1)].tolist()
-        self.of_window = [np.flatnonzero(np.minimum(at, len(WINDOWS) - 1) == k) for k in range(len(WINDOWS))]
+        at = np.minimum(np.searchsorted(limit, ends - self.offset), len(WINDOWS) - 1)
+        self.of_window = [np.flatnonzero(at == k) for k in range(len(WINDOWS))]
+        # From where an item would start to where it would end, a window at least.
+        window = np.array(WINDOWS)[at]
+        self.length = [0] * len(size)
+        for i, w in zip(self.of_passage.tolist(), window.tolist()):
+            self.length[i] = int(size[i]) if cuts[i] > 1 else w
 
     def candidates(self, hashes: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], list[int]]:
-        """(text, item) of close windows, with the word each starts at."""
+        """(text, item) of close windows, with the word at which the item would start."""
         place = self.items.table[(hashes % np.uint64(PLACES)).astype(np.int64)]
         words = np.diff(first)
         of_word = np.repeat(np.arange(len(words)), words)
         inner = np.arange(len(hashes)) - first[of_word]
         out: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for size, items in zip(WINDOWS, self.of_window):
-            if not len(items):
+        for size, passages in zip(WINDOWS, self.of_window):
+            if not len(passages):
                 continue
             step = max(1, size // STEPS)
             # Sums over steps; a window is the sum of its steps. Each text has STEPS - 1 empty
@@ -257,10 +274,13 @@ class Search:
             start = first[of] + k * step
             latent = sum(sums[at + k] for k in range(STEPS))
             scale = 1 / np.maximum(np.linalg.norm(latent, axis=1), 1e-6)
-            for lo in range(0, len(start), 1 << 14):
-                near = (latent[lo : lo + (1 << 14)] @ self.unit[items].T) * scale[lo : lo + (1 << 14), None] >= COSINE
+            unit = self.unit[passages].T
+            rows = max(1, min(1 << 14, PRODUCT // len(passages)))
+            for lo in range(0, len(start), rows):
+                near = (latent[lo : lo + rows] @ unit) * scale[lo : lo + rows, None] >= COSINE
                 for w, i in zip(*np.nonzero(near)):
-                    out[int(of[lo + w]), int(items[i])].append(int(start[lo + w]))
+                    passage = passages[i]
+                    out[int(of[lo + w]), int(self.of_passage[passage])].append(int(start[lo + w] - self.offset[passage]))
         return out
 
     def leaks(self, hashes: np.ndarray, first: np.ndarray) -> dict[int, list[tuple[float, int]]]:
@@ -268,12 +288,13 @@ class Search:
         out: dict[int, list[tuple[float, int]]] = defaultdict(list)
         for (text, i), starts in self.candidates(hashes, first).items():
             mask, size, answer, answer_size = self.masks[i]
-            best, answered, reach = 0.0, False, -1
-            for at in starts:
-                lo, hi = max(int(first[text]), at - size // 2), min(int(first[text + 1]), at + self.window[i] + size // 2)
-                if lo <= reach:
+            best, answered, reach = 0.0, False, -math.inf
+            for at in sorted(starts):
+                # An item cut off at the start of the text lies before it.
+                if at - size // 2 <= reach:
                     continue
-                reach = lo + size // 4
+                reach = at - size // 2 + size // 4
+                lo, hi = max(int(first[text]), at - size // 2), min(int(first[text + 1]), at + self.length[i] + size // 2)
                 region = hashes[lo:hi]
                 share = common(mask, size, region) / size
                 if share > best:

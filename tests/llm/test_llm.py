@@ -376,6 +376,22 @@ def test_decontamination(spark, none):
     assert decontam.contamination(none, benchmark).collect() == []
 
 
+@pytest.mark.parametrize("sizes", [(6, 7, 9, 12, 15, 30), (67, 100, 200, 300, 500, 1000)])
+def test_decontamination_of_items_of_any_length(spark, sizes):
+    """Verbatim copies of items of independent words, and all but every tenth word of them."""
+    rng = np.random.default_rng(7)
+    draw = lambda n: [f"w{int(k)}" for k in np.minimum(rng.zipf(1.3, n), 3000)]
+    items = [(10 * i + k, draw(n)) for i, n in enumerate(sizes) for k in range(3)]
+    rows = [(i, " ".join(draw(120) + words + draw(120))) for i, words in items]
+    rows += [(100 + i, " ".join(w for k, w in enumerate(words) if k % 10)) for i, words in items if len(words) > 60]
+    rows += [(1000 + i, " ".join(draw(240))) for i in range(60)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = decontam.contamination(spark.createDataFrame(rows, SCHEMA), benchmark).collect()
+    found = {(r.doc_id, r.leaked_item) for r in got}
+    lost = [(i, len(w)) for i, w in items if (i, i) not in found or (len(w) > 60 and (100 + i, i) not in found)]
+    assert not lost
+
+
 def test_common_subsequence():
     rng = random.Random(3)
     for _ in range(50):
