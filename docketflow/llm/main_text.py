@@ -6,6 +6,11 @@ blocks and those of middling density stay undecided. The second gives them the l
 the nearest decided neighbours. Inside an article or main element text is content unless
 it is links, so only link density decides there, and neighbours are looked for there alone.
 
+A form, and an element whose class, id or role names what is not the article, silences what
+is inside, but no main element, no article that is not small beside the page's others, and
+not itself if it holds most of the page's text of many stop words: such a wrapper is around
+the page (`with-sidebar`, the one form of a page) rather than beside its text.
+
 Each page is worked on by itself, in the task that read it; nothing is shuffled.
 
 Defined results: null or empty HTML, and a page with no main text, give an empty text of 0
@@ -30,6 +35,9 @@ SHORT, LONG = 70, 200
 #: Shares of stop words among words, and of linked characters.
 FEW_STOP_WORDS, MANY_STOP_WORDS = 0.18, 0.22
 LINKS, LINKS_IN_CONTENT = 0.2, 0.5
+#: Share of the page's rich text from which a wrapper is around it, and of the richest
+#: article's from which another is no teaser.
+MOST_TEXT, LARGE_ARTICLE = 0.75, 0.5
 
 # Elements of HTML by how they are read.
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
@@ -40,7 +48,7 @@ INLINE = (
 SILENT = "script style noscript template svg math head title iframe object select textarea button canvas audio video".split()
 RAW = "script style textarea title".split()
 CONTENT = "article main".split()
-BOILERPLATE = "nav footer aside form menu dialog".split()
+BOILERPLATE = "nav footer aside menu dialog".split()
 #: An element of the first kind ends an open one of the second kind.
 CLOSES = {
     "li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "tr": ["tr", "td", "th"], "td": ["td", "th"],
@@ -55,6 +63,10 @@ NOT_CONTENT = set(
     "breadcrumb breadcrumbs footer comment comments disqus replies respond share sharing social related recommended "
     "login search toolbar pagination pager copyright widget contentinfo complementary dialog".split()
 )
+#: Of these, what readers wrote; there may be far more of it than of the article.
+REPLIES = set("comment comments disqus replies respond".split())
+#: A name that begins with one of these tells of another element: with-sidebar, no-sidebar.
+OF_OTHERS = set("with without no not has have is".split())
 PAGE_HEADER = set("header masthead topbar".split())
 
 # Frequent function words of the languages served.
@@ -76,12 +88,13 @@ STOP_WORDS = set(
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[a-z/!?][^>]*+(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
+_TELLING = re.compile("class|id|role|hidden|style", re.IGNORECASE)
 _NAMES = re.compile(r"[a-z]+", re.IGNORECASE)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -92,6 +105,7 @@ class Block:
     linked: int
     content: int
     silent: bool
+    wraps: tuple[int, ...] = ()
     label: str = ""
 
 
@@ -100,30 +114,87 @@ class _Open:
     name: str
     bad: bool
     content: int
+    #: Wrappers and articles it is in, by number.
+    wraps: tuple[int, ...] = ()
 
 
-def _named_bad(name: str, rest: str, content: int) -> bool:
-    """Do name and attributes say that the element is not part of the article?"""
+def _named(name: str, rest: str, content: int) -> tuple[bool, str]:
+    """Is the element no part of the article, or else what wrapper is it by its names?"""
     bad = name in BOILERPLATE or name in SILENT or (name == "header" and not content)
-    if not rest or rest == "/":
-        return bad
+    kind = "named" if name == "form" else ""
+    if not rest or not _TELLING.search(rest):
+        return bad, kind
     words: set[str] = set()
     for key, *values in _ATTRIBUTE.findall(rest):
-        value = "".join(values)
+        value = "".join(values).lower()
         match key.lower():
             case "hidden":
                 bad = True
             case "aria-hidden":
-                bad |= value.lower() == "true"
+                bad |= value == "true"
             case "style":
-                bad |= "display:none" in value.lower().replace(" ", "")
-            case _:
-                words.update(_NAMES.findall(value.lower()))
+                bad |= "display:none" in value.replace(" ", "")
+            case "class" | "id" | "role":
+                for token in value.split():
+                    own = _NAMES.findall(token)
+                    if own and not (len(own) > 1 and own[0] in OF_OTHERS):
+                        words.update(own)
     if name in ("html", "body", "main"):
-        return bad
+        return bad, kind
     if name == "article":
-        return bad or bool(words & {"comment", "comments", "ad", "ads", "promo", "related"})
-    return bad or bool(words & NOT_CONTENT) or (not content and bool(words & PAGE_HEADER))
+        words &= {"comment", "comments", "ad", "ads", "promo", "related"}
+    elif content:
+        words &= NOT_CONTENT
+    else:
+        words &= NOT_CONTENT | PAGE_HEADER
+    return bad, "replies" if words & REPLIES else "named" if words else kind
+
+
+def _rich(block: Block) -> int:
+    """Characters of a block of many stop words and few links."""
+    if len(block.text) < SHORT or block.linked > LINKS * len(block.text):
+        return 0
+    words = _LETTERS.findall(block.text.lower())
+    return len(block.text) if sum(w in STOP_WORDS for w in words) >= MANY_STOP_WORDS * max(len(words), 1) else 0
+
+
+def _silence(found: list[Block], wraps: list[str]) -> None:
+    """Silences the blocks in wrappers that are not around the page's text."""
+    rich, chars, articles = [0] * len(wraps), [0] * len(wraps), [0] * len(wraps)
+    total = in_articles = 0
+    for block in found:
+        if not block.silent:
+            size = _rich(block)
+            total += size
+            own = len(block.text) if any(wraps[w] in CONTENT for w in block.wraps) else 0
+            in_articles += own
+            for w in block.wraps:
+                rich[w] += size
+                chars[w] += len(block.text)
+                articles[w] += own
+    largest = max((n for n, kind in zip(rich, wraps) if kind == "article"), default=0)
+    # Per wrapper or article: does it speak?
+    speaks = []
+    for n, kind, size, own in zip(rich, wraps, chars, articles):
+        # Articles and main elements outside with more text than it show it is beside them.
+        around = size > in_articles - own
+        match kind:
+            case "main":
+                speaks.append(True)
+            case "article":
+                speaks.append(n >= LARGE_ARTICLE * largest)
+            case "replies":
+                speaks.append(0 < n == total and around)
+            case _:
+                speaks.append(n > 0 and n >= MOST_TEXT * total and around)
+    for block in found:
+        for w in reversed(block.wraps):
+            content = wraps[w] in CONTENT
+            if content and speaks[w]:
+                break
+            if not content and not speaks[w]:
+                block.silent = True
+                break
 
 
 def blocks(page: str) -> list[Block]:
@@ -133,13 +204,14 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked = 0
     contents = 0
+    wraps: list[str] = []
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, stack[-1].content, stack[-1].bad))
+                out.append(Block(text, linked, stack[-1].content, stack[-1].bad, stack[-1].wraps))
             parts.clear()
             linked = 0
 
@@ -176,15 +248,24 @@ def blocks(page: str) -> list[Block]:
             if name in CLOSES:
                 close(CLOSES[name], ["ul", "ol", "dl", "table"])
             top = stack[-1]
-            bad = top.bad or _named_bad(name, found["rest"], top.content)
-            content = top.content
-            if name in CONTENT and not bad and not content:
-                contents += 1
-                content = contents
-            stack.append(_Open(name, bad, content))
+            bad, kind = _named(name, found["rest"], top.content)
+            bad |= top.bad
+            content, within = top.content, top.wraps
+            if not bad and kind:
+                within = (*within, len(wraps))
+                wraps.append(kind)
+            if name in CONTENT and not bad and not kind:
+                if not content:
+                    contents += 1
+                    content = contents
+                within = (*within, len(wraps))
+                wraps.append(name)
+            stack.append(_Open(name, bad, content, within))
     if at < len(page):
         parts.append(entities.unescape(page[at:]))
     flush()
+    if any(kind not in CONTENT for kind in wraps):
+        _silence(out, wraps)
     return out
 
 

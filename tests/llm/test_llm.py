@@ -319,6 +319,26 @@ def test_main_text(spark):
     assert main_text.extract("<div " * 3000) == ""
 
 
+def test_main_text_in_wrappers():
+    """Names, forms and attributes around a page's text do not silence it."""
+    body = "it is the main text of the page and it is good. " * 5
+    one, text = f"<p>{body}</p><p>{body}</p>", f"{body.strip()}\n{body.strip()}"
+    side = "<div class=sidebar><p>" + "this is what is at the side of it all and more. " * 3 + "</div>"
+    for start in (
+        "<div class='with-sidebar'>", "<div class='no-sidebar x'>", "<div class='has-navbar'>", "<div id='search-results'>", "<form id=aspnetForm>",
+        "<div title='The hidden valley'>", "<div data-hidden='false'>", "<div data-id='ad-1'>", "<div data-class=menu data-role='dialog'>",
+        "<form><div class='page-widget comments'>", "<title-bar>", "<style-guide>", "<textarea-x>",
+    ):
+        assert main_text.extract(f"<body>{start}{one}") == text, start
+        assert main_text.extract(f"<body>{start}<article>{one}{side}</article>") == text, start
+    assert main_text.extract(f"<form><main>{one}short</main></form>{side}") == f"{text}\nshort"
+    assert main_text.extract(f"<div class=ad><p>{body}</div><article><p>{'sole words ' * 40}</article>") == ("sole words " * 40).strip()
+    assert main_text.extract(f"<div class=comments><p>{body * 9}</div>{one}") == text
+    assert main_text.extract(f"<article>{one}</article><div class=related><article><p>{side[24:80]} teaser</article></div>") == text
+    for start in ("<div hidden>", "<div HIDDEN=''>", "<div class=a aria-hidden=true>", "<div style='display: none'>", "<div a=b id=ads>", "<aside>"):
+        assert main_text.extract(f"{one}{one}{start}<p>{side[24:]}") == f"{text}\n{text}", start
+
+
 # --- toxicity, decontamination, personal data ---------------------------------------
 
 
