@@ -176,8 +176,8 @@ def _silence(found: list[Block], wraps: list[str]) -> None:
     # Per wrapper or article: does it speak?
     speaks = []
     for n, kind, size, own in zip(rich, wraps, chars, articles):
-        # Articles and main elements outside with more text than it show it is beside them.
-        around = size > in_articles - own
+        # Articles and main elements outside show that it is beside them, if they have text.
+        around = size > (1 if own else 4) * (in_articles - own)
         match kind:
             case "main":
                 speaks.append(True)
