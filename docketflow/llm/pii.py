@@ -38,7 +38,10 @@ TITLES = {
     "n": ["Dr", "Prof", "Professor"],
 }
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.?"
-_NAME = r"\p{Lu}\p{L}{1,40}(?:-\p{Lu}\p{L}{1,40})?"
+# Letters of a name, also behind an apostrophe that begins no ending; an initial or a name.
+_LETTERS = r"(?:(?:['’](?=\p{Lu}\p{L}))?\p{L})++"
+_NAME = rf"(?:\p{{Lu}}\.|\p{{Lu}}{_LETTERS}(?:-\p{{Lu}}{_LETTERS})*+)"
+_TITLED = rf"{_TITLE}(?!\p{{L}})(?:\s+{_TITLE}(?!\p{{L}}))*+\s++"
 
 # A label in any case, maybe quoted as in JSON, up to the sign behind it.
 _LABEL = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\\?["']?\s{0,8}(?::=|=>|[=:])"""
@@ -55,7 +58,8 @@ PATTERNS = {
     "hash": r"(?<!\w)(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{32})(?!\w)",
     # The one character before is looked at first, as labels are costly to look for.
     "secret": rf"""(?<=[=:>\s"'])(?<={_LABEL}\s{{0,8}}\\?["']?)(?=[_+/.~-]*+[A-Za-z0-9])[A-Za-z0-9_+/.~-]++(?:={{1,2}}(?![\w=]))?+(?=["'\s,;<&%$#*)!\\\]}}]|$)""",
-    "person": rf"(?<![\p{{L}}]){_TITLE}\s{_NAME}(?:\s{_NAME})?",
+    # Names go on over one line's end, not over a blank line.
+    "person": rf"(?<![\p{{L}}]){_TITLED}{_NAME}(?:(?!\s*+(?<=\n\s{{0,8}}\n\s{{0,8}}))\s++{_NAME})*+",
 }
 ANY = "(?:" + "|".join(PATTERNS.values()) + ")"
 #: Signs without which there is no mention; much cheaper to look for.
@@ -149,6 +153,7 @@ def _surrogate() -> str:
         when kind = 'key' then {_spelt("norm", "4")}
         when kind = 'ip' then {octets}
         when kind = 'mail' then concat({_spelt("substring_index(norm, '@', 1)")}, '@', {own_host}, substring_index({domain}, '.', -1))
+        when kind like 'name%' and norm like '_.' then concat(left({name}, 1 + int(draw / 4)), '.')
         when kind like 'name%' then {name}
         else {_spelt("norm")}
     end"""
@@ -193,23 +198,22 @@ def _poured() -> str:
 def _mentions(texts: DataFrame) -> DataFrame:
     """Rows (digest, mention, kind, norm, country): what is to be replaced in each distinct text.
 
-    A person is one row for the given and one for the family name.
+    A person is one row for each name, the last of which is the family name.
     """
     found = texts.select("digest", F.explode("found").alias("mention")).distinct().withColumn("kind", F.expr(_kind("mention")))
     found = found.where("kind is not null")
-    person = _quoted(rf"^({_TITLE})\s({_NAME})(?:\s({_NAME}))?$")
+    titles = _quoted(rf"^{_TITLED}")
+    first = _quoted(rf"^({_TITLE})(?!\p{{L}})")
     genders = " ".join(f"when title in ({', '.join(_quoted(t) for t in ts)}) then '{g}'" for g, ts in TITLES.items())
     people = (
         found.where("kind = 'person'")
-        .withColumn("title", F.expr(f"rtrim('.', regexp_extract(mention, {person}, 1))"))
-        .withColumn("one", F.expr(f"regexp_extract(mention, {person}, 2)"))
-        .withColumn("two", F.expr(f"regexp_extract(mention, {person}, 3)"))
+        .withColumn("title", F.expr(f"rtrim('.', regexp_extract(mention, {first}, 1))"))
+        .withColumn("names", F.expr(f"split(regexp_replace(mention, {titles}, ''), '\\\\s+')"))
         .withColumn("gender", F.expr(f"case {genders} else 'n' end"))
-        .withColumn("gender", F.expr("case when gender <> 'n' then gender when lower(one) rlike '[aαая]$' then 'f' else 'm' end"))
+        .withColumn("gender", F.expr("case when gender <> 'n' then gender when lower(names[0]) rlike '[aαая]$' then 'f' else 'm' end"))
     )
     names = people.select("digest", F.explode(F.expr(
-        "if(two = '', array(named_struct('mention', one, 'kind', 'name family')), array(named_struct('mention', one, "
-        "'kind', concat('name ', gender)), named_struct('mention', two, 'kind', 'name family')))"
+        "transform(names, (x, i) -> named_struct('mention', x, 'kind', if(i = size(names) - 1, 'name family', concat('name ', gender))))"
     )).alias("n")).select("digest", "n.mention", "n.kind")
     # Were a bare name known under two kinds in one text, the first by name of kind counts.
     names = names.groupBy("digest", "mention").agg(F.min("kind").alias("kind"))
@@ -249,7 +253,9 @@ def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("mention", "by"))).alias("pii_map"),
         F.collect_list(F.when(F.col("kind").like("name%"), F.col("mention"))).alias("pii_names"),
     )
-    names = F.concat(F.lit(r"|(?<![\p{L}])(?:"), F.array_join("pii_names", "|"), F.lit(r")(?![\p{L}])"))
+    # Longer ones first, as a name may begin with another; of its signs only a dot is special.
+    longest = F.expr("replace(array_join(array_sort(pii_names, (a, b) -> length(b) - length(a)), '|'), '.', '[.]')")
+    names = F.concat(F.lit(r"|(?<![\p{L}])(?:"), longest, F.lit(r")(?![\p{L}])"))
     # A person's title stays; the names behind it are replaced like bare ones.
     plain = "(?:" + "|".join(p for k, p in PATTERNS.items() if k != "person") + ")"
     maps = maps.withColumn("pii_pattern", F.concat(F.lit(plain), F.when(F.size("pii_names") > 0, names).otherwise("")))

@@ -477,3 +477,18 @@ def test_secrets_of_any_case_and_length(spark):
     assert regex.fullmatch(r'\{"password": "[a-z]{10}", "n": null\}', out[3][0]) and "qwertyuiop" not in out[3][0]
     assert len(out[4][0]) == len(rows[4][1]) and out[4][0].endswith(" end") and code[:40] not in out[4][0]
     assert regex.fullmatch(r"pwd: [a-z]{3}", out[6][0]) and regex.fullmatch(r"secret=[A-Za-z]{10}== x", out[8][0])
+
+
+def test_names_of_people(spark):
+    rows = [
+        (0, "Dr. Maria Garcia Lopez saw Lopez and Garcia."), (1, "Mr. J. Smith's, then Smith"), (2, "Mr. O'Brien, O'Brien's"), (3, "Mr.  Smith"),
+        (4, "Mr. John Q. Smith left."), (5, "Prof. Dr. Anna\nWeber-Maier, Frau Weber"), (6, "Mr. Smith\n\nThe end. The"),
+    ]
+    out = {r.doc_id: (r.text, r.n_replaced) for r in pii.replace(spark.createDataFrame(rows, SCHEMA), "k").collect()}
+    assert [out[i][1] for i in range(7)] == [5, 3, 2, 1, 3, 3, 1]
+    assert regex.fullmatch(r"Dr\. \p{L}+lia (\p{L}+lia) (\p{L}+) saw \2 and \1\.", out[0][0])
+    smith = regex.fullmatch(r"Mr\. \p{Lu}\p{L}*\. (\p{L}+)'s, then \1", out[1][0])[1]
+    assert smith != "Smith" and out[3][0] == f"Mr.  {smith}" and out[6][0] == f"Mr. {smith}\n\nThe end. The"
+    assert regex.fullmatch(r"Mr\. (\p{L}+), \1's", out[2][0]) and "Brien" not in out[2][0]
+    assert regex.fullmatch(rf"Mr\. \p{{L}}+ \p{{Lu}}\p{{L}}*\. {smith} left\.", out[4][0]) and "John" not in out[4][0]
+    assert regex.fullmatch(r"Prof\. Dr\. \p{L}+\n\p{L}+, Frau \p{L}+", out[5][0]) and not regex.search("Anna|Weber|Maier", out[5][0])
