@@ -10,8 +10,10 @@ every document (coreference). Each distinct normal form gets a surrogate from a
 of the same kind, length and classes of characters: card numbers keep issuer and a valid
 check digit, telephone numbers their country code, addresses a valid range, people their
 title, script and gender. Surrogates that two entities share, or that are an entity of the
-corpus themselves, are drawn again until none is left (distinctness). The surrogate is then
-poured into the format in which the mention is written.
+corpus themselves, are drawn again (distinctness). Who still has none after some draws gets
+one of the free values of its class by rank, and where none is free, draws go on in a wider
+class: names, mailboxes and numbers get longer, private addresses leave their range. The
+surrogate is then poured into the format in which the mention is written.
 
 Only distinct mentions are moved and joined, by the digest of the text they are in; texts
 that hold none of the signs of a mention are passed on as they are read.
@@ -24,9 +26,10 @@ none. Surrogates depend on the key and on which entities the table holds.
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import stored
@@ -76,7 +79,10 @@ ENDINGS = {
     "cyrillic": {"m": "лав", "f": "ина", "n": "ко"},
     "greek": {"m": "νος", "f": "νια", "n": "ις"},
 }
-_DRAWS = 40
+#: Draws before free values are dealt out; values of a class that many entities could not fill.
+_DRAWS, _MANY = 8, 1 << 31
+#: Values that one row of an enumeration stands for.
+_RUN = 1 << 12
 
 
 def _quoted(text: str) -> str:
@@ -128,16 +134,50 @@ def _spelt(text: str, keep: str = "0", offset: str = "0") -> str:
     return f"array_join(transform(split({text}, ''), (c, i) -> if(i < {keep}, c, {_like('c', f'i + {offset}')})), '')"
 
 
+_PRIVATE = "case when shape like '10.%' then 1 when shape like '192.168.%' then 2 when shape rlike '^172[.](1[6-9]|2[0-9]|3[01])[.]' then 2 else 0 end"
+#: SQL: an entity's normal form, longer or of another range where its class was full.
+_SHAPE = f"""case when width = 0 or kind like 'name%' then norm
+    when kind = 'ip' then if(width = 1 and {_PRIVATE.replace('shape', 'norm')} = 2, '10.1.1.1', '1.1.1.1')
+    when kind = 'mail' then concat(substring_index(norm, '@', 1), repeat('a', width), '@', substring_index(norm, '@', -1))
+    else concat(norm, repeat('0', width)) end"""
+
+
+def _spelling(text: str, keep: str) -> str:
+    """SQL: for each character of text, those of its class; itself for the first `keep`."""
+    return (
+        f"transform(split({text}, ''), (c, i) -> case when i < {keep} then c when c between '0' and '9' then '0123456789' "
+        "when c between 'a' and 'f' and hexadecimal then 'abcdef' when c between 'A' and 'F' and hexadecimal then 'ABCDEF' "
+        "when c between 'a' and 'z' then 'abcdefghijklmnopqrstuvwxyz' when c between 'A' and 'Z' then 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' else c end)"
+    )
+
+
+def _class() -> str:
+    """SQL: the characters in turn that surrogates of an entity's class have; of an address, the octets kept."""
+    keep = "case kind when 'card' then 1 when 'phone' then country when 'iban' then 2 when 'key' then 4 else 0 end"
+    text = "case kind when 'card' then substring(shape, 1, length(shape) - 1) when 'mail' then substring_index(shape, '@', 1) else shape end"
+    return f"case when kind = 'ip' then slice(split(shape, '[.]'), 1, {_PRIVATE}) else {_spelling(text, keep)} end"
+
+
+def _numbered() -> str:
+    """SQL: the value of a class by its number, from columns kind, class, tail, number."""
+    digits = (
+        "aggregate(class, named_struct('n', number, 'out', ''), (s, x) -> named_struct('n', s.n div length(x), "
+        "'out', concat(s.out, substring(x, cast(s.n % length(x) as int) + 1, 1))), s -> s.out)"
+    )
+    octets = "array_join(concat(class, transform(sequence(size(class) + 1, 4), i -> cast(number div cast(pow(254, i - size(class) - 1) as bigint) % 254 + 1 as string))), '.')"
+    check = f"cast((10 - {_check(f"concat({digits}, '0')")} % 10) % 10 as string)"
+    return f"case when kind = 'ip' then {octets} when kind = 'card' then concat({digits}, {check}) else concat({digits}, tail) end"
+
+
 def _surrogate() -> str:
-    """SQL: an entity's surrogate for a draw, from columns kind, norm, draw, hexadecimal."""
-    card = _spelt("substring(norm, 1, length(norm) - 1)", "1")
-    domain = "substring_index(norm, '@', -1)"
+    """SQL: an entity's surrogate for a draw, from columns kind, norm, shape, draw, hexadecimal."""
+    card = _spelt("substring(shape, 1, length(shape) - 1)", "1")
+    domain = "substring_index(shape, '@', -1)"
     host = f"substring({domain}, 1, length({domain}) - length(substring_index({domain}, '.', -1)))"
     # A host is hashed by itself, so that addresses at one host stay at one host.
     own_host = _spelt(host).replace("kind, norm, draw", f"'host', {host}, 0")
-    octets = "array_join(transform(split(norm, '[.]'), (c, i) -> case when i < kept then c else cast({} % 254 + 1 as string) end), '.')"
-    private = "case when norm like '10.%' then 1 when norm like '192.168.%' then 2 when norm rlike '^172[.](1[6-9]|2[0-9]|3[01])[.]' then 2 else 0 end"
-    octets = octets.format(_random("i")).replace("i < kept", f"i < {private}")
+    octets = "array_join(transform(split(shape, '[.]'), (c, i) -> case when i < kept then c else cast({} % 254 + 1 as string) end), '.')"
+    octets = octets.format(_random("i")).replace("i < kept", f"i < {_PRIVATE}")
     names = []
     for script, parts in SYLLABLES.items():
         syllables = "array(" + ", ".join(f"'{p}'" for p in parts) + ")"
@@ -148,27 +188,48 @@ def _surrogate() -> str:
     name = "case " + " ".join(f"when {script} = '{s}' then lower({n})" for s, n in names) + " end"
     return f"""case
         when kind = 'card' then concat({card}, cast((10 - {_check(f"concat({card}, '0')")} % 10) % 10 as string))
-        when kind = 'phone' then {_spelt("norm", "country")}
-        when kind = 'iban' then {_spelt("norm", "2")}
-        when kind = 'key' then {_spelt("norm", "4")}
+        when kind = 'phone' then {_spelt("shape", "country")}
+        when kind = 'iban' then {_spelt("shape", "2")}
+        when kind = 'key' then {_spelt("shape", "4")}
         when kind = 'ip' then {octets}
-        when kind = 'mail' then concat({_spelt("substring_index(norm, '@', 1)")}, '@', {own_host}, substring_index({domain}, '.', -1))
+        when kind = 'mail' then concat({_spelt("substring_index(shape, '@', 1)")}, '@', {own_host}, substring_index({domain}, '.', -1))
         when kind like 'name%' and norm like '_.' then concat(left({name}, 1 + int(draw / 4)), '.')
         when kind like 'name%' then {name}
-        else {_spelt("norm")}
+        else {_spelt("shape")}
     end"""
 
 
+def _dealt(left: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows (kind, norm, dealt): for those of `left`, free values of their classes by rank.
+
+    Only classes that are nearly full come here, so that there are not many more values than
+    entities; larger ones, and names, which get longer by themselves, are drawn on.
+    """
+    tail = F.expr("case when kind = 'mail' then substring(surrogate, instr(surrogate, '@')) else '' end")
+    left = left.where("kind not like 'name%'").withColumns({"class": F.expr(_class()), "tail": tail})
+    size = F.expr("if(kind = 'ip', pow(254D, 4 - size(class)), aggregate(class, 1D, (n, x) -> n * length(x)))")
+    left = left.withColumn("size", size).where(F.col("size") < _MANY).drop("size")
+    group = ["kind", "class", "tail"]
+    ranked = lambda rows, by: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.sha2(by, 256), by)))
+    runs = left.select(*group, "secret_key").distinct().withColumn("size", size.cast("long"))
+    runs = runs.withColumn("run", F.explode(F.expr(f"sequence(0L, (size - 1) div {_RUN})"))).repartition(*group, "run")
+    values = runs.withColumn("number", F.explode(F.expr(f"sequence(run * {_RUN}, least(size, (run + 1) * {_RUN}) - 1)")))
+    values = values.withColumn("surrogate", F.expr(_numbered())).join(held, ["kind", "surrogate"], "left_anti")
+    free = ranked(values, F.concat("secret_key", "surrogate")).select(*group, "rank", F.col("surrogate").alias("dealt"))
+    return ranked(left, F.concat("secret_key", "norm")).join(free, [*group, "rank"]).select("kind", "norm", "dealt")
+
+
 def _entities(distinct: DataFrame, key: str) -> DataFrame:
     """Rows (kind, norm, surrogate) for distinct (kind, norm, country).
 
-    Who shares a surrogate, or has one that is an entity, draws again.
+    Who shares a surrogate, or has one that is an entity, draws again; every `_DRAWS` draws
+    free values are dealt out, and who gets none draws in a wider class.
     """
     hexadecimal = F.expr("norm rlike '^[0-9a-f]+$' or kind = 'secret' and norm rlike '^[0-9A-F]+$'")
-    columns = {"secret_key": F.lit(key), "hexadecimal": hexadecimal, "draw": F.lit(0)}
+    columns = {"secret_key": F.lit(key), "hexadecimal": hexadecimal, "draw": F.lit(0), "width": F.lit(0), "shape": F.col("norm")}
     drawn = stored(distinct.withColumns(columns).withColumn("surrogate", F.expr(_surrogate())), "pii-drawn")
     originals = drawn.select("kind", F.col("norm").alias("surrogate")).distinct()
-    for _ in range(_DRAWS):
+    for turn in itertools.count(1):
         shared = drawn.groupBy("kind", "surrogate").agg(F.min("norm").alias("owner"), F.count("*").alias("n"))
         held = originals.withColumn("original", F.lit(True))
         judged = drawn.join(shared, ["kind", "surrogate"]).join(held, ["kind", "surrogate"], "left")
@@ -176,9 +237,17 @@ def _entities(distinct: DataFrame, key: str) -> DataFrame:
         judged = stored(judged.withColumn("again", again), "pii-judged")
         if judged.where("again").limit(1).count() == 0:
             return judged.select("kind", "norm", "surrogate")
-        redrawn = judged.withColumn("draw", F.col("draw") + F.col("again").cast("int")).select(*distinct.columns, *columns)
-        drawn = stored(redrawn.withColumn("surrogate", F.expr(_surrogate())), "pii-drawn")
-    raise ValueError(f"some entities still share a surrogate after {_DRAWS} draws; their kind has too few values")
+        redrawn = judged.withColumn("draw", F.col("draw") + F.col("again").cast("int"))
+        dealt = F.lit(None).cast("string")
+        if turn % _DRAWS == 0:
+            taken = judged.where("not again").select("kind", "surrogate").unionByName(originals)
+            redrawn = redrawn.join(stored(_dealt(judged.where("again"), taken), "pii-dealt"), ["kind", "norm"], "left")
+            redrawn = redrawn.withColumn("width", F.col("width") + (F.col("again") & F.col("dealt").isNull()).cast("int"))
+            redrawn, dealt = redrawn.withColumn("shape", F.expr(_SHAPE)), F.col("dealt")
+        # A value dealt earlier stays, whatever a draw would give.
+        kept = F.when(~F.col("again"), F.col("surrogate"))
+        redrawn = redrawn.withColumn("surrogate", F.coalesce(dealt, kept, F.expr(_surrogate())))
+        drawn = stored(redrawn.select(*distinct.columns, *columns, "surrogate"), "pii-drawn")
 
 
 def _poured() -> str:
@@ -189,9 +258,11 @@ def _poured() -> str:
         "case when loose and not c rlike '[\\\\p{L}\\\\p{N}]' then c "
         "when c <> lower(c) then upper(substring(surrogate, s.at + 1, 1)) else substring(surrogate, s.at + 1, 1) end))"
     )
+    # A surrogate of a wider class is longer than the mention; in a mail address the host follows.
     return (
-        "case when kind = 'ip' then surrogate when kind like 'name%' then initcap(surrogate) else "
-        f"aggregate(split(mention, ''), named_struct('at', 0, 'out', ''), (s, c) -> {step}, s -> s.out) end"
+        "case when kind = 'ip' then surrogate when kind like 'name%' then initcap(surrogate) "
+        "when kind = 'mail' and length(surrogate) > length(mention) then surrogate else "
+        f"aggregate(split(mention, ''), named_struct('at', 0, 'out', ''), (s, c) -> {step}, s -> concat(s.out, substring(surrogate, s.at + 1))) end"
     )
 
 

@@ -492,3 +492,20 @@ def test_names_of_people(spark):
     assert regex.fullmatch(r"Mr\. (\p{L}+), \1's", out[2][0]) and "Brien" not in out[2][0]
     assert regex.fullmatch(rf"Mr\. \p{{L}}+ \p{{Lu}}\p{{L}}*\. {smith} left\.", out[4][0]) and "John" not in out[4][0]
     assert regex.fullmatch(r"Prof\. Dr\. \p{L}+\n\p{L}+, Frau \p{L}+", out[5][0]) and not regex.search("Anna|Weber|Maier", out[5][0])
+
+
+def test_surrogates_of_full_classes(spark):
+    """More addresses of a private range than can get others of it, and all one-letter mailboxes of hosts."""
+    ips = [f"192.168.{i // 250}.{i % 250 + 1}" for i in range(33_000)]
+    mails = [f"{c}@host{'abcdef'[h]}.example.com" for h in range(6) for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    codes = [f"pwd={c}" for c in "0123456789"]
+    rows = [(i, " ".join(ips[i::50] + mails[i::50] + codes[i::50])) for i in range(50)]
+    out = " ".join(r.text for r in pii.replace(spark.createDataFrame(rows, SCHEMA), "k").collect()).split()
+    new = [t for t in out if regex.fullmatch(r"\d+(\.\d+){3}", t)]
+    assert len(new) == len(set(new)) == 33_000 and not set(new) & set(ips)
+    assert sum(t.startswith("192.168.") for t in new) == 254**2 - sum(not t.endswith(".0") and not t.startswith("192.168.0.") for t in ips)
+    new = [t for t in out if "@" in t]
+    assert len(new) == len(set(new)) == len(mails) and not set(new) & set(mails)
+    assert all(len(t.split("@")[0]) == 1 for t in new) and len({t.split("@")[1] for t in new}) == 6
+    new = [t for t in out if t.startswith("pwd=")]
+    assert len(new) == len(set(new)) == 10 and all(regex.fullmatch(r"pwd=\d\d", t) for t in new)
