@@ -211,14 +211,14 @@ def _found(df: DataFrame, least: int, longest: int, text: str, group: str) -> Da
     """Rows (lang, phrase, size, n) of what occurs `least` times; of size 0, a group's total."""
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = min(max(BUCKETS_LEAST, 1 << (size // BUCKET_BYTES).bit_length()), BUCKETS_MOST)
-    prefixes = range(longest - 1, 0, -2)
+    prefixes, block_bytes = range(longest - 1, 0, -2), blocks.BLOCK_BYTES
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(1).cast(pa.string()).fill_null(UNKNOWN).dictionary_encode()
             groups, own = langs.dictionary.to_pylist(), blocks.numbers(langs.indices).astype(np.int64)
             data, offsets = kernel.text_bytes(batch.column(0))
-            for a, b in kernel.chunks(offsets, blocks.BLOCK_BYTES):
+            for a, b in kernel.chunks(offsets, block_bytes):
                 block = _Block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], groups, own[a:b])
                 for rows in (block.counted(buckets), *(block.stripes(p, buckets) for p in prefixes)):
                     columns = list(zip(*rows)) or [[], [], []]

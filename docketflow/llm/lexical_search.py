@@ -155,7 +155,7 @@ def _counts(df: DataFrame, asked: _Asked) -> tuple[int, int, np.ndarray]:
 class _Sketched:
     """Documents' sketches, and the exact impacts of asked terms."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, asked: _Asked, documents: int, occurrences: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, asked: _Asked, documents: int, occurrences: int, coordinates: int):
         n = len(offsets) - 1
         starts, ends, of = terms(data, offsets)
         hashes = kernel.span_hashes(data, starts, ends)
@@ -165,8 +165,8 @@ class _Sketched:
         begin = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (found[1:] != found[:-1]))[: len(doc)])
         times = np.diff(np.append(begin, len(doc)))
         doc, found = doc[begin], found[begin]
-        self.sketch = np.zeros((COORDINATES, n), np.int32)
-        place = (found % np.uint64(COORDINATES)).astype(np.int64)
+        self.sketch = np.zeros((coordinates, n), np.int32)
+        place = (found % np.uint64(coordinates)).astype(np.int64)
         np.maximum.at(self.sketch, (place, doc), impacts(times, length[doc]).astype(np.int32))
         at, number = asked.matches(data, starts, ends, hashes)
         self.n_asked = max(len(asked.hashes), 1)
@@ -220,10 +220,10 @@ def weight(documents: int, holding: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * holding + 1)))
 
 
-def _answers(df: DataFrame, items: list[int], asked: _Asked, top: int) -> DataFrame:
+def _answers(df: DataFrame, items: list[int], asked: _Asked, top: int, coordinates: int) -> DataFrame:
     documents, occurrences, holding = _counts(df.select("text"), asked)
     weights = np.array([weight(documents, int(n)) if n else 0 for n in holding], np.int64)
-    places = (asked.hashes % np.uint64(COORDINATES)).astype(np.int64)
+    places = (asked.hashes % np.uint64(coordinates)).astype(np.int64)
     # Terms that no document holds add nothing.
     held = [numbers[holding[numbers] > 0] for numbers in asked.of_items]
     sent = df.sparkSession.sparkContext.broadcast((asked, weights, places, held))
@@ -235,7 +235,7 @@ def _answers(df: DataFrame, items: list[int], asked: _Asked, top: int) -> DataFr
             ids = batch.column(0).slice(i, j - i)
             null = ids.is_null().to_numpy(zero_copy_only=False)
             key = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            sketched = _Sketched(data, offsets, asked, documents, occurrences)
+            sketched = _Sketched(data, offsets, asked, documents, occurrences, coordinates)
             for own, numbers in zip(best, held):
                 if len(numbers):
                     _search(sketched, own, numbers, places[numbers], weights[numbers], key, null)
@@ -248,7 +248,7 @@ def _answers(df: DataFrame, items: list[int], asked: _Asked, top: int) -> DataFr
 
 def search(
     documents: DataFrame, items: DataFrame, top: int = 10, doc_id: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text",
+    item_id: str = "item_id", item_text: str = "text", coordinates: int = COORDINATES,
 ) -> DataFrame:
     """Rows (item_id, rank, doc_id, score): each item's `top` documents of a score above 0."""
     df = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -260,7 +260,7 @@ def search(
     for number in range(n_batches):
         # By a hash of the row, so that batches hold about as much text each.
         some = asked.where(F.pmod(F.xxhash64("item"), F.lit(n_batches)) == number).select("item", "text").collect()
-        answers = _answers(df, [r.item for r in some], _Asked.of([r.text for r in some]), top)
+        answers = _answers(df, [r.item for r in some], _Asked.of([r.text for r in some]), top, coordinates)
         found = answers if found is None else found.unionByName(answers)
     # Each task gives at most `top` rows an item, and Spark again takes the best before it shuffles.
     order = W.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
