@@ -1,21 +1,18 @@
 """Order-dependent operators without a global sort.
 
 Spark has no row order and a window without partitions moves every row into one
-task; a window per source file moves a large file's rows into one task. Running
-totals here are hierarchical: rows fall into fixed-size ranges of their order
-column, each range is summed on its own, and only the range sums (themselves summed
-in ranges, and so on) are carried forward. No task holds more than one range, whatever the skew.
+task; a window per source file moves a large file's rows into one task. Running totals
+here go by ranges cut where the data say so (`ranges.py`): each range is summed on its own,
+and what comes before it is one number. No task holds more than a range, whatever the skew.
 """
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import FILING_ORDER
+from .ranges import constants, find_bounds, range_of
 
-RANGE_ROWS = 16_384
-# So many levels leave some hundred entries per group on top for any 64-bit positions,
-# however sparse; fewer do for 32 bits.
-_LEVELS = {"int": 2, "bigint": 4}
+RANGE_ROWS = 65_536
 
 
 def running_total(df, value, order, out, group=None, restart=True, range_rows=RANGE_ROWS):
@@ -25,39 +22,56 @@ def running_total(df, value, order, out, group=None, restart=True, range_rows=RA
     gets no number. With `restart` the total
     starts anew in each group, otherwise it runs on through the groups by name. Choose
     `range_rows` so that this many rows with their payload fit a task comfortably.
+
+    The rows are counted, sampled and summed by range at once, over the columns concerned;
+    numbering them is then one shuffle.
     """
-    df = df.withColumn("__value", value.cast("bigint"))
     key = F.coalesce(F.col(group).cast("string"), F.lit("\0")) if group else F.lit("")
-    levels = _LEVELS.get(df.schema[order].dataType.simpleString(), 4)
-    summed = _before(df.withColumn("__group", key), order, out, restart, range_rows, levels)
-    return summed.drop("__value", "__group")
-
-
-def _before(df, order, out, restart, range_rows, levels):
-    before = (W.unboundedPreceding, -1)
-    if levels == 0:
-        # One entry per group and topmost range.
-        spec = W.partitionBy("__group") if restart else W.partitionBy()
-        total = F.sum("__value").over(spec.orderBy("__group", order).rowsBetween(*before))
-        return df.withColumn(out, F.coalesce(total, F.lit(0)))
-    bucket = f"__range{levels}"
-    ranged = df.withColumn(bucket, F.expr(f"`{order}` div {range_rows}"))
-    placed = ranged.filter(F.col(bucket).isNotNull())
+    df = df.withColumns({"__value": value.cast("bigint"), "__group": key, "__order": F.col(order).cast("bigint")})
+    names = ["__group", "__order"]
+    placed = df.filter(F.col("__order").isNotNull()).select(*names, "__value")
+    bounds = find_bounds(placed, names, range_rows)
+    before, first = _carried(placed, names, bounds, restart)
+
     # Rows without a position get no number; they stay with the task that has read them.
-    apart = F.lit(-(1 << 63)) + F.spark_partition_id()
-    ranged = ranged.withColumn(bucket, F.coalesce(bucket, apart))
-    sums = placed.groupBy("__group", bucket).agg(F.sum("__value").alias("__value"))
-    start = f"__start{levels}"
-    starts = _before(sums, bucket, start, restart, range_rows, levels - 1)
-    starts = starts.select("__group", bucket, start)
-    # The window and the join use the same keys, so rows are shuffled once.
-    within = W.partitionBy("__group", bucket).orderBy(order).rowsBetween(*before)
-    local = ranged.withColumn("__local", F.coalesce(F.sum("__value").over(within), F.lit(0)))
-    return (
-        local.join(starts, ["__group", bucket], "left")
-        .withColumn(out, F.col(start) + F.col("__local"))
-        .drop(bucket, start, "__local")
-    )
+    apart = -1 - F.spark_partition_id()
+    ranged = df.withColumn("__range", F.when(F.col("__order").isNotNull(), range_of(df, names, bounds)).otherwise(apart))
+    by = ["__range", "__group"] if restart else ["__range"]
+    within = W.partitionBy(*by).orderBy("__group", "__order").rowsBetween(W.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("__value").over(within), F.lit(0))
+    carried = F.get(constants(before, "bigint"), F.col("__range"))
+    if restart:
+        goes_on = F.get(constants(first, "string"), F.col("__range")) == F.col("__group")
+        carried = F.when(goes_on, carried).otherwise(0)
+    number = F.when(F.col("__range") >= 0, total + carried)
+    return ranged.withColumn(out, number).drop("__value", "__group", "__order", "__range")
+
+
+def _carried(placed, names, bounds, restart):
+    """For each range, what is summed up before it, and the group that this belongs to.
+
+    With `restart` that is what earlier ranges hold of the range's first group.
+    """
+    if not bounds:
+        return [0], [None]
+    ranged = placed.withColumn("__range", range_of(placed, names, bounds))
+    if restart:
+        # Only the groups at both ends of a range matter to others.
+        groups = ranged.groupBy("__range", "__group").agg(F.sum("__value").alias("n"))
+        ends = F.struct("__group", F.col("n"))
+        sums = groups.groupBy("__range").agg(F.min("__group").alias("first"), F.max(ends).alias("last"))
+    else:
+        sums = ranged.groupBy("__range").agg(F.struct(F.lit(None).cast("string"), F.sum("__value").alias("n")).alias("last"))
+        sums = sums.withColumn("first", F.lit(None).cast("string"))
+    before, first = [0] * (len(bounds) + 1), [None] * (len(bounds) + 1)
+    group, total = None, 0
+    for row in sorted(sums.collect(), key=lambda row: row["__range"]):  # one row for each range
+        last, n = row["last"][0], row["last"][1] or 0
+        first[row["__range"]] = row["first"]
+        before[row["__range"]] = total if not restart or row["first"] == group else 0
+        total = total + n if last == group else n
+        group = last
+    return before, first
 
 
 def row_index(df, batch="sourcefile", order="line_no", out="row_index", range_rows=RANGE_ROWS):
@@ -71,9 +85,25 @@ def nth_record(df, i, batch="sourcefile", order="line_no"):
     return placed.filter(F.col("__at") == i).drop("__at")
 
 
-def first_n(df, n, order=FILING_ORDER):
-    """The first `n` rows in order, or all when `n` is 0; filters come before it."""
-    return df.orderBy(*order).limit(n) if n else df
+def first_n(df, n, order=FILING_ORDER, range_rows=RANGE_ROWS):
+    """The first `n` rows in order, or all when `n` is 0; filters come before it.
+
+    Up to `range_rows` rows are kept by every task and then by one. Of more, the range that
+    the cut falls into is found from counts by range: the ranges before it are kept
+    whole, and of itself, which has about `range_rows` rows, the rows before the cut.
+    """
+    if not n or n <= range_rows:
+        return df.orderBy(*order).limit(n) if n else df
+    names = list(order)
+    bounds = find_bounds(df, names, range_rows)
+    ranged = df.withColumn("__range", range_of(df, names, bounds))
+    counts = {row["__range"]: row["n"] for row in ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    left, cut = n, 0
+    while cut <= len(bounds) and left >= counts.get(cut, 0):
+        left, cut = left - counts.get(cut, 0), cut + 1
+    kept = ranged.filter(F.col("__range") < cut)
+    last = ranged.filter(F.col("__range") == cut).orderBy(*names).limit(left)
+    return kept.unionByName(last).drop("__range").orderBy(*names)
 
 
 def first_batches(df, n, batch="sourcefile"):

@@ -1,9 +1,12 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import docketflow as d
+from docketflow.operators import ranges
 
 from .plans import inputs_of_single_partitions, physical
 
@@ -69,12 +72,13 @@ def test_positions_beyond_double_precision(spark):
 
 
 def test_no_window_over_all_records(spark, tmp_path):
-    """Only sums of sums meet in one task; records never do."""
+    """Nothing meets in one task: sums by range are known when rows are numbered."""
     path = str(tmp_path / "t")
     spark.range(1000).selectExpr("'s' as sourcefile", "id as line_no", "true as ok").write.parquet(path)
-    numbered = d.assign_part(spark.read.parquet(path), "line_no", F.col("ok"), 10, "sourcefile")
-    below = inputs_of_single_partitions(numbered)
-    assert below and all(b.count("HashAggregate") >= 4 for b in below)
+    for range_rows in (10, 65536):
+        numbered = d.assign_part(spark.read.parquet(path), "line_no", F.col("ok"), 10, "sourcefile", range_rows)
+        assert not inputs_of_single_partitions(numbered)
+        assert physical(numbered).count("Exchange") == 1
 
 
 def test_records_are_shuffled_once(spark, tmp_path):
@@ -118,3 +122,54 @@ def test_union_by_name_in_order(spark):
     assert got == [("a.idx", 5, None), ("b.idx", 0, None), ("b.idx", 1, "x")]
     with pytest.raises(ValueError):
         d.union_all([])
+
+
+@pytest.mark.parametrize("n", [1, 99, 100, 1234, 4000, 10**6])
+def test_first_n_by_ranges(skewed, n):
+    rows, df = skewed
+    got = d.first_n(df, n, range_rows=50)
+    assert [tuple(r) for r in got.collect()] == rows[:n]
+
+
+def test_first_n_of_many_leaves_no_task_with_all(spark):
+    df = spark.range(200_000).selectExpr("'f' as sourcefile", "pmod(hash(id), 1000000000) as line_no", "id")
+    chosen = d.first_n(df, 150_000, range_rows=10_000)
+    assert chosen.count() == 150_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in chosen.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 100_000
+    last = chosen.agg(F.max("line_no")).first()[0]
+    assert df.filter(F.col("line_no") < last).count() < 150_000 <= df.filter(F.col("line_no") <= last).count()
+
+
+def test_very_many_groups(spark):
+    df = spark.range(30_000).selectExpr("concat('g', id div 3) as sourcefile", "id * 7 as line_no", "id")
+    got = d.row_index(df, range_rows=1000)
+    assert got.filter("row_index <> id % 3").count() == 0
+    assert not inputs_of_single_partitions(got)
+    parts = d.assign_part(df, "line_no", F.lit(True), 10, "sourcefile", 1000)
+    order = [r.part for r in parts.orderBy("sourcefile", "line_no").collect()]
+    assert order == [i // 10 for i in range(30_000)]
+
+
+def test_positions_all_over_64_bits_and_equal_ranges(spark):
+    """Nine in ten positions lie close together, the others far apart."""
+    rows = [("a", i if i % 10 else (i - 5000) * 10**14) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "sourcefile string, line_no bigint").repartition(5)
+    expected = {position: i for i, (_, position) in enumerate(sorted(rows))}
+    got = d.row_index(df, range_rows=100)
+    assert {r.line_no: r.row_index for r in got.collect()} == expected
+
+
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(max_size=2)), st.integers(-5, 5)), max_size=30))
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+def test_a_key_falls_between_its_bounds(spark, keys):
+    df = spark.createDataFrame(keys, "a string, b bigint")
+    bounds = ranges.find_bounds(df, ["a", "b"], 2)
+    number = ranges.range_of(df, ["a", "b"], bounds)
+    order = lambda key: (key[0] is not None, (key[0] or "").encode(), key[1])
+    for row in df.withColumn("r", number).collect():
+        assert row.r == sum(order(b) <= order((row.a, row.b)) for b in bounds)
