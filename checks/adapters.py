@@ -198,11 +198,15 @@ def index_pages(spark, sf_dir):
         F.when(F.col("l_partkey") % 2 == 0, " <b>10-k</b>/a ").otherwise("10-K"),
     ).otherwise("EX-99")
     type2 = F.when(F.col("l_quantity") > 25, "10-K&nbsp;").otherwise("EX-13")
+    # Tables inside each other, mostly one, sometimes eight.
+    depth = F.when(F.col("l_partkey") % 25 == 0, 8).otherwise(1)
+    inner = F.concat(F.repeat(F.lit("<table><tr><td>n"), depth), F.repeat(F.lit("</td></tr></table>"), depth))
     html = F.concat(
         F.lit('<html><body><!-- <table class="tableFile"><tr><td><a href="/no.htm"></a> -->'),
         F.lit("<a href='/z.htm'>out</a><TABLE summary=\"Files\" CLASS="),
         F.when(F.col("l_tax") == 0, '"blueRibbon">').otherwise('"wide tableFile">'),
-        F.lit("<tr><th>Seq</th><th>Text</th><th>Document</th><th>Type<table><tr><td>n</td></tr></table></th></tr>\n<tr><td>1</td>"),
+        F.lit("<tr><th>Seq</th><th>Text</th><th>Document</th><th>Type"), inner,
+        F.lit("</th></tr>\n<tr><td>1</td>"),
         F.lit('<td>main</td><td><a class="d" href="'), folder, part, F.lit("-"), line, ext1,
         F.lit('">doc</a></td>'),
         F.when(F.col("l_linenumber") == 7, "").otherwise(

@@ -528,6 +528,16 @@ from decoded
 """
 
 
+@query(_CLEAN_SQL, ctes=None)
+def clean_nested_pages(spark, sf_dir):
+    """Pages with up to eight elements inside each other at the beginning of their body."""
+    depth = (F.col("page_id") % 9).cast("int")
+    nest = F.concat(F.lit("$0"), F.repeat(F.lit("<nav>menu"), depth), F.repeat(F.lit("</nav >"), depth))
+    nested = F.regexp_replace("html", F.lit("(?i)<body[^>]*>"), nest)
+    pages = a.table(spark, sf_dir, "pages").withColumn("html", nested)
+    return d.clean_pages(pages).select("page_id", "cleaned_text")
+
+
 @query(_CLEAN_SQL, ctes=None)
 def clean_pages(spark, sf_dir):
     pages = a.table(spark, sf_dir, "pages").select("page_id", "html").repartition(a.PIECES)

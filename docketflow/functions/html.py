@@ -12,13 +12,12 @@ from html.entities import html5
 from pyspark.sql import functions as F
 
 from ..fixed import ANNUAL_FORMS, DROPPED_ELEMENTS, RAW_ELEMENTS, TABLE_CLASS
+from .fold import walk
 from .once import with_once
 from .text import strip, stripped_lines
 
 _RAW = "|".join(RAW_ELEMENTS)
 _DROPPED = "|".join(DROPPED_ELEMENTS)
-# Elements of one name inside each other are matched to this depth.
-_DEPTH = 4
 # Numeric references 128 to 159 are read as windows-1252, where it defines them.
 _CODES = range(0x80, 0xA0)
 _UNDEFINED = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
@@ -44,24 +43,14 @@ def _raw_element(name):
 _ANY_RAW = "(?:" + "|".join(map(_raw_element, RAW_ELEMENTS)) + ")"
 
 
-def _element(name, depth=_DEPTH):
-    """An element with all it holds, others of its name included."""
-    inner = rf"{_element(name, depth - 1)}|" if depth else ""
-    return (
-        rf"{name}(?:[\s/]{_ATTRS})?>"
-        rf"(?:[^<]++|<(?!/{name}[\s>])(?:{inner}{_COMMENT}|{_ANY_RAW}|{_ANY_TAG})?+)*+(?:</{name}[^>]*+>)?"
-    )
-
-
-# Everything that is not text, in one pass over the page, token by token: what looks
-# like a tag inside a comment or an attribute value is not one. Body tags stay.
-_MARKUP = (
+# Everything that is not text, token by token: what looks like a tag inside a comment or an
+# attribute value is not one. Body tags stay.
+_TOKEN = (
     rf"(?i)<(?!/?body[\s/>]|/html\s*>)(?:{_COMMENT}"
-    rf"|(?:{_RAW}|{_DROPPED})(?:\s[^<>]*)?/>"
-    rf"|{_ANY_RAW}|"
-    + "|".join(map(_element, DROPPED_ELEMENTS))
-    + rf"|{_ANY_TAG})"
+    rf"|(?:{_RAW})(?:\s[^<>]*)?/>"
+    rf"|{_ANY_RAW}|{_ANY_TAG})"
 )
+_DROPPED_TAG = rf"(?i)<(/?)({_DROPPED})(?=[\s/>])"
 # A page with a body is cut down to the first one; a page without is left whole.
 _BODY = rf"(?is)\A.*?<body(?:[\s/]{_ATTRS})?>((?:[^<]++|<(?!/(?:body|html)\s*>))*+).*\z"
 _BODY_TAG = rf"(?i)<(?:/?body(?:[\s/]{_ATTRS})?|/html\s*)>"
@@ -108,18 +97,67 @@ def decode_references(col, names):
     return F.when(col.contains("&"), F.array_join(pieces, "")).otherwise(col)
 
 
+def _visible(df, page, out):
+    """Replace the page in column `page` by the text outside dropped elements, as `out`.
+
+    The page is cut into tags and the texts between them. One walk over the tags of dropped
+    elements finds the outermost ones, counting those of its name inside each; of the texts
+    the stretches between them are kept. An element that is not closed runs to the end.
+    """
+    marks, texts, hidden = (f"__{out}_{n}" for n in ("marks", "texts", "hidden"))
+    has_dropped = F.col(page).rlike(_DROPPED_TAG)
+    # Pages without dropped elements need no more than one replacement.
+    tags = F.when(has_dropped, F.regexp_extract_all(F.col(page), F.lit(_TOKEN), 0))
+
+    def mark(tag, i):
+        # An element closed in its own tag holds nothing.
+        name = F.when(~tag.endswith("/>"), F.lower(F.regexp_extract(tag, "^" + _DROPPED_TAG, 2)))
+        return F.struct(i.alias("at"), name.alias("name"), tag.startswith("</").alias("closes"))
+
+    marked = F.filter(F.transform(tags, mark), lambda m: m["name"] != "")
+    df = df.withColumn(marks, F.coalesce(marked, F.array().cast("array<struct<at:int,name:string,closes:boolean>>")))
+    df = df.withColumn(texts, F.when(has_dropped, F.split(F.col(page), _TOKEN, -1)))
+
+    def step(s, m):
+        inside = s["name"] != ""
+        same = inside & (s["name"] == m["name"])
+        depth = s["depth"] + F.when(same, F.when(m["closes"], -1).otherwise(1)).otherwise(0)
+        opens = ~inside & ~m["closes"]
+        ends = same & (depth == 0)
+        name = F.when(opens, m["name"]).when(ends, "").otherwise(s["name"])
+        begin = F.when(opens, m["at"]).otherwise(s["begin"])
+        gave = F.when(ends, F.array(F.struct(s["begin"].alias("begin"), m["at"].alias("end"))))
+        return (
+            {"name": name, "depth": F.when(opens, 1).otherwise(depth), "begin": begin},
+            F.coalesce(gave, F.array().cast("array<struct<begin:int,end:int>>")),
+        )
+
+    state = {"name": F.lit(""), "depth": F.lit(0), "begin": F.lit(0)}
+    walked = walk(F.col(marks), state, "struct<begin:int,end:int>", step)
+    df = with_once(df, hidden, walked)
+    # Text i stands before tag i: what is kept begins behind the end of one element and goes
+    # to the beginning of the next, or to the end unless the last one is open.
+    last = F.when(F.col(hidden)["name"] != "", F.col(hidden)["begin"]).otherwise(F.size(texts) - 1)
+    begins = F.concat(F.array(F.lit(0)), F.transform(F.col(hidden)["out"], lambda h: h["end"] + 1))
+    ends = F.concat(F.transform(F.col(hidden)["out"], lambda h: h["begin"]), F.array(last))
+    kept = F.zip_with(begins, ends, lambda b, e: F.slice(F.col(texts), b + 1, F.greatest(e - b + 1, F.lit(0))))
+    plain = F.regexp_replace(F.col(page), _TOKEN, "\n")
+    df = df.withColumn(out, F.when(F.col(texts).isNotNull(), F.array_join(F.flatten(kept), "\n")).otherwise(plain))
+    return df.drop(marks, texts, hidden)
+
+
 def with_plain_text(df, html, out):
     """Add `out`, the readable text of the page in column `html`."""
-    bare, decoded = f"__{out}_bare", f"__{out}_decoded"
-    page = F.when(
+    page, visible, bare, decoded = (f"__{out}_{n}" for n in ("page", "visible", "bare", "decoded"))
+    literal = F.when(
         F.col(html).contains("<![CDATA["), F.regexp_replace(F.col(html), _LITERAL, "\n$1\n")
     ).otherwise(F.col(html))
-    visible = F.regexp_replace(page, _MARKUP, "\n")
-    body = F.regexp_replace(visible, _BODY, "$1")
+    df = _visible(df.withColumn(page, literal), page, visible)
+    body = F.regexp_replace(F.col(visible), _BODY, "$1")
     df = df.withColumn(bare, F.regexp_replace(body, _BODY_TAG, "\n"))
     df = df.withColumn(decoded, decode_references(F.col(bare), named_references()))
     lines = F.filter(stripped_lines(F.col(decoded)), lambda line: line != "")
-    return with_once(df, out, F.array_join(lines, "\n")).drop(bare, decoded)
+    return with_once(df, out, F.array_join(lines, "\n")).drop(page, visible, bare, decoded)
 
 
 # --- links of an index page ---------------------------------------------------
@@ -143,17 +181,34 @@ _HAS_CLASS = (
 )
 
 
-def _table_content(depth=_DEPTH):
-    """Up to the end of a table, with tables inside it."""
-    inner = rf"|<(?i:table)(?:[\s/]{_ATTRS})?>{_table_content(depth - 1)}(?:</(?i:table)\s*>)?" if depth else ""
-    opening = r"(?!(?i:table)[\s/>])" if depth else ""
-    return rf"(?:[^<]++|<(?!/(?i:table)\s*>){opening}{inner})*+"
+def _with_tables(stop, depth):
+    """Markup up to one of the tags `stop`, with the whole tables inside it."""
+    whole = rf"|<(?i:table)(?:[\s/]{_ATTRS})?>{_with_tables('/(?i:table)', depth - 1)}</(?i:table)\s*>" if depth else ""
+    return rf"(?:[^<]++|<(?!(?:{stop}|/?(?i:table))[\s/>]){whole})*+"
 
 
-_TABLE = rf"<(?i:table){_attribute('class')}{_HAS_CLASS}({_ATTRS}>{_table_content()})"
-_ROW = rf"(?i)<tr(?:[\s/]{_ATTRS})?>"
-_CELL = rf"(?i)<td(?:[\s/]{_ATTRS})?>((?:[^<]++|<(?!td[\s>]|/t[dr]\s*>))*+)"
-_HREF = rf"<[aA]{_attribute('href')}({_VALUE})"
+# Tables are mostly flat or hold others that are: patterns read these, a walk all others.
+# Every row and cell is found where it begins, its content by looking ahead, so that those
+# of inner tables are found as well.
+_FLAT = 2
+_FLAT_TABLE = (
+    rf"<(?i:table){_attribute('class')}{_HAS_CLASS}({_ATTRS}>{_with_tables('/(?i:table)', _FLAT)})</(?i:table)\s*>"
+)
+_FLAT_ROW = rf"<(?i:tr)(?=((?:[\s/]{_ATTRS})?>{_with_tables('/?(?i:tr)', _FLAT)}))"
+_FLAT_CELL = rf"<(?i:td)(?=(?:[\s/]{_ATTRS})?>({_with_tables('/?(?i:t[dr])', _FLAT)}))"
+_ANY_HREF = rf"<[aA]{_attribute('href')}({_VALUE})"
+
+
+# From the end of the document table's own tag on, to the end of the page.
+_AFTER_TABLE_TAG = rf"(?s)<(?i:table){_attribute('class')}{_HAS_CLASS}{_ATTRS}(>.*)"
+# Tags that rows, cells and tables begin and end with, and links with an address.
+_TABLE_TAG = (
+    rf"(?:<(?i:table|t[dr])(?:[\s/]{_ATTRS})?>|</(?i:table)\s*>|</(?i:t[dr])[^>]*+>"
+    rf"|<[aA]{_attribute('href')}{_VALUE}{_ATTRS}>?)"
+)
+_TAG_NAME = r"(?i)^<(/?t(?:able|[dr])|a)"
+_HREF = rf"^<[aA]{_attribute('href')}({_VALUE})"
+_KINDS = {"table": 1, "/table": 2, "tr": 3, "/tr": 4, "td": 5, "/td": 6, "a": 7}
 
 
 def _href(written, names):
@@ -162,24 +217,121 @@ def _href(written, names):
     return decode_references(F.when(quoted, inner).otherwise(written), names)
 
 
-def _hrefs(markup, names):
-    found = F.regexp_extract_all(markup, F.lit(_HREF), 1)
-    return F.transform(found, lambda written: _href(written, names))
+def _table_tags(tags):
+    """The tags with their places, by number of their kind."""
+
+    def tag(written, i):
+        name = F.lower(F.regexp_extract(written, _TAG_NAME, 1))
+        kind = F.lit(None).cast("int")
+        for text, number in _KINDS.items():
+            kind = F.when(name == text, number).otherwise(kind)
+        return F.struct(i.alias("at"), kind.alias("kind"))
+
+    return F.transform(tags, tag)
+
+
+def _nothing_open():
+    return F.struct(*[F.lit(n).alias(name) for name, n in (("row", -1), ("cell", -1), ("cells", 0), ("links", 0))])
+
+
+_ENDED = "struct<kind:int,at:int,end:int,cells:int,links:int>"
+
+
+def _ended(kind, at, end, cells=0, links=0):
+    values = {"kind": kind, "at": at, "end": end, "cells": cells, "links": links}
+    return F.struct(*[(v if hasattr(v, "alias") else F.lit(v)).alias(n) for n, v in values.items()])
+
+
+def _table_walk(tags):
+    """Where the rows and cells of a table and of those inside it end, and the table itself.
+
+    A stack holds the open row and cell of every open table. A cell ends with the next cell or
+    row of its table, a row with the next one, both with their table. A row knows how
+    many cells and links stand before it: its own are the next ones before its end.
+    """
+    nothing = F.array().cast(f"array<{_ENDED}>")
+
+    def step(s, t):
+        kind, at, stack = t["kind"], t["at"], s["stack"]
+        top = F.element_at(stack, -1)
+        cell = (kind >= 2) & (kind <= 6) & (top["cell"] >= 0)
+        row = (kind >= 2) & (kind <= 4) & (top["row"] >= 0)
+        gave = F.concat(
+            F.when(cell, F.array(_ended(5, top["cell"], at))).otherwise(nothing),
+            F.when(row, F.array(_ended(3, top["row"], at, top["cells"], top["links"]))).otherwise(nothing),
+        )
+        begins = F.struct(at.alias("row"), F.lit(-1).alias("cell"), s["cells"].alias("cells"), s["links"].alias("links"))
+        goes_on = F.struct(
+            F.when(kind == 4, -1).otherwise(top["row"]).alias("row"),
+            F.when(kind == 5, at).otherwise(-1).alias("cell"),
+            top["cells"].alias("cells"),
+            top["links"].alias("links"),
+        )
+        outer = F.slice(stack, F.lit(1), F.size(stack) - 1)
+        after = (
+            F.when(kind == 7, stack)
+            .when(kind == 1, F.concat(stack, F.array(_nothing_open())))
+            .when(kind == 2, outer)
+            .otherwise(F.concat(outer, F.array(F.when(kind == 3, begins).otherwise(goes_on))))
+        )
+        on = F.size(stack) > 0
+        return (
+            {
+                "stack": F.when(on, after).otherwise(stack),
+                "cells": s["cells"] + F.when(on & (kind == 5), 1).otherwise(0),
+                "links": s["links"] + F.when(on & (kind == 7), 1).otherwise(0),
+                "end": F.when(on & (kind == 2) & (F.size(stack) == 1), at).otherwise(s["end"]),
+            },
+            F.when(on, gave).otherwise(nothing),
+        )
+
+    state = {"stack": F.array(_nothing_open()), "cells": F.lit(0), "links": F.lit(0), "end": F.lit(-1)}
+    return walk(tags, state, _ENDED, step)
+
+
+
+def _table_end(tags):
+    """Where the table ends; -1 if it does not."""
+
+    def step(s, t):
+        depth = s["depth"] + F.when(t["kind"] == 1, 1).when(t["kind"] == 2, -1).otherwise(0)
+        return F.struct(
+            F.when(s["depth"] > 0, depth).otherwise(0).alias("depth"),
+            F.when((s["depth"] == 1) & (t["kind"] == 2), t["at"]).otherwise(s["end"]).alias("end"),
+        )
+
+    zero = F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("end"))
+    return F.aggregate(F.filter(tags, lambda t: t["kind"] <= 2), zero, step)["end"]
+
+
+def _type_of(markup, names):
+    """The text of a cell in upper case, each run of it stripped."""
+    nodes = F.transform(
+        F.split(markup, f"(?i)<{_ANY_TAG}", -1), lambda text: strip(decode_references(text, names))
+    )
+    return F.upper(F.array_join(nodes, ""))
 
 
 def _first_href(markup, names):
     # As the one element of an array, what was matched is used without matching again.
-    first = F.array(F.regexp_extract(markup, _HREF, 1))
+    first = F.array(F.regexp_extract(markup, _ANY_HREF, 1))
     return F.get(F.transform(first, lambda written: _href(written, names)), 0)
 
 
-def _row_type(row, names):
-    """Text of a row's fourth cell in upper case; null when it has fewer."""
-    cell = F.get(F.regexp_extract_all(row, F.lit(_CELL), 1), 3)
-    nodes = F.transform(
-        F.split(cell, f"(?i)<{_ANY_TAG}", -1), lambda text: strip(decode_references(text, names))
+def _flat_choice(table, rule, names):
+    """The link chosen from a table that patterns can read."""
+    hrefs = F.transform(F.regexp_extract_all(table, F.lit(_ANY_HREF), 1), lambda written: _href(written, names))
+    if rule == "B":
+        return F.get(F.filter(hrefs, _is_page), 0)
+    rows = F.slice(F.regexp_extract_all(table, F.lit(_FLAT_ROW), 1), 2, 1 << 30)
+    linked = F.transform(rows, lambda row: F.struct(row.alias("row"), _first_href(row, names).alias("href")))
+    # The type is read only of rows whose first link qualifies.
+    annual = F.filter(
+        linked,
+        lambda r: _is_annual_page(r["href"])
+        & _type_of(F.get(F.regexp_extract_all(r["row"], F.lit(_FLAT_CELL), 1), 3), names).isin(*ANNUAL_FORMS),
     )
-    return F.upper(F.array_join(nodes, ""))
+    return F.coalesce(F.get(annual, 0)["href"], F.get(F.filter(hrefs, _is_annual_page), 0))
 
 
 def _is_annual_page(href):
@@ -195,36 +347,71 @@ def with_primary_link(df, html, rule="A", href="href", has_table="has_table"):
     """Add the link of the main document listed on an index page.
 
     Rule A prefers the first table row of an annual form type and falls back to the
-    first page link of the table; rule B takes the first page link. `href` is null
+    first page link of the table; rule B takes the first page link. Rows hold the cells and
+    links of tables inside them, at any depth. `href` is null
     when there is none, `has_table` tells whether the document table exists.
     """
     names = named_references()
-    found, table, links = (f"__{href}_{n}" for n in ("found", "table", "links"))
-    seen = F.regexp_replace(F.col(html), _UNSEEN, "")
+    seen, flat, content = (f"__{href}_{n}" for n in ("seen", "flat", "content"))
+    df = df.withColumn(seen, F.regexp_replace(F.col(html), _UNSEEN, ""))
     # What is found starts with the end of the table's own tag, so it is never empty.
-    df = df.withColumn(found, F.regexp_extract(seen, _TABLE, 1))
-    df = df.withColumn(table, F.when(F.col(found) != "", F.col(found)))
-    df = df.withColumn(links, _hrefs(F.col(table), names))
+    df = df.withColumn(flat, F.nullif(F.regexp_extract(F.col(seen), _FLAT_TABLE, 1), F.lit("")))
+    other = F.when(F.col(flat).isNull(), F.regexp_extract(F.col(seen), _AFTER_TABLE_TAG, 1))
+    df = df.withColumn(content, F.nullif(other, F.lit("")))
+    df, walked, helpers = _with_walked_choice(df, content, rule, href, names)
+    chosen = F.when(F.col(flat).isNotNull(), _flat_choice(F.col(flat), rule, names)).otherwise(walked)
+    df = with_once(df, href, chosen)
+    df = df.withColumn(has_table, F.col(flat).isNotNull() | F.col(content).isNotNull())
+    return df.drop(seen, flat, content, *helpers)
+
+
+def _with_walked_choice(df, content, rule, href, names):
+    """The link chosen by a walk over the tags behind the table's own, which `content` holds.
+
+    Returns the table with helper columns, the choice and the helpers; where there is no content, the
+    choice is null.
+    """
+    written, tags, links, walked = helpers = [f"__{href}_{n}" for n in ("written", "tags", "links", "walked")]
+    df = df.withColumn(written, F.regexp_extract_all(F.col(content), F.lit(_TABLE_TAG), 0))
+    df = df.withColumn(tags, _table_tags(F.col(written)))
+    there = F.col(tags).isNotNull()
+    df = with_once(df, walked, F.when(there, _table_end(F.col(tags)) if rule == "B" else _table_walk(F.col(tags))))
+    end = F.col(walked) if rule == "B" else F.col(walked)["end"]
+    inside = F.filter(F.col(tags), lambda t: (t["kind"] == 7) & ((end < 0) | (t["at"] < end)))
+    found = F.transform(
+        inside,
+        lambda t: F.struct(t["at"].alias("at"), _href(F.regexp_extract(F.get(F.col(written), t["at"]), _HREF, 1), names).alias("href")),
+    )
+    df = df.withColumn(links, found)
+    hrefs = F.transform(F.col(links), lambda a: a["href"])
     if rule == "B":
-        chosen = F.get(F.filter(F.col(links), _is_page), 0)
-    else:
-        # The text before the first row and the first row itself are passed over. The
-        # type is read only of rows whose first link qualifies.
-        listed = F.slice(F.split(F.col(table), _ROW, -1), 3, 1 << 30)
-        linked = F.transform(
-            listed,
-            lambda row: F.struct(row.alias("row"), _first_href(row, names).alias("href")),
-        )
-        annual = F.filter(
-            linked,
-            lambda r: _is_annual_page(r["href"])
-            & _row_type(r["row"], names).isin(*ANNUAL_FORMS),
-        )
-        chosen = F.coalesce(
-            F.get(annual, 0)["href"], F.get(F.filter(F.col(links), _is_annual_page), 0)
-        )
-    return (
-        with_once(df, href, chosen)
-        .withColumn(has_table, F.col(table).isNotNull())
-        .drop(found, table, links)
+        return df, F.get(F.filter(hrefs, _is_page), 0), helpers
+    texts, rows, cells = more = [f"__{href}_{n}" for n in ("texts", "rows", "cells")]
+    df = df.withColumn(texts, F.split(F.col(content), _TABLE_TAG, -1))
+    # What is still open ends with the page.
+    last, stack, ended = F.size(F.col(tags)), F.col(walked)["stack"], F.col(walked)["out"]
+    open_rows = F.transform(
+        F.filter(stack, lambda o: o["row"] >= 0), lambda o: _ended(3, o["row"], last, o["cells"], o["links"])
     )
+    open_cells = F.transform(F.filter(stack, lambda o: o["cell"] >= 0), lambda o: _ended(5, o["cell"], last))
+
+    def by_place(kind, still_open):
+        own = F.concat(F.filter(ended, lambda e: e["kind"] == kind), still_open)
+        return F.array_sort(F.transform(own, lambda e: F.struct(*[e[n].alias(n) for n in ("at", "end", "cells", "links")])))
+
+    df = df.withColumn(rows, by_place(3, open_rows)).withColumn(cells, by_place(5, open_cells))
+
+    def annual(r):
+        link, fourth = F.get(F.col(links), r["links"]), F.get(F.col(cells), r["cells"] + 3)
+        markup = F.array_join(F.slice(F.col(texts), fourth["at"] + 2, fourth["end"] - fourth["at"]), "<br>")
+        return (
+            (link["at"] < r["end"])
+            & _is_annual_page(link["href"])
+            & (fourth["at"] < r["end"])
+            & _type_of(markup, names).isin(*ANNUAL_FORMS)
+        )
+
+    # The first row is passed over.
+    row = F.get(F.filter(F.slice(F.col(rows), 2, 1 << 30), annual), 0)
+    chosen = F.coalesce(F.get(F.col(links), row["links"])["href"], F.get(F.filter(hrefs, _is_annual_page), 0))
+    return df, chosen, helpers + more

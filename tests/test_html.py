@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import docketflow as d
+from docketflow.functions import html
 
 DROPPED = {"script", "style", "header", "footer", "nav", "noscript"}
 
@@ -305,11 +306,69 @@ def test_elements_inside_others_of_their_name(spark):
 
 
 def test_tables_inside_the_document_table(spark):
-    html = (
+    page = (
         '<table class="tableFile"><tr><th>h<table><tr><td>n</td></tr></table></th></tr>'
         "<tr><td>1</td><td>t</td><td><a href='/d.htm'>d</a></td><td>10-K</td></tr></table><a href=/late.htm>l</a>"
     )
-    df = spark.createDataFrame([(html,)], "html string")
+    df = spark.createDataFrame([(page,)], "html string")
     for rule in "AB":
         r = d.pick_document(df, rule=rule).first()
         assert (r.href, r.has_table) == ("/d.htm", True)
+
+
+def test_elements_at_any_depth(spark):
+    for n in (5, 6, 7, 200, 3000):
+        nest = "<nav a='</nav>'>x" * n + "y</nav>z" * n
+        pages = [f"<body>a{nest[:-1]}b</body>", "<body>a" + "<nav>x" * n + "</nav>" * (n - 1) + "b</body>", "<nav>n</nav>t " * n]
+        assert clean(spark, pages) == ["a\nb", "a", "\n".join(["t"] * n)]
+
+
+def test_other_names_inside_a_dropped_element_do_not_close_it(spark):
+    pages = ["a<nav>x<footer>y</nav>b</footer>c", "a<header><nav>x</header>b<nav>y", "a</nav>b<nav/>c<nav>d</header>e</nav >f"]
+    assert clean(spark, pages) == [walk(p) for p in pages] == ["a\nb\nc", "a\nb", "a\nb\nc\nf"]
+
+
+def nested(n, cell=""):
+    return "<table><tr><td>n" * n + cell + "</td></tr></table>" * n
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 8, 100])
+def test_tables_at_any_depth(spark, n):
+    other = row("/late.htm", "10-K")
+    link = "<a href='/d.htm'>d</a>"
+    in_head = f"<table class=tableFile><tr><th>h{nested(n)}</th></tr>{row('/d.htm', '10-K')}</table>{other}"
+    in_cell = table(f"<tr><td>1</td><td>{link}</td><td>{nested(n)}</td><td>10-K</td></tr>", other)
+    pages = [in_head, in_cell]
+    # Cells of inner tables count: the fourth of this row is one of them when there are three.
+    inner = table(f"<tr><td>{link}</td><td>{'<table><tr><td>n</td><td>10-K</td></tr></table>'}</td></tr>", other)
+    assert pick(spark, [inner], "A") == [(True, "/d.htm")]
+    # In the second page the fourth cell is inside the third one as soon as a table is there.
+    assert pick(spark, pages, "A") == [(True, "/d.htm"), (True, "/late.htm")]
+    assert pick(spark, pages, "B") == [(True, "/d.htm")] * 2
+    # The first link of a row may be inside a table in it, and so may a whole row.
+    deep = table(f"<tr><td>1</td><td>2</td><td>{nested(n, link)}</td></tr>")
+    whole = table("<tr><td>" + nested(n, f"<table>{row('/w.htm', '10-K')}</table>") + "</td></tr>", other)
+    assert pick(spark, [deep, whole], "B") == [(True, "/d.htm"), (True, "/w.htm")]
+    assert pick(spark, [whole], "A") == [(True, "/w.htm")]
+
+
+def test_patterns_and_walk_agree(spark, monkeypatch):
+    """The same pages, read by patterns and by the walk alone."""
+    rng = random.Random(9)
+    pages = [random_index_page(rng).replace("</td>", nested(rng.randint(0, 3)) + "</td>", 1) for _ in range(400)]
+    for rule in "AB":
+        both = pick(spark, pages, rule)
+        monkeypatch.setattr(html, "_FLAT_TABLE", "(no such table)")
+        assert pick(spark, pages, rule) == both
+        monkeypatch.undo()
+
+
+def test_unclosed_tables_rows_and_cells(spark):
+    link = "<a href='/d.htm'>d</a>"
+    pages = [
+        f"<table class=tableFile><tr><th>h<tr><td>1<td>2<td>{link}<td>10-K",
+        f"<table class=tableFile><tr><th>h</tr><tr><td>1</td><td><table><tr><td>x</table></td><td>{link}</td><td>EX</td></tr>",
+        f"</table></tr><table class=tableFile><tr></tr></tr><td>{link}</table>{row('/no.htm', '10-K')}",
+    ]
+    for rule in "AB":
+        assert pick(spark, pages, rule) == [(True, "/d.htm")] * 3
