@@ -29,39 +29,78 @@ def _rank(won):
     return F.when(won, attempt).otherwise(F.lit(_LAST) - attempt).alias("rank")
 
 
-def resolve_attempts(responses, keys=("url",), retry_limit=2, wins="body"):
-    """One outcome per key: (keys, attempt, status_code, body, ok).
-
-    Of the first `retry_limit` attempts the first answered 200 with a body wins
-    (`wins="status"`: the first answered 200, whatever its body); failing all, the last
-    one counts. Only an answer of 200 has a body: the pages that come with errors are
-    dropped before anything is shuffled. A key without an attempt in the limit keeps
-    null outcome columns.
+def _landed(responses, keys, retry_limit):
+    """The attempts that count, written once with a number each; only an answer of 200 has a body.
 
-    This is an aggregate, not a window: attempts combine on the map side, so a key
+    The pages that come with errors end here. A number is fixed by being written, so that an
+    attempt can be chosen, and asked for, without its body.
+    """
+    answered = F.coalesce(F.col("status_code") == 200, F.lit(False))
+    counted = F.coalesce(F.col("attempt").between(1, retry_limit), F.lit(False))
+    body = F.when(answered & counted, F.col("body"))
+    attempts = responses.select(*keys, "attempt", "status_code", counted.alias("counted"), body.alias("body"))
+    return staged(
+        attempts.withColumns({
+            "has_body": F.coalesce(F.col("body") != "", F.lit(False)),
+            "there": F.col("body").isNotNull(),
+            # Of equal attempts the text that comes first counts, by its beginning and its hash.
+            "begins": F.substring("body", 1, 32),
+            "hash": F.xxhash64("body"),
+            "place": F.monotonically_increasing_id(),
+        }),
+        "attempts",
+    )
+
+
+def _winners(landed, keys, wins):
+    """One row per key, without its body: (keys, attempt, status_code, place, ok).
+
+    This is an aggregate over narrow rows: attempts combine on the map side, so a key
     that holds a large share of all rows reaches its reducer as one row per task.
     """
     answered = F.coalesce(F.col("status_code") == 200, F.lit(False))
-    body = F.when(answered, F.col("body"))
-    has_body = F.coalesce(body != "", F.lit(False))
-    outcome = F.struct(
-        _rank(has_body if wins == "body" else answered),
-        F.col("attempt"),
-        F.col("status_code"),
-        body.alias("body"),
-        has_body.alias("ok"),
-    )
-    counted = F.col("attempt").between(1, retry_limit)
-    best = responses.groupBy(*keys).agg(F.min(F.when(counted, outcome)).alias("best"))
+    won = F.col("has_body") if wins == "body" else answered
+    columns = ["attempt", "status_code", "begins", "hash", "place", F.col("has_body").alias("ok"), "there"]
+    outcome = F.struct(_rank(won), *columns)
+    best = landed.groupBy(*keys).agg(F.min(F.when(F.col("counted"), outcome)).alias("best"))
     return best.select(
         *keys,
         "best.attempt",
         "best.status_code",
-        "best.body",
+        F.when(F.col("best.there"), F.col("best.place")).alias("place"),
         F.coalesce("best.ok", F.lit(False)).alias("ok"),
     )
 
 
+def with_bodies(df, landed):
+    """Replace `place` by the body of that attempt; without a place there is none.
+
+    Bodies pass one exchange and are never sorted: the narrow rows are what is hashed. Rows
+    without a place get one of their own that no attempt has, and so spread over the tasks; Spark splits
+    the rows of a place that very many share.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != "place"]
+    place = F.coalesce(F.col("place"), -1 - F.monotonically_increasing_id())
+    bodies = landed.filter(F.col("there")).select(F.col("place").alias("__place"), "body")
+    rows = df.select(*others, place.alias("__asked")).hint("shuffle_hash")
+    return rows.join(bodies, F.col("__asked") == F.col("__place"), "left").select(*others, "body")
+
+
+def resolve_attempts(responses, keys=("url",), retry_limit=2, wins="body"):
+    """One outcome per key: (keys, attempt, status_code, body, ok).
+
+    Of the first `retry_limit` attempts the first answered 200 with a body wins
+    (`wins="status"`: the first answered 200, whatever its body); failing all, the last
+    one counts. Only an answer of 200 has a body. A key without an attempt in the limit keeps
+    null outcome columns.
+
+    Attempts are written once to the shared working folder and chosen without their bodies.
+    """
+    landed = _landed(responses, keys, retry_limit)
+    found = with_bodies(_winners(landed, keys, wins), landed)
+    return found.select(*keys, "attempt", "status_code", "body", "ok")
+
+
 def pick_document(pages, html="html", rule="A"):
     """Add `href`, the main document's link, and `has_table` to index pages."""
     return with_primary_link(pages, html, rule)
@@ -72,7 +111,7 @@ def clean_pages(df, html="html", out="cleaned_text"):
     return with_plain_text(df, html, out)
 
 
-def _index_links(responses, rule, retry_limit):
+def _index_links(landed, rule):
     """One row per landed index page: (url, index_code, has_table, link).
 
     Links are read from every attempt that counts, and the pages end here: only links
@@ -82,10 +121,7 @@ def _index_links(responses, rule, retry_limit):
     # Index addresses all end alike, which keeps document bodies out.
     ending = "/index.html" if rule == "B" else "-index.htm"
     answered = F.coalesce(F.col("status_code") == 200, F.lit(False))
-    counted = F.col("attempt").between(1, retry_limit)
-    pages = responses.filter(F.col("url").endswith(ending)).withColumn(
-        "body", F.when(answered & counted, F.col("body"))
-    )
+    pages = landed.filter(F.col("url").endswith(ending)).select("url", "attempt", "status_code", "counted", "body")
     linked = with_primary_link(pages, "body", rule, "__href", "__has_table")
     linked = linked.withColumn("link", F.when(answered, absolute_url(F.col("__href"), rule)))
     outcome = F.struct(
@@ -94,7 +130,7 @@ def _index_links(responses, rule, retry_limit):
         F.col("__has_table").alias("has_table"),
         "link",
     )
-    best = linked.groupBy("url").agg(F.min(F.when(counted, outcome)).alias("best"))
+    best = linked.groupBy("url").agg(F.min(F.when(F.col("counted"), outcome)).alias("best"))
     return best.select("url", "best.index_code", "best.has_table", "best.link")
 
 
@@ -109,15 +145,17 @@ def _landed_at(filings, address, landed, found):
     return joined.withColumn(found, F.coalesce(found, F.lit(False))).drop("__url")
 
 
-def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="filename"):
-    """Match filings to landed pages: adds filing_url, body, ok and status.
+def match_documents(filings, responses, rule="B", retry_limit=2, filename="filename"):
+    """Filings matched to landed pages, and those pages: two tables.
 
-    Rule B: a path naming a document is looked up directly, a folder by way of its
-    index page. Rule A: always by way of the filing's own index page.
+    The first has the filings with filing_url, ok, status and `place`, the number of the
+    page in the second; `with_bodies` brings them together. Rule B: a path naming a document is looked
+    up directly, a folder by way of its index page. Rule A: always by way of the filing's
+    own index page.
 
-    Links and documents are resolved first and written to the shared working folder.
+    Attempts, links and documents are written to the shared working folder; only the first hold
+    bodies.
     """
-    responses = responses.select("url", "attempt", "status_code", "body")
     if rule == "B":
         target = filings.withColumn("__target", fetch_target(F.col(filename)))
         direct = F.when(F.col("__target.kind") == "direct", F.col("__target.url"))
@@ -127,24 +165,30 @@ def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="fil
         direct, index = F.lit(None).cast("string"), F.col("__target.index_url")
     target = target.withColumn("__direct", direct).withColumn("__index", index)
 
-    links = staged(_index_links(responses, rule, retry_limit), "links").toDF(
+    landed = _landed(responses, ["url"], retry_limit)
+    links = staged(_index_links(landed, rule), "links").toDF(
         "url", "__index_code", "__has_table", "__link"
     )
-    wins = "body" if rule == "B" else "status"
-    documents = resolve_attempts(responses, ("url",), retry_limit, wins)
-    documents = staged(documents.select("url", "status_code", "body"), "documents").toDF(
-        "url", "__code", "__body"
+    documents = _winners(landed, ["url"], "body" if rule == "B" else "status")
+    documents = staged(documents.select("url", "status_code", "place", "ok"), "documents").toDF(
+        "url", "__code", "__place", "__ok"
     )
     linked = _landed_at(target, "__index", links, "__index_found")
     linked = linked.withColumn("__doc", F.coalesce("__direct", "__link"))
     found = _landed_at(linked, "__doc", documents, "__found")
 
-    ok = F.coalesce((F.col("__code") == 200) & (F.col("__body") != ""), F.lit(False))
+    ok = F.coalesce(F.col("__ok"), F.lit(False))
     address = F.coalesce("__doc", "__index") if rule == "B" else F.col("__doc")
     result = found.withColumns({"status": _status(rule), "ok": ok, "filing_url": address})
-    return result.select(
-        *filings.columns, "filing_url", F.when(F.col("ok"), F.col("__body")).alias("body"), "ok", "status"
-    )
+    place = F.when(F.col("ok"), F.col("__place")).alias("place")
+    return result.select(*filings.columns, "filing_url", place, "ok", "status"), landed
+
+
+def resolve_documents(filings, responses, rule="B", retry_limit=2, filename="filename"):
+    """Match filings to landed pages: adds filing_url, body, ok and status (see `match_documents`)."""
+    matched, landed = match_documents(filings, responses, rule, retry_limit, filename)
+    found = with_bodies(matched, landed)
+    return found.select(*filings.columns, "filing_url", "body", "ok", "status")
 
 
 def _status(rule):

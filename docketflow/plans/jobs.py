@@ -10,11 +10,11 @@ from ..functions.fields import clean_cik
 from ..operators.annual import filter_annual, keep_annual_forms, select_filings
 from ..operators.index import parse_index
 from ..operators.order import assign_part, first_batches, first_n
-from ..operators.outcomes import clean_pages, outcome_records, resolve_documents
+from ..operators.outcomes import clean_pages, match_documents, outcome_records, with_bodies
 from ..operators.periods import pending
 from ..operators.summary import year_preview
 from ..schemas import FILING, FILING_ORDER, check_schema
-from ..session import staged
+from ..session import discard, staged
 from ..sources.index_files import scan_index
 from ..sources.tables import (
     document_keys,
@@ -79,9 +79,8 @@ def fetch_job(
     `max_batches` takes the first listings by name only, `max_filings` stops after that
     many filings in order.
 
-    The matched records are written once to the shared working folder: numbering the
-    parts reads them twice, and a lost executor then costs a re-read, not the joins.
-    Text is cleaned last, so that only the raw page travels through the shuffle.
+    Filings are matched and parts numbered without pages, which join them last: a page is
+    moved once. What lies in the shared working folder until then is removed at the end.
     """
     check_schema(filings, FILING)
     exists = output_exists(spark, target)
@@ -94,16 +93,15 @@ def fetch_job(
         earlier = spark.read.parquet(target)
         annual = pending(annual, earlier, list(FILING_ORDER))
         first_part = earlier.agg(F.max("part").cast("bigint")).first()[0] + 1
-    matched = staged(
-        resolve_documents(first_n(annual, max_filings), responses, "B", retry_limit), "outcomes"
-    )
+    matched, landed = match_documents(first_n(annual, max_filings), responses, "B", retry_limit)
+    matched = staged(matched, "outcomes")
     if matched.isEmpty():
+        discard(matched, landed)
         return {"written": False}
-    # Only keys are numbered; the text is joined to its part afterwards.
     keys = matched.select("sourcefile", "line_no", "ok")
     parts = assign_part(keys, "line_no", F.col("ok"), per_part, group="sourcefile")
     parts = parts.select("sourcefile", "line_no", (F.col("part") + first_part).alias("part"))
-    numbered = matched.join(parts, ["sourcefile", "line_no"], "left")
+    numbered = with_bodies(matched.join(parts, ["sourcefile", "line_no"], "left"), landed)
     seen = Observation()
     records = outcome_records(numbered).observe(
         seen,
@@ -113,6 +111,7 @@ def fetch_job(
     )
     write_parts(records, target, if_exists=if_exists, check=False)
     counts = seen.get
+    discard(matched, landed)
     parts = counts["last_part"] - first_part + 1
     return {"written": True, "seen": counts["seen"], "ok": counts["ok"], "parts": parts}
 
@@ -136,11 +135,13 @@ def documents_job(
     wanted = selected
     if stored is not None:
         wanted = pending(selected, stored, ["key_cik", "key_year", "key_accession"])
-    # Written once, to be counted over one column and stored.
-    found = staged(resolve_documents(wanted, responses, "A", retry_limit), "matched")
+    # Counted without pages, which join those to be stored.
+    found, landed = match_documents(wanted, responses, "A", retry_limit)
+    found = staged(found, "matched")
     counts = found.agg(F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail")).first()
-    kept = found.filter("ok").drop("ok", "status", "key_cik", "key_year", "key_accession")
+    kept = with_bodies(found.filter("ok"), landed).drop("ok", "status", "key_cik", "key_year", "key_accession")
     write_documents(kept, target, by, "append", check=False)
+    discard(found, landed)
     skipped = summary["selected"] - counts["ok"] - counts["fail"]
     return {
         "written": True, "ok": counts["ok"], "skipped": skipped, "fail": counts["fail"],

@@ -62,3 +62,12 @@ def staged(df, label):
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables):
+    """Remove what `staged` has written, once nothing reads it any more."""
+    for df in tables:
+        for file in df.inputFiles():
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            if "/docketflow/" in folder.toString():
+                folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)

@@ -43,6 +43,34 @@ def test_attempts_combine_before_the_shuffle(spark):
     assert "partial_min" in after and "Window" not in plan
 
 
+def nodes(df, name):
+    """The lines of the plan that name such a node, without the nodes' numbers."""
+    return [line for line in physical(df).split("Initial Plan")[0].splitlines() if re.search(rf"[-+ ]{name}\b", line)]
+
+
+@pytest.mark.parametrize("rule", ["A", "B"])
+def test_bodies_pass_one_exchange_and_no_sort(spark, responses, splitting, rule):
+    filings = spark.createDataFrame([(f, i) for i, f in enumerate(CASES)], "filename string, n int")
+    for found in (d.resolve_documents(filings, responses, rule), d.resolve_attempts(responses)):
+        plan = found._jdf.queryExecution().executedPlan()
+        lines = plan.toString().splitlines()
+        # Below an exchange or a sort stands what it works on.
+        carrying = [i for i, line in enumerate(lines) if re.search(r"Exchange|Sort ", line) and re.search(r"\bbody#", lines[i + 1])]
+        assert len(carrying) == 1 and "Exchange hashpartitioning(__place" in lines[carrying[0]]
+        for kind in ("SortAggregate", "Sort", "SortMergeJoin"):
+            assert not any(re.search(r"\bbody#", line) for line in nodes(found, kind))
+        assert "ShuffledHashJoin" in plan.toString()
+
+
+def test_equal_attempts_give_one_outcome(spark):
+    again = [(1, 200, "same")] * 3 + [(1, 200, "x" * 40 + c) for c in "ab"]
+    assert resolved(spark, again) == (1, 200, "same", True)
+    longer = {resolved(spark, [(1, 200, "x" * 40 + c) for c in order])[2] for order in ("ab", "ba")}
+    assert len(longer) == 1
+    df = spark.createDataFrame([(1, *r) for r in again * 2], ATTEMPTS).repartition(3)
+    assert d.resolve_attempts(df, ["filing_key"]).count() == 1
+
+
 INDEX = '<table class="tableFile"><tr><th>h</th></tr><tr><td>1</td><td>d</td><td>{}</td><td>10-K</td></tr></table>'
 CASES = {
     "edgar/data/1/d1.txt": ("✅ Success (direct)", "Archives/edgar/data/1/d1.txt", "<p>one</p>"),
@@ -165,7 +193,9 @@ def test_a_hot_address_is_split_over_tasks(spark, responses, splitting):
     filings = spark.range(0, 90_000, 1, 12).selectExpr(name, "id as line_no")
     found = d.resolve_documents(filings, responses).withColumn("task", F.spark_partition_id())
     totals, per_task = Counter(), Counter()
-    for r in found.groupBy("task", "status").count().collect():
+    # All columns are asked for: Spark goes by the size of what it moves.
+    whole = [F.count(F.lit(1)).alias("count"), F.max("filename"), F.sum("line_no"), F.max("body"), F.max("filing_url")]
+    for r in found.groupBy("task", "status").agg(*whole).collect():
         totals[r.status] += r["count"]
         per_task[r.task] += r["count"]
     assert totals == {
