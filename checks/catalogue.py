@@ -78,6 +78,14 @@ def scan_csv_text(spark, sf_dir):
     return d.scan_table(spark, path)
 
 
+@query("select cast(doc_id as varchar) as doc_id, text, lang, source from documents", ctes=None)
+def scan_csv_line_breaks(spark, sf_dir):
+    """Documents, whose texts hold line breaks and quotes, as CSV and back in pieces."""
+    path = work_path(spark, "documents") + ".csv"
+    d.write_table(a.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), path)
+    return d.scan_table(spark, path)
+
+
 @query(f"select {FILING_COLUMNS} from a1")
 def scan_parquet(spark, sf_dir):
     path = work_path(spark, "filings") + ".parquet"

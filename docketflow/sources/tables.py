@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import storage_key
 from ..operators.annual import require_columns
+from .csv_pieces import has_line_breaks, scan_csv_pieces
 
 _PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 _MODES = {
@@ -23,18 +24,22 @@ def _format_of(path):
     raise ValueError(f"cannot tell the format of {path!r}: name it .csv or .parquet")
 
 
-def scan_table(spark, path, fmt=None, multiline=True):
+def scan_table(spark, path, fmt=None, multiline=None):
     """A table by its extension, or by `fmt`. CSV columns are all text, empty is null.
 
-    A CSV value may hold line breaks between quotes, so each CSV file is read by one
-    task. `multiline=False` says that none does: files are then read in bounded pieces
-    (`spark.sql.files.maxPartitionBytes`), as Parquet always is.
+    Files are read in bounded pieces (`spark.sql.files.maxPartitionBytes`), CSV as well,
+    whose values may hold line breaks between quotes: one pass over the text tells
+    whether any does, and if so records are put together from lines (`csv_pieces.py`).
+    `multiline=False` says that none does, and saves the pass. `multiline=True` reads each CSV
+    file in one task, which also copes with quotes that stand alone inside a value.
     """
     fmt = fmt or _format_of(path)
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "csv":
-        return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path)
+        if multiline is None and has_line_breaks(spark, path):
+            return scan_csv_pieces(spark, path)
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", bool(multiline)).csv(path)
     raise ValueError(f"unknown format {fmt!r}: use 'csv' or 'parquet'")
 
 

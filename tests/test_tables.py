@@ -1,8 +1,13 @@
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import docketflow as d
 
+from .plans import physical
+
 ROWS = [("a,b", 'say "hi"', "007"), ("NA", None, "1"), ("", " x ", "2")]
 SCHEMA = "name string, note string, cik string"
 
@@ -144,3 +149,52 @@ def test_work_path(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = d.work_path(spark, "x"), d.work_path(spark, "x")
     assert first != second and first.startswith(root)
+
+
+VALUES = ["a", "", None, "x,y", 'say "so"', "two\nlines", "three\n\nmore\n", '"', '"\n"', " s ", "é\n€", "NA", ",", "\n"]
+
+
+@pytest.fixture
+def small_pieces(spark):
+    """Files are cut into pieces of some hundred bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_one_csv_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, small_pieces, ending):
+    rng = random.Random(3)
+    rows = [[str(i), rng.choice(VALUES) or "", rng.choice(VALUES) or "", "z" * rng.randint(0, 30)] for i in range(900)]
+    path = tmp_path / "one.csv"
+    with open(path, "w", newline="") as out:
+        writer = csv.writer(out, lineterminator=ending)
+        writer.writerows([["n", "a b", "c", "d"], *rows])
+    df = d.scan_table(spark, str(path))
+    got = sorted(([r[0]] + [v or "" for v in r[1:]] for r in df.collect()), key=lambda r: int(r[0]))
+    assert got == rows and df.columns == ["n", "a b", "c", "d"]
+    assert len({r[0] for r in spark.read.text(str(path)).select(F.spark_partition_id()).collect()}) > 20
+    tasks = {r[0] for r in df.select(F.spark_partition_id()).collect()}
+    assert len(tasks) > 1
+
+
+def test_csv_in_pieces_reads_as_whole_files_do(spark, tmp_path, small_pieces):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(VALUES), rng.choice(VALUES), "y" * rng.randint(0, 2000) + "\n" + "w") for i in range(300)]
+    path = str(tmp_path / "many.csv")
+    df = spark.createDataFrame(rows, "n int, a string, b string, c string").repartition(4)
+    d.write_table(df, path)
+    pieces, whole = d.scan_table(spark, path), d.scan_table(spark, path, multiline=True)
+    assert sorted(map(repr, pieces.collect())) == sorted(map(repr, whole.collect()))
+    assert pieces.count() == 300
+
+
+def test_csv_without_line_breaks_is_read_plainly(spark, tmp_path):
+    path = str(tmp_path / "plain.csv")
+    d.write_table(spark.createDataFrame([(1, 'a "b"'), (2, None)], "n int, a string"), path)
+    df = d.scan_table(spark, path)
+    assert "Exchange" not in physical(df)
+    assert sorted(map(tuple, df.collect())) == [("1", 'a "b"'), ("2", None)]
