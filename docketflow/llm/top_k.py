@@ -12,8 +12,8 @@ the threshold rises with what is found.
 
 The vectors are dealt once; only queries are sent to more than one block.
 
-Defined results: a vector that is null, empty, or holds a null, a non-finite component or
-one of 2^31 or more after scaling takes no part, neither as a query nor as a candidate.
+Defined results: a vector that is null, empty, or holds a null or a non-finite component
+takes no part, neither as a query nor as a candidate; what scaling takes beyond the largest double is held there.
 Vectors of different dimension are not compared. Rows are told apart as rows: repeated
 rows and ids are candidates each, only the query's own row is not. Products beyond 64 bits are held at the limits. Ties go to the smaller
 id, null ids last. A table without rows, or with one, gives no rows.
@@ -41,6 +41,7 @@ PER_OCTAVE = 4
 BY_COORDINATE, COORDINATES = 0.6, 4
 #: Allowance for rounding in bounds; products themselves are exact.
 SLACK = 1e-9
+_MOST = np.finfo(np.float64).max
 
 
 def _whole(batch: pa.RecordBatch, scale: float, number: Iterator[int]) -> pa.RecordBatch:
@@ -51,12 +52,16 @@ def _whole(batch: pa.RecordBatch, scale: float, number: Iterator[int]) -> pa.Rec
         row = next(number)
         if not xs or any(x is None for x in xs):
             continue
-        value = np.floor(scale * np.array(xs, np.float64))
-        if not np.all(np.abs(value) < 2**31):
+        value = np.array(xs, np.float64)
+        if not np.isfinite(value).all():
             continue
-        norm = math.sqrt(float(np.dot(value, value)))
+        with np.errstate(over="ignore"):
+            value = np.clip(np.floor(scale * value), -_MOST, _MOST)
+            longest = float(np.abs(value).max())
+            # Divided by the longest component first, as squares could pass the largest number.
+            norm = min(longest * math.sqrt(float(np.square(value / longest).sum())), _MOST) if longest else 0.0
         bucket = math.floor(math.log2(norm) * PER_OCTAVE) if norm else -1
-        rows.append((row, vec_id, len(value), bucket, norm, value.astype("<i4").tobytes()))
+        rows.append((row, vec_id, len(value), bucket, norm, value.astype("<f8").tobytes()))
     names = ["row", "vec_id", "dims", "bucket", "norm", "value"]
     kinds = [pa.int64(), ids.type, pa.int32(), pa.int32(), pa.float64(), pa.binary()]
     columns = zip(*rows) if rows else [[] for _ in names]
@@ -70,17 +75,26 @@ class _Block:
         rows.sort(key=lambda r: -r["norm"])
         self.row = np.array([r["row"] for r in rows], np.int64)
         self.vec_id = [r["vec_id"] for r in rows]
-        self.order = np.argsort(np.argsort([math.inf if i is None else i for i in self.vec_id], kind="stable"), kind="stable")
-        self.value = np.array([np.frombuffer(r["value"], "<i4") for r in rows], np.float64)
+        null = np.array([i is None for i in self.vec_id])
+        self.order = np.argsort(np.lexsort((np.array([i or 0 for i in self.vec_id], np.int64), null)))
+        self.value = np.array([np.frombuffer(r["value"], "<f8") for r in rows])
         self.norm = np.array([r["norm"] for r in rows])
         self.unit = self.value / np.maximum(self.norm, 1e-300)[:, None]
 
     def products(self, at: np.ndarray, query: np.ndarray, norm: float) -> np.ndarray:
-        """Exact inner products; whole numbers below 2^53 are exact in floating point."""
-        if self.norm[0] * norm < 2**52:
-            return (self.value[at] @ query).astype(np.int64)
-        whole = self.value[at].astype(np.int64).astype(object) @ query.astype(np.int64).astype(object)
-        return np.array([max(min(x, 2**63 - 1), -(2**63)) for x in whole], np.int64)
+        """Exact inner products; whole numbers below 2^53 are exact in floating point.
+
+        Products beyond 64 bits count as the largest or smallest number of 64 bits.
+        """
+        small = self.norm[at] * norm < 2**52
+        out = np.zeros(len(at), np.int64)
+        out[small] = (self.value[at[small]] @ query).astype(np.int64)
+        if not small.all():
+            asked = [int(x) for x in query]
+            for i in np.flatnonzero(~small).tolist():
+                whole = sum(int(x) * y for x, y in zip(self.value[at[i]], asked))
+                out[i] = max(min(whole, 2**63 - 1), -(2**63))
+        return out
 
     def candidates(self, query: np.ndarray, norm: float, least: float | None) -> np.ndarray:
         """Places of vectors whose product can reach `least`."""
@@ -143,7 +157,7 @@ def _search(k: int, kind: pa.DataType):
                     break
                 if block is None:
                     block, vectors = _Block(vectors), []
-                query = np.frombuffer(row["value"], "<i4").astype(np.float64)
+                query = np.frombuffer(row["value"], "<f8")
                 for place, score in block.best(row["row"], query, row["norm"], k, row["least"]):
                     out.append((row["row"], row["vec_id"], block.vec_id[place], score))
                 if len(out) > 20_000:

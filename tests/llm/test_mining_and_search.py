@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from docketflow.llm import collocations, kernel, lexical_search, quality
+from docketflow.llm import collocations, kernel, lexical_search, quality, top_k
 
 SCHEMA = "doc_id long, text string, lang string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -247,3 +247,20 @@ def test_quality_without_labels_or_texts(spark, labelled, none):
     assert {r.score for r in quality.scored(stats, quality.train(stats, labels.where("quality = 0"))).collect()} == {0.0}
     empty = quality.statistics(none)
     assert quality.scored(empty, quality.train(empty, labels)).count() == 0
+
+
+def test_top_k_of_very_large_components_and_ids(spark):
+    near = 2**53
+    vectors = {0: (1.0, 2.0), 1: (1e7, 0.0), 2: (3.0, 1.0), near: (3.0, 1.0), near + 1: (3.0, 1.0), -near - 1: (-1e7, 3e6), 50: (4e9, -5e9)}
+    rows = [(i, list(v)) for i, v in vectors.items()] + [(None, [3.0, 1.0]), (60, [float("inf"), 1.0]), (61, None), (62, [None, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = {}
+    for r in top_k.top_k(df, 6, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in [*vectors.items(), (None, (3.0, 1.0))]}
+    for query in (0, 50):
+        scored = [(i, sum(x * y for x, y in zip(whole[query], v))) for i, v in whole.items() if i != query]
+        scored = [(i, max(min(s, 2**63 - 1), -(2**63))) for i, s in scored]
+        assert got[query] == sorted(scored, key=lambda x: (-x[1], x[0] is None, x[0] or 0))[:6]
+    huge = spark.createDataFrame([(0, [1e308, 1e308]), (1, [1e308, 0.0]), (2, [-1e308, 0.0])], "vec_id long, embedding array<double>")
+    assert [(r.vec_id, r.score) for r in top_k.top_k(huge, 5, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 2**63 - 1), (2, -(2**63))]
