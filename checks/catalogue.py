@@ -86,6 +86,12 @@ def scan_csv_line_breaks(spark, sf_dir):
     return d.scan_table(spark, path)
 
 
+@query(f"select {FILING_COLUMNS} from a1".replace("form_type, ", ""))
+def optional_form_filter(spark, sf_dir):
+    """A table without forms passes the filter on forms as it is."""
+    return d.keep_annual_forms(a.filings(spark, sf_dir).drop("form_type"), optional=True)
+
+
 @query(f"select {FILING_COLUMNS} from a1")
 def scan_parquet(spark, sf_dir):
     path = work_path(spark, "filings") + ".parquet"
@@ -743,6 +749,15 @@ def fetch_run(spark, sf_dir):
     return spark.read.parquet(path).drop("part")
 
 
+@query(_FETCHED_SQL)
+def stream_fetch(spark, sf_dir):
+    """The same in micro-batches, each of which goes on numbering parts."""
+    asked, responses = _landed(spark, sf_dir)
+    source, target = _staged(spark, asked.repartition(3), "filings"), work_path(spark, "fetched")
+    d.stream_fetch(spark, source, responses, target, work_path(spark, "progress"), files_per_batch=2)
+    return spark.read.parquet(target).drop("part", "batch")
+
+
 @query(_FETCHED_SQL)
 def fetch_resume(spark, sf_dir):
     """A run over some listings, then one over all that leaves out what is there."""
@@ -812,7 +827,8 @@ def year_preview(spark, sf_dir):
 
 @query(
     f"""
-select count(*) as rows_in, count(*) filter (where {ANNUAL} and dated) as rows_out, true as written,
+select count(*) as rows_in, count(*) filter (where {ANNUAL} and dated) as rows_out,
+  count(*) filter (where {ANNUAL} and not dated) as undated, true as written,
   cast(ceil(count(*) filter (where {ANNUAL} and dated) / 500.0) as bigint) as parts from a1
 """
 )
@@ -820,7 +836,7 @@ def run_summary(spark, sf_dir):
     # One file in, so that the parts follow from the rows alone.
     source = _staged(spark, a.filings(spark, sf_dir).repartition(1), "filings")
     counts = d.annual_job(spark, source, work_path(spark, "annual"), fmt="parquet", rows_per_part=500)
-    return spark.createDataFrame([counts], "rows_in bigint, rows_out bigint, written boolean, parts bigint")
+    return spark.createDataFrame([counts], "rows_in bigint, rows_out bigint, undated bigint, written boolean, parts bigint")
 
 
 _ATTEMPT_SQL = """

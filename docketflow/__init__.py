@@ -68,4 +68,4 @@ from .sources.tables import (
     write_parts,
     write_table,
 )
-from .streaming.jobs import stream_clean, stream_filter
+from .streaming.jobs import stream_clean, stream_fetch, stream_filter

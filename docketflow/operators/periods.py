@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..fixed import LISTING_BASE, QUARTERS
+from ..session import staged
 from .joins import filtering_join
 
 
@@ -55,6 +56,12 @@ def plan_periods(years, quarters=None, landed=None):
     )
 
 
-def pending(items, done, keys):
-    """Items whose keys are not among `done`; items with a missing key are pending."""
+def pending(items, done, keys, repeats=False):
+    """Items whose keys are not among `done`; items with a missing key are pending.
+
+    `repeats` says that `done` may hold one key very many times: its keys are then written
+    once to the shared working folder, each one time, and joined from there.
+    """
+    if repeats:
+        done = staged(done.select(*keys).distinct(), "keys")
     return filtering_join(items, done, keys, "left_anti")

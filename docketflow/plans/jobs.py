@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions.fields import clean_cik
-from ..operators.annual import filter_annual, keep_annual_forms, select_filings
+from ..operators.annual import add_filing_year, filter_annual, keep_annual_forms, select_filings
 from ..operators.index import parse_index
 from ..operators.order import assign_part, first_batches, first_n
 from ..operators.outcomes import clean_pages, match_documents, outcome_records, with_bodies
@@ -56,16 +56,37 @@ def index_job(spark, source, target, fmt=None, recursive=False, layout="pattern"
 def annual_job(
     spark, source, target, fmt=None, max_batches=0, rows_per_part=None, if_exists="error"
 ):
-    """Filings to annual filings in parts; returns rows in, rows out and parts."""
+    """Filings to annual filings in parts; returns rows in, rows out and parts.
+
+    `undated` counts annual filings left out because their date has no accepted layout.
+    """
     filings = first_batches(scan_table(spark, source, fmt), max_batches)
     if not may_write(filter_annual(filings), target, if_exists):
         return {"written": False}
-    before, after = Observation(), Observation()
-    annual = filter_annual(filings.observe(before, _rows("rows_in")))
-    annual = annual.observe(after, _rows("rows_out"))
+    before, forms, after = Observation(), Observation(), Observation()
+    kept = keep_annual_forms(filings.observe(before, _rows("rows_in"))).observe(forms, _rows("n"))
+    annual = add_filing_year(kept).observe(after, _rows("rows_out"))
     write_parts(annual, target, rows_per_part, if_exists=if_exists, check=False)
     parts = list_parts(spark, target).count()
-    return {"written": True, **before.get, **after.get, "parts": parts}
+    undated = forms.get["n"] - after.get["rows_out"]
+    return {"written": True, **before.get, **after.get, "undated": undated, "parts": parts}
+
+
+def numbered_outcomes(annual, responses, retry_limit=2, per_part=200, first_part=0):
+    """Filings with their pages and the part that each belongs to, and the tables staged for it.
+
+    Filings are matched and parts numbered without pages, which join them last: a page is
+    moved once. Without filings there is nothing, and nothing stays staged.
+    """
+    matched, landed = match_documents(annual, responses, "B", retry_limit)
+    matched = staged(matched, "outcomes")
+    if matched.isEmpty():
+        discard(matched, landed)
+        return None, ()
+    keys = matched.select("sourcefile", "line_no", "ok")
+    parts = assign_part(keys, "line_no", F.col("ok"), per_part, group="sourcefile")
+    parts = parts.select("sourcefile", "line_no", (F.col("part") + first_part).alias("part"))
+    return with_bodies(matched.join(parts, ["sourcefile", "line_no"], "left"), landed), (matched, landed)
 
 
 def fetch_job(
@@ -79,8 +100,7 @@ def fetch_job(
     `max_batches` takes the first listings by name only, `max_filings` stops after that
     many filings in order.
 
-    Filings are matched and parts numbered without pages, which join them last: a page is
-    moved once. What lies in the shared working folder until then is removed at the end.
+    What lies in the shared working folder until then is removed at the end.
     """
     check_schema(filings, FILING)
     exists = output_exists(spark, target)
@@ -93,15 +113,9 @@ def fetch_job(
         earlier = spark.read.parquet(target)
         annual = pending(annual, earlier, list(FILING_ORDER))
         first_part = earlier.agg(F.max("part").cast("bigint")).first()[0] + 1
-    matched, landed = match_documents(first_n(annual, max_filings), responses, "B", retry_limit)
-    matched = staged(matched, "outcomes")
-    if matched.isEmpty():
-        discard(matched, landed)
+    numbered, staged_tables = numbered_outcomes(first_n(annual, max_filings), responses, retry_limit, per_part, first_part)
+    if numbered is None:
         return {"written": False}
-    keys = matched.select("sourcefile", "line_no", "ok")
-    parts = assign_part(keys, "line_no", F.col("ok"), per_part, group="sourcefile")
-    parts = parts.select("sourcefile", "line_no", (F.col("part") + first_part).alias("part"))
-    numbered = with_bodies(matched.join(parts, ["sourcefile", "line_no"], "left"), landed)
     seen = Observation()
     records = outcome_records(numbered).observe(
         seen,
@@ -111,7 +125,7 @@ def fetch_job(
     )
     write_parts(records, target, if_exists=if_exists, check=False)
     counts = seen.get
-    discard(matched, landed)
+    discard(*staged_tables)
     parts = counts["last_part"] - first_part + 1
     return {"written": True, "seen": counts["seen"], "ok": counts["ok"], "parts": parts}
 

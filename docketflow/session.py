@@ -1,5 +1,6 @@
 """Session settings and the shared working folder."""
 
+import contextlib
 import tempfile
 import uuid
 
@@ -71,3 +72,17 @@ def discard(*tables):
             folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
             if "/docketflow/" in folder.toString():
                 folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def settings(spark, **conf):
+    """Settings of the session that hold for a while; `__` stands for dots."""
+    names = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for key, value in names.items():
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import storage_key
 from ..operators.annual import require_columns
+from ..session import settings
 from .csv_pieces import has_line_breaks, scan_csv_pieces
 
 _PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
@@ -186,14 +187,14 @@ def list_parts(spark, path):
     )
 
 
-def compact(spark, source, target, compression="snappy", if_exists="error"):
+def compact(spark, source, target, compression="snappy", if_exists="error", file_bytes=128 << 20):
     """Combine many parts under `source`, any depth, into one table of even files.
 
     Parts must agree in schema: it is merged over all parts, and types that do not fit
-    together fail before anything is written. File sizes follow
-    `spark.sql.adaptive.advisoryPartitionSizeInBytes`; no single task writes it all.
-    Returns the number of rows; with none, or an output to be left alone, nothing is
-    written.
+    together fail before anything is written. Rows are not moved: parts are packed by their sizes,
+    the largest first, into tasks of `file_bytes`, each of which writes one file; parts
+    that are larger are cut between their row groups. Returns the number of rows; with none, or an output to be left
+    alone, nothing is written.
     """
     parts = (
         spark.read.option("recursiveFileLookup", True)
@@ -204,7 +205,9 @@ def compact(spark, source, target, compression="snappy", if_exists="error"):
     if not may_write(parts, target, if_exists):
         return 0
     seen = Observation()
-    parts.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n")).write.mode(_MODES[if_exists]).option(
-        "compression", compression
-    ).parquet(target)
+    files = "spark__sql__files__"
+    packed = {f"{files}maxPartitionBytes": file_bytes, f"{files}openCostInBytes": 0, f"{files}minPartitionNum": 1}
+    with settings(spark, **packed):
+        counted = parts.observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.mode(_MODES[if_exists]).option("compression", compression).parquet(target)
     return seen.get["n"]

@@ -36,7 +36,7 @@ def test_index_and_annual_jobs(spark, listings, tables):
     first, second, filings, annual = tables
     assert first == {"written": True, "rows": 16, "sources": 2}
     assert second.pop("parts") >= 1
-    assert second == {"written": True, "rows_in": 16, "rows_out": 8}
+    assert second == {"written": True, "rows_in": 16, "rows_out": 8, "undated": 0}
     assert d.check_schema(d.scan_table(spark, filings), d.FILING).count() == 16
     assert d.index_job(spark, listings, filings, if_exists="skip") == {"written": False}
 
@@ -45,7 +45,7 @@ def test_annual_job_on_csv_and_first_batch(spark, tables, tmp_path):
     source = str(tmp_path / "f.csv")
     d.write_table(d.scan_table(spark, tables[2]), source)
     counts = d.annual_job(spark, source, str(tmp_path / "out"), max_batches=1)
-    assert counts == {"written": True, "rows_in": 8, "rows_out": 4, "parts": 1}
+    assert counts == {"written": True, "rows_in": 8, "rows_out": 4, "undated": 0, "parts": 1}
     none = d.scan_table(spark, tables[2]).filter("form_type = '8-K'")
     d.write_table(none, str(tmp_path / "none.parquet"))
     target = str(tmp_path / "nothing")

@@ -164,8 +164,19 @@ def test_outcome_records(spark):
 def test_pending(spark):
     items = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, v string")
     done = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string")
-    left = d.pending(items, done, ["k", "v"]).collect()
-    assert sorted((r.k, r.v or "") for r in left) == [(1, "b"), (2, "")]
+    for repeats in (False, True):
+        left = d.pending(items, done, ["k", "v"], repeats).collect()
+        assert sorted((r.k, r.v or "") for r in left) == [(1, "b"), (2, "")]
+
+
+def test_repeated_keys_meet_no_task(spark, splitting):
+    """One done key stands a hundred thousand times; each task gets it once."""
+    items = spark.range(1000).selectExpr("concat('k', id) as k", "id")
+    done = spark.range(0, 100_000, 1, 10).selectExpr("if(id % 10 = 0, concat('k', id div 10 % 500), 'k7') as k")
+    left = d.pending(items, done, ["k"], repeats=True)
+    assert left.count() == 500
+    scanned = [f for f in left.inputFiles() if "keys-" in f]
+    assert scanned and spark.read.parquet(*scanned).groupBy("k").count().filter("count > 1").isEmpty()
 
 
 @pytest.fixture

@@ -198,3 +198,35 @@ def test_csv_without_line_breaks_is_read_plainly(spark, tmp_path):
     df = d.scan_table(spark, path)
     assert "Exchange" not in physical(df)
     assert sorted(map(tuple, df.collect())) == [("1", 'a "b"'), ("2", None)]
+
+
+def test_compaction_packs_parts_by_size_without_moving_rows(spark, tmp_path):
+    """Uneven parts, some a hundred times others, become files of like size."""
+    source, target = str(tmp_path / "parts"), str(tmp_path / "table")
+    rng = random.Random(6)
+    sizes = [rng.choice([20, 50, 400, 2000]) for _ in range(120)]
+    rows = [(i, k, f"{rng.random()}{rng.random()}") for i, n in enumerate(sizes) for k in range(n)]
+    spark.createDataFrame(rows, "i int, k int, noise string").write.partitionBy("i").parquet(source)
+    total = sum(r.bytes for r in d.list_parts(spark, source).collect())
+    assert d.compact(spark, source, target, file_bytes=total // 6) == len(rows)
+    files = [r.bytes for r in d.list_parts(spark, target).collect()]
+    assert 5 <= len(files) <= 9
+    # All but the last are near their size; columns of longer files compress a little better.
+    assert min(sorted(files)[1:]) * 2 > max(files)
+    assert spark.read.parquet(target).agg(F.sum("k")).first()[0] == sum(k for _, k, _ in rows)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+
+
+def test_compaction_plans_no_exchange(spark, tmp_path, monkeypatch):
+    source = str(tmp_path / "parts")
+    spark.range(100).repartition(5).write.parquet(source)
+    plans = []
+    write = type(spark.range(1).write).parquet
+
+    def noted(self, path, *rest, **options):
+        plans.append(physical(self._df))
+        return write(self, path, *rest, **options)
+
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", noted)
+    assert d.compact(spark, source, str(tmp_path / "table")) == 100
+    assert plans and not any("Exchange" in plan for plan in plans)
