@@ -49,6 +49,8 @@ BUCKETS = 256
 #: Bits of the table that says which sets are candidates; it has this size for any input
 #: and only saves moving other sets.
 FILTER_BITS = 1 << 23
+#: Signatures of a set that tell where a pair is made.
+LEAST_FEW = 8
 _LAST = np.iinfo(np.int64).max
 
 
@@ -57,6 +59,16 @@ def lost(size: int, percent: int) -> int:
     return size - -(-percent * size // 100)
 
 
+def share_of(percent: int) -> float:
+    """The share of the hash range whose tokens are counted: prefixes need no more of most sets."""
+    return min(1.0, 2.2 * (100 - percent) / 100)
+
+
+def block_bytes(percent: int) -> int:
+    """Text of one block: as much less as more of its tokens are counted."""
+    return int(blocks.BLOCK_BYTES * min(1.0, 0.15 / max(share_of(percent), 0.01)))
+
+
 def groups_of(scale: int) -> int:
     """Groups of frequent tokens for sets of 2^scale tokens and more."""
     return max(1, (1 << scale) >> 5)
@@ -137,7 +149,7 @@ class _Block:
         self.size = np.diff(first)
         self.sets = set_hashes(tokens, first)
         self.number, self.distinct, self.low = _pairs_of(ids, self.sets)
-        share = np.uint64(min(1.0, 2.2 * (100 - percent) / 100) * (2.0**64 - 2048))
+        share = np.uint64(share_of(percent) * (2.0**64 - 2048))
         of = np.repeat(np.arange(len(self.size)), self.size)
         once = np.zeros(len(self.size), bool)
         once[np.unique(self.number, return_index=True)[1]] = True
@@ -217,11 +229,11 @@ def _signed(df: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
     """Rows (doc_id, set, size, first, alone, signatures): `first` tells the set's document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = blocks.numbered()
+        number, size = blocks.numbered(), block_bytes(percent)
         for batch in batches:
             ids, column = batch.columns
             data, offsets = kernel.text_bytes(column)
-            for a, b in kernel.chunks(offsets, blocks.BLOCK_BYTES):
+            for a, b in kernel.chunks(offsets, size):
                 own = ids.slice(a, b - a)
                 numbers = blocks.numbers(own.cast(pa.int64()).fill_null(_LAST))
                 block = _Block(numbers, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words, percent)
@@ -237,6 +249,8 @@ def _signed(df: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
                     extra=block.extra, n_extra=blocks.narrow(np.diff(block.extra_first)),
                 )
                 yield blocks.rows(next(number), home, block.entries())
+            del data, offsets, column, batch
+            kernel.give_back()
 
     def finish(block: int, own: dict[str, pa.Array], found: list[tuple[int, dict[str, pa.Array]]]) -> pa.RecordBatch:
         ids = blocks.numbers(own["doc_id"].cast(pa.int64()).fill_null(_LAST))
@@ -301,6 +315,7 @@ def _tokens(df: DataFrame, candidates: DataFrame, text: str, words: int) -> Data
                 low = [short[first[d] : first[d + 1]].astype("<u4").tobytes() for d in at]
                 high = [(short[first[d] : first[d + 1]] >> np.uint64(32)).astype("<u2").tobytes() for d in at]
                 yield pa.RecordBatch.from_arrays([pa.array(sets[at]), pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["set", "low", "high"])
+            kernel.give_back()
 
     found = df.select(text).mapInArrow(run, "set long, low binary, high binary")
     return found.join(candidates, "set", "left_semi").dropDuplicates(["set"])
@@ -435,13 +450,21 @@ def link(df: DataFrame, words: int = 3, percent: int = 90, doc_id: str = "doc_id
     own = stored(own.join(held, ["c", "set"]).withColumn("more", F.col("more") - F.when(F.col("c") == F.col("set"), 0).otherwise(F.col("alone"))), "jaccard-placed")
     most = own.groupBy("sig", "root").count().groupBy("sig").agg(F.max(F.struct("count", "root")).alias("m"))
     most = stored(most.select("sig", F.col("m.root").alias("major")), "jaccard-major")
-    minor = own.join(most, "sig").where("root <> major")
-    left = minor.select("sig", F.col("set").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("size", "root", "alone", "lacks", "more")])
+    # A pair of sets shares many signatures. Where one of the least few of both is shared, only the
+    # least of those makes the pair; where none is, every shared one does.
+    least_few = F.slice(F.array_sort(F.collect_set("sig")), 1, LEAST_FEW).alias("few")
+    few = stored(own.groupBy("set").agg(least_few), "jaccard-few")
+    own = own.join(most, "sig").join(few, "set").withColumn("minor", F.col("root") != F.col("major")).drop("major")
+    own = stored(own, "jaccard-ready")
+    left = own.where("minor").select("sig", F.col("set").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("size", "root", "alone", "lacks", "more", "few")])
     share_a = (100 + percent) * (F.col("size_a") - F.col("alone_a"))
     shared = F.col("n") - F.bit_count(F.col("lacks").bitwiseOR(F.col("lacks_a"))) + F.least("more", "more_a")
     most_shared = F.least(share, share_a, (100 + percent) * shared)
     enough = most_shared >= percent * (F.col("size") + F.col("size_a"))
-    rest = left.join(own, "sig").where((F.col("root_a") != F.col("root")) & both & enough).select("a", F.col("set").alias("b"))
+    once = ~F.col("minor") | (F.col("a") < F.col("set"))
+    common = F.array_min(F.array_intersect("few", "few_a"))
+    made_here = common.isNull() | (F.col("sig") <= common)
+    rest = left.join(own, "sig").where((F.col("root_a") != F.col("root")) & once & both & enough & made_here).select("a", F.col("set").alias("b"))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti")
     more = stored(_verified(rest, tokens, percent), "jaccard-links")

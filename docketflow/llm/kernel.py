@@ -6,6 +6,7 @@ some dozen numpy calls however many words it has.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -59,6 +60,18 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+@functools.cache
+def _trim():
+    # Only the GNU C library has it; others give back by themselves.
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on, and its next task may be of another kind."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `size` bytes."""
     at, n = 0, len(offsets) - 1

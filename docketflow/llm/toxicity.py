@@ -150,7 +150,7 @@ def train(documents: DataFrame, labels: DataFrame, grade: Column, sample: int =
         yield pa.RecordBatch.from_arrays([v.cast(k) for v, k in zip(values, kinds)], names=["places", "weights", "thresholds"])
 
     schema = "places array<long>, weights array<double>, thresholds array<double>"
-    found = rows.select("text", "grade").coalesce(1).mapInArrow(fitting, schema).first()
+    found = rows.select("text", "grade").repartition(1).mapInArrow(fitting, schema).first()
     if found is None:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
     return Model(np.array(found.places, np.int64), np.array(found.weights, float), np.array(found.thresholds, float))
@@ -180,6 +180,7 @@ def severity(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             values = [chances[:, 0], chances.sum(axis=1), grades.astype(np.int32), chances[:, 0] >= TOXIC]
             keep = [c for c in batch.schema.names if c not in added]
             yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, *map(pa.array, values)], names=[*keep, *added])
+            kernel.give_back()
 
     return df.mapInArrow(run, schema)
 
