@@ -6,8 +6,14 @@ join the table of merges, and each round contracts every word's leftmost pair of
 rank until no pair of any word can be merged. Decoding joins ids to their bytes and puts
 them together by an ordered aggregation.
 
+A word of more than `LONGEST` bytes goes to the query in windows that overlap by half. Tokens
+are a word's encoding where each two neighbours are the encoding of their own bytes, since the
+first contraction across a border would also be made in these bytes alone; so two windows that
+share a token are joined there, exactly. Where neighbours share none, windows that grow are laid
+from token to token until they meet the small ones again.
+
 The vocabulary is a file of ranks, read once per Python worker. It has a fixed size; the
-work of a task is bounded by `GROUP_BYTES` of text or by its longest text.
+work of a task is bounded by `GROUP_BYTES` of text or by its longest text, whatever its words.
 
 Defined results: a null text encodes as an empty one, with no ids; equal rows give equal
 rows; a table without rows gives none; columns beside the named ones pass through or are
@@ -38,6 +44,10 @@ GROUP_BYTES = 12 << 20
 LONG_WORD = 48
 #: Words merged by one query.
 QUERY_WORDS = 30_000
+#: From more than this many bytes, words are merged in windows of this size, at most so many
+#: by one query; where these do not meet, in windows that grow from the first to the last size.
+LONGEST, WINDOW, QUERY_WINDOWS = 1024, 64, 15_000
+FIRST_STRIDE, LAST_STRIDE = 256, 1 << 18
 #: Ids decoded by one query.
 QUERY_IDS = 500_000
 
@@ -128,6 +138,8 @@ class Vocabulary:
                 self.ranks[base64.b64decode(token)] = int(rank)
         ids = self.ranks.values()
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.length = np.zeros(max(ids) + 1, np.int64)
+        self.length[list(ids)] = [len(t) for t in self.ranks]
         left, right, made = [], [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -159,7 +171,10 @@ class Vocabulary:
         short = [i for i, w in enumerate(words) if len(w) < LONG_WORD]
         for at in range(0, len(short), QUERY_WORDS):
             self._merge_short(words, short[at : at + QUERY_WORDS], out)
-        long = [i for i, w in enumerate(words) if len(w) >= LONG_WORD]
+        long = [i for i, w in enumerate(words) if LONG_WORD <= len(w) <= LONGEST]
+        for i, w in enumerate(words):
+            if len(w) > LONGEST:
+                out[i] = Windows(self, w).ids()
         at = 0
         while at < len(long):
             size = np.cumsum([len(words[i]) for i in long[at : at + QUERY_WORDS]])
@@ -194,6 +209,19 @@ class Vocabulary:
         for i, ids in zip(w[np.concatenate([[0], cuts])], np.split(tok, cuts)):
             out[i] = ids
 
+    def merge_short(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of windows, of at most 255 bytes each."""
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+        for at in range(0, len(words), QUERY_WINDOWS):
+            self._merge_short(words, list(range(at, min(at + QUERY_WINDOWS, len(words)))), out)
+        return out
+
+    def merge_whole(self, word: bytes) -> np.ndarray:
+        """The ids of one word by one query over all of it."""
+        out = [np.zeros(0, np.int32)]
+        self._merge_long([word], [0], out)
+        return out[0]
+
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of distinct pre-tokens. One that is a token is that token."""
         known = [self.ranks.get(w) for w in words]
@@ -215,6 +243,98 @@ class Vocabulary:
         return out
 
 
+class Windows:
+    """A long word in windows that overlap by half, and the tokens that neighbours share.
+
+    `left` and `right` give for each two neighbours the place of a shared token among the
+    tokens of all windows, as one window and as the next has it; -1 if they share none.
+    """
+
+    def __init__(self, vocab: Vocabulary, word: bytes):
+        self.vocab, self.word = vocab, word
+        step = WINDOW // 2
+        starts = np.arange(0, len(word) - step, step)
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(word[s : s + WINDOW], len(number)) for s in starts.tolist()])
+        found = vocab.merge_short(list(number))
+        size = np.array([len(x) for x in found])[which]
+        self.first = np.cumsum(size) - size
+        window = np.repeat(np.arange(len(starts)), size)
+        self.tokens = np.concatenate([found[k] for k in which.tolist()])
+        ends = np.cumsum(vocab.length[self.tokens])
+        at = ends - vocab.length[self.tokens]
+        at += np.repeat(starts - at[self.first], size)
+        # A token by its place and id; each is in two windows at most, and those are neighbours.
+        self.key = at << 32 | self.tokens
+        order = np.argsort(self.key, kind="stable")
+        same = np.flatnonzero(self.key[order[1:]] == self.key[order[:-1]])
+        border, k = np.unique(window[order[same]], return_index=True)
+        self.left = np.full(len(starts) - 1, -1)
+        self.right = self.left.copy()
+        self.left[border], self.right[border] = order[same][k], order[same + 1][k]
+
+    def ids(self) -> np.ndarray:
+        out: list[np.ndarray] = []
+        broken = np.flatnonzero(self.left < 0)
+        k = begin = 0
+        while True:
+            to = broken[np.searchsorted(broken, k) :][:1]
+            to = int(to[0]) if len(to) else len(self.left)
+            # Windows from k to the next border without a shared token.
+            lo = np.concatenate([[begin], self.right[k:to] + 1])
+            hi = np.concatenate([self.left[k:to] + 1, [len(self.tokens)]])
+            if to == len(self.left):
+                out += [self.tokens[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
+                return np.concatenate(out)
+            out += [self.tokens[a:b] for a, b in zip(lo[:-1].tolist(), hi[:-1].tolist())]
+            # The last token taken is the first of what is laid from here.
+            last = self.left[to - 1] if to > k else begin - 1 if begin else -1
+            found = self._laid(int(self.key[last] >> 32), int(self.tokens[last]), to) if last >= 0 else None
+            if last >= 0 and found is not None:
+                out[-1] = out[-1][:-1]
+            else:
+                out, size = [], FIRST_STRIDE
+                while (found := self._laid(0, None, to, size)) is None:
+                    size *= 4
+            ids, k = found
+            out.append(ids)
+            if k < 0:
+                return np.concatenate(out)
+            begin = int(self.right[k]) + 1
+            k += 1
+
+    def _laid(self, start: int, expected: int | None, border: int, size: int = FIRST_STRIDE) -> tuple[np.ndarray, int] | None:
+        """Tokens from `start` to one that the neighbours of a border behind `border` share, and that border.
+
+        The border is -1 at the word's end. None if a window does not begin with the token at
+        which the one before ends, the first one with `expected`.
+        """
+        vocab, word = self.vocab, self.word
+        shared = np.flatnonzero(self.left[border:] >= 0) + border
+        keys = self.key[self.left[shared]]
+        out: list[np.ndarray] = []
+        while True:
+            tokens = vocab.merge_whole(word[start : start + size])
+            if expected is not None and tokens[0] != expected:
+                return None
+            ends = start + np.cumsum(vocab.length[tokens])
+            at = ends - vocab.length[tokens]
+            if start + size >= len(word):
+                return np.concatenate([*out, tokens]), -1
+            own = at << 32 | tokens
+            place = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
+            met = np.flatnonzero(keys[place] == own) if len(keys) else place[:0]
+            if len(met):
+                m = int(met[-1])
+                return np.concatenate([*out, tokens[: m + 1]]), int(shared[place[m]])
+            m = min(int(np.searchsorted(at, start + size * 3 // 4)), len(tokens) - 1)
+            if not m:
+                return None
+            out.append(tokens[:m])
+            start, expected = int(at[m]), int(tokens[m])
+            size = max(size, min(2 * size, LAST_STRIDE))
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)

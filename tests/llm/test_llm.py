@@ -96,6 +96,24 @@ def test_merges_equal_the_library(tiktoken_encoding, letters):
     assert vocab.decode(ids, bounds) == [t.encode() for t in texts]
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ab", "xyzé中", "=-_*#", "x", "=-", "oxxxxxxxxxxxxx"])
+def test_long_words_equal_the_library(tiktoken_encoding, letters):
+    """One word each: random ones, repeated letters behind another beginning, runs of any length."""
+    rng = random.Random(letters)
+    runs = "".join(letters[0] + letters[-1] * rng.randint(1, 300) for _ in range(30))
+    texts = ["".join(rng.choice(letters) for _ in range(30_000)), letters * 4000, "hel" + letters[-1] * 40_001, runs]
+    vocab = bpe.vocabulary(RANKS)
+    ids, bounds = bpe.encode_texts(pa.array(texts), vocab, public_tokenizers.PATTERN)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == tiktoken_encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("word", ["x" * 3_000_000, "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))])
+def test_words_of_millions_of_letters(tiktoken_encoding, word):
+    ids, _ = bpe.encode_texts(pa.array([word]), bpe.vocabulary(RANKS), public_tokenizers.PATTERN)
+    assert ids.tolist() == tiktoken_encoding.encode_ordinary(word)
+
+
 def test_bpe_round_trip(docs, none, tiktoken_encoding):
     got = bpe.digests(docs, RANKS, public_tokenizers.PATTERN).collect()
     expected = []
