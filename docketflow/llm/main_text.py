@@ -11,7 +11,8 @@ is inside, but no main element, no article that is not small beside the page's o
 not itself if it holds most of the page's text of many stop words: such a wrapper is around
 the page (`with-sidebar`, the one form of a page) rather than beside its text.
 
-Each page is worked on by itself, in the task that read it; nothing is shuffled.
+Each page is worked on by itself, in the task that read it, in time that grows with its size
+however deep its elements; nothing is shuffled.
 
 Defined results: null or empty HTML, and a page with no main text, give an empty text of 0
 characters. Unclosed elements end where HTML lets them, a cut-off tag at the end is
@@ -105,7 +106,8 @@ class Block:
     linked: int
     content: int
     silent: bool
-    wraps: tuple[int, ...] = ()
+    #: The innermost wrapper or article it is in, by number; -1 for none.
+    wrap: int = -1
     label: str = ""
 
 
@@ -114,8 +116,28 @@ class _Open:
     name: str
     bad: bool
     content: int
-    #: Wrappers and articles it is in, by number.
-    wraps: tuple[int, ...] = ()
+    #: The innermost wrapper or article, by number; -1 for none.
+    wrap: int = -1
+
+
+class _Stack:
+    """Open elements, and of each name the places where it is open."""
+
+    def __init__(self) -> None:
+        self.open: list[_Open] = [_Open("", False, 0)]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: _Open) -> None:
+        self.places.setdefault(element.name, []).append(len(self.open))
+        self.open.append(element)
+
+    def close(self, names: list[str], scopes: list[str]) -> None:
+        """Closes the innermost element of one of `names`, unless one of `scopes` is open in it."""
+        own = max((p[-1] for n in names if (p := self.places.get(n))), default=0)
+        if own and own >= max((p[-1] for n in scopes if (p := self.places.get(n))), default=0):
+            for element in self.open[own:]:
+                self.places[element.name].pop()
+            del self.open[own:]
 
 
 def _named(name: str, rest: str, content: int) -> tuple[bool, str]:
@@ -158,20 +180,32 @@ def _rich(block: Block) -> int:
     return len(block.text) if sum(w in STOP_WORDS for w in words) >= MANY_STOP_WORDS * max(len(words), 1) else 0
 
 
-def _silence(found: list[Block], wraps: list[str]) -> None:
-    """Silences the blocks in wrappers that are not around the page's text."""
+def _silence(found: list[Block], wraps: list[str], parents: list[int]) -> None:
+    """Silences the blocks in wrappers that are not around the page's text.
+
+    `wraps` holds the kind of each wrapper, `parents` the one around it, which has a smaller
+    number, or -1.
+    """
+    in_content: list[bool] = []
+    for kind, parent in zip(wraps, parents):
+        in_content.append(kind in CONTENT or (parent >= 0 and in_content[parent]))
     rich, chars, articles = [0] * len(wraps), [0] * len(wraps), [0] * len(wraps)
     total = in_articles = 0
     for block in found:
         if not block.silent:
             size = _rich(block)
             total += size
-            own = len(block.text) if any(wraps[w] in CONTENT for w in block.wraps) else 0
-            in_articles += own
-            for w in block.wraps:
+            if (w := block.wrap) >= 0:
+                own = len(block.text) if in_content[w] else 0
+                in_articles += own
                 rich[w] += size
                 chars[w] += len(block.text)
                 articles[w] += own
+    for w in range(len(wraps) - 1, -1, -1):
+        if (parent := parents[w]) >= 0:
+            rich[parent] += rich[w]
+            chars[parent] += chars[w]
+            articles[parent] += articles[w]
     largest = max((n for n, kind in zip(rich, wraps) if kind == "article"), default=0)
     # Per wrapper or article: does it speak?
     speaks = []
@@ -187,48 +221,47 @@ def _silence(found: list[Block], wraps: list[str]) -> None:
                 speaks.append(0 < n == total and around)
             case _:
                 speaks.append(n > 0 and n >= MOST_TEXT * total and around)
+    # The innermost content that speaks, or wrapper that does not, decides.
+    silent: list[bool] = []
+    for kind, parent, speaking in zip(wraps, parents, speaks):
+        decides = speaking if kind in CONTENT else not speaking
+        silent.append(kind not in CONTENT if decides else parent >= 0 and silent[parent])
     for block in found:
-        for w in reversed(block.wraps):
-            content = wraps[w] in CONTENT
-            if content and speaks[w]:
-                break
-            if not content and not speaks[w]:
-                block.silent = True
-                break
+        if block.wrap >= 0 and silent[block.wrap]:
+            block.silent = True
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, with characters in links and the content they are in."""
     out: list[Block] = []
-    stack: list[_Open] = [_Open("", False, 0)]
+    stack = _Stack()
     parts: list[str] = []
     linked = 0
     contents = 0
     wraps: list[str] = []
+    parents: list[int] = []
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, stack[-1].content, stack[-1].bad, stack[-1].wraps))
+                top = stack.open[-1]
+                out.append(Block(text, linked, top.content, top.bad, top.wrap))
             parts.clear()
             linked = 0
 
-    def close(names: list[str], scopes: list[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                del stack[i:]
-                return
-            if stack[i].name in scopes:
-                return
+    def wrap(kind: str, parent: int) -> int:
+        wraps.append(kind)
+        parents.append(parent)
+        return len(wraps) - 1
 
     at = 0
     for found in _MARKUP.finditer(page):
         if found.start() > at:
             text = entities.unescape(page[at : found.start()])
             parts.append(text)
-            if any(x.name == "a" for x in stack[-4:]):
+            if any(x.name == "a" for x in stack.open[-4:]):
                 linked += len(text.strip())
         at = found.end()
         name = (found["name"] or "").lower()
@@ -241,31 +274,29 @@ def blocks(page: str) -> list[Block]:
         if not inline:
             flush()
         if found["end"]:
-            close([name], [] if not inline else SCOPES)
+            stack.close([name], [] if not inline else SCOPES)
         elif name not in VOID:
             if not inline:
-                close(["p"], SCOPES + ["td", "th", "li", "button"])
+                stack.close(["p"], SCOPES + ["td", "th", "li", "button"])
             if name in CLOSES:
-                close(CLOSES[name], ["ul", "ol", "dl", "table"])
-            top = stack[-1]
+                stack.close(CLOSES[name], ["ul", "ol", "dl", "table"])
+            top = stack.open[-1]
             bad, kind = _named(name, found["rest"], top.content)
             bad |= top.bad
-            content, within = top.content, top.wraps
+            content, within = top.content, top.wrap
             if not bad and kind:
-                within = (*within, len(wraps))
-                wraps.append(kind)
+                within = wrap(kind, within)
             if name in CONTENT and not bad and not kind:
                 if not content:
                     contents += 1
                     content = contents
-                within = (*within, len(wraps))
-                wraps.append(name)
-            stack.append(_Open(name, bad, content, within))
+                within = wrap(name, within)
+            stack.push(_Open(name, bad, content, within))
     if at < len(page):
         parts.append(entities.unescape(page[at:]))
     flush()
     if any(kind not in CONTENT for kind in wraps):
-        _silence(out, wraps)
+        _silence(out, wraps, parents)
     return out
 
 

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -337,6 +338,55 @@ def test_main_text(spark):
     assert main_text.extract("<div " * 3000) == ""
 
 
+@pytest.mark.parametrize("opened, closed", [('<div class="ad">', ""), ("<div>", "</p>"), ("<ul><li>", ""), ("<p><b>", "</span>"), ("<nav><article>", "")])
+def test_main_text_of_deep_pages(opened, closed):
+    """Time must grow with the page: 60,000 open elements once took minutes."""
+    story = "<p>" + "It was the house of the river and there they had to be in the garden of all. " * 4 + "</p>"
+    began = time.perf_counter()
+    deep = main_text.extract("<article>" + story + "</article>" + opened * 60_000 + "word" + closed * 60_000)
+    assert time.perf_counter() - began < 30
+    assert deep == main_text.extract("<article>" + story + "</article>")
+
+
+def plainly_silent(path, wraps):
+    """The rule of wrappers for one block, by a walk from the innermost one outwards."""
+    for kind, speaks in reversed([wraps[w] for w in path]):
+        if kind in main_text.CONTENT and speaks:
+            return False
+        if kind not in main_text.CONTENT and not speaks:
+            return True
+    return False
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10**6))
+def test_wrappers_by_a_plain_walk(seed):
+    """Sums and verdicts passed along parents are those of walks over all wrappers around a block."""
+    rng = random.Random(seed)
+    kinds = [rng.choice(["main", "article", "named", "replies"]) for _ in range(rng.randint(1, 12))]
+    parents = [rng.randint(-1, w - 1) if w else -1 for w in range(len(kinds))]
+    path = lambda w: path(parents[w]) + [w] if w >= 0 else []
+    text = "the house of the river is in the garden and there they had to be all of it "
+    found = [main_text.Block((text * rng.randint(1, 5)).strip(), 0, 0, rng.random() < 0.1, rng.randint(-1, len(kinds) - 1)) for _ in range(20)]
+    loud = [(path(b.wrap), len(b.text), any(kinds[w] in main_text.CONTENT for w in path(b.wrap))) for b in found if not b.silent]
+    rich = [sum(n for p, n, _ in loud if w in p and n >= main_text.SHORT) for w in range(len(kinds))]
+    total, inside = sum(n for _, n, _ in loud if n >= main_text.SHORT), sum(n for _, n, own in loud if own)
+    largest = max((r for r, k in zip(rich, kinds) if k == "article"), default=0)
+    speaks = []
+    for w, kind in enumerate(kinds):
+        own = sum(n for p, n, o in loud if w in p and o)
+        around = sum(n for p, n, _ in loud if w in p) > (1 if own else 4) * (inside - own)
+        speaks.append(
+            kind == "main"
+            or (kind == "article" and rich[w] >= main_text.LARGE_ARTICLE * largest)
+            or (kind == "replies" and 0 < rich[w] == total and around)
+            or (kind == "named" and rich[w] > 0 and rich[w] >= main_text.MOST_TEXT * total and around)
+        )
+    expected = [b.silent or plainly_silent(path(b.wrap), list(zip(kinds, speaks))) for b in found]
+    main_text._silence(found, kinds, parents)
+    assert [b.silent for b in found] == expected
+
+
 def test_main_text_in_wrappers():
     """Names, forms and attributes around a page's text do not silence it."""
     body = "it is the main text of the page and it is good. " * 5
