@@ -1,7 +1,7 @@
 """Finds benchmark passages in documents, also reworded ones, by latent semantic retrieval.
 
 Words are runs of letters and digits in lower case. Of them only those of the benchmark
-count, so a passage is a sparse vector over at most `FEATURES` words, whatever the corpus.
+count, so a passage is a sparse vector over at most `PLACES` words, whatever the corpus.
 One pass over all documents counts in how many passages each word is and multiplies the
 passages' Gram matrix by random columns, summed by a tree of tasks; from that product
 alone comes a randomised singular value decomposition of the TF-IDF matrix (Nystrom's
@@ -14,7 +14,8 @@ item in it is a leak, and so is a good part of it if its answer, the words it en
 there as well.
 
 Both passes read documents where they lie; no text is shuffled. A benchmark of more than
-`PART_ITEMS` items is searched in parts.
+`PART_ITEMS` items or some `FEATURES` different words is searched in parts, each with a
+decomposition of its own; every word of a part's items counts in it.
 
 Defined results: a null or empty text, and an item that is null or has fewer than
 `LEAST_WORDS` words, match nothing. Equal items match together, the one of smaller id is
@@ -39,7 +40,8 @@ from pyspark.sql import types as T
 
 from . import blocks, kernel, pretokens
 
-#: Places of hashed words, and most words of the benchmark that count.
+#: Places of hashed words, and of those how many a part of the benchmark has before it ends;
+#: an item that alone has more is a part of its own.
 PLACES, FEATURES = 1 << 20, 1 << 16
 #: Columns of the decomposition.
 RANK = 64
@@ -96,7 +98,7 @@ class Items:
 
 
 def read_items(benchmark: DataFrame, item_id: str, text: str) -> list[Items]:
-    """The benchmark in parts that share the places of words. Its size is checked."""
+    """The benchmark in parts. Its size is checked."""
     rows = benchmark.where(F.col(text).isNotNull() & F.col(item_id).isNotNull()).select(item_id, text).distinct()
     letters = rows.agg(F.sum(F.length(text))).first()[0] or 0
     if letters > 1 << 28:
@@ -106,16 +108,23 @@ def read_items(benchmark: DataFrame, item_id: str, text: str) -> list[Items]:
     for a, b, hashes, first in texts(pa.array([r[1] for r in rows], pa.string())):
         found += [(rows[a + i][0], hashes[first[i] : first[i + 1]]) for i in range(b - a)]
     found = [(i, w) for i, w in found if len(w) >= LEAST_WORDS]
-    every = np.concatenate([w for _, w in found]) if found else np.zeros(0, np.uint64)
-    places, counts = np.unique((every % np.uint64(PLACES)).astype(np.int64), return_counts=True)
-    if len(places) > FEATURES:
-        places = np.sort(places[np.argsort(-counts, kind="stable")[:FEATURES]])
+    parts: list[list[tuple]] = []
+    held: set[int] = set()
+    for item in found:
+        places = set((item[1] % np.uint64(PLACES)).tolist())
+        if not parts or len(parts[-1]) >= PART_ITEMS or len(held | places) > FEATURES:
+            parts.append([])
+            held = set()
+        parts[-1].append(item)
+        held |= places
+    return [_part(part) for part in parts]
+
+
+def _part(found: list[tuple]) -> Items:
+    places = np.unique(np.concatenate([w for _, w in found]) % np.uint64(PLACES)).astype(np.int64)
     table = np.full(PLACES, -1, np.int32)
     table[places] = np.arange(len(places))
-    return [
-        Items([i for i, _ in found[k : k + PART_ITEMS]], [w for _, w in found[k : k + PART_ITEMS]], table, len(places))
-        for k in range(0, len(found), PART_ITEMS)
-    ]
+    return Items([i for i, _ in found], [w for _, w in found], table, len(places))
 
 
 def _random_columns(size: int) -> np.ndarray:
@@ -133,8 +142,8 @@ def _counted(column: pa.Array, table: np.ndarray, columns: np.ndarray, product:
         place = table[(hashes % np.uint64(PLACES)).astype(np.int64)]
         known = place >= 0
         # Each word once in a passage.
-        pairs = np.unique(of[known] * np.int64(FEATURES) + place[known])
-        of, place = pairs // FEATURES, pairs % FEATURES
+        pairs = np.unique(of[known] * np.int64(len(columns)) + place[known])
+        of, place = pairs // len(columns), pairs % len(columns)
         total += int(n.sum())
         if not len(pairs):
             continue
@@ -156,9 +165,9 @@ class Space:
     vectors: np.ndarray
 
 
-def fit(df: DataFrame, items: list[Items], text: str) -> Space:
-    """The latent space of the documents' passages, over the words of the benchmark."""
-    table, size = items[0].table, items[0].size
+def fit(df: DataFrame, items: Items, text: str) -> Space:
+    """The latent space of the documents' passages, over the words of a part of the benchmark."""
+    table, size = items.table, items.size
     columns = _random_columns(size)
     slices = [np.arange(s, size, _SLICES) for s in range(min(_SLICES, size))]
 
@@ -175,7 +184,7 @@ def fit(df: DataFrame, items: list[Items], text: str) -> Space:
 
     found = blocks.totals(df.select(text).mapInArrow(count, blocks.SCHEMA), blocks.FAN_IN**2, add)
     product, held, n = np.zeros((size, RANK)), np.zeros(size), 1
-    for row in found.collect():  # at most _SLICES rows, FEATURES * RANK numbers in all
+    for row in found.collect():  # at most _SLICES rows, `size` * RANK numbers in all
         part = blocks.unpack(row.payload)
         product[slices[row.bucket]] = blocks.numbers(part["product"]).reshape(-1, RANK)
         held[slices[row.bucket]] = blocks.numbers(part["held"])
@@ -321,10 +330,10 @@ def contamination(
     parts = read_items(benchmark, item_id, item_text)
     if not parts:
         return out
-    space = fit(df, parts, text)
     spark = df.sparkSession
     for items in parts:
-        sent = spark.sparkContext.broadcast((items, space))  # FEATURES * RANK numbers and PART_ITEMS items at most
+        # PLACES * RANK numbers and PART_ITEMS items at most.
+        sent = spark.sparkContext.broadcast((items, fit(df, items, text)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             search = Search(*sent.value)

@@ -480,6 +480,20 @@ def test_decontamination_of_items_of_any_length(spark, sizes):
     assert not lost
 
 
+def test_decontamination_drops_no_word(spark, monkeypatch):
+    """A benchmark of more different words than a part takes: what is leaked is found all the same."""
+    monkeypatch.setattr(decontam, "FEATURES", 60)
+    monkeypatch.setattr(decontam, "PART_ITEMS", 5)
+    rng = random.Random(8)
+    own = lambda i, n: " ".join(f"w{i}x{rng.randrange(10**6)}" for _ in range(n))
+    items = [(i, own(i, n)) for i, n in enumerate([20, 25, 30, 40, 55, 90, 24, 24, 24, 24, 24, 24, 8, 8, 8])]
+    rows = [(i, prose(i, 150) + " " + text + " " + prose(i + 50, 100)) for i, text in items] + [(99, prose(5, 300))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontam.read_items(benchmark, "item_id", "text")) >= 5
+    got = decontam.contamination(spark.createDataFrame(rows, SCHEMA), benchmark).collect()
+    assert {r.doc_id: r.leaked_items for r in got} == {i: [i] for i, _ in items} | {99: []}
+
+
 def test_common_subsequence():
     rng = random.Random(3)
     for _ in range(50):
