@@ -28,6 +28,9 @@ from ..session import work_path
 BLOCK_BYTES = 4 << 20
 #: Blocks whose entries one task adds up, and to which one task gives answers.
 FAN_IN, FAN_OUT = 64, 512
+#: Text whose distinct items are one bucket's, and the most buckets: with more, a block's
+#: entries for one are fewer than what packing them takes.
+BUCKET_BYTES, BUCKETS_MOST = 16 << 20, 1 << 12
 
 SCHEMA = "block long, bucket int, start int, payload binary"
 _ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("start", pa.int32()), ("payload", pa.binary())])
@@ -82,6 +85,12 @@ def in_buckets(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(a), order[a:b]
 
 
+def buckets_for(df: DataFrame, text: str, least: int) -> int:
+    """How many buckets the distinct items of all texts are dealt to; it follows their bytes."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return min(max(least, 1 << (size // BUCKET_BYTES).bit_length()), BUCKETS_MOST)
+
+
 def numbered() -> Iterator[int]:
     """Block numbers that no other task gives."""
     return itertools.count(TaskContext.get().partitionId() << 32)
@@ -118,8 +127,11 @@ def by_group(
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(each, schema)
 
 
-def answer(df: DataFrame, reply: Callable[[], Callable[[int, dict[str, pa.Array]], bytes]]) -> DataFrame:
-    """Answers every entry row in its bucket. `reply()` makes one task's answering function."""
+def answer(df: DataFrame, n_blocks: int, reply: Callable[[], Callable[[int, dict[str, pa.Array]], bytes]]) -> DataFrame:
+    """Answers every entry row in its bucket; a task answers for `FAN_OUT` blocks.
+
+    `reply()` makes one task's answering function.
+    """
 
     def run(found: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         answering = reply()
@@ -127,7 +139,8 @@ def answer(df: DataFrame, reply: Callable[[], Callable[[int, dict[str, pa.Array]
             payload = answering(row["bucket"], unpack(row["payload"]))
             yield _row(row["block"], row["bucket"], row["start"], payload)
 
-    return by_group(df, ["bucket"], ["block"], run, SCHEMA)
+    groups = math.ceil(max(n_blocks, 1) / FAN_OUT)
+    return by_group(_salted(df, groups), ["bucket", "salt"], ["block"], run, SCHEMA)
 
 
 def _row(block: int, bucket: int, start: int, payload: bytes) -> pa.RecordBatch:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from . import blocks, kernel
 
-#: Buckets of hashes; a bucket's distinct ones must fit in a task.
+#: Buckets of hashes at least; a bucket's distinct ones must fit in a task.
 BUCKETS = 64
 _LAST = np.iinfo(np.int64).max
 
@@ -82,17 +82,17 @@ def _distinct(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return number, found, low, high
 
 
-def _by_bucket(found: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    return [(start, at[np.argsort(found[at])]) for start, at in blocks.in_buckets((found % np.uint64(BUCKETS)).astype(np.int64))]
+def _by_bucket(found: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    return [(start, at[np.argsort(found[at])]) for start, at in blocks.in_buckets((found % np.uint64(buckets)).astype(np.int64))]
 
 
-def _entries(found: np.ndarray, low: np.ndarray, high: np.ndarray | None) -> list[tuple[int, int, bytes]]:
+def _entries(found: np.ndarray, low: np.ndarray, high: np.ndarray | None, buckets: int) -> list[tuple[int, int, bytes]]:
     out = []
-    for start, at in _by_bucket(found):
+    for start, at in _by_bucket(found, buckets):
         more = {} if high is None else {"more": blocks.narrow((high[at] - low[at]).astype(np.uint64))}
         step = np.diff(found[at], prepend=np.uint64(0))
         payload = blocks.pack(step=step, low=blocks.narrow(low[at].astype(np.uint64)), **more)
-        out.append((int(found[at[0]] % np.uint64(BUCKETS)), start, payload))
+        out.append((int(found[at[0]] % np.uint64(buckets)), start, payload))
     return out
 
 
@@ -133,14 +133,17 @@ def _digest(text: bytes, gone: np.ndarray | None = None) -> tuple[int, str]:
 
 
 def remove_repeats(
-    df: DataFrame, window: int = 50, doc_id: str = "doc_id", text: str = "text", kept: bool = False
+    df: DataFrame, window: int = 50, doc_id: str = "doc_id", text: str = "text", kept: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Rows (doc_id, n_words, n_removed, kept_sha256), with the words kept as text if wanted.
 
     A word goes if a window that covers it also starts in a document with a smaller id.
+    `buckets` deals the hashes; without it there are `BUCKETS`, or more by the bytes of the texts.
     """
     if window < 2:
         raise ValueError("a window has at least two words")
+    buckets = buckets or blocks.buckets_for(df, text, BUCKETS)
 
     def texts(own: dict[str, pa.Array]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         offsets = np.concatenate([[0], np.cumsum(blocks.numbers(own["size"]).astype(np.int64))])
@@ -159,7 +162,7 @@ def remove_repeats(
                 own = ids.slice(a, b - a)
                 _, found, low, high = _distinct(halves[fresh], _ids(own)[words.of[fresh]])
                 home = blocks.pack(doc_id=own, size=blocks.narrow(np.diff(at)), data=part)
-                yield blocks.rows(next(number), home, _entries(found, low, high))
+                yield blocks.rows(next(number), home, _entries(found, low, high, buckets))
 
     def extend(block: int, own: dict[str, pa.Array], found: list[tuple[int, dict[str, pa.Array]]]) -> pa.RecordBatch:
         """What repeats at half the length, at the whole; documents without it are done."""
@@ -167,7 +170,7 @@ def remove_repeats(
         words = _Words(data, offsets, window)
         number, distinct, _, _ = _distinct(words.halves(window), ids[words.of])
         repeats = np.zeros(len(distinct), bool)
-        places = dict(_by_bucket(distinct))
+        places = dict(_by_bucket(distinct, buckets))
         for start, got in found:
             at = places[start]
             repeats[at] = np.unpackbits(blocks.numbers(got["repeats"]), count=len(at)).astype(bool)
@@ -184,7 +187,7 @@ def remove_repeats(
             doc_id=own["doc_id"], size=blocks.narrow(np.diff(offsets)), goes_on=goes_on, n_words=blocks.narrow(n_words),
             done=pa.array(done, pa.string()), data=data[rest], edges=blocks.narrow(np.diff(edges, prepend=0)),
         )
-        return blocks.rows(block, home, _entries(distinct, low, None))
+        return blocks.rows(block, home, _entries(distinct, low, None, buckets))
 
     def window_hashes(words: _Words) -> np.ndarray:
         return kernel.run_hashes(words.hashes, words.first, window)[1]
@@ -208,7 +211,7 @@ def remove_repeats(
         place = np.flatnonzero(live)
         number, distinct, _, _ = _distinct(window_hashes(words)[place], ids[words.of[place]])
         low = np.full(len(distinct), _LAST)
-        places = dict(_by_bucket(distinct))
+        places = dict(_by_bucket(distinct, buckets))
         for start, got in found:
             low[places[start]] = blocks.numbers(got["low"]).astype(np.int64)
         goes = place[low[number] < ids[words.of[place]]]

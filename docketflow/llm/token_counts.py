@@ -3,7 +3,8 @@
 Documents are cut into pre-tokens and packed into blocks (`blocks.py`). A block's distinct
 pre-tokens travel to the bucket of their hash; there the tokenizer counts the pieces of
 each once, however many blocks and documents hold it; the counts travel back and are
-summed by each document's frequencies.
+summed by each document's frequencies. The number of buckets follows the bytes of all texts,
+and a bucket that more than `blocks.FAN_OUT` blocks ask is dealt to several tasks.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; equal rows, also those
 with equal ids, give a row each; a null id stays null; no rows give none. Only the columns
@@ -23,6 +24,9 @@ from tokenizers import Tokenizer
 
 from . import blocks, kernel, pretokens
 
+#: Buckets of pre-tokens at least.
+BUCKETS = 128
+
 
 @functools.cache
 def _tokenizer(path: str) -> Tokenizer:
@@ -95,12 +99,13 @@ def _block(ids: pa.Array, data: np.ndarray, offsets: np.ndarray, path: str, buck
     return home, entries
 
 
-def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", buckets: int = 128) -> DataFrame:
+def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """Rows (doc_id, n_bytes, n_tokens) for a byte-level BPE tokenizer's .json file.
 
-    `buckets` deals the distinct pre-tokens; take about one per million of them, so that a
-    bucket's fit in a task.
+    `buckets` deals the distinct pre-tokens; without it there are `BUCKETS`, or more by the
+    bytes of the texts.
     """
+    buckets = buckets or blocks.buckets_for(df, text, BUCKETS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = blocks.numbered()
@@ -140,5 +145,5 @@ def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
 
     kind = df.schema[doc_id].dataType.simpleString()
     staged = blocks.stage(df.select(doc_id, text).mapInArrow(cut, blocks.SCHEMA), "token-counts")
-    answers = blocks.answer(blocks.entries(staged), reply)
+    answers = blocks.answer(blocks.entries(staged), blocks.homes(staged).count(), reply)
     return blocks.bring_home(blocks.homes(staged), answers, finish, f"doc_id {kind}, n_bytes long, n_tokens long")

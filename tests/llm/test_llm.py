@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from docketflow.llm import (
-    bpe, decontam, jaccard, kernel, main_text, passages, pii, ppm, pretokens, token_counts, top_k, toxicity,
+    blocks, bpe, decontam, jaccard, kernel, main_text, passages, pii, ppm, pretokens, token_counts, top_k, toxicity,
 )
 from docketflow.llm.components import components
 
@@ -239,6 +239,19 @@ def brute_passages(rows, window):
     return out
 
 
+def test_results_do_not_depend_on_buckets_or_blocks(spark, docs, monkeypatch):
+    """Buckets follow the bytes of the texts, and tasks the blocks that ask; neither shows."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    runs = [lambda: token_counts.count_tokens(docs, path), lambda: passages.remove_repeats(docs, 7)]
+    expected = [sorted(map(repr, run().collect())) for run in runs]
+    assert blocks.buckets_for(docs, "text", 64) == 64
+    monkeypatch.setattr(blocks, "BUCKET_BYTES", 1 << 9)
+    monkeypatch.setattr(blocks, "FAN_OUT", 1)
+    assert blocks.buckets_for(docs, "text", 64) == 256
+    assert [sorted(map(repr, run().collect())) for run in runs] == expected
+    assert blocks.buckets_for(docs.where("text is null"), "text", 64) == 64
+
+
 @pytest.mark.parametrize("window", [50, 7])
 def test_passages_equal_brute_force(docs, none, window):
     got = passages.remove_repeats(docs, window, kept=True).collect()
