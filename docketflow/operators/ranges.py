@@ -35,7 +35,8 @@ def find_bounds(keys, names, range_rows, rows=None):
     part = F.pmod(F.xxhash64(*names), F.lit(_SPREAD))
     sample = keys.filter(part < _kept(n, wanted * SAMPLED)).select(*names)
     # A sample has at most some MOST_RANGES * SAMPLED keys, so one task puts them in order.
-    nth = F.row_number().over(W.orderBy(*names)) - 1
+    # As a long: places times ranges pass 32 bits.
+    nth = F.row_number().over(W.orderBy(*names)).cast("bigint") - 1
     many = F.count(F.lit(1)).over(W.partitionBy())
     placed = sample.select(*names, nth.alias("__nth"), many.alias("__many"))
     range_of_nth = F.floor(F.col("__nth") * wanted / F.col("__many"))

@@ -173,3 +173,12 @@ def test_a_key_falls_between_its_bounds(spark, keys):
     order = lambda key: (key[0] is not None, (key[0] or "").encode(), key[1])
     for row in df.withColumn("r", number).collect():
         assert row.r == sum(order(b) <= order((row.a, row.b)) for b in bounds)
+
+
+def test_bounds_of_very_many_ranges(spark):
+    """Places times ranges pass 32 bits."""
+    keys = spark.range(140_000).select(F.col("id").alias("key"))
+    bounds = ranges.find_bounds(keys, ["key"], 1)
+    assert len(bounds) == ranges.MOST_RANGES - 1
+    gaps = [b[0] - a[0] for a, b in zip(bounds, bounds[1:])]
+    assert min(gaps) >= 8 and max(gaps) <= 9
