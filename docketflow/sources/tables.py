@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import storage_key
 from ..operators.annual import require_columns
+from ..operators.ranges import constants
 from ..session import settings
 from .csv_pieces import has_line_breaks, scan_csv_pieces
 
@@ -117,6 +118,27 @@ def write_parts(
     return True
 
 
+def in_full_parts(df, rows_per_part):
+    """Rows dealt to tasks so that files of `rows_per_part` are full, all but the last.
+
+    Rows keep their order. Each task's rows are counted first: what comes before a task is one
+    number, and a part's rows meet in one task by its number. `df` is read twice and should
+    give the same rows in the same tasks, as files do.
+    """
+    counted = df.select(F.spark_partition_id().alias("at")).groupBy("at").count().collect()
+    tasks = {row["at"]: row["count"] for row in counted}
+    before, n = [], 0
+    for at in range(max(tasks, default=-1) + 1):
+        before.append(n)
+        n += tasks.get(at, 0)
+    place = F.get(constants(before, "bigint"), F.spark_partition_id()) + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    parts = max(1, -(-n // rows_per_part))
+    wanted = max(1, min(parts, len(tasks)))
+    numbered = df.withColumn("__place", place)
+    task = F.expr(f"cast((__place div {rows_per_part}) * {wanted} div {parts} as int)")
+    return numbered.repartitionById(wanted, task).sortWithinPartitions("__place").drop("__place")
+
+
 def document_keys(df):
     """Add the storage key columns of a document: key_cik, key_year, key_accession."""
     require_columns(df, ["cik", "year", "filename"])

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import docketflow as d
+from docketflow.session import settings
 
 from .test_index import HEADER, line, write_listing
 
@@ -53,6 +54,21 @@ def test_annual_job_on_csv_and_first_batch(spark, tables, tmp_path):
     assert not d.output_exists(spark, target)
 
 
+@pytest.mark.parametrize("rows_per_part", [None, 7])
+def test_parts_follow_from_the_rows(spark, tmp_path, rows_per_part):
+    """One file that many tasks share, of which only some meet its rows."""
+    source, target = str(tmp_path / "f.parquet"), str(tmp_path / "out")
+    rows = [("CO", "10-K", str(i), "2020-03-01", f"edgar/data/{i}/a.txt", 2020, "QTR1", "2020_QTR1_company.idx", i) for i in range(40)]
+    d.write_table(spark.createDataFrame(rows, d.FILING).coalesce(1), source)
+    d.write_table(spark.createDataFrame(rows, d.FILING).coalesce(1), source, if_exists="append")
+    with settings(spark, spark__sql__files__openCostInBytes=0, spark__sql__files__maxPartitionBytes=1000):
+        counts = d.annual_job(spark, source, target, rows_per_part=rows_per_part)
+    sizes = sorted(r["count"] for r in spark.read.parquet(target).groupBy(F.input_file_name()).count().collect())
+    assert sizes == ([3] + [7] * 11 if rows_per_part else [40, 40])
+    assert counts == {"written": True, "rows_in": 80, "rows_out": 80, "undated": 0, "parts": len(sizes)}
+    assert {r.line_no for r in spark.read.parquet(target).collect()} == set(range(40))
+
+
 def test_fetch_job(spark, tables, tmp_path):
     annual = d.scan_table(spark, tables[3])
     urls = [SITE + r.filename for r in annual.orderBy(*d.FILING_ORDER).collect()]
