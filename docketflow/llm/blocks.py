@@ -12,6 +12,7 @@ one block and bucket, `start` the place of the first among the block's entries.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Callable, Iterator
@@ -22,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..session import discard, dropping_shuffles, work_path
+from .components import stored
 
 #: Text of one block; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -103,7 +105,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     and what travels lie in folders of their own, so each is read alone.
     """
     path = work_path(df.sparkSession, label)
-    df.withColumn("home", F.col("bucket") == HOME).write.partitionBy("home").parquet(path)
+    with dropping_shuffles(df.sparkSession):
+        df.withColumn("home", F.col("bucket") == HOME).write.partitionBy("home").parquet(path)
     schema = df.schema.add("home", "boolean")
     return df.sparkSession.read.schema(schema).parquet(path)
 
@@ -152,13 +155,17 @@ def _salted(df: DataFrame, groups: int) -> DataFrame:
     return df.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(groups)))
 
 
-def totals(found: DataFrame, n_blocks: int, add: Callable[[list[dict[str, pa.Array]]], bytes]) -> DataFrame:
+def totals(
+    found: DataFrame, n_blocks: int, add: Callable[[list[dict[str, pa.Array]]], bytes],
+    trim: Callable[[dict[str, pa.Array]], bytes] | None = None,
+) -> DataFrame:
     """What each bucket's entries of all blocks come to, in one row each, by a tree of tasks.
 
-    `add` puts parts of the same bucket together; a task adds those of `FAN_IN` blocks.
+    `add` puts parts of the same bucket together; a task adds those of `FAN_IN` blocks. At last `trim`
+    leaves out of the sum what answers can do without.
     """
 
-    def run(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[dict], last: bool) -> Iterator[pa.RecordBatch]:
         for (bucket, block), group in itertools.groupby(rows, key=lambda row: (row["bucket"], row["salt"])):
             parts: list[dict[str, pa.Array]] = []
             size = 0
@@ -168,12 +175,14 @@ def totals(found: DataFrame, n_blocks: int, add: Callable[[list[dict[str, pa.Arr
                 if len(parts) > 8 and size > 4 * len(next(iter(parts[0].values()))):
                     parts = [unpack(add(parts))]
                     size = len(next(iter(parts[0].values())))
-            yield _row(block, bucket, 0, add(parts))
+            total = add(parts)
+            yield _row(block, bucket, 0, trim(unpack(total)) if last and trim else total)
 
     groups = max(n_blocks, 1)
     while True:
         groups = math.ceil(groups / FAN_IN)
-        found = by_group(_salted(found, groups), ["bucket", "salt"], ["block"], run, SCHEMA)
+        each = functools.partial(run, last=groups == 1)
+        found = by_group(_salted(found, groups), ["bucket", "salt"], ["block"], each, SCHEMA)
         if groups == 1:
             return found
 
@@ -206,6 +215,23 @@ def replies(
     return by_group(asked, ["bucket", "salt"], ["block"], run, SCHEMA)
 
 
+def answered(
+    staged: DataFrame, n_blocks: int, add: Callable[[list[dict[str, pa.Array]]], bytes],
+    reply: Callable[[int, dict[str, pa.Array] | None], Callable[[dict[str, pa.Array]], bytes]],
+    trim: Callable[[dict[str, pa.Array]], bytes] | None = None,
+) -> DataFrame:
+    """The answers to all staged entries from their totals; the entries are removed.
+
+    Totals and answers are written each by a job of its own, so that the shuffles of one are gone
+    before the next one's.
+    """
+    total = stored(totals(entries(staged), n_blocks, add, trim), "totals")
+    answers = stored(replies(entries(staged), total, n_blocks, reply), "answers")
+    discard(total)
+    discard(staged, part="home=false")
+    return answers
+
+
 def bring_home(
     home: DataFrame, answers: DataFrame, finish: Callable[[int, dict[str, pa.Array], list[tuple[int, dict[str, pa.Array]]]], pa.RecordBatch], schema: str
 ) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..session import dropping_shuffles, work_path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the cluster's shared folder and read again, to cut lineage."""
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with dropping_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

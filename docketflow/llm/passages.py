@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import discard
 from . import blocks, kernel
 
 #: Buckets of hashes at least; a bucket's distinct ones must fit in a task.
@@ -113,10 +114,15 @@ def _add(parts: list[dict[str, pa.Array]]) -> bytes:
     return blocks.pack(step=np.diff(hashes[begin], prepend=np.uint64(0)), low=blocks.narrow(low.astype(np.uint64)), **more)
 
 
+def _spread(total: dict[str, pa.Array]) -> bytes:
+    """Of a total only the hashes that documents of several ids hold."""
+    hashes, low, high = _read(total)
+    return blocks.pack(step=np.diff(hashes[low < high], prepend=np.uint64(0)))
+
+
 def _repeats(bucket: int, total: dict[str, pa.Array] | None):
-    known, low, high = _read(total)
-    spread = low < high
-    return lambda part: blocks.pack(repeats=np.packbits(spread[np.searchsorted(known, _read(part)[0])]))
+    known = np.cumsum(blocks.numbers(total["step"]).astype(np.uint64))
+    return lambda part: blocks.pack(repeats=np.packbits(np.isin(_read(part)[0], known)))
 
 
 def _least(bucket: int, total: dict[str, pa.Array] | None):
@@ -238,12 +244,9 @@ def remove_repeats(
     kind = df.schema[doc_id].dataType.simpleString()
     staged = blocks.stage(df.select(doc_id, text).mapInArrow(cut, blocks.SCHEMA), "passages-half")
     n_blocks = blocks.homes(staged).count()
-    answers = blocks.replies(
-        blocks.entries(staged), blocks.totals(blocks.entries(staged), n_blocks, _add), n_blocks, _repeats
-    )
-    staged = blocks.stage(blocks.bring_home(blocks.homes(staged), answers, extend, blocks.SCHEMA), "passages-whole")
-    answers = blocks.replies(
-        blocks.entries(staged), blocks.totals(blocks.entries(staged), n_blocks, _add), n_blocks, _least
-    )
+    answers = blocks.answered(staged, n_blocks, _add, _repeats, _spread)
+    half, staged = staged, blocks.stage(blocks.bring_home(blocks.homes(staged), answers, extend, blocks.SCHEMA), "passages-whole")
+    discard(half, answers)
+    answers = blocks.answered(staged, n_blocks, _add, _least)
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * kept
     return blocks.bring_home(blocks.homes(staged), answers, finish, schema)

@@ -65,12 +65,12 @@ def staged(df, label):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(*tables):
-    """Remove what `staged` has written, once nothing reads it any more."""
+def discard(*tables, part=""):
+    """Remove what `staged` has written, or only its folder `part`, once nothing reads it any more."""
     for df in tables:
-        for file in df.inputFiles():
+        for file in sorted({name.rsplit("/", 1)[0] + "/x" for name in df.inputFiles()}):
             folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            if "/docketflow/" in folder.toString():
+            if "/docketflow/" in folder.toString() and part in ("", folder.getName()):
                 folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -86,3 +86,8 @@ def settings(spark, **conf):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def dropping_shuffles(spark):
+    """While this holds, a job's shuffle files go when it ends: what it has written is read instead."""
+    return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import pathlib
 import random
 import time
 import zlib
@@ -604,3 +605,29 @@ def test_surrogates_of_full_classes(spark):
     assert all(len(t.split("@")[0]) == 1 for t in new) and len({t.split("@")[1] for t in new}) == 6
     new = [t for t in out if t.startswith("pwd=")]
     assert len(new) == len(set(new)) == 10 and all(regex.fullmatch(r"pwd=\d\d", t) for t in new)
+
+
+def _left(spark, label):
+    """Folders of rows that a run has left under a label, in the shared working folder."""
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "docketflow"
+    return {p.parent.name for p in root.glob(f"{label}-*/**/*.parquet")}
+
+
+def test_passages_leave_nothing_behind_but_what_is_read(spark):
+    before = {label: _left(spark, label) for label in ("passages-half", "totals", "answers")}
+    texts = ["a b c d e f g h", "x a b c d e f g h", "other words that nobody repeats here", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in passages.remove_repeats(docs, 4).collect()}
+    assert got == {0: 0, 1: 8, 2: 0, 3: 0}
+    assert _left(spark, "passages-half") == before["passages-half"]
+    assert _left(spark, "totals") == before["totals"]
+
+
+def test_totals_keep_only_what_answers_need():
+    hashes = np.array([3, 5, 9], np.uint64)
+    total = blocks.unpack(blocks.pack(step=np.diff(hashes, prepend=np.uint64(0)), low=np.array([1, 2, 3]), more=np.array([0, 4, 0])))
+    kept = blocks.unpack(passages._spread(total))
+    assert blocks.numbers(kept["step"]).tolist() == [5]
+    asked = blocks.unpack(blocks.pack(step=np.diff(hashes, prepend=np.uint64(0)), low=np.array([1, 2, 3])))
+    found = blocks.numbers(blocks.unpack(passages._repeats(0, kept)(asked))["repeats"])
+    assert np.unpackbits(found, count=3).tolist() == [0, 1, 0]
