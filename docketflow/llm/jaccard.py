@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import discard
 from . import blocks, kernel
 from .components import components, stored
 
@@ -216,11 +217,26 @@ def _add(parts: list[dict[str, pa.Array]]) -> bytes:
     return blocks.pack(set=sets, low=blocks.narrow(low.astype(np.uint64)))
 
 
+def _shared(total: dict[str, pa.Array]) -> bytes:
+    """Of a total of tokens only those that several sets hold."""
+    if "step" not in total:
+        return blocks.pack(**total)
+    keys, n = _token_part(total)
+    return blocks.pack(step=blocks.narrow(np.diff(keys[n > 1], prepend=np.uint64(0))), n=blocks.narrow(n[n > 1]))
+
+
 def _reply(bucket: int, total: dict[str, pa.Array] | None):
     if bucket < BUCKETS:
         keys, n = _token_part(total)
-        kind = np.where(n >= FREQUENT, 2, np.where(n > 1, 1, 0)).astype(np.uint8)
-        return lambda part: blocks.pack(kind=kind[np.searchsorted(keys, _token_part(part)[0])])
+        # The last place is that of tokens beyond all keys; what is not among them is in one set.
+        keys, kind = np.append(keys, np.uint64(_LAST)), np.append(np.where(n >= FREQUENT, 2, 1), 0).astype(np.uint8)
+
+        def answer(part: dict[str, pa.Array]) -> bytes:
+            asked = _token_part(part)[0]
+            place = np.searchsorted(keys, asked)
+            return blocks.pack(kind=np.where(keys[place] == asked, kind[place], 0).astype(np.uint8))
+
+        return answer
     sets, low = _set_part(total)
     return lambda part: blocks.pack(low=blocks.narrow(low[np.searchsorted(sets, _set_part(part)[0])].astype(np.uint64)))
 
@@ -285,14 +301,18 @@ def _signed(df: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
     kind = df.schema[doc_id].dataType.simpleString()
     staged = blocks.stage(df.select(doc_id, text).mapInArrow(cut, blocks.SCHEMA), "jaccard-blocks")
     n_blocks = blocks.homes(staged).count()
-    asked = blocks.entries(staged)
-    answers = blocks.replies(asked, blocks.totals(asked, n_blocks, _add), n_blocks, _reply)
+    answers = blocks.answered(staged, n_blocks, _add, _reply, _shared)
     schema = f"doc_id {kind}, set long, size long, alone long, signatures array<long>"
-    return blocks.bring_home(blocks.homes(staged), answers, finish, schema)
+    signed = stored(blocks.bring_home(blocks.homes(staged), answers, finish, schema), "jaccard-signed")
+    discard(staged, answers)
+    return signed
 
 
-def _tokens(df: DataFrame, candidates: DataFrame, text: str, words: int) -> DataFrame:
-    """Rows (set, low, high): the tokens of candidate sets, 48 bits of each, in order."""
+def _tokens(df: DataFrame, candidates: DataFrame, text: str, words: int, size: int) -> DataFrame:
+    """Rows (set, low, high): the tokens of candidate sets, 48 bits of each, in order.
+
+    Texts are read again in pieces of `size` bytes.
+    """
     table = candidates.selectExpr(f"pmod(set, {FILTER_BITS}) as bit").selectExpr("shiftright(bit, 5) as at", "shiftleft(1L, cast(bit % 32 as int)) as one")
     table = table.groupBy("at").agg(F.bit_or("one").alias("bits"))
     passed = np.zeros(FILTER_BITS >> 5, np.uint32)
@@ -303,7 +323,7 @@ def _tokens(df: DataFrame, candidates: DataFrame, text: str, words: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = kernel.text_bytes(batch.column(0))
-            for a, b in kernel.chunks(offsets, blocks.BLOCK_BYTES):
+            for a, b in kernel.chunks(offsets, size):
                 tokens, first = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
                 sets = set_hashes(tokens, first).view(np.int64)
                 place = sets % FILTER_BITS
@@ -314,7 +334,12 @@ def _tokens(df: DataFrame, candidates: DataFrame, text: str, words: int) -> Data
                 short = tokens >> np.uint64(16)
                 low = [short[first[d] : first[d + 1]].astype("<u4").tobytes() for d in at]
                 high = [(short[first[d] : first[d + 1]] >> np.uint64(32)).astype("<u2").tobytes() for d in at]
-                yield pa.RecordBatch.from_arrays([pa.array(sets[at]), pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["set", "low", "high"])
+                found = pa.RecordBatch.from_arrays([pa.array(sets[at]), pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["set", "low", "high"])
+                del tokens, short, low, high
+                yield found
+                del found
+                kernel.give_back()
+            del data, offsets, batch
             kernel.give_back()
 
     found = df.select(text).mapInArrow(run, "set long, low binary, high binary")
@@ -398,7 +423,7 @@ def _alone(tokens: DataFrame) -> DataFrame:
 
 def link(df: DataFrame, words: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one for each document."""
-    signed = stored(_signed(df, doc_id, text, words, percent), "jaccard-signed")
+    signed = _signed(df, doc_id, text, words, percent)
     held = signed.where("signatures is not null").select("set", "size", "alone", F.explode("signatures").alias("sig")).distinct()
     held = stored(held, "jaccard-held")
     first = F.min(F.struct("alone", "set", "size"))
@@ -413,7 +438,7 @@ def link(df: DataFrame, words: int = 3, percent: int = 90, doc_id: str = "doc_id
     pairs = held.join(pivots, "sig").where((F.col("a") != F.col("set")) & both).select("a", F.col("set").alias("b"))
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
     several = held.join(pivots.select("sig"), "sig", "left_semi")
-    tokens = stored(_tokens(df, several.select("set").distinct(), text, words), "jaccard-tokens")
+    tokens = stored(_tokens(df, several.select("set").distinct(), text, words, block_bytes(percent)), "jaccard-tokens")
     links = stored(_verified(pairs, tokens, percent), "jaccard-links")
     roots = components(links)
 

@@ -631,3 +631,21 @@ def test_totals_keep_only_what_answers_need():
     asked = blocks.unpack(blocks.pack(step=np.diff(hashes, prepend=np.uint64(0)), low=np.array([1, 2, 3])))
     found = blocks.numbers(blocks.unpack(passages._repeats(0, kept)(asked))["repeats"])
     assert np.unpackbits(found, count=3).tolist() == [0, 1, 0]
+
+
+def test_totals_of_tokens_keep_only_what_several_sets_hold():
+    keys = np.array([3, 5, 9, 20], np.uint64)
+    total = blocks.unpack(blocks.pack(step=np.diff(keys, prepend=np.uint64(0)), n=np.array([1, 2, 1, 12])))
+    kept = blocks.unpack(jaccard._shared(total))
+    assert blocks.numbers(kept["n"]).tolist() == [2, 12]
+    asked = blocks.unpack(blocks.pack(step=np.array([3, 2, 4, 11], np.uint64), n=np.array([1, 1, 1, 1])))
+    assert blocks.numbers(blocks.unpack(jaccard._reply(0, kept)(asked))["kind"]).tolist() == [0, 1, 0, 2]
+    none = blocks.unpack(jaccard._shared(blocks.unpack(blocks.pack(step=keys[:1], n=np.array([1])))))
+    assert blocks.numbers(blocks.unpack(jaccard._reply(0, none)(asked))["kind"]).tolist() == [0, 0, 0, 0]
+
+
+def test_a_join_leaves_no_blocks_behind(spark):
+    before = {label: _left(spark, label) for label in ("jaccard-blocks", "totals", "answers")}
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.link(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert {label: _left(spark, label) for label in before} == before
