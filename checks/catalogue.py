@@ -554,7 +554,7 @@ def clean_nested_pages(spark, sf_dir):
 
 @query(_CLEAN_SQL, ctes=None)
 def clean_pages(spark, sf_dir):
-    pages = a.table(spark, sf_dir, "pages").select("page_id", "html").repartition(a.PIECES)
+    pages = a.spread(a.table(spark, sf_dir, "pages").select("page_id", "html"))
     # What is inside a menu does not count, another menu included.
     nested = F.replace("html", F.lit("<nav>"), F.lit("<nav>a<nav class='b'>b</nav>c<header>d</header>"))
     return d.clean_pages(pages.withColumn("html", nested)).select("page_id", "cleaned_text")
@@ -1051,7 +1051,6 @@ def stream_resume(spark, sf_dir):
 def stream_clean(spark, sf_dir):
     target = work_path(spark, "cleaned")
     schema = a.table(spark, sf_dir, "pages").schema
-    d.stream_clean(
-        spark, sf_dir, target, work_path(spark, "progress"), schema, glob="pages.parquet"
-    )
+    # A pattern finds the table as one file as well as a folder of files.
+    d.stream_clean(spark, f"{sf_dir}/pages.parque[t]", target, work_path(spark, "progress"), schema)
     return spark.read.parquet(target).select("page_id", "cleaned_text")

@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from checks import adapters
 from checks.catalogue import ORACLES, QUERIES
 
 from .compare import connect, differences
@@ -31,3 +32,14 @@ def test_entry_runs(spark):
     months = driver.entry(spark).collect()
     assert [r.month for r in months] == sorted(r.month for r in months)
     assert sum(r.filings for r in months) > 0
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "PIECE_ROWS", 100)
+    items = adapters.table(spark, SF_DIR, "lineitem").count()
+    assert adapters.index_pages(spark, SF_DIR).rdd.getNumPartitions() == -(-items // 100) > adapters.PIECES
+
+
+def test_stream_clean_reads_a_folder_of_files(spark, con, tmp_path):
+    adapters.table(spark, SF_DIR, "pages").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    assert differences(QUERIES["stream_clean"](spark, str(tmp_path)), con, ORACLES["stream_clean"]) == ""
