@@ -187,10 +187,11 @@ def _with_tables(stop, depth):
     return rf"(?:[^<]++|<(?!(?:{stop}|/?(?i:table))[\s/>]){whole})*+"
 
 
-# Tables are mostly flat or hold others that are: patterns read these, a walk all others.
+# Tables are mostly flat or hold a few others inside each other: patterns read these, a walk,
+# which takes many times as long, all others.
 # Every row and cell is found where it begins, its content by looking ahead, so that those
 # of inner tables are found as well.
-_FLAT = 2
+_FLAT = 12
 _FLAT_TABLE = (
     rf"<(?i:table){_attribute('class')}{_HAS_CLASS}({_ATTRS}>{_with_tables('/(?i:table)', _FLAT)})</(?i:table)\s*>"
 )

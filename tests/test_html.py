@@ -372,3 +372,20 @@ def test_unclosed_tables_rows_and_cells(spark):
     ]
     for rule in "AB":
         assert pick(spark, pages, rule) == [(True, "/d.htm")] * 3
+
+
+@pytest.mark.parametrize("rule", ["A", "B"])
+def test_tables_inside_each_other_read_alike_by_patterns_and_by_a_walk(spark, monkeypatch, rule):
+    def page(depth):
+        inner = "<table><tr><td>n<a href='/i.txt'>i</a>" * depth + "</td></tr></table>" * depth
+        return (
+            "<table class='tableFile'><tr><th>Seq</th></tr><tr><td>1</td><td>" + inner + "<a href='/x.htm'>x</a></td>"
+            "<td>b</td><td>10-K</td></tr><tr><td>2</td><td><a href='/y.htm'>y</a></td><td>b</td><td>10-K</td></tr></table>"
+        )
+
+    pages = spark.createDataFrame([(n, page(n)) for n in range(16)], "n int, html string")
+    by_pattern = F.regexp_extract("html", html._FLAT_TABLE, 1) != ""
+    assert {r.n for r in pages.where(by_pattern).collect()} == set(range(html._FLAT + 1)) >= set(range(9))
+    got = {r.n: (r.href, r.has_table) for r in html.with_primary_link(pages, "html", rule).collect()}
+    monkeypatch.setattr(html, "_FLAT_TABLE", "(no such table)")
+    assert got == {r.n: (r.href, r.has_table) for r in html.with_primary_link(pages, "html", rule).collect()}
