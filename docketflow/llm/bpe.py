@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from . import kernel, pretokens
 
 #: Text whose distinct pre-tokens are merged by one query.
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 4 << 20
 #: From this many bytes, a word's equal pairs are contracted in the same round where that
 #: gives the same as one by one; rounds then follow the merges, not the length.
 LONG_WORD = 48
@@ -49,7 +49,7 @@ QUERY_WORDS = 30_000
 LONGEST, WINDOW, QUERY_WINDOWS = 1024, 64, 15_000
 FIRST_STRIDE, LAST_STRIDE = 256, 1 << 18
 #: Ids decoded by one query.
-QUERY_IDS = 500_000
+QUERY_IDS = 100_000
 
 _PAIRS = """
     select w, pos, tok, m.id, min(m.id) over (partition by w) as best
@@ -391,6 +391,8 @@ def _encoding(batches: Iterator[pa.RecordBatch], path: str, pattern: str, text:
             ids, bounds = encode_texts(column.slice(a, b - a), vocab, pattern)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             rest = batch.select(keep).slice(a, b - a)
+            del ids, bounds
+            kernel.give_back()
             yield pa.RecordBatch.from_arrays([*rest.columns, lists], names=[*keep, into])
 
 
@@ -408,6 +410,8 @@ def _decoding(batches: Iterator[pa.RecordBatch], path: str, ids: str, into: str)
             found = [None if n else x for n, x in zip(null[a:b], found)]
             rest = batch.select(keep).slice(a, b - a)
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(found, pa.binary())], names=[*keep, into])
+        del batch, lists
+        kernel.give_back()
 
 
 def _with(df: DataFrame, **added: T.DataType) -> T.StructType:

@@ -50,8 +50,9 @@ PASSAGE = 48
 #: Sizes of windows; an item is sought in the smallest that holds most of it, and one of
 #: which none does in passages of at most the largest.
 WINDOWS = (8, 20, 44)
-#: Numbers of a product of windows and passages.
-PRODUCT = 1 << 26
+#: Bytes of text worked on at once, and numbers of a product of windows and passages: both
+#: bound what a worker holds beside its batch.
+TEXT_BYTES, PRODUCT = 1 << 18, 1 << 22
 #: Steps of a window to its size.
 STEPS = 4
 COSINE = 0.62
@@ -80,9 +81,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For ranges of texts (from, to): the hashes of their words, and each text's first."""
-    data, offsets = kernel.text_bytes(pa.compute.utf8_lower(column.cast(pa.large_string())))
-    for a, b in kernel.chunks(offsets):
-        part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+    _, offsets = kernel.text_bytes(column)
+    for a, b in kernel.chunks(offsets, TEXT_BYTES):
+        part, own = kernel.text_bytes(pa.compute.utf8_lower(column.slice(a, b - a)))
         starts, ends, first = word_spans(part, own)
         yield a, b, kernel.span_hashes(part, starts, ends), first
 
@@ -175,6 +176,8 @@ def fit(df: DataFrame, items: Items, text: str) -> Space:
         product, held, n = np.zeros((size, RANK)), np.zeros(size, np.int64), 0
         for batch in batches:
             n += _counted(batch.column(0), table, columns, product, held)
+            del batch
+            kernel.give_back()
         block = TaskContext.get().partitionId()
         for s, at in enumerate(slices):
             yield blocks._row(block, s, 0, blocks.pack(product=product[at].ravel(), held=held[at], n=np.array([n])))
@@ -339,19 +342,20 @@ def contamination(
             search = Search(*sent.value)
             ids = search.items.ids
             for batch in batches:
-                found = {}
-                for a, _, hashes, first in texts(batch.column(text)):
-                    found |= {a + t: leaks for t, leaks in search.leaks(hashes, first).items()}
-                before = [batch.column(c).to_pylist() for c in added]
-                rows = []
-                for i, (bad, item, share, items_so_far) in enumerate(zip(*before)):
-                    leaks = sorted(((-s, ids[k]) for s, k in found.get(i, [])))
-                    if leaks and -leaks[0][0] > share:
-                        item, share = leaks[0][1], -leaks[0][0]
-                    rows.append((bad or bool(leaks), item, share, sorted({*items_so_far, *(k for _, k in leaks)})))
-                columns = [pa.array(list(c), batch.schema.field(n).type) for c, n in zip(zip(*rows), added)] if rows else [batch.column(c) for c in added]
                 keep = [c for c in batch.schema.names if c not in added]
-                yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, *columns], names=[*keep, *added])
+                for a, b, hashes, first in texts(batch.column(text)):
+                    found, own = search.leaks(hashes, first), batch.slice(a, b - a)
+                    rows = []
+                    for i, (bad, item, share, items_so_far) in enumerate(zip(*(own.column(c).to_pylist() for c in added))):
+                        leaks = sorted(((-s, ids[k]) for s, k in found.get(i, [])))
+                        if leaks and -leaks[0][0] > share:
+                            item, share = leaks[0][1], -leaks[0][0]
+                        rows.append((bad or bool(leaks), item, share, sorted({*items_so_far, *(k for _, k in leaks)})))
+                    columns = [pa.array(list(c), own.schema.field(n).type) for c, n in zip(zip(*rows), added)]
+                    yield pa.RecordBatch.from_arrays([*own.select(keep).columns, *columns], names=[*keep, *added])
+                    del own
+                del batch
+                kernel.give_back()
 
         out = out.mapInArrow(run, out.schema)
     return out
