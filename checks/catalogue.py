@@ -169,7 +169,7 @@ def write_parts(spark, sf_dir):
     numbered = d.assign_part(a.table(spark, sf_dir, "events"), "event_id", ok, 200)
     path = work_path(spark, "parts")
     d.write_parts(numbered, path, folders=True)
-    written = spark.read.schema(_with_text_part(numbered)).parquet(path)
+    written = d.scan_parts(spark, path, _without_part(numbered))
     return written.groupBy("part").agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if(ok).alias("successes"),
@@ -178,9 +178,8 @@ def write_parts(spark, sf_dir):
     )
 
 
-def _with_text_part(df):
-    columns = [f"{name} {dtype}" for name, dtype in df.dtypes if name != "part"]
-    return ", ".join([*columns, "part string"])
+def _without_part(df):
+    return ", ".join(f"{name} {dtype}" for name, dtype in df.dtypes if name != "part")
 
 
 @query(

@@ -63,6 +63,7 @@ from .sources.tables import (
     may_write,
     output_exists,
     scan_documents,
+    scan_parts,
     scan_table,
     write_documents,
     write_parts,

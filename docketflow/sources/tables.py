@@ -10,6 +10,11 @@ from ..session import settings
 from .csv_pieces import has_line_breaks, scan_csv_pieces
 
 _PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
+#: Tasks for each core that list folders of parts.
+LISTING_TASKS = 4
+#: What adaptive execution merges for a task that writes folders: opening a part's file costs
+#: more than its bytes, so that tasks merged to one a core would end far apart.
+FOLDERS_TASK = "4m"
 _MODES = {
     "error": "errorifexists",
     "skip": "ignore",
@@ -113,11 +118,24 @@ def write_parts(
     if rows_per_part:
         writer = writer.option("maxRecordsPerFile", rows_per_part)
     if numbered:
-        writer = writer.partitionBy("part")
-    writer.parquet(path)
+        with settings(df.sparkSession, spark__sql__adaptive__advisoryPartitionSizeInBytes=FOLDERS_TASK):
+            writer.partitionBy("part").parquet(path)
+    else:
+        writer.parquet(path)
     return True
 
 
+def scan_parts(spark, path, columns):
+    """The parts written by `write_parts(folders=True)`; `columns` declares those stored, `part` is text.
+
+    Folders are listed by a few tasks a core. Spark would start a task for each, up to 10,000,
+    and starting one takes longer than listing a folder.
+    """
+    tasks = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    with settings(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=tasks):
+        return spark.read.schema(f"{columns}, part string").parquet(path)
+
+
 def in_full_parts(df, rows_per_part):
     """Rows dealt to tasks so that files of `rows_per_part` are full, all but the last.
 
