@@ -6,6 +6,9 @@ a benchmark passage; personal data are replaced in the rest, which is then encod
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,21 @@ ORACLE_SQL = None
 SHINGLE_WORDS, PERCENT = 5, 80
 #: Key of surrogates here; a user keeps one secret.
 SURROGATE_KEY = "documents"
+#: Bytes of the rows that an executor hands to a Python worker at once; both hold them.
+BATCH_BYTES = 4 << 20
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_batches(stage: Stage) -> Stage:
+    """The stage with batches of `BATCH_BYTES`: a setting of the session that stays, as its result is read later."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def _renamed(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -29,6 +47,7 @@ def _renamed(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.toDF(*names), names[docs.columns.index("text")]
 
 
+@in_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose chance of a toxic grade is less than one half."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), toxicity.toxic_grade())
@@ -37,6 +56,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*own.columns).toDF(*docs.columns)
 
 
+@in_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id.
 
@@ -49,6 +69,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
+@in_batches
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     own, text = _renamed(docs)
@@ -65,6 +86,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return replaced
 
 
+@in_batches
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with `ids`, `n_tokens` and `decoded`, the text that the ids stand for.
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, dropping_shuffles, work_path
+from . import kernel
 from .components import stored
 
 #: Text of one block; a longer text is a block of its own.
@@ -126,6 +127,7 @@ def by_group(
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(row for batch in batches for i in range(batch.num_rows) for row in batch.slice(i, 1).to_pylist())
+        kernel.give_back()
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(each, schema)
 

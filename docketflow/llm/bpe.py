@@ -37,8 +37,8 @@ from pyspark.sql import types as T
 
 from . import kernel, pretokens
 
-#: Text whose distinct pre-tokens are merged by one query.
-GROUP_BYTES = 4 << 20
+#: Text whose distinct pre-tokens are merged by one query, and text that is split and put together at once.
+GROUP_BYTES, TEXT_BYTES = 4 << 20, 1 << 18
 #: From this many bytes, a word's equal pairs are contracted in the same round where that
 #: gives the same as one by one; rounds then follow the merges, not the length.
 LONG_WORD = 48
@@ -350,16 +350,16 @@ def exact_splitter(pattern: str):
 def encode_texts(column: pa.Array, vocab: Vocabulary, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts end to end, and where each text's begin."""
     data, offsets = kernel.text_bytes(column)
-    spans, first, seen = [], [np.zeros(1, np.int64)], []
-    for a, b in kernel.chunks(offsets):
+    spans, first, seen = [], [], []
+    for a, b in kernel.chunks(offsets, TEXT_BYTES):
         lo = offsets[a]
         part, own = data[lo : offsets[b]], offsets[a : b + 1] - lo
         starts, ends, begin = pretokens.split(part, own, exact_splitter(pattern))
         hashes, place, number = pretokens.distinct(part, starts, ends)
         raw = part.tobytes()
         seen.append((hashes, np.array([raw[x:y] for x, y in zip(starts[place], ends[place])] + [None], object)[:-1]))
-        spans.append(number)
-        first.append(first[-1][-1] + begin[1:])
+        spans.append(number.astype(np.int32))
+        first.append(begin[1:])
     if not spans:
         return np.zeros(0, np.int32), np.zeros(len(column) + 1, np.int64)
     hashes, place, number = np.unique(np.concatenate([h for h, _ in seen]), return_index=True, return_inverse=True)
@@ -369,12 +369,20 @@ def encode_texts(column: pa.Array, vocab: Vocabulary, pattern: str) -> tuple[np.
     start = np.cumsum(size) - size
     flat = np.concatenate([*ids, np.zeros(0, np.int32)])
     at = np.cumsum([0, *(len(h) for h, _ in seen)])
-    order = np.concatenate([number[at[i] + s] if len(s) else s for i, s in enumerate(spans)]).astype(np.int64)
-    own = size[order]
-    ends = np.cumsum(own)
-    gather = np.repeat(start[order] - (ends - own), own) + np.arange(int(own.sum()))
-    bounds = np.concatenate([[0], ends])[np.concatenate(first)]
-    return flat[gather], bounds
+    out, bounds = [], [np.zeros(1, np.int64)]
+    for i, (span, begin) in enumerate(zip(spans, first)):
+        order = number[at[i] + span] if len(span) else span
+        own = size[order]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        out.append(flat[np.repeat(start[order] - ends[:-1], own) + np.arange(ends[-1])])
+        bounds.append(bounds[-1][-1] + ends[begin])
+    return np.concatenate(out), np.concatenate(bounds)
+
+
+def release() -> None:
+    """Let go of the vocabulary and its connection: a worker's next task may be of another kind."""
+    vocabulary.cache_clear()
+    kernel.give_back()
 
 
 def _groups(column: pa.Array) -> Iterator[tuple[int, int]]:
@@ -426,19 +434,30 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
 
     A column that has this name already is replaced.
     """
-    return df.mapInArrow(lambda rows: _encoding(rows, path, pattern, text, into), _with(df, **{into: _IDS}))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _encoding(rows, path, pattern, text, into)
+        release()
+
+    return df.mapInArrow(run, _with(df, **{into: _IDS}))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Adds `into`, the bytes that `ids` stand for; null ids or an unknown id give null."""
-    return df.mapInArrow(lambda rows: _decoding(rows, path, ids, into), _with(df, **{into: T.BinaryType()}))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _decoding(rows, path, ids, into)
+        release()
+
+    return df.mapInArrow(run, _with(df, **{into: T.BinaryType()}))
 
 
 def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """`encode`, then `decode` of its ids, in the same Python worker."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _decoding(_encoding(rows, path, pattern, text, ids), path, ids, decoded)
+        yield from _decoding(_encoding(rows, path, pattern, text, ids), path, ids, decoded)
+        release()
 
     return df.mapInArrow(run, _with(df, **{ids: _IDS, decoded: T.BinaryType()}))
 

@@ -36,16 +36,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-@functools.lru_cache(maxsize=8)
-def _powers_of(base: int, size: int) -> np.ndarray:
-    powers = np.full(size, base, np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
+#: The longest powers of each base so far; shorter ones are their beginnings.
+_held: dict[int, np.ndarray] = {}
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    size = max(CHUNK_BYTES + 1, 1 << int(n).bit_length())
-    return _powers_of(int(base), size)[: n + 1]
+    powers = _held.get(int(base))
+    if powers is None or len(powers) <= n:
+        powers = np.full(1 << int(n).bit_length(), base, np.uint64)
+        powers[0] = 1
+        _held[int(base)] = np.cumprod(powers, out=powers)
+    return powers[: n + 1]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,6 +69,7 @@ def _trim():
 
 def give_back() -> None:
     """Return freed memory to the system: a worker lives on, and its next task may be of another kind."""
+    _held.clear()
     pa.default_memory_pool().release_unused()
     _trim()(0)
 

@@ -39,6 +39,8 @@ SAMPLE = 8000
 #: by so many standard errors.
 LEAST_TEXTS, LEAST_ERRORS = 4, 4.0
 PENALTY, STEPS = 3e-4, 400
+#: Bytes of text worked on at once: they bound what a worker holds beside its batch.
+TEXT_BYTES = 1 << 18
 #: Chance of a grade of at least 1 from which a text counts as toxic.
 TOXIC = 0.5
 
@@ -58,10 +60,10 @@ class Model:
 
 def features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For ranges of texts (from, to): each occurring feature's text and place, repeated."""
-    data, offsets = kernel.text_bytes(pa.compute.utf8_lower(column.cast(pa.large_string())))
+    _, offsets = kernel.text_bytes(column)
     letters = np.isin(np.arange(6), [pretokens.LETTER, pretokens.UNSURE])
-    for a, b in kernel.chunks(offsets):
-        part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+    for a, b in kernel.chunks(offsets, TEXT_BYTES):
+        part, own = kernel.text_bytes(pa.compute.utf8_lower(column.slice(a, b - a).cast(pa.large_string())))
         points, at = pretokens._decode(part)
         inside = letters[pretokens.classes()[points]]
         edge = np.zeros(len(points) + 1, bool)
@@ -81,26 +83,36 @@ def features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield a, b, np.concatenate([t for t, _ in found]), places.astype(np.int64)
 
 
+def _pairs(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Text and place of the features of ranges of texts, each once."""
+    for a, _, text, place in features(texts):
+        pairs = np.unique((a + text) * FEATURES + place)
+        yield pairs // FEATURES, pairs % FEATURES
+
+
 def fit(texts: pa.Array, grades: np.ndarray) -> Model:
     """The model of labelled texts; grades are whole numbers from 0."""
     none = Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
     top = int(grades.max()) if len(grades) else 0
     if not top or int(grades.min()) == top:
         return none
-    pairs = np.concatenate([np.unique((a + text) * FEATURES + place) for a, _, text, place in features(texts)])
-    text, place = pairs // FEATURES, pairs % FEATURES
     high = grades > 0
     n1, n0 = int(high.sum()), int((~high).sum())
-    in1 = np.bincount(place[high[text]], minlength=FEATURES)
-    in0 = np.bincount(place[~high[text]], minlength=FEATURES)
+    in1, in0 = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
+    for text, place in _pairs(texts):
+        graded = high[text]
+        in1 += np.bincount(place[graded], minlength=FEATURES)
+        in0 += np.bincount(place[~graded], minlength=FEATURES)
     share = (in1 + in0) / (n1 + n0)
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
     useful = (in1 + in0 >= LEAST_TEXTS) & (np.abs(in1 / n1 - in0 / n0) >= LEAST_ERRORS * error)
     places = np.flatnonzero(useful)
     number = np.full(FEATURES, -1)
     number[places] = np.arange(len(places))
-    kept = number[place] >= 0
-    text, column = text[kept], number[place[kept]]
+    # Made again, as all features of all texts are many times those that are useful.
+    kept = [(text[useful[place]], number[place[useful[place]]]) for text, place in _pairs(texts)]
+    text, column = (np.concatenate(x) for x in zip(*kept))
+    del in1, in0, share, error, useful, number, kept
 
     n = len(grades)
     above = grades[:, None] >= np.arange(1, top + 1)[None, :]
@@ -144,7 +156,11 @@ def train(documents: DataFrame, labels: DataFrame, grade: Column, sample: int =
 
     def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), schema=pa.schema([("text", pa.string()), ("grade", pa.int32())]))
-        model = fit(table.column("text").combine_chunks(), table.column("grade").to_numpy().astype(np.int64))
+        texts, grades = table.column("text").combine_chunks(), table.column("grade").to_numpy().astype(np.int64)
+        del table
+        model = fit(texts, grades)
+        del texts
+        kernel.give_back()
         values = [pa.array([v.tolist()]) for v in (model.places.astype(np.int64), model.weights, model.thresholds)]
         kinds = [pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64())]
         yield pa.RecordBatch.from_arrays([v.cast(k) for v, k in zip(values, kinds)], names=["places", "weights", "thresholds"])

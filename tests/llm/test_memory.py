@@ -6,7 +6,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-from docketflow.llm import bpe, decontam
+import corpus_pipeline
+from docketflow.llm import bpe, decontam, kernel, toxicity
 
 
 def test_working_memory_of_text_is_bounded():
@@ -32,3 +33,52 @@ def test_working_memory_of_text_is_bounded():
         peaks[name] = tracemalloc.get_traced_memory()[1] >> 20
         tracemalloc.stop()
     assert peaks["count"] < 32 and peaks["search"] < 80 and peaks["bpe"] < 90, peaks
+
+
+def _peak(work) -> int:
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1] >> 20
+    tracemalloc.stop()
+    return peak
+
+
+def test_memory_of_toxicity_follows_the_pieces():
+    """Neither the fit nor the scoring holds all features of its texts."""
+    rng = np.random.default_rng(7)
+    words = np.array([f"word{i}" for i in range(3000)])
+    texts = pa.array([" ".join(rng.choice(words, 300)) + (" vile" if i % 5 == 0 else "") for i in range(2000)] * 3)
+    grades = (np.arange(6000) % 5 == 0).astype(np.int64)
+    toxicity.pretokens.classes()
+    models = []
+    peaks = [_peak(lambda: models.append(toxicity.fit(texts, grades))), _peak(lambda: [None for _ in toxicity.features(texts)])]
+    assert len(models[0].places) and peaks[0] < 90 and peaks[1] < 30, peaks
+
+
+def test_encoding_puts_tokens_together_piece_by_piece():
+    texts = pa.array(["the cat sat on the mat " * 100] * 1600)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    vocab, found = bpe.vocabulary(path), []
+    peak = _peak(lambda: found.append(bpe.encode_texts(texts, vocab, public_tokenizers.PATTERN)))
+    ids, bounds = found[0]
+    own = bpe.encode_texts(texts.slice(0, 1), vocab, public_tokenizers.PATTERN)[0]
+    assert (ids == np.tile(own, 1600)).all() and (np.diff(bounds) == len(own)).all()
+    assert peak < 30, peak
+
+
+def test_a_worker_keeps_no_powers_and_no_vocabulary():
+    kernel.span_hashes(np.zeros(1000, np.uint8), np.array([0]), np.array([1000]))
+    bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    bpe.release()
+    assert not kernel._held and not bpe.vocabulary.cache_info().currsize
+
+
+def test_rows_travel_to_workers_in_small_batches(spark):
+    """The pipeline's stages bound a batch by its bytes; its rows are long."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        docs = corpus_pipeline.in_batches(lambda s, d, _: d)(spark, spark.range(0, 400, 1, 1).selectExpr("repeat('x', 100000) as text"), "")
+        sizes = docs.mapInArrow(lambda found: (pa.record_batch({"n": [b.nbytes]}) for b in found), "n long").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert sum(r.n for r in sizes) >= 40_000_000 and max(r.n for r in sizes) < 2 * corpus_pipeline.BATCH_BYTES
