@@ -26,6 +26,8 @@ SHINGLE_WORDS, PERCENT = 5, 80
 SURROGATE_KEY = "documents"
 #: Bytes of the rows that an executor hands to a Python worker at once; both hold them.
 BATCH_BYTES = 4 << 20
+#: Text that is encoded at once, beside all that the stages before have left in an executor.
+ENCODED_BYTES = 1 << 20
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -93,7 +95,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Columns that have these names already are replaced.
     """
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN)
+    coded = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN, group=ENCODED_BYTES)
     return coded.withColumns({"n_tokens": F.size("ids").cast("long"), "decoded": F.decode("decoded", "utf-8")})
 
 

@@ -385,17 +385,17 @@ def release() -> None:
     kernel.give_back()
 
 
-def _groups(column: pa.Array) -> Iterator[tuple[int, int]]:
+def _groups(column: pa.Array, group: int) -> Iterator[tuple[int, int]]:
     size = np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
-    yield from kernel.chunks(size, GROUP_BYTES)
+    yield from kernel.chunks(size, group)
 
 
-def _encoding(batches: Iterator[pa.RecordBatch], path: str, pattern: str, text: str, into: str) -> Iterator[pa.RecordBatch]:
+def _encoding(batches: Iterator[pa.RecordBatch], path: str, pattern: str, text: str, into: str, group: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
     vocab = vocabulary(path)
     for batch in batches:
         keep = [c for c in batch.schema.names if c != into]
         column = batch.column(text)
-        for a, b in _groups(column):
+        for a, b in _groups(column, group):
             ids, bounds = encode_texts(column.slice(a, b - a), vocab, pattern)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             rest = batch.select(keep).slice(a, b - a)
@@ -452,11 +452,13 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     return df.mapInArrow(run, _with(df, **{into: T.BinaryType()}))
 
 
-def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """`encode`, then `decode` of its ids, in the same Python worker."""
+def encode_and_decode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", group: int = GROUP_BYTES
+) -> DataFrame:
+    """`encode`, then `decode` of its ids, in the same Python worker; a smaller `group` of bytes takes less memory and more time."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _decoding(_encoding(rows, path, pattern, text, ids), path, ids, decoded)
+        yield from _decoding(_encoding(rows, path, pattern, text, ids, group), path, ids, decoded)
         release()
 
     return df.mapInArrow(run, _with(df, **{ids: _IDS, decoded: T.BinaryType()}))

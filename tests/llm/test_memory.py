@@ -82,3 +82,13 @@ def test_rows_travel_to_workers_in_small_batches(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
     assert sum(r.n for r in sizes) >= 40_000_000 and max(r.n for r in sizes) < 2 * corpus_pipeline.BATCH_BYTES
+
+
+def test_ids_do_not_follow_the_size_of_a_group():
+    """A smaller group holds less at once, and gives the same ids in the same rows."""
+    rng = np.random.default_rng(3)
+    batch = pa.record_batch({"text": pa.array([*("".join(map(chr, rng.integers(32, 900, 300))) for _ in range(60)), None, ""])})
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    found = [[b for b in bpe._encoding(iter([batch]), path, pattern, "text", "ids", group)] for group in (4096, bpe.GROUP_BYTES)]
+    assert len(found[0]) > 3 and len(found[1]) == 1
+    assert pa.Table.from_batches(found[0]).to_pylist() == found[1][0].to_pylist()
