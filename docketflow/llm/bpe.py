@@ -3,8 +3,9 @@
 Each task cuts its texts into pre-tokens, keeps every distinct pre-token once, and hands
 those that are no token themselves to a recursive query: rows of (word, position, token)
 join the table of merges, and each round contracts every word's leftmost pair of least
-rank until no pair of any word can be merged. Decoding joins ids to their bytes and puts
-them together by an ordered aggregation.
+rank until no pair of any word can be merged. What a task has merged it keeps, up to
+`KNOWN_IDS`, and looks up by hash for the texts that follow. Decoding joins ids to their bytes
+and puts them together by an ordered aggregation.
 
 A word of more than `LONGEST` bytes goes to the query in windows that overlap by half. Tokens
 are a word's encoding where each two neighbours are the encoding of their own bytes, since the
@@ -39,6 +40,8 @@ from . import kernel, pretokens
 
 #: Text whose distinct pre-tokens are merged by one query, and text that is split and put together at once.
 GROUP_BYTES, TEXT_BYTES = 4 << 20, 1 << 18
+#: Ids of pre-tokens that a task keeps; beyond that, it keeps those of the last group.
+KNOWN_IDS = 1 << 21
 #: From this many bytes, a word's equal pairs are contracted in the same round where that
 #: gives the same as one by one; rounds then follow the merges, not the length.
 LONG_WORD = 48
@@ -127,6 +130,25 @@ group by t.doc order by t.doc
 """
 
 
+#: Numbers of words, their ids end to end, and how many each has.
+Merged = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of runs of this size, end to end."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(size.sum()))
+
+
+def _in_order(parts: list[Merged]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words by their numbers, end to end, and how many each has."""
+    none = np.zeros(0, np.int32)
+    number, ids, size = (np.concatenate(column) for column in zip((none, none, none), *parts))
+    order = np.argsort(number)
+    start = np.cumsum(size) - size
+    return ids[_runs(start[order], size[order])], size[order]
+
+
 class Vocabulary:
     """Tokens by rank, and a connection that holds the tables of merges and of bytes."""
 
@@ -165,68 +187,60 @@ class Vocabulary:
         self.base.execute(f"drop table {name}")
         return out
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word, by the recursive query."""
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) < LONG_WORD]
-        for at in range(0, len(short), QUERY_WORDS):
-            self._merge_short(words, short[at : at + QUERY_WORDS], out)
-        long = [i for i, w in enumerate(words) if LONG_WORD <= len(w) <= LONGEST]
-        for i, w in enumerate(words):
-            if len(w) > LONGEST:
-                out[i] = Windows(self, w).ids()
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words end to end, and how many each has, by the recursive query."""
+        length = np.array([len(w) for w in words], np.int64)
+        short = np.flatnonzero(length < LONG_WORD)
+        parts = [self._merge_short(words, short[at : at + QUERY_WORDS]) for at in range(0, len(short), QUERY_WORDS)]
+        for i in np.flatnonzero(length > LONGEST):
+            ids = Windows(self, words[i]).ids()
+            parts.append((np.array([i]), ids, np.array([len(ids)])))
+        long = np.flatnonzero((length >= LONG_WORD) & (length <= LONGEST))
         at = 0
         while at < len(long):
-            size = np.cumsum([len(words[i]) for i in long[at : at + QUERY_WORDS]])
-            end = at + max(1, int(np.searchsorted(size, LONG_WORD * QUERY_WORDS, "right")))
-            self._merge_long(words, long[at:end], out)
+            total = np.cumsum(length[long[at : at + QUERY_WORDS]])
+            end = at + max(1, int(np.searchsorted(total, LONG_WORD * QUERY_WORDS, "right")))
+            parts.append(self._merge_long(words, long[at:end]))
             at = end
-        return out
+        return _in_order(parts)
 
-    def _bytes_of(self, words: list[bytes], of: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        size = np.array([len(words[i]) for i in of], np.int64)
-        return self.single[np.frombuffer(b"".join(words[i] for i in of), np.uint8)], size
+    def _bytes_of(self, words: list[bytes], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = [words[i] for i in of.tolist()]
+        return self.single[np.frombuffer(b"".join(own), np.uint8)], np.array([len(w) for w in own], np.int64)
 
-    def _merge_short(self, words: list[bytes], of: list[int], out: list[np.ndarray]) -> None:
+    def _merge_short(self, words: list[bytes], of: np.ndarray) -> Merged:
         toks, size = self._bytes_of(words, of)
         bounds = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
         found = self._query(
             LEFTMOST, "start", w=pa.array(of, pa.int32()), toks=pa.ListArray.from_arrays(bounds, pa.array(toks))
         )
         lists = found.column("toks").combine_chunks()
-        flat, bounds = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-        for i, ids in zip(found.column("w").to_pylist(), np.split(flat, bounds[:-1])):
-            out[i] = ids
+        return found.column("w").to_numpy(), lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
 
-    def _merge_long(self, words: list[bytes], of: list[int], out: list[np.ndarray]) -> None:
+    def _merge_long(self, words: list[bytes], of: np.ndarray) -> Merged:
         toks, size = self._bytes_of(words, of)
         pos = np.arange(len(toks)) - np.repeat(np.cumsum(size) - size, size)
-        found = self._query(
-            TOGETHER, "start", w=np.repeat(np.array(of), size).astype(np.int32), pos=pos.astype(np.int32), tok=toks
-        )
-        w, tok = (found.column(c).to_numpy() for c in ("w", "tok"))
-        cuts = np.flatnonzero(np.diff(w)) + 1
-        for i, ids in zip(w[np.concatenate([[0], cuts])], np.split(tok, cuts)):
-            out[i] = ids
+        found = self._query(TOGETHER, "start", w=np.repeat(of, size).astype(np.int32), pos=pos.astype(np.int32), tok=toks)
+        number, size = np.unique(found.column("w").to_numpy(), return_counts=True)
+        return number, found.column("tok").to_numpy(), size
 
     def merge_short(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of windows, of at most 255 bytes each."""
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        for at in range(0, len(words), QUERY_WINDOWS):
-            self._merge_short(words, list(range(at, min(at + QUERY_WINDOWS, len(words)))), out)
-        return out
+        every = np.arange(len(words))
+        parts = [self._merge_short(words, every[at : at + QUERY_WINDOWS]) for at in range(0, len(words), QUERY_WINDOWS)]
+        ids, size = _in_order(parts)
+        return np.split(ids, np.cumsum(size)[:-1])
 
     def merge_whole(self, word: bytes) -> np.ndarray:
         """The ids of one word by one query over all of it."""
-        out = [np.zeros(0, np.int32)]
-        self._merge_long([word], [0], out)
-        return out[0]
+        return self._merge_long([word], np.array([0]))[1]
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of distinct pre-tokens. One that is a token is that token."""
-        known = [self.ranks.get(w) for w in words]
-        merged = iter(self.merge([w for w, k in zip(words, known) if k is None]))
-        return [next(merged) if k is None else np.array([k], np.int32) for k in known]
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct pre-tokens end to end, and how many each has. One that is a token is that token."""
+        rank = np.array([self.ranks.get(w, -1) for w in words], np.int32)
+        whole, rest = np.flatnonzero(rank >= 0), np.flatnonzero(rank < 0)
+        merged = self.merge([words[i] for i in rest.tolist()])
+        return _in_order([(whole, rank[whole], np.ones(len(whole), np.int64)), (rest, *merged)])
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
         """The bytes of each run of ids; None if it has an id that is unknown."""
@@ -347,35 +361,67 @@ def exact_splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-def encode_texts(column: pa.Array, vocab: Vocabulary, pattern: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts end to end, and where each text's begin."""
+class Known:
+    """The ids of pre-tokens that a task has met, by ascending hash; most come again in its next texts."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.int32)
+
+    def lacks(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.ones(len(hashes), bool)
+        return self.hashes[np.minimum(self.places(hashes), len(self.hashes) - 1)] != hashes
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.hashes, hashes)
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """Takes in pre-tokens by ascending hash, none of which it has."""
+        at, start = self.places(hashes), len(self.ids) + np.cumsum(size) - size
+        self.hashes, self.start = np.insert(self.hashes, at, hashes), np.insert(self.start, at, start)
+        self.size = np.insert(self.size, at, size)
+        self.ids = np.concatenate([self.ids, ids])
+
+    def keep(self, hashes: np.ndarray) -> None:
+        """Drops all but these, or these too where they alone have more than `KNOWN_IDS`."""
+        at = self.places(hashes)
+        if self.size[at].sum() > KNOWN_IDS:
+            at = at[:0]
+        self.ids = self.ids[_runs(self.start[at], self.size[at])]
+        self.hashes, self.size = self.hashes[at], self.size[at]
+        self.start = np.cumsum(self.size, dtype=np.int64) - self.size
+
+
+def encode_texts(column: pa.Array, vocab: Vocabulary, pattern: str, known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts end to end, and where each text's begin. What is in `known` is not merged again."""
+    known = Known() if known is None else known
     data, offsets = kernel.text_bytes(column)
-    spans, first, seen = [], [], []
+    parts, unmet = [], []
     for a, b in kernel.chunks(offsets, TEXT_BYTES):
         lo = offsets[a]
         part, own = data[lo : offsets[b]], offsets[a : b + 1] - lo
         starts, ends, begin = pretokens.split(part, own, exact_splitter(pattern))
         hashes, place, number = pretokens.distinct(part, starts, ends)
-        raw = part.tobytes()
-        seen.append((hashes, np.array([raw[x:y] for x, y in zip(starts[place], ends[place])] + [None], object)[:-1]))
-        spans.append(number.astype(np.int32))
-        first.append(begin[1:])
-    if not spans:
+        new = known.lacks(hashes)
+        unmet.append((hashes[new], lo + starts[place[new]], lo + ends[place[new]]))
+        parts.append((hashes, number.astype(np.int32), begin[1:]))
+    if not parts:
         return np.zeros(0, np.int32), np.zeros(len(column) + 1, np.int64)
-    hashes, place, number = np.unique(np.concatenate([h for h, _ in seen]), return_index=True, return_inverse=True)
-    words = np.concatenate([w for _, w in seen])[place]
-    ids = vocab.encode(list(words))
-    size = np.array([len(x) for x in ids], np.int64)
-    start = np.cumsum(size) - size
-    flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-    at = np.cumsum([0, *(len(h) for h, _ in seen)])
+    hashes, starts, ends = map(np.concatenate, zip(*unmet))
+    hashes, place = np.unique(hashes, return_index=True)
+    raw = data.tobytes()
+    known.add(hashes, *vocab.encode([raw[x:y] for x, y in zip(starts[place].tolist(), ends[place].tolist())]))
     out, bounds = [], [np.zeros(1, np.int64)]
-    for i, (span, begin) in enumerate(zip(spans, first)):
-        order = number[at[i] + span] if len(span) else span
-        own = size[order]
-        ends = np.concatenate([[0], np.cumsum(own)])
-        out.append(flat[np.repeat(start[order] - ends[:-1], own) + np.arange(ends[-1])])
+    for hashes, number, begin in parts:
+        at = known.places(hashes)[number]
+        own = known.size[at]
+        ends = np.concatenate([[0], np.cumsum(own, dtype=np.int64)])
+        out.append(known.ids[_runs(known.start[at], own)])
         bounds.append(bounds[-1][-1] + ends[begin])
+    if len(known.ids) > KNOWN_IDS:
+        known.keep(np.unique(np.concatenate([hashes for hashes, _, _ in parts])))
     return np.concatenate(out), np.concatenate(bounds)
 
 
@@ -391,12 +437,12 @@ def _groups(column: pa.Array, group: int) -> Iterator[tuple[int, int]]:
 
 
 def _encoding(batches: Iterator[pa.RecordBatch], path: str, pattern: str, text: str, into: str, group: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
-    vocab = vocabulary(path)
+    vocab, known = vocabulary(path), Known()
     for batch in batches:
         keep = [c for c in batch.schema.names if c != into]
         column = batch.column(text)
         for a, b in _groups(column, group):
-            ids, bounds = encode_texts(column.slice(a, b - a), vocab, pattern)
+            ids, bounds = encode_texts(column.slice(a, b - a), vocab, pattern, known)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             rest = batch.select(keep).slice(a, b - a)
             del ids, bounds

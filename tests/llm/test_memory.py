@@ -92,3 +92,47 @@ def test_ids_do_not_follow_the_size_of_a_group():
     found = [[b for b in bpe._encoding(iter([batch]), path, pattern, "text", "ids", group)] for group in (4096, bpe.GROUP_BYTES)]
     assert len(found[0]) > 3 and len(found[1]) == 1
     assert pa.Table.from_batches(found[0]).to_pylist() == found[1][0].to_pylist()
+
+
+def _new_words(batches, group):
+    """Ids of all texts in groups of this size, and how many words were merged for each group."""
+    path, merged = public_tokenizers.path("byte_bpe_50k.tiktoken"), []
+    vocab = bpe.vocabulary(path)
+    merge, vocab.merge = vocab.merge, lambda words: merged.append(len(words)) or merge(words)
+    try:
+        found = list(bpe._encoding(iter(batches), path, public_tokenizers.PATTERN, "text", "ids", group))
+    finally:
+        del vocab.merge
+    return pa.Table.from_batches(found).column("ids").to_pylist(), merged
+
+
+def _batches_of_words(n):
+    rng = np.random.default_rng(11)
+    words = np.array(["".join(map(chr, rng.integers(97, 123, 9))) for _ in range(n)])
+    return [pa.record_batch({"text": pa.array([" ".join(rng.permutation(words)) for _ in range(5)])}) for _ in range(3)]
+
+
+def test_a_task_merges_a_word_once():
+    """Groups and batches that follow meet the same words; time follows the new ones."""
+    batches = _batches_of_words(2000)
+    expected, alone = _new_words(batches, 1 << 30)
+    found, merged = _new_words(batches, 1 << 14)
+    assert found == expected and len(merged) == 15 and len(alone) == 3
+    # Each word with a space before it, and those that begin a text.
+    assert sum(merged) <= 2000 + 15 and sum(alone) <= 2000 + 15, (merged, alone)
+
+
+def test_words_that_a_task_keeps_are_bounded(monkeypatch):
+    """Beyond the bound the last group's words stay, or none where these are too many; the ids are the same."""
+    batches = _batches_of_words(300)
+    expected, _ = _new_words(batches, 1 << 30)
+    vocab, pattern = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+    for bound in (100, 1500, 2000):
+        monkeypatch.setattr(bpe, "KNOWN_IDS", bound)
+        assert _new_words(batches, 1 << 11)[0] == expected
+        known = bpe.Known()
+        for batch in batches:
+            for text in batch.column("text"):
+                own = bpe.encode_texts(pa.array([text.as_py()]), vocab, pattern)[0]
+                ids, _ = bpe.encode_texts(pa.array([text.as_py(), f"{text} new{len(known.ids)}x"]), vocab, pattern, known)
+                assert (ids[: len(own)] == own).all() and len(known.ids) <= bound
