@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import duckdb
@@ -42,6 +43,8 @@ from . import kernel, pretokens
 GROUP_BYTES, TEXT_BYTES = 4 << 20, 1 << 18
 #: Ids of pre-tokens that a task keeps; beyond that, it keeps those of the last group.
 KNOWN_IDS = 1 << 21
+#: From this many bytes, pre-tokens are told apart by a digest: sums of powers are equal for some of 1024.
+DIGESTED = 256
 #: From this many bytes, a word's equal pairs are contracted in the same round where that
 #: gives the same as one by one; rounds then follow the merges, not the length.
 LONG_WORD = 48
@@ -394,6 +397,15 @@ class Known:
         self.start = np.cumsum(self.size, dtype=np.int64) - self.size
 
 
+def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and first place of each distinct span, and the number of it for every span."""
+    hashes = kernel.span_hashes(data, starts, ends)
+    for i in np.flatnonzero(ends - starts >= DIGESTED).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return np.unique(hashes, return_index=True, return_inverse=True)
+
+
 def encode_texts(column: pa.Array, vocab: Vocabulary, pattern: str, known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts end to end, and where each text's begin. What is in `known` is not merged again."""
     known = Known() if known is None else known
@@ -403,7 +415,7 @@ def encode_texts(column: pa.Array, vocab: Vocabulary, pattern: str, known: Known
         lo = offsets[a]
         part, own = data[lo : offsets[b]], offsets[a : b + 1] - lo
         starts, ends, begin = pretokens.split(part, own, exact_splitter(pattern))
-        hashes, place, number = pretokens.distinct(part, starts, ends)
+        hashes, place, number = _distinct(part, starts, ends)
         new = known.lacks(hashes)
         unmet.append((hashes[new], lo + starts[place[new]], lo + ends[place[new]]))
         parts.append((hashes, number.astype(np.int32), begin[1:]))

@@ -116,6 +116,18 @@ def test_words_of_millions_of_letters(tiktoken_encoding, word):
     assert ids.tolist() == tiktoken_encoding.encode_ordinary(word)
 
 
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_of_equal_sums_of_powers(tiktoken_encoding, size):
+    """A sequence of Thue and Morse and its complement: other words, in one group and in two."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(size))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), word]
+    vocab, known = bpe.vocabulary(RANKS), bpe.Known()
+    ids, bounds = bpe.encode_texts(pa.array(texts), vocab, public_tokenizers.PATTERN)
+    for i, text in enumerate(texts):
+        own, _ = bpe.encode_texts(pa.array([text]), vocab, public_tokenizers.PATTERN, known)
+        assert own.tolist() == ids[bounds[i] : bounds[i + 1]].tolist() == tiktoken_encoding.encode_ordinary(text)
+
+
 def test_bpe_round_trip(docs, none, tiktoken_encoding):
     got = bpe.digests(docs, RANKS, public_tokenizers.PATTERN).collect()
     expected = []
