@@ -11,7 +11,7 @@ from html.entities import html5
 
 from pyspark.sql import functions as F
 
-from ..fixed import ANNUAL_FORMS, DROPPED_ELEMENTS, RAW_ELEMENTS, TABLE_CLASS
+from ..fixed import ANNUAL_FORMS, DROPPED_ELEMENTS, RAW_ELEMENTS, TABLE_CLASS, WHITESPACE_CHARS
 from .fold import walk
 from .once import with_once
 from .text import strip, stripped_lines
@@ -162,7 +162,8 @@ def with_plain_text(df, html, out):
 
 # --- links of an index page ---------------------------------------------------
 
-_UNSEEN = rf"(?i)<(?:{_COMMENT}|{_ANY_RAW})"
+# The first letter tells most tags from these.
+_UNSEEN = rf"<(?=[!{''.join(sorted({n[0] + n[0].upper() for n in RAW_ELEMENTS}))}])(?i:{_COMMENT}|{_ANY_RAW})"
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 
 
@@ -181,24 +182,110 @@ _HAS_CLASS = (
 )
 
 
-def _with_tables(stop, depth):
-    """Markup up to one of the tags `stop`, with the whole tables inside it."""
-    whole = rf"|<(?i:table)(?:[\s/]{_ATTRS})?>{_with_tables('/(?i:table)', depth - 1)}</(?i:table)\s*>" if depth else ""
-    return rf"(?:[^<]++|<(?!(?:{stop}|/?(?i:table))[\s/>]){whole})*+"
+def _tag(letters):
+    """What follows the `<` of a tag of tables, or of rows (`r`) or cells (`d`)."""
+    other = f"[{letters}{letters.upper()}]|" if letters else ""
+    return rf"/?[tT](?:{other}(?i:able))[\s/>]"
+
+
+def _up_to(letters):
+    """Markup up to the next such tag."""
+    return rf"(?>[^<]*)(?:<(?!{_tag(letters)})[^<]*)*+"
+
+
+def _with_tables(letters, depth):
+    """Markup up to the next such tag, with the whole tables before it."""
+    run = _up_to(letters)
+    whole = rf"<(?i:table)(?:[\s/]{_ATTRS})?>{_tables(depth - 1)}(?<=</(?i:ta))(?i:ble)\s*>"
+    return rf"{run}(?:{whole}{run})*+"
+
+
+def _tables(depth):
+    """Markup with the whole tables inside it, up to the `b` of the next other tag of a table.
+
+    Tags are many, and few letters are a `b`: this looks at those only.
+    """
+    run = r"(?>[^bB]*)(?:[bB](?!(?<=</?[tT][aA].)(?i:le)[\s/>])[^bB]*)*+"
+    if not depth:
+        return run
+    return rf"{run}(?:(?<=<(?i:ta))(?i:ble)(?:[\s/]{_ATTRS})?>{_tables(depth - 1)}(?<=</(?i:ta))(?i:ble)\s*>{run})*+"
 
 
 # Tables are mostly flat or hold a few others inside each other: patterns read these, a walk,
-# which takes many times as long, all others.
+# which takes many times as long, all others. What is found ends with `</ta`.
 # Every row and cell is found where it begins, its content by looking ahead, so that those
 # of inner tables are found as well.
 _FLAT = 12
-_FLAT_TABLE = (
-    rf"<(?i:table){_attribute('class')}{_HAS_CLASS}({_ATTRS}>{_with_tables('/(?i:table)', _FLAT)})</(?i:table)\s*>"
-)
-_FLAT_ROW = rf"<(?i:tr)(?=((?:[\s/]{_ATTRS})?>{_with_tables('/?(?i:tr)', _FLAT)}))"
-_FLAT_CELL = rf"<(?i:td)(?=(?:[\s/]{_ATTRS})?>({_with_tables('/?(?i:t[dr])', _FLAT)}))"
+_FLAT_TABLE = rf"<(?i:table){_attribute('class')}{_HAS_CLASS}({_ATTRS}>{_tables(_FLAT)}(?<=</(?i:ta)))(?i:ble)\s*>"
+_FLAT_ROW = rf"<[tT][rR](?=((?:[\s/]{_ATTRS})?>{_with_tables('r', _FLAT)}))"
+_FLAT_CELL = rf"<[tT][dD](?=(?:[\s/]{_ATTRS})?>({_with_tables('dr', _FLAT)}))"
 _ANY_HREF = rf"<[aA]{_attribute('href')}({_VALUE})"
 
+# The text of an annual form type, each run of it between tags padded with white space.
+_PADDING = f"(?:[{WHITESPACE_CHARS}]|&nbsp;)*+"
+
+
+def _annual_type(tag):
+    """The markup of a cell that holds an annual form type and, besides, tags of the pattern `tag`."""
+    tags = rf"(?:{_PADDING}{tag})++{_PADDING}"
+    forms = "|".join(rf"(?:{tags})?+".join(f"[{c}{c.lower()}]" for c in form) for form in ANNUAL_FORMS)
+    return rf"(?:{tags}|{_PADDING})(?:{forms})(?:{tags}|{_PADDING})"
+
+
+_ANNUAL_CELL = rf"\A{_annual_type(f'<(?i:{_ANY_TAG})')}\z"
+
+# --- the same at once, for tables of plain markup: a row's tags hold no other `<`, its links and
+# type no references but `&nbsp;`, and tables inside it no links. What differs is left to the others.
+_PLAIN_ATTRS = r"""(?:[^<>=]+|=++\s*+(?:"[^"<]*+"|'[^'<]*+'|(?!["'])))*+"""
+_PLAIN_VALUE = r"""(?:"[^"<]*+"|'[^'<]*+'|[^\s<>"'][^\s<>]*+(?=[\s>]))"""
+_PLAIN_TAG = rf"<(?!{_tag('dr')})(?:[a-zA-Z]{_PLAIN_ATTRS}|[!/?][^<>]*+)>"
+_PLAIN_HEAD = rf"(?:[\s/]{_PLAIN_ATTRS})?+>"
+_PLAIN_LINK = (
+    rf"(?:[\s/]++(?!(?i:href)[\s=])[^\s<>=]++(?:\s*+=\s*+{_PLAIN_VALUE})?+)*+[\s/]++(?i:href)\s*+=\s*+"
+)
+
+
+def _plain_value(ends):
+    """An address without references that ends in a certain way."""
+    return rf"""(?:"[^"<&]*+{ends}"|'[^'<&]*+{ends}'|[^\s<>&"'][^\s<>&]*+{ends}(?=[\s>]))"""
+
+
+_ENDS_ANNUAL = r"(?<=\.(?i:htm))(?<!-(?i:index\.htm))"
+_ENDS_OTHER = r"(?:(?<!\.(?i:htm))|(?<=-(?i:index\.htm)))"
+_ROW_END = r"(?=<(?:/?(?i:tr)|/(?i:table))[\s/>]|\z)"
+_CELL_END = r"(?=<(?:/?(?i:t[dr])|/(?i:table))[\s/>]|\z)"
+_UP_TO_LINK = rf"(?>[^<]*)(?:<(?![aA][\s/]|{_tag('r')})[^<]*)*+"
+
+
+def _without_links(depth):
+    """Markup with the whole tables inside it, up to the next link or other tag of a table."""
+    run = rf"(?>[^<]*)(?:<(?![aA][\s/]|{_tag('')})[^<]*)*+"
+    return rf"{run}(?:<(?i:table){_PLAIN_HEAD}{_without_links(depth - 1)}</(?i:table)\s*>{run})*+" if depth else run
+
+
+_UP_TO_FIRST_LINK = (
+    rf"{_UP_TO_LINK}(?:<(?i:table){_PLAIN_HEAD}{_without_links(_FLAT)}</(?i:table)\s*>{_UP_TO_LINK})*+"
+)
+_BETWEEN_CELLS = rf"{_up_to('dr')}(?:</[tT][dD]{_up_to('dr')})*+"
+_CELL = rf"<[tT][dD]{_PLAIN_HEAD}"
+# Behind the name of its tag, a row that surely is not of an annual form: its first link is none of
+# a page, or its fourth cell is of another type or missing.
+_OTHER_ROW = (
+    rf"{_PLAIN_HEAD}(?:{_UP_TO_FIRST_LINK}(?:{_ROW_END}|<[aA]{_PLAIN_LINK}{_plain_value(_ENDS_OTHER)})"
+    rf"|{_BETWEEN_CELLS}(?:{_CELL}{_BETWEEN_CELLS}){{0,3}}+(?:{_ROW_END}"
+    rf"|{_CELL}(?!{_annual_type(_PLAIN_TAG)}{_CELL_END})(?:[^<&]+|&nbsp;|{_PLAIN_TAG})*+{_CELL_END}))"
+)
+# A row that surely is, up to its first link.
+_ANNUAL_ROW = (
+    rf"{_PLAIN_HEAD}(?={_BETWEEN_CELLS}(?:{_CELL}{_BETWEEN_CELLS}){{3}}+{_CELL}{_annual_type(_PLAIN_TAG)}{_CELL_END})"
+    rf"{_UP_TO_LINK}<[aA]{_PLAIN_LINK}{_plain_value(_ENDS_ANNUAL)}"
+)
+# The first row that is or that might be, which gives one character only.
+_FIRST_ROW = rf"<[tT][rR](?=[\s/>])(?!{_OTHER_ROW})({_ANNUAL_ROW}|[\s/>])"
+_OTHER_ROWS = rf"(?s)<[tT][rR](?=(?:[\s/]{_ATTRS})?>)(.*)"
+# The first link that is or that might be one of a page.
+_FIRST_HREF = rf"<[aA](?!{_PLAIN_LINK}{_plain_value(_ENDS_OTHER)}){_attribute('href')}({_VALUE})"
+
 
 # From the end of the document table's own tag on, to the end of the page.
 _AFTER_TABLE_TAG = rf"(?s)<(?i:table){_attribute('class')}{_HAS_CLASS}{_ATTRS}(>.*)"
@@ -212,10 +299,13 @@ _HREF = rf"^<[aA]{_attribute('href')}({_VALUE})"
 _KINDS = {"table": 1, "/table": 2, "tr": 3, "/tr": 4, "td": 5, "/td": 6, "a": 7}
 
 
-def _href(written, names):
+def _unquoted(written):
     quoted = written.startswith('"') | written.startswith("'")
-    inner = F.substring(written, F.lit(2), F.length(written) - 2)
-    return decode_references(F.when(quoted, inner).otherwise(written), names)
+    return F.when(quoted, F.substring(written, F.lit(2), F.length(written) - 2)).otherwise(written)
+
+
+def _href(written, names):
+    return decode_references(_unquoted(written), names)
 
 
 def _table_tags(tags):
@@ -313,6 +403,11 @@ def _type_of(markup, names):
     return F.upper(F.array_join(nodes, ""))
 
 
+def _is_annual_type(markup, names):
+    # References other than `&nbsp;` are seldom; only where there are any, they are read.
+    return markup.rlike(_ANNUAL_CELL) | (markup.contains("&") & _type_of(markup, names).isin(*ANNUAL_FORMS))
+
+
 def _first_href(markup, names):
     # As the one element of an array, what was matched is used without matching again.
     first = F.array(F.regexp_extract(markup, _ANY_HREF, 1))
@@ -330,7 +425,7 @@ def _flat_choice(table, rule, names):
     annual = F.filter(
         linked,
         lambda r: _is_annual_page(r["href"])
-        & _type_of(F.get(F.regexp_extract_all(r["row"], F.lit(_FLAT_CELL), 1), 3), names).isin(*ANNUAL_FORMS),
+        & _is_annual_type(F.get(F.regexp_extract_all(r["row"], F.lit(_FLAT_CELL), 1), 3), names),
     )
     return F.coalesce(F.get(annual, 0)["href"], F.get(F.filter(hrefs, _is_annual_page), 0))
 
@@ -353,17 +448,41 @@ def with_primary_link(df, html, rule="A", href="href", has_table="has_table"):
     when there is none, `has_table` tells whether the document table exists.
     """
     names = named_references()
-    seen, flat, content = (f"__{href}_{n}" for n in ("seen", "flat", "content"))
+    seen, flat, content, there, unread = (f"__{href}_{n}" for n in ("seen", "flat", "content", "there", "unread"))
     df = df.withColumn(seen, F.regexp_replace(F.col(html), _UNSEEN, ""))
     # What is found starts with the end of the table's own tag, so it is never empty.
     df = df.withColumn(flat, F.nullif(F.regexp_extract(F.col(seen), _FLAT_TABLE, 1), F.lit("")))
     other = F.when(F.col(flat).isNull(), F.regexp_extract(F.col(seen), _AFTER_TABLE_TAG, 1))
     df = df.withColumn(content, F.nullif(other, F.lit("")))
+    df = df.withColumn(there, F.col(flat).isNotNull() | F.col(content).isNotNull())
+    known, page, more = F.lit(False), F.lit(None), []
+    if rule == "A":
+        df, page, known, more = _with_plain_choice(df, flat, href)
+    # A table goes on only to be read row by row.
+    df = df.withColumn(unread, F.when(~F.coalesce(known, F.lit(False)), F.substring(F.col(flat), F.lit(1), F.length(flat) - len("</ta"))))
     df, walked, helpers = _with_walked_choice(df, content, rule, href, names)
-    chosen = F.when(F.col(flat).isNotNull(), _flat_choice(F.col(flat), rule, names)).otherwise(walked)
-    df = with_once(df, href, chosen)
-    df = df.withColumn(has_table, F.col(flat).isNotNull() | F.col(content).isNotNull())
-    return df.drop(seen, flat, content, *helpers)
+    read = F.when(F.col(unread).isNotNull(), _flat_choice(F.col(unread), rule, names)).otherwise(walked)
+    df = with_once(df, href, F.when(known, page).otherwise(read))
+    df = df.withColumn(has_table, F.col(there))
+    return df.drop(seen, flat, content, there, unread, *more, *helpers)
+
+
+def _with_plain_choice(df, flat, href):
+    """The link chosen under rule A from a table of plain markup, and whether it is known so.
+
+    Returns the table with helper columns, these two and the helpers.
+    """
+    row, link, page, known = helpers = [f"__{href}_{n}" for n in ("row", "link", "page", "known")]
+    df = df.withColumn(row, F.regexp_extract(F.regexp_extract(F.col(flat), _OTHER_ROWS, 1), _FIRST_ROW, 1))
+    # A row of an annual form comes first.
+    written = F.when(F.length(row) > 1, F.regexp_extract(F.col(row), _ANY_HREF, 1)).when(
+        F.col(row) == "", F.regexp_extract(F.col(flat), _FIRST_HREF, 1)
+    )
+    df = df.withColumn(link, written)
+    address = _unquoted(F.col(link))
+    df = df.withColumn(page, F.when(_is_annual_page(address) & ~address.contains("&"), address))
+    df = df.withColumn(known, (F.col(link) == "") | F.col(page).isNotNull())
+    return df, F.col(page), F.col(known), helpers
 
 
 def _with_walked_choice(df, content, rule, href, names):
@@ -409,7 +528,7 @@ def _with_walked_choice(df, content, rule, href, names):
             (link["at"] < r["end"])
             & _is_annual_page(link["href"])
             & (fourth["at"] < r["end"])
-            & _type_of(markup, names).isin(*ANNUAL_FORMS)
+            & _is_annual_type(markup, names)
         )
 
     # The first row is passed over.

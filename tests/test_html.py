@@ -389,3 +389,40 @@ def test_tables_inside_each_other_read_alike_by_patterns_and_by_a_walk(spark, mo
     got = {r.n: (r.href, r.has_table) for r in html.with_primary_link(pages, "html", rule).collect()}
     monkeypatch.setattr(html, "_FLAT_TABLE", "(no such table)")
     assert got == {r.n: (r.href, r.has_table) for r in html.with_primary_link(pages, "html", rule).collect()}
+
+
+PLAIN_PAGES = [
+    (table(row("/a.htm", "EX-1"), row("/b.htm", "<b>10</b>-k&nbsp;/A")), "/a.htm"),
+    (table(row("/a.htm", "EX-1"), row("/b.htm", "\xa0<b>10</b>-k <br/>/A&nbsp;")), "/b.htm"),
+    (table(row("/a.htm", "EX-1"), row("/b.htm", "&#49;0-K")), "/b.htm"),
+    (table(row("/a.htm", "10-K&NBSP;"), row("/b.pdf", "10-K"), row("/c-INDEX.htm", "10-K")), "/a.htm"),
+    (table(row("/a.pdf", "10-K"), row("/b.HTM", "EX", "<a href=/c.htm>c</a>"), row("/d.htm", "10-K")), "/d.htm"),
+    (table(nested(3), row("/a.htm", "EX"), f"<tr><td>{nested(8)}</td></tr>", row("/b.htm", "10-K")), "/b.htm"),
+    (table(row("/a.txt", "10-K"), f"<tr><td>{nested(2, '<a href=/i.htm>i</a>')}</td></tr>"), "/i.htm"),
+    (table(row("/a.htm", "EX"), "<tr><td>1<td>2<td><a href='/b.htm'>b</a><td>10-K"), "/b.htm"),
+    (table(row("/a.htm", "EX"), "<tr><td>1<td>2<td><a href=/b.htm"), "/a.htm"),
+    (table(row("/a.pdf", "EX"), '<tr><td><a title="<a href=/b.htm>" href="/c.pdf"></a></td></tr>'), None),
+    (table(row("", "10-K"), '<tr><td><a title="<b>" href=""></a><a href="/d.htm"></a></td></tr>'), "/d.htm"),
+    (table(row("/a.pdf", "10-K"), row("/b.txt", "10-K")), None),
+]
+
+
+def test_tables_of_plain_markup_read_alike_at_once_and_by_rows(spark, monkeypatch):
+    pages = [p for p, _ in PLAIN_PAGES]
+    rng = random.Random(5)
+    pages += [random_index_page(rng).replace("</td>", nested(rng.randint(0, 2)) + "</td>", 1) for _ in range(600)]
+    at_once = pick(spark, pages, "A")
+    assert at_once[: len(PLAIN_PAGES)] == [(True, href) for _, href in PLAIN_PAGES]
+    # Every row is one that might be of an annual form, so that all tables are read by rows.
+    monkeypatch.setattr(html, "_FIRST_ROW", r"([\s\S])")
+    assert at_once == pick(spark, pages, "A")
+
+
+def test_most_tables_are_read_at_once(spark):
+    """Rows and cells are taken out one by one only where the markup asks for it."""
+    plain = [table(nested(8), row("/a.htm", "EX-1"), *[row(f"/{n}.pdf", "10-K&nbsp;") for n in range(3)]) for _ in range(3)]
+    plain += [table(row("/a.htm", "EX-1"), row("/b.htm", " <b>10</b>-K")), table(row("/a.pdf", "10-K"))]
+    df = spark.createDataFrame([(p,) for p in plain + [table(row("/a&#46;htm", "10-K"))]], "html string")
+    flat = df.select(F.regexp_extract("html", html._FLAT_TABLE, 1).alias("flat"))
+    read, _, known, _ = html._with_plain_choice(flat, "flat", "href")
+    assert [r.known for r in read.select(F.coalesce(known, F.lit(False)).alias("known")).collect()] == [True] * 5 + [False]
